@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderbeam.functions import dates, text
 from wanderbeam.operators.ids import dense_ids
+from wanderbeam.operators.skew import BROADCAST_ROWS, lookup_join, small_enough
 from wanderbeam.session import materialise
 
 USER_SCHEMA = (
@@ -147,19 +148,29 @@ def normalised_items(
     )
 
 
-def vocabulary(df: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values with a 0-based index; always holds ``unspecified``."""
+def vocabulary(df: DataFrame, column: str, small_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(value, index, size): sorted distinct values, 0-based; always holds ``unspecified``.
+
+    A vocabulary proven small is numbered in one task, a larger one by ``dense_ids``.
+    """
     spark = df.sparkSession
     null_label = spark.createDataFrame([(text.UNSPECIFIED,)], f"{column} string")
     values = df.select(column).filter(F.col(column).isNotNull()).union(null_label).distinct()
-    return dense_ids(values, [column], "index", start=-1)
+    if small_enough(values, small_rows):
+        everything = Window.partitionBy(F.lit(0))
+        return values.select(
+            column,
+            (F.row_number().over(everything.orderBy(column)) - 1).cast("long").alias("index"),
+            F.count(F.lit(1)).over(everything).alias("size"),
+        )
+    numbered = dense_ids(values, [column], "index", start=-1)
+    return numbered.withColumn("size", F.lit(numbered.count()))
 
 
 def one_hot_index(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
     """Sparse one-hot: the position of the 1 (``<column>_index``) and the width (``_size``)."""
-    width = vocab.count()
-    positions = vocab.withColumnRenamed("index", f"{column}_index")
-    return df.join(positions, column, "left").withColumn(f"{column}_size", F.lit(width))
+    renamed = vocab.withColumnsRenamed({"index": f"{column}_index", "size": f"{column}_size"})
+    return lookup_join(df, renamed, column, "left")
 
 
 def dense_one_hot(column: str) -> Column:

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wanderbeam.functions import actions, arrays
-from wanderbeam.operators.skew import MAX_GROUP_ROWS, lookup_join, number_rows, number_runs
+from wanderbeam.operators.skew import (
+    MAX_GROUP_ROWS,
+    group_limit,
+    lookup_join,
+    number_rows,
+    number_runs,
+)
 
 PROMISING = ("click", "fav", "purchase")
 
@@ -59,7 +65,7 @@ def held_out_events(
     )
 
 
-def skip_first(events: DataFrame, n_skip: int = 6, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def skip_first(events: DataFrame, n_skip: int = 6, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Every user's events without the first ``n_skip``."""
     numbered = number_rows(
         events, ["user_id"], ["event_timestamp", "event_id"], "place", max_rows=max_rows
@@ -67,7 +73,7 @@ def skip_first(events: DataFrame, n_skip: int = 6, max_rows: int = MAX_GROUP_ROW
     return numbered.filter(F.col("place") > n_skip)
 
 
-def collapse_repeats(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def collapse_repeats(events: DataFrame, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Runs of the same item as one row: first item, largest action code.
 
     (user_id, gender, age_group, run, hotel_id, main_action); users without gender or age
@@ -95,7 +101,9 @@ def holdout(
 ) -> DataFrame:
     """What users did after ``after``, past their first ``n_skip`` events, without repeats."""
     late = held_out_events(events, event_map, users, items, after)
-    return collapse_repeats(skip_first(late, n_skip, max_rows), max_rows)
+    # Nothing below gives a user more rows than the event table has for them.
+    limit = group_limit(events, ["user_id"], max_rows)
+    return collapse_repeats(skip_first(late, n_skip, limit), limit)
 
 
 def first_runs(runs: DataFrame, n: int) -> DataFrame:

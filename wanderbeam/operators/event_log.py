@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wanderbeam.operators.skew import (
     MAX_GROUP_ROWS,
+    group_limit,
     lookup_join,
     number_runs,
     with_neighbour,
@@ -145,7 +146,8 @@ def event_runs(
     rows = rows.select("uid", "user_id", "ga_session_id", "event_timestamp", *RUN_ATTRIBUTES)
     tie = ["event_name", "hotel_id", "booking_id", "hotel_destination_id", "banner_id"]
     tie += ["carousel_id", "recommendlocation_id", "first_touch_source"]
-    runs = number_runs(rows, ["uid"], ["event_timestamp", *tie], "event_name", "run", max_rows)
+    limit = group_limit(rows, ["uid"], max_rows)
+    runs = number_runs(rows, ["uid"], ["event_timestamp", *tie], "event_name", "run", limit)
     spans = runs.groupBy("uid", "user_id", "ga_session_id", "run", *RUN_ATTRIBUTES).agg(
         F.min("event_timestamp").alias("min_event_timestamp"),
         F.max("event_timestamp").alias("max_event_timestamp"),
@@ -157,7 +159,7 @@ def event_runs(
         "max_event_timestamp",
         "next_event_timestamp",
         1,
-        max_rows,
+        limit,
     )
     inside = F.timestamp_diff("SECOND", F.col("min_event_timestamp"), F.col("max_event_timestamp"))
     shift = F.coalesce(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wanderbeam.functions.text import full_address
 from wanderbeam.operators.recommend import DEFAULT_USER, only_displayed, rank_per_user
 from wanderbeam.operators.skew import lookup_join
+from wanderbeam.session import materialise
 
 LANGUAGES = ("en", "th")
 CODES = ("hotel_code", "location_code", "city_code", "country_code", "image_url", "rating")
@@ -152,6 +153,8 @@ def serve(
         .agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("e"))
         .select("user_id", F.col("e.item").alias("recommended_items"))
     )
+    # Read three times below (size check, lookup, default), so computed once.
+    lists = materialise(lists, "responses")
     nothing = F.array().cast(lists.schema["recommended_items"].dataType)
     known = lookup_join(requests, lists, "user_id", "left")
     return with_fallback(known, lists, "recommended_items").withColumn(

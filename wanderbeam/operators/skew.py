@@ -39,14 +39,17 @@ def split_heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> Grouped:
     """Separate the keys with more than ``max_rows`` rows and cut them into segments.
 
-    ``order`` must be total inside a key. Costs one counting pass over the key columns.
+    ``order`` must be total inside a key. Costs one counting pass over the key columns;
+    ``max_rows=None`` says that the keys are known to be small (see ``group_limit``).
     """
     keys, order = list(keys), list(order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
+    if max_rows is None:
+        return Grouped(df, None, keys, order)
+    sizes = _large_groups(df, keys, max_rows)
     found = sizes.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
     if not found["keys"]:
         return Grouped(df, None, keys, order)
@@ -63,6 +66,22 @@ def split_heavy_groups(
     return Grouped(light, materialise(heavy, "segments"), keys, order)
 
 
+def _large_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.filter(F.col("n") > max_rows)
+
+
+def group_limit(
+    source: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
+) -> int | None:
+    """``max_rows`` if some key of ``source`` has more rows than that, else None.
+
+    A counting pass over a stored table settles it for everything that is later filtered,
+    looked up or collapsed from it, since none of that makes a key larger.
+    """
+    return max_rows if _large_groups(source, list(keys), max_rows).limit(1).count() else None
+
+
 def _carried(heavy: DataFrame, keys: list[str], totals: list[Column], carried: dict[str, Column]) -> DataFrame:
     """Join per-segment ``carried`` values, computed over the segments of a key, to the rows.
 
@@ -79,7 +98,7 @@ def number_rows(
     order: Sequence[str],
     position: str = "position",
     total: str | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """1-based position of every row in its key, and the key's row count if ``total``."""
     return number_groups(split_heavy_groups(df, keys, order, max_rows), position, total)
@@ -111,7 +130,7 @@ def number_runs(
     order: Sequence[str],
     value: str,
     run: str = "run",
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """1-based number of the run of equal consecutive ``value`` a row belongs to.
 
@@ -170,7 +189,7 @@ def with_neighbour(
     value: str,
     out: str,
     offset: int,
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``value`` of the row ``offset`` places later (earlier if negative) in the same key."""
     groups = split_heavy_groups(df, keys, order, max_rows)

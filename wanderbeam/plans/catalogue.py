@@ -37,7 +37,7 @@ from wanderbeam.plans.domain import (
     TOP_K,
     Domain,
 )
-from wanderbeam.session import scratch_path
+from wanderbeam.session import materialise, scratch_path
 from wanderbeam.sources import delimited, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,7 +422,7 @@ def item_dim(d: Domain) -> DataFrame:
 
 @query
 def vocabulary(d: Domain) -> DataFrame:
-    return dims.vocabulary(d.items(), "style_name")
+    return dims.vocabulary(d.items(), "style_name").drop("size")
 
 
 @query
@@ -658,7 +658,8 @@ def _requests(d: Domain) -> DataFrame:
 
 @query
 def default_fallback(d: Domain) -> DataFrame:
-    return serving.playlists_for(_requests(d), _playlist(d)).select("user_id", text("sv_playlist"))
+    stored = materialise(_playlist(d), "playlists")
+    return serving.playlists_for(_requests(d), stored).select("user_id", text("sv_playlist"))
 
 
 @query
@@ -779,7 +780,7 @@ def unified_events(d: Domain) -> DataFrame:
 @query
 def incremental_events(d: Domain) -> DataFrame:
     """What a second load adds to a table that already holds the first days."""
-    loaded = _unified(d).filter(F.to_date("event_timestamp") <= F.lit(HOLDOUT_AFTER).cast("date"))
+    loaded = d.unified_events().filter(F.to_date("event_timestamp") <= F.lit(HOLDOUT_AFTER).cast("date"))
     mark = event_log.high_water_mark(loaded, "event_timestamp")
     fresh = event_log.unified_events(d.raw_events(), APP_ID, d.event_map(), mark)
     return fresh.groupBy("event_date").agg(
@@ -789,7 +790,7 @@ def incremental_events(d: Domain) -> DataFrame:
 
 @query
 def event_runs(d: Domain) -> DataFrame:
-    return event_log.event_runs(_unified(d)).select(
+    return event_log.event_runs(d.unified_events()).select(
         "uid",
         "event_name",
         "duration",
@@ -818,7 +819,7 @@ def upstream_report(d: Domain) -> DataFrame:
 @query
 def training_events(d: Domain) -> DataFrame:
     return event_log.training_events(
-        event_log.event_runs(_unified(d)),
+        event_log.event_runs(d.unified_events()),
         d.booked_items(),
         d.event_map(),
         d.existing_users(),
@@ -876,9 +877,10 @@ def feature_upsert(d: Domain) -> DataFrame:
 
 @query
 def publish_snapshot(d: Domain) -> DataFrame:
-    name = "snapshot_" + scratch_path(d.spark, "x").rsplit("-", 1)[1]
+    path = scratch_path(d.spark, "snapshot")
     profile = serving.bilingual_profile(d.hotel_profile())
-    published = tables.publish_snapshot(profile, name, "hotel_code")
+    name = "snapshot_" + path.rsplit("-", 1)[1]
+    published = tables.publish_snapshot(profile, name, "hotel_code", path)
     items = d.items().select("hotel_code", "hotel_id")
     return items.join(published, "hotel_code").select("hotel_id", "en_hotel_name", "th_city_name")
 

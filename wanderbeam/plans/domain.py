@@ -1,8 +1,9 @@
 """The given tables seen as bookings, app events, profiles and items.
 
 FIXTURES.md lists the definitions; ``oracle.py`` holds the same ones as SQL. The user and
-item dimensions and the training events are tables in their own right (daily jobs store
-them), so they are built once per session and written to the scratch folder.
+item dimensions, the bookings, the unified events and the training events are tables in
+their own right (daily jobs store them), so they are built once per session and written to
+the scratch folder.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderbeam.functions import actions
-from wanderbeam.operators import dims
+from wanderbeam.operators import dims, event_log
 from wanderbeam.operators.skew import lookup_join
-from wanderbeam.session import materialise
+from wanderbeam.session import materialise, shuffle_width
 
 APP_ID = "shop.app"
 EVENTS_AS_OF = "2024-01-31"
@@ -71,6 +72,15 @@ class Domain:
         return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
 
     def bookings(self) -> DataFrame:
+        """The booking table: JSON documents, laid out by time so that day filters prune."""
+        return self._stored(
+            "bookings",
+            lambda: self.build_bookings().repartitionByRange(
+                shuffle_width(self.spark), "updated_at", "booking_id"
+            ),
+        )
+
+    def build_bookings(self) -> DataFrame:
         details = F.struct(
             F.col("l_partkey").cast("string").alias("hotelId"),
             F.col("l_discount").alias("discount"),
@@ -286,6 +296,13 @@ class Domain:
             "duration",
         )
 
+    def unified_events(self) -> DataFrame:
+        """The table of app events with their parameters as columns."""
+        return self._stored(
+            "unified-events",
+            lambda: event_log.unified_events(self.raw_events(), APP_ID, self.event_map()),
+        )
+
     def trained_items(self) -> DataFrame:
         return self.training().select("hotel_id").distinct()
 

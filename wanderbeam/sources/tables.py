@@ -74,9 +74,15 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
         return None
 
 
-def publish_snapshot(df: DataFrame, table: str, key: str, buckets: int = 8) -> DataFrame:
-    """A keyed snapshot as a bucketed, sorted table: joins on ``key`` need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(
-        table
-    )
+def publish_snapshot(
+    df: DataFrame, table: str, key: str, path: str | None = None, buckets: int = 8
+) -> DataFrame:
+    """A keyed snapshot as a bucketed, sorted table: joins on ``key`` need no shuffle of it.
+
+    ``path`` puts the files elsewhere than the warehouse.
+    """
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
