@@ -50,11 +50,15 @@ def main() -> None:
     start = time.perf_counter()
     for stored in (
         domain.bookings,
+        domain.raw_events,
         domain.unified_events,
         domain.existing_users,
         domain.users,
         domain.items,
         domain.training,
+        domain.behaviour,
+        domain.predictions,
+        domain.playlists,
     ):
         stored()
     setup = time.perf_counter() - start

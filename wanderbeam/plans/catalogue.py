@@ -37,7 +37,7 @@ from wanderbeam.plans.domain import (
     TOP_K,
     Domain,
 )
-from wanderbeam.session import materialise, scratch_path
+from wanderbeam.session import scratch_path
 from wanderbeam.sources import delimited, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,7 +204,7 @@ def cast_key_join(d: Domain) -> DataFrame:
 def left_join_filtered_right(d: Domain) -> DataFrame:
     shown = d.hotel_profile().filter("display = 'Y' AND language = 'en'")
     codes = d.items().select(F.col("hotel_id").alias("target_hotel_id"), "hotel_code")
-    coded = lookup_join(_predictions(d), codes, "target_hotel_id")
+    coded = lookup_join(d.predictions(), codes, "target_hotel_id")
     found = lookup_join(coded, shown.select("hotel_code", "city_name", "rating"), "hotel_code")
     return found.groupBy("city_name", big("rating")).agg(
         F.count(F.lit(1)).alias("n_predictions"), F.count_distinct("user_id").alias("n_users")
@@ -226,23 +226,6 @@ def new_users_anti(d: Domain) -> DataFrame:
 # --- behaviour and eligibility --------------------------------------------------
 
 
-def _behaviour(d: Domain, keep: str = "last") -> DataFrame:
-    return behaviour.recent_behaviour(
-        d.bookings(),
-        d.events(),
-        d.event_map(),
-        d.users(),
-        d.items(),
-        d.trained_items(),
-        LENGTH,
-        keep,
-    )
-
-
-def _eligible(d: Domain) -> DataFrame:
-    return behaviour.split_eligible(_behaviour(d), d.trained_users(), LENGTH)[0]
-
-
 @query
 def latest_action_per_pair(d: Domain) -> DataFrame:
     return behaviour.latest_app_events(d.events(), d.event_map()).select(
@@ -272,21 +255,21 @@ def repeat_visits(d: Domain) -> DataFrame:
 
 @query
 def recent_behaviour(d: Domain) -> DataFrame:
-    return _behaviour(d).select(
+    return d.build_behaviour().select(
         "user_id", text("hotel_id_sequence"), text("main_action_sequence"), "age_group", "gender"
     )
 
 
 @query
 def earliest_behaviour(d: Domain) -> DataFrame:
-    return _behaviour(d, "first").select(
+    return d.build_behaviour("first").select(
         "user_id", text("hotel_id_sequence"), text("main_action_sequence"), "age_group", "gender"
     )
 
 
 @query
 def eligibility_split(d: Domain) -> DataFrame:
-    flagged = behaviour.flag_eligible(_behaviour(d), d.trained_users(), LENGTH)
+    flagged = behaviour.flag_eligible(d.behaviour(), d.trained_users(), LENGTH)
     return flagged.select(
         "user_id",
         F.size("hotel_id_sequence").cast("bigint").alias("n_events"),
@@ -296,7 +279,7 @@ def eligibility_split(d: Domain) -> DataFrame:
 
 @query
 def eligibility_counts(d: Domain) -> DataFrame:
-    flagged = behaviour.flag_eligible(_behaviour(d), d.trained_users(), LENGTH)
+    flagged = behaviour.flag_eligible(d.behaviour(), d.trained_users(), LENGTH)
     return flagged.agg(
         F.count_if("is_eligible").alias("n_eligible"),
         F.count_if(~F.col("is_eligible")).alias("n_cold_start"),
@@ -305,7 +288,7 @@ def eligibility_counts(d: Domain) -> DataFrame:
 
 @query
 def eligibility_disjoint(d: Domain) -> DataFrame:
-    eligible, cold = behaviour.split_eligible(_behaviour(d), d.trained_users(), LENGTH)
+    eligible, cold = behaviour.split_eligible(d.behaviour(), d.trained_users(), LENGTH)
     return quality.shared_keys(cold, eligible, "user_id")
 
 
@@ -516,47 +499,18 @@ def kway_split(d: Domain) -> DataFrame:
 # --- candidates, scores, playlists ----------------------------------------------------
 
 
-def _scored_items(d: Domain) -> DataFrame:
-    return d.items().join(scoring.empirical_scores(d.training()), "hotel_id")
-
-
-def _predictions(d: Domain) -> DataFrame:
-    return recommend.candidates(
-        _eligible(d),
-        _scored_items(d),
-        d.trained_items(),
-        LENGTH,
-        ("pred_action", "prob", "important_value"),
-    )
-
-
 def _with_default(d: Domain) -> DataFrame:
     top = recommend.trending(d.bookings(), d.items(), BOOKINGS_AS_OF, k=TOP_K)
-    return recommend.with_default_user(_predictions(d), top, TOP_K)
+    return recommend.with_default_user(d.predictions(), top, TOP_K)
 
 
 def _displayed(d: Domain) -> DataFrame:
     return recommend.displayed_items(d.items(), d.hotel_profile())
 
 
-def _best_predictions(d: Domain, displayed_only: bool = True) -> DataFrame:
-    """Predictions that can reach a top ``TOP_K``: the score depends on the item alone."""
-    scored = recommend.trained_only(_scored_items(d), d.trained_items())
-    if displayed_only:
-        scored = scored.join(_displayed(d), "hotel_id", "left_semi")
-    return recommend.candidates(
-        _eligible(d),
-        d.items(),
-        d.trained_items(),
-        LENGTH,
-        ("pred_action", "prob", "important_value"),
-        targets=recommend.best_of_location(scored, TOP_K),
-    )
-
-
 @query
 def candidates(d: Domain) -> DataFrame:
-    return recommend.candidates(_eligible(d), d.items(), d.trained_items(), LENGTH).select(
+    return recommend.candidates(d.eligible(), d.items(), d.trained_items(), LENGTH).select(
         "user_id",
         text("hotel_id_sequence"),
         text("main_action_sequence"),
@@ -568,7 +522,7 @@ def candidates(d: Domain) -> DataFrame:
 
 @query
 def score_empirical(d: Domain) -> DataFrame:
-    return _predictions(d).select(
+    return d.build_predictions().select(
         "user_id", "target_hotel_id", big("pred_action"), rounded("prob"), rounded("important_value")
     )
 
@@ -586,7 +540,7 @@ def union_missing_cols(d: Domain) -> DataFrame:
 
 @query
 def rank_per_user(d: Domain) -> DataFrame:
-    ranked = recommend.rank_per_user(_predictions(d))
+    ranked = recommend.rank_per_user(d.predictions())
     return ranked.select("user_id", "target_hotel_id", big("rank"))
 
 
@@ -596,15 +550,9 @@ def topk_per_user(d: Domain) -> DataFrame:
     return ranked.select("user_id", "target_hotel_id", big("rank"))
 
 
-def _playlist(d: Domain) -> DataFrame:
-    top = recommend.trending(d.bookings(), d.items(), BOOKINGS_AS_OF, k=TOP_K)
-    predictions = recommend.with_default_user(_best_predictions(d), top, TOP_K)
-    return recommend.playlist(predictions, d.users(), d.items(), TOP_K, _displayed(d))
-
-
 @query
 def playlist(d: Domain) -> DataFrame:
-    return _playlist(d).select("user_id", text("sv_playlist"))
+    return d.build_playlists().select("user_id", text("sv_playlist"))
 
 
 @query
@@ -615,7 +563,7 @@ def playlist_all_items(d: Domain) -> DataFrame:
 
 
 def _lists(d: Domain) -> DataFrame:
-    decoded = recommend.decoded_predictions(_predictions(d))
+    decoded = recommend.decoded_predictions(d.predictions())
     return recommend.playlist_from_probs(decoded, TOP_K)
 
 
@@ -648,7 +596,7 @@ def bilingual_pivot(d: Domain) -> DataFrame:
 @query
 def serving_profile(d: Domain) -> DataFrame:
     return serving.serving_profile(
-        _best_predictions(d), d.items(), d.hotel_profile(), _displayed(d), TOP_K
+        d.predictions(), d.items(), d.hotel_profile(), _displayed(d), TOP_K
     ).withColumn("rating", big("rating"))
 
 
@@ -658,14 +606,13 @@ def _requests(d: Domain) -> DataFrame:
 
 @query
 def default_fallback(d: Domain) -> DataFrame:
-    stored = materialise(_playlist(d), "playlists")
-    return serving.playlists_for(_requests(d), stored).select("user_id", text("sv_playlist"))
+    return serving.playlists_for(_requests(d), d.playlists()).select("user_id", text("sv_playlist"))
 
 
 @query
 def serve_requests(d: Domain) -> DataFrame:
     profile = serving.bilingual_profile(d.hotel_profile())
-    answered = serving.serve(_requests(d), _playlist(d), profile, TOP_K)
+    answered = serving.serve(_requests(d), d.playlists(), profile, TOP_K)
     flat = serving.flatten_responses(answered)
     return flat.select(
         "user_id",
@@ -689,12 +636,12 @@ def serve_requests(d: Domain) -> DataFrame:
 
 @query
 def action_pivot(d: Domain) -> DataFrame:
-    return evaluate.action_counts(recommend.decoded_predictions(_predictions(d)))
+    return evaluate.action_counts(recommend.decoded_predictions(d.predictions()))
 
 
 @query
 def user_segments(d: Domain) -> DataFrame:
-    found = evaluate.segment_users(recommend.decoded_predictions(_predictions(d)))
+    found = evaluate.segment_users(recommend.decoded_predictions(d.predictions()))
     return found.select("user_id", "segment")
 
 
@@ -733,7 +680,7 @@ def hits_at_n(d: Domain) -> DataFrame:
 
 @query
 def topk_history(d: Domain) -> DataFrame:
-    eligible = _eligible(d)
+    eligible = d.eligible()
     pairs = eligible.select(
         "user_id", arrays.to_delimited(F.col("hotel_id_sequence")).alias("sequence_hotel_ids")
     )
@@ -901,7 +848,7 @@ def ml_score(d: Domain) -> DataFrame:
     spec = _model_spec()
     model = scoring.fit_next_action(sequences.history_target(_training_sequences(d)), spec)
     styled = d.items().withColumnRenamed("style_name", "target_style")
-    rows = recommend.candidates(_eligible(d), styled, d.trained_items(), LENGTH, ("target_style",))
+    rows = recommend.candidates(d.eligible(), styled, d.trained_items(), LENGTH, ("target_style",))
     rows = rows.withColumnRenamed("hotel_id_sequence", "sequence_hotel_ids")
     return scoring.score_candidates(rows, model, spec).select(
         "user_id", "target_hotel_id", "pred_action", "prob", "important_value"

@@ -1,9 +1,9 @@
 """The given tables seen as bookings, app events, profiles and items.
 
 FIXTURES.md lists the definitions; ``oracle.py`` holds the same ones as SQL. The user and
-item dimensions, the bookings, the unified events and the training events are tables in
-their own right (daily jobs store them), so they are built once per session and written to
-the scratch folder.
+item dimensions, the bookings, the unified and training events, the recent behaviour and the
+predictions are tables in their own right: daily jobs store them for the next job. They are
+built once per session and written to the scratch folder.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderbeam.functions import actions
-from wanderbeam.operators import dims, event_log
+from wanderbeam.operators import behaviour, dims, event_log, recommend, scoring
 from wanderbeam.operators.skew import lookup_join
 from wanderbeam.session import materialise, shuffle_width
 
@@ -191,6 +191,9 @@ class Domain:
         return first.unionByName(second)
 
     def raw_events(self) -> DataFrame:
+        return self._stored("raw-events", self.build_raw_events)
+
+    def build_raw_events(self) -> DataFrame:
         """App events with a session (the day) and key-value parameters."""
         name, value = F.col("event_type"), F.col("value")
         item = F.get_json_object("props", "$.k")
@@ -308,3 +311,62 @@ class Domain:
 
     def trained_users(self) -> DataFrame:
         return self.training().select("user_id").distinct()
+
+    def behaviour(self, keep: str = "last") -> DataFrame:
+        """Recent behaviour of every user."""
+        return self._stored(f"behaviour-{keep}", lambda: self.build_behaviour(keep))
+
+    def build_behaviour(self, keep: str = "last") -> DataFrame:
+        return behaviour.recent_behaviour(
+            self.bookings(),
+            self.events(),
+            self.event_map(),
+            self.users(),
+            self.items(),
+            self.trained_items(),
+            LENGTH,
+            keep,
+        )
+
+    def eligible(self) -> DataFrame:
+        return behaviour.split_eligible(self.behaviour(), self.trained_users(), LENGTH)[0]
+
+    def scored_items(self) -> DataFrame:
+        return self.items().join(scoring.empirical_scores(self.training()), "hotel_id")
+
+    def predictions(self) -> DataFrame:
+        """Every candidate of every eligible user with its score."""
+        return self._stored("predictions", self.build_predictions)
+
+    def build_predictions(self) -> DataFrame:
+        return recommend.candidates(
+            self.eligible(),
+            self.scored_items(),
+            self.trained_items(),
+            LENGTH,
+            ("pred_action", "prob", "important_value"),
+        )
+
+    def playlists(self) -> DataFrame:
+        return self._stored("playlists", self.build_playlists)
+
+    def build_playlists(self) -> DataFrame:
+        """Top items per user straight from the behaviour, plus the trending default.
+
+        The empirical score depends on the item alone, so only the best displayed items of a
+        location are offered to its users.
+        """
+        displayed = recommend.displayed_items(self.items(), self.hotel_profile())
+        scored = recommend.trained_only(self.scored_items(), self.trained_items())
+        best = recommend.best_of_location(scored.join(displayed, "hotel_id", "left_semi"), TOP_K)
+        offered = recommend.candidates(
+            self.eligible(),
+            self.items(),
+            self.trained_items(),
+            LENGTH,
+            ("pred_action", "prob", "important_value"),
+            targets=best,
+        )
+        top = recommend.trending(self.bookings(), self.items(), BOOKINGS_AS_OF, k=TOP_K)
+        predictions = recommend.with_default_user(offered, top, TOP_K)
+        return recommend.playlist(predictions, self.users(), self.items(), TOP_K, displayed)
