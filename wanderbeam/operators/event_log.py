@@ -230,7 +230,7 @@ def training_events(
     item takes the booked one; ``complete_flag`` tells whether a booking was found. The runs
     are summed up before the dimension lookups, which then meet one row per group.
     """
-    booked = runs.join(bookings, "booking_id", "left")
+    booked = lookup_join(runs, bookings, "booking_id", "left")
     mapped = lookup_join(
         booked, event_map.select("event_name", "main_action"), "event_name"
     ).filter(F.col("main_action").isNotNull())

@@ -12,6 +12,7 @@ from wanderbeam.operators.ids import dense_ids
 from wanderbeam.operators.skew import (
     MAX_GROUP_ROWS,
     Grouped,
+    lookup_join,
     number_groups,
     split_heavy_groups,
 )
@@ -44,12 +45,25 @@ def sliding_windows(
     Users with more than ``max_rows`` events are never collected: their events are numbered
     and each is sent to the windows it belongs to.
     """
+    light, heavy = _window_parts(events, fields, length, step, order, max_rows)
+    return light if heavy is None else light.unionByName(heavy)
+
+
+def _window_parts(
+    events: DataFrame,
+    fields: Sequence[str],
+    length: int,
+    step: int,
+    order: Sequence[str],
+    max_rows: int | None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Windows of the users with few events and of the others (None if there are none)."""
     rows = events.select("user_id", *order, *fields).filter(F.col("user_id").isNotNull())
     groups = split_heavy_groups(rows, ["user_id"], order, max_rows)
-    windows = _windows_from_lists(groups.light, fields, length, step, order)
+    light = _windows_from_lists(groups.light, fields, length, step, order)
     if groups.heavy is None:
-        return windows
-    return windows.unionByName(_windows_from_positions(groups, fields, length, step, order))
+        return light, None
+    return light, _windows_from_positions(groups, fields, length, step, order)
 
 
 def _windows_from_lists(
@@ -104,11 +118,15 @@ def training_sequences(
 ) -> DataFrame:
     """Windows of the users who saw at least ``min_items`` items, with the user's attributes."""
     coded = events.withColumn("main_action", actions.encode(F.col("main_action")))
-    keen = seen_items(coded).filter(F.col("n_items") >= min_items)
-    windows = sliding_windows(coded, fields, length, step, order, max_rows)
-    return windows.join(keen, "user_id", "left_semi").join(
-        users.select("user_id", "gender", "age", "age_group_label", "age_group"), "user_id", "left"
-    )
+    keen = seen_items(coded).filter(F.col("n_items") >= min_items).select("user_id")
+    owners = users.select("user_id", "gender", "age", "age_group_label", "age_group")
+    light, heavy = _window_parts(coded, fields, length, step, order, max_rows)
+    # Lists are built per user, so these joins reuse their partitioning by user.
+    windows = light.join(keen, "user_id", "left_semi").join(owners, "user_id", "left")
+    if heavy is None:
+        return windows
+    kept = lookup_join(heavy, keen, "user_id", "left_semi")
+    return windows.unionByName(lookup_join(kept, owners, "user_id", "left"))
 
 
 def history_target(windows: DataFrame, target_field: str = "main_action") -> DataFrame:
@@ -167,7 +185,7 @@ def exact_split(
 def user_split(windows: DataFrame, seed: int = 42) -> DataFrame:
     """The same shares over users: overlapping windows of a user stay in one split."""
     users = exact_split(windows.select("user_id").distinct(), ("user_id",), seed)
-    return windows.join(users, "user_id")
+    return lookup_join(windows, users, "user_id")
 
 
 def kway_split(df: DataFrame, order: Sequence[str], k: int, part: str = "part") -> DataFrame:

@@ -16,12 +16,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wanderbeam.session import materialise
 
 SEGMENT = "__segment"
 MAX_GROUP_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 HEAVY_SHARE = 0.001
 
 
@@ -206,9 +208,28 @@ def with_neighbour(
     return light.unionByName(rows)
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` is proven to have at most ``rows`` rows."""
-    return df.limit(rows + 1).count() <= rows
+def row_bytes(schema: T.StructType) -> Column:
+    """Upper estimate of a row's size: the length of texts, 16 bytes for a plain value."""
+    size = F.lit(0)
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + 16 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            text = F.to_json(F.struct(column))
+            size = size + 16 + F.coalesce(F.octet_length(text), F.lit(0))
+        else:
+            size = size + 16
+    return size
+
+
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` is measured to have at most ``rows`` rows and ``size`` bytes.
+
+    One aggregation with partial sums; no rows are moved to one task to be counted.
+    """
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")).first()
+    return found["n"] <= rows and (found["b"] or 0) <= size
 
 
 def lookup_join(
@@ -221,28 +242,30 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to a dimension that has one row per ``on``.
 
-    A dimension proven small is broadcast. Otherwise keys holding more than
+    A dimension measured to be small is broadcast. Otherwise keys holding more than
     ``heavy_share`` of the facts, of which there can be at most ``1 / heavy_share``, meet a
-    broadcast of just their dimension rows, and the rest is joined by a shuffle.
+    broadcast of just their dimension rows, facts without a key are set aside, and the rest
+    is joined by a shuffle.
     """
     if small_enough(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), on, how)
-    heavy = heavy_keys(facts, on, heavy_share)
-    if not heavy:
-        return facts.join(dim, on, how)
+    keyed = facts.filter(F.col(on).isNotNull())
+    heavy = heavy_keys(keyed, on, heavy_share)
     is_heavy = F.col(on).isin(heavy)
-    return (
-        facts.filter(is_heavy)
-        .join(F.broadcast(dim.filter(is_heavy)), on, how)
-        .unionByName(facts.filter(F.coalesce(~is_heavy, F.lit(True))).join(dim, on, how))
-    )
+    rest = keyed.filter(~is_heavy) if heavy else keyed
+    parts = [rest.join(dim, on, how)]
+    if heavy:
+        parts.append(keyed.filter(is_heavy).join(F.broadcast(dim.filter(is_heavy)), on, how))
+    if how in ("left", "left_anti"):
+        parts.append(facts.filter(F.col(on).isNull()))
+    columns = parts[0].columns
+    return union_all(parts).select(*columns)
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
     """Keys holding more than ``share`` of all rows: never more than ``1 / share`` of them."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    rows = df.count()
-    found = sizes.filter((F.col("n") > share * rows) & F.col(key).isNotNull())
+    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.filter(F.col("n") > share * df.count())
     return [row[0] for row in found.select(key).collect()]
 
 
