@@ -55,6 +55,7 @@ def main() -> None:
         domain.existing_users,
         domain.users,
         domain.items,
+        domain.event_runs,
         domain.training,
         domain.behaviour,
         domain.predictions,

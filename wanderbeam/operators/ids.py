@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wanderbeam.session import materialise, shuffle_width
@@ -23,8 +24,8 @@ def dense_ids(
     """``row_number()`` over the whole frame, plus ``start``, as a bigint.
 
     Range-partitions on ``order`` (which must be total), numbers the sorted rows inside each
-    partition, writes that once, and adds the row counts of the earlier partitions. The
-    offsets have one row per partition, so broadcasting them is bounded by the partition count.
+    partition, writes that once, and adds the row counts of the earlier partitions. Those
+    are one number per partition, which is all that reaches the driver and is broadcast.
     """
     partitions = partitions or shuffle_width(df.sparkSession)
     numbered = (
@@ -35,13 +36,10 @@ def dense_ids(
     written = materialise(numbered, "dense-ids").withColumn(
         "__part", F.shiftright("__row", _ROW_BITS).cast("int")
     )
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        written.groupBy("__part")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    sizes = dict(written.groupBy("__part").count().collect())
+    earlier = accumulate([sizes.get(p, 0) for p in range(partitions)], initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(p, n) for p, n in zip(range(partitions), earlier)], "__part int, __offset long"
     )
     local = F.col("__row").bitwiseAND((1 << _ROW_BITS) - 1)
     return written.join(F.broadcast(offsets), "__part").select(

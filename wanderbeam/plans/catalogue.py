@@ -766,7 +766,7 @@ def upstream_report(d: Domain) -> DataFrame:
 @query
 def training_events(d: Domain) -> DataFrame:
     return event_log.training_events(
-        event_log.event_runs(d.unified_events()),
+        d.event_runs(),
         d.booked_items(),
         d.event_map(),
         d.existing_users(),

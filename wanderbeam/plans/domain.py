@@ -306,6 +306,9 @@ class Domain:
             lambda: event_log.unified_events(self.raw_events(), APP_ID, self.event_map()),
         )
 
+    def event_runs(self) -> DataFrame:
+        return self._stored("event-runs", lambda: event_log.event_runs(self.unified_events()))
+
     def trained_items(self) -> DataFrame:
         return self.training().select("hotel_id").distinct()
 
