@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -137,3 +138,11 @@ def test_vocabulary_ways_agree(spark):
     words = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "w string")
     small, large = dims.vocabulary(words, "w"), dims.vocabulary(words, "w", small_rows=0)
     assert rows(small) == rows(large) == [("a", 0, 3), ("b", 1, 3), ("unspecified", 2, 3)]
+
+
+def test_index_of_unknown_values(spark):
+    vocab = dims.vocabulary(spark.createDataFrame([("a",)], "w string"), "w")
+    words = spark.createDataFrame([("a",), ("zzz",)], "w string")
+    assert rows(dims.one_hot_index(words, "w", vocab), "w", "w_index") == [("a", 0), ("zzz", None)]
+    with pytest.raises(Exception, match="w not in vocabulary: zzz"):
+        dims.one_hot_index(words, "w", vocab, strict=True).collect()

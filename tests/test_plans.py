@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as driver
 import compare
 
-from wanderbeam.operators import behaviour, evaluate, ids, recommend, sequences
+from wanderbeam.operators import behaviour, evaluate, event_log, ids, recommend, sequences
 from wanderbeam.plans.domain import Domain
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -83,3 +83,12 @@ def test_filters_and_columns_reach_the_scan(domain):
 
 def test_windows_need_one_shuffle(domain):
     assert plan(sequences.sliding_windows(domain.training(), ("hotel_id",))).count("Exchange ") == 1
+
+
+def test_event_runs_and_holdout_sort_once_per_key(domain):
+    runs = plan(event_log.event_runs(domain.unified_events()))
+    assert runs.count("Exchange hashpartitioning(uid") == 1
+    held = evaluate.holdout(
+        domain.events(), domain.event_map(), domain.users(), domain.items(), "2024-01-10"
+    )
+    assert plan(held).count("Exchange hashpartitioning(user_id") == 1

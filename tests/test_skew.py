@@ -55,6 +55,34 @@ def test_sliding_windows(lopsided, length, step):
     assert rows(split, "user_id", "win", "v_sequence") == rows(plain, "user_id", "win", "v_sequence")
 
 
+def test_training_sequences_of_heavy_users(lopsided):
+    events = lopsided.select(
+        "user_id",
+        F.col("v").alias("hotel_id"),
+        F.lit("view").alias("main_action"),
+        F.col("t").alias("event_timestamp"),
+        "event_id",
+    )
+    users = lopsided.select("user_id").distinct().filter("user_id < 'k3'").withColumns(
+        {c: F.lit("x") for c in ("gender", "age", "age_group_label", "age_group")}
+    )
+
+    def build(limit):
+        return sequences.training_sequences(
+            events, users, 4, 2, 2, ("hotel_id", "main_action"), max_rows=limit
+        )
+
+    assert rows(build(12)) == rows(build(None))
+
+
+def test_small_enough_measures_rows_and_bytes(spark):
+    frame = spark.createDataFrame([("x" * 1000, ["y" * 500])] * 10, "a string, b array<string>")
+    assert skew.small_enough(frame, 10, 20_000)
+    assert not skew.small_enough(frame, 9, 20_000)
+    assert not skew.small_enough(frame, 10, 14_000)
+    assert skew.small_enough(frame.filter("false"), 0, 0)
+
+
 def test_heavy_group_segments_are_bounded(lopsided):
     groups = skew.split_heavy_groups(lopsided, ["user_id"], ORDER, 25)
     sizes = groups.heavy.groupBy("user_id", skew.SEGMENT).count().agg(F.max("count")).first()[0]
@@ -76,8 +104,13 @@ def test_lookup_join_ways_agree(spark, lopsided, how):
 def test_expanding_join_ways_agree(lopsided):
     members = lopsided.select("user_id", F.col("event_id").alias("m")).filter("m < 60")
     small = skew.expanding_join(lopsided, members, "user_id", "event_id")
-    salted = skew.expanding_join(lopsided, members, "user_id", "event_id", salts=5, broadcast_rows=0)
-    assert rows(salted) == rows(small)
+    salted = skew.expanding_join(
+        lopsided, members, "user_id", "event_id", salts=5, broadcast_rows=0, heavy_share=0.1
+    )
+    unsalted = skew.expanding_join(
+        lopsided, members, "user_id", "event_id", broadcast_rows=0, heavy_share=0.9
+    )
+    assert rows(salted) == rows(unsalted) == rows(small)
 
 
 def test_dense_ids_match_a_global_row_number(spark, lopsided):

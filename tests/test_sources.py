@@ -34,7 +34,7 @@ def test_overwrite_replaces_the_schema(spark, tmp_path):
 
 
 def test_parameters_are_bound(spark):
-    got = tables.parameterised(spark, "SELECT :v AS v, date_sub(:d, 1) AS d", v="a' OR 1=1", d="2024-01-02")
+    got = tables.parameterised(spark, "SELECT :v AS v, date_sub(:d, 1) AS d FROM {one}", {"v": "a' OR 1=1", "d": "2024-01-02"}, one=spark.range(1))
     assert got.first()["v"] == "a' OR 1=1"
     assert str(got.first()["d"]) == "2024-01-01"
 

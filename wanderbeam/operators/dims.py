@@ -167,10 +167,21 @@ def vocabulary(df: DataFrame, column: str, small_rows: int = BROADCAST_ROWS) ->
     return numbered.withColumn("size", F.lit(numbered.count()))
 
 
-def one_hot_index(df: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
-    """Sparse one-hot: the position of the 1 (``<column>_index``) and the width (``_size``)."""
-    renamed = vocab.withColumnsRenamed({"index": f"{column}_index", "size": f"{column}_size"})
-    return lookup_join(df, renamed, column, "left")
+def one_hot_index(
+    df: DataFrame, column: str, vocab: DataFrame, strict: bool = False
+) -> DataFrame:
+    """Sparse one-hot: the position of the 1 (``<column>_index``) and the width (``_size``).
+
+    A value outside the vocabulary has no index; ``strict`` fails on it instead.
+    """
+    index = f"{column}_index"
+    renamed = vocab.withColumnsRenamed({"index": index, "size": f"{column}_size"})
+    coded = lookup_join(df, renamed, column, "left")
+    if not strict:
+        return coded
+    message = F.concat(F.lit(f"{column} not in vocabulary: "), F.coalesce(column, F.lit("NULL")))
+    checked = F.when(F.col(index).isNull(), F.raise_error(message)).otherwise(F.col(index))
+    return coded.withColumn(index, checked)
 
 
 def dense_one_hot(column: str) -> Column:

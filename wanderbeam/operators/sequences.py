@@ -182,9 +182,11 @@ def exact_split(
     return numbered.withColumn("split", part).drop("__mix", "__row")
 
 
-def user_split(windows: DataFrame, seed: int = 42) -> DataFrame:
+def user_split(
+    windows: DataFrame, seed: int = 42, shuffle_key: Column | None = None
+) -> DataFrame:
     """The same shares over users: overlapping windows of a user stay in one split."""
-    users = exact_split(windows.select("user_id").distinct(), ("user_id",), seed)
+    users = exact_split(windows.select("user_id").distinct(), ("user_id",), seed, shuffle_key)
     return lookup_join(windows, users, "user_id")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderbeam.session import materialise
+from wanderbeam.session import materialise, shuffle_width
 
 SEGMENT = "__segment"
 MAX_GROUP_ROWS = 1_000_000
@@ -274,18 +274,29 @@ def expanding_join(
     members: DataFrame,
     on: str,
     spread: str,
-    salts: int = 16,
+    salts: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    heavy_share: float = HEAVY_SHARE,
 ) -> DataFrame:
     """Inner join where a key has many rows on both sides.
 
-    Proven small ``members`` are broadcast. Otherwise the facts of a key are spread over
-    ``salts`` tasks by ``spread`` and the members are repeated once per salt.
+    Members measured to be small are broadcast. Otherwise the facts of every key with more
+    than ``heavy_share`` of them are spread by ``spread`` over ``salts`` tasks (as many as a
+    shuffle has), and only the members of those keys are repeated once per salt.
     """
     if small_enough(members, broadcast_rows):
         return facts.join(F.broadcast(members), on)
-    salted = facts.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    repeated = members.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = heavy_keys(facts, on, heavy_share)
+    if not heavy:
+        return facts.join(members, on)
+    salts = salts or shuffle_width(facts.sparkSession)
+    is_heavy = F.col(on).isin(heavy)
+    own_salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted = facts.withColumn("__salt", F.when(is_heavy, own_salt).otherwise(0))
+    repeated = members.withColumn(
+        "__salt", F.explode(F.when(is_heavy, every_salt).otherwise(F.array(F.lit(0))))
+    )
     return salted.join(repeated, [on, "__salt"]).drop("__salt")
 
 

@@ -24,7 +24,7 @@ from wanderbeam.operators import (
     serving,
     tuning,
 )
-from wanderbeam.operators.skew import lookup_join
+from wanderbeam.operators.skew import expanding_join, lookup_join
 from wanderbeam.plans.domain import (
     APP_ID,
     BOOKINGS_AS_OF,
@@ -175,6 +175,18 @@ def event_range_filter(d: Domain) -> DataFrame:
 # --- joins -------------------------------------------------------------------
 
 
+@query
+def parameterised_scan(d: Domain) -> DataFrame:
+    return tables.parameterised(
+        d.spark,
+        "SELECT event_name, count(*) AS n, min(event_id) AS first_id FROM {events}"
+        " WHERE CAST(event_timestamp AS DATE) BETWEEN DATE(:first) AND DATE(:last)"
+        " GROUP BY event_name",
+        {"first": "2024-01-05", "last": HOLDOUT_AFTER},
+        events=d.events(),
+    )
+
+
 @query
 def inner_lookup(d: Domain) -> DataFrame:
     mapped = lookup_join(d.events(), d.event_map(), "event_name")
@@ -211,6 +223,20 @@ def left_join_filtered_right(d: Domain) -> DataFrame:
     )
 
 
+@query
+def location_expansion(d: Domain) -> DataFrame:
+    """How many items of the booked location each booking opens up, per location."""
+    located = d.items().select("hotel_code", "location_name")
+    booked = d.booking_lines().select(F.col("l_partkey").alias("hotel_code"), "o_custkey").distinct()
+    members = recommend.trained_only(d.items(), d.trained_items()).select("location_name", "hotel_id")
+    opened = expanding_join(
+        lookup_join(booked, located, "hotel_code"), members, "location_name", "o_custkey"
+    )
+    return opened.groupBy("location_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("n_users")
+    )
+
+
 @query
 def trained_users_semi(d: Domain) -> DataFrame:
     known = d.users().join(d.trained_users(), "user_id", "left_semi")
@@ -490,6 +516,13 @@ def hash_split(d: Domain) -> DataFrame:
     return sequences.exact_split(windows, shuffle_key=_hash_key())
 
 
+@query
+def user_split(d: Domain) -> DataFrame:
+    windows = _training_sequences(d).select("user_id", "win")
+    user = F.replace(F.col("user_id"), F.lit("user_"), F.lit("")).cast("bigint")
+    return sequences.user_split(windows, shuffle_key=user * 2654435761 % 2147483648)
+
+
 @query
 def kway_split(d: Domain) -> DataFrame:
     windows = _training_sequences(d).select("user_id", "win")

@@ -310,6 +310,9 @@ ORACLES: dict[str, str] = {
       WHERE CAST(event_timestamp + INTERVAL 7 HOUR AS DATE) BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'
         AND CAST(event_timestamp AS DATE) > DATE '2024-01-10' AND event_name <> 'error'
         AND hotel_code IS NOT NULL""",
+    "parameterised_scan": """
+      SELECT event_name, count(*) AS n, min(event_id) AS first_id FROM v_events
+      WHERE CAST(event_timestamp AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10' GROUP BY 1""",
     "inner_lookup": """
       SELECT hotel_id, event_name, count(*) AS n FROM v_events JOIN v_event_map USING (event_name)
       JOIN items USING (hotel_code) GROUP BY 1, 2""",
@@ -326,6 +329,11 @@ ORACLES: dict[str, str] = {
       FROM predictions p LEFT JOIN items i ON p.target_hotel_id = i.hotel_id
       LEFT JOIN v_hotel_profile h ON i.hotel_code = h.hotel_code
       WHERE h.display = 'Y' AND h.language = 'en' GROUP BY 1, 2""",
+    "location_expansion": """
+      SELECT a.location_name, count(*) AS n, count(DISTINCT b.raw_user_id) AS n_users
+      FROM (SELECT DISTINCT raw_user_id, hotel_code FROM v_bookings) b
+      JOIN items a ON b.hotel_code = a.hotel_code
+      JOIN trained_items t ON a.location_name = t.location_name GROUP BY 1""",
     "trained_users_semi": """
       SELECT raw_user_id, user_id FROM users WHERE user_id IN (SELECT user_id FROM training)""",
     "new_users_anti": """
@@ -437,6 +445,14 @@ ORACLES: dict[str, str] = {
       FROM (SELECT user_id, win, count(*) OVER () AS n, row_number() OVER (ORDER BY
               ((CAST(replace(user_id, 'user_', '') AS BIGINT) * 1000 + win) * 2654435761 + 42) % 2147483648,
               user_id, win) AS rn FROM train_windows)""",
+    "user_split": """
+      SELECT w.user_id, w.win, CASE WHEN rn <= CAST(floor(n * (1 - (0.15::DOUBLE + 0.15::DOUBLE)) - 1) AS BIGINT) + 1 THEN 'train'
+          WHEN rn <= CAST(floor(n * (1 - (0.15::DOUBLE + 0.15::DOUBLE)) - 1) AS BIGINT) + 1
+            + CAST(floor(n * 0.15::DOUBLE) AS BIGINT) THEN 'test' ELSE 'eval' END AS split
+      FROM train_windows w JOIN (
+        SELECT user_id, count(*) OVER () AS n, row_number() OVER (ORDER BY
+          CAST(replace(user_id, 'user_', '') AS BIGINT) * 2654435761 % 2147483648, user_id) AS rn
+        FROM (SELECT DISTINCT user_id FROM train_windows)) u ON w.user_id = u.user_id""",
     "kway_split": """
       SELECT user_id, win, least(CAST(ceil(rn / (n // 7)) AS BIGINT), 7) AS part
       FROM (SELECT user_id, win, count(*) OVER () AS n, row_number() OVER (ORDER BY user_id, win) AS rn

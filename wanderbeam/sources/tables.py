@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +16,11 @@ def scan(spark: SparkSession, source: str, merge_schema: bool = False) -> DataFr
     return spark.table(source)
 
 
-def parameterised(spark: SparkSession, query: str, **parameters) -> DataFrame:
-    """SQL with named parameters (``:name``); values are bound, never pasted into the text."""
-    return spark.sql(query, args=parameters)
+def parameterised(
+    spark: SparkSession, query: str, values: Mapping[str, object], **frames: DataFrame
+) -> DataFrame:
+    """SQL over ``{frame}`` with ``:value`` parameters, which are bound, never pasted in."""
+    return spark.sql(query, args=dict(values), **frames)
 
 
 def overwrite(df: DataFrame, target: str) -> None:
