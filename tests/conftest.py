@@ -13,7 +13,7 @@ from wanderbeam.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 8)
+    session = local_session("tests", 8, spark__sql__shuffle__partitions="3")
     yield session
     session.stop()
 
