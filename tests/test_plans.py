@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as driver
 import compare
 
-from wanderbeam.operators import behaviour, evaluate, event_log, ids, recommend, sequences
+from wanderbeam.operators import behaviour, evaluate, event_log, ids, recommend, sequences, serving
 from wanderbeam.plans.domain import Domain
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -85,6 +85,12 @@ def test_windows_need_one_shuffle(domain):
     assert plan(sequences.sliding_windows(domain.training(), ("hotel_id",))).count("Exchange ") == 1
 
 
+def test_default_list_is_a_hash_join(domain):
+    requests = domain.table("customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    text = plan(serving.playlists_for(requests, domain.playlists()))
+    assert text.count("BroadcastHashJoin") == 2 and "NestedLoop" not in text
+
+
 def test_event_runs_and_holdout_sort_once_per_key(domain):
     runs = plan(event_log.event_runs(domain.unified_events()))
     assert runs.count("Exchange hashpartitioning(uid") == 1

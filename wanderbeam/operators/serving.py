@@ -118,7 +118,7 @@ def with_fallback(found: DataFrame, lists: DataFrame, column: str) -> DataFrame:
         F.col("user_id").alias("__owner"), F.col(column).alias("__default")
     )
     return (
-        found.withColumn("__owner", F.lit(DEFAULT_USER))
+        found.withColumn("__owner", F.when(F.col(column).isNull(), F.lit(DEFAULT_USER)))
         .join(F.broadcast(fallback), "__owner", "left")
         .withColumn(column, F.coalesce(column, "__default"))
         .drop("__owner", "__default")

@@ -8,13 +8,16 @@ built once per session and written to the scratch folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wanderbeam.functions import actions
 from wanderbeam.operators import behaviour, dims, event_log, recommend, scoring
 from wanderbeam.operators.skew import lookup_join
-from wanderbeam.session import materialise, shuffle_width
+from wanderbeam.session import scratch_path, shuffle_width
 
 APP_ID = "shop.app"
 EVENTS_AS_OF = "2024-01-31"
@@ -33,7 +36,8 @@ EVENT_MAP = [
     ("purchase", "purchase", 5, "banner"),
     ("error", None, None, "N"),
 ]
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+# (application, folder, table) -> where it was written and with which columns.
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -238,11 +242,14 @@ class Domain:
 
     # --- stored tables ---
 
-    def _stored(self, name: str, build) -> DataFrame:
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _STORED:
-            _STORED[key] = materialise(build(), name)
-        return _STORED[key]
+            built, path = build(), scratch_path(self.spark, name)
+            built.write.parquet(path)
+            _STORED[key] = (path, built.schema)
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def existing_users(self) -> DataFrame:
         """The user dimension after the first load."""

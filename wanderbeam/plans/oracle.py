@@ -1,7 +1,7 @@
 """The catalogue's queries as plain SQL, written independently of the operators.
 
-Every statement is put together from named common table expressions; ``NEEDS`` is worked out
-from the names that occur in the text.
+Every statement is put together from named common table expressions: the views its text
+mentions, and the views those mention.
 """
 
 from __future__ import annotations
