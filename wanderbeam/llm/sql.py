@@ -122,7 +122,7 @@ WITH RECURSIVE d AS (
 ), cut AS (
   SELECT source, tokens AS size, allowance // tokens AS passes, allowance % tokens AS rest FROM plan
 ), b AS (
-  SELECT d.*, c.passes, c.rest, unnest(range(c.passes + 1)) AS block
+  SELECT d.*, c.passes, c.rest, unnest(range((c.passes + 1)::BIGINT)) AS block
   FROM d JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
 ), keyed AS (
   SELECT *, md5('mix#' || coalesce(doc_id::VARCHAR, '') || '#' || block) AS key FROM b
