@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wanderbeam.llm import mixing, quality_rules, sharding
+from wanderbeam.llm import mixing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, toxicity
 from wanderbeam.llm.sql import MIXING_SQL, QUALITY_RULES_SQL, SHARDING_SQL
 
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "mix_tokens", "mix_block", "mix_key")
@@ -23,12 +28,34 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.document_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.repeats_removed(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_temperature_mixing, op5_byte_shards, op7_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_counterfactual_toxicity,
+        op3_temperature_mixing,
+        op5_byte_shards,
+        op6_simhash_blocks,
+        op7_quality_rules,
+        op8_difference_cover,
+        op10_nbsvm_quality,
+    )
 }
 
 ORACLES: dict[str, str] = {
