@@ -220,32 +220,37 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, items_per_pass: int =
     NULL texts and items without words match nothing; rows without an item id are left out, rows without
     a doc_id and repeated rows are reported as they are. Empty tables give no rows.
     """
-    spark = docs.sparkSession
-    out = spark.createDataFrame([], MATCHES)
+    out = docs.sparkSession.createDataFrame([], MATCHES)
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     for index in passes(benchmark, items_per_pass):
-
-        def find(batches: Iterator[pd.DataFrame], index: Index = index) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                found = [
-                    (None if doc is None else int(doc), *m)
-                    for doc, text in zip(batch["doc_id"], batch["text"])
-                    for m in matches(normal_bytes(text), index)
-                ]
-                frame = pd.DataFrame(found, columns=["doc_id", "item_id", "start_word", "window_words", "hamming", "similarity"])
-                yield frame.astype({"doc_id": "Int64"})
-
-        out = out.unionByName(rows.mapInPandas(find, MATCHES))
+        out = out.unionByName(rows.mapInPandas(_finder(index), MATCHES))
     return out
 
 
+def _finder(index: Index):
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [
+                (None if doc is None else int(doc), *m)
+                for doc, text in zip(batch["doc_id"], batch["text"])
+                for m in matches(normal_bytes(text), index)
+            ]
+            frame = pd.DataFrame(found, columns=["doc_id", "item_id", "start_word", "window_words", "hamming", "similarity"])
+            yield frame.astype({"doc_id": "Int64"})
+
+    return find
+
+
+def _holder(index: Index):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(matches(normal_bytes(t), index)) for t in texts], dtype=bool)
+
+    return holds
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """The documents that hold no benchmark item, with the columns of ``docs`` and no shuffle."""
     for index in passes(benchmark, items_per_pass):
-
-        @F.pandas_udf("boolean")
-        def holds(texts: pd.Series, index: Index = index) -> pd.Series:
-            return pd.Series([bool(matches(normal_bytes(t), index)) for t in texts], dtype=bool)
-
-        docs = docs.where(~holds(F.col("text")))
+        docs = docs.where(~_holder(index)(F.col("text")))
     return docs

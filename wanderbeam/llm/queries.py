@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderbeam.llm import mixing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, toxicity
+from wanderbeam.llm import (
+    decontamination,
+    language_model,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from wanderbeam.llm.sql import MIXING_SQL, QUALITY_RULES_SQL, SHARDING_SQL
 
 
@@ -19,11 +30,19 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.document_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "mix_tokens", "mix_block", "mix_key")
 
 
+def op4_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.page_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
@@ -41,6 +60,10 @@ def op8_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,11 +72,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_counterfactual_toxicity,
+        op2_recurrent_lm,
         op3_temperature_mixing,
+        op4_boosted_urls,
         op5_byte_shards,
         op6_simhash_blocks,
         op7_quality_rules,
         op8_difference_cover,
+        op9_simhash_windows,
         op10_nbsvm_quality,
     )
 }
