@@ -95,10 +95,36 @@ def test_lookup_join_ways_agree(spark, lopsided, how):
     dim = lopsided.select("user_id").distinct().filter("user_id <> 'k1'").withColumn("x", F.length("user_id"))
     facts = lopsided.withColumn("user_id", F.when(F.col("t") != 3, F.col("user_id")))
     small = skew.lookup_join(facts, dim, "user_id", how)
-    beyond = skew.lookup_join(facts, dim, "user_id", how, broadcast_rows=0, heavy_share=0.1)
-    none_heavy = skew.lookup_join(facts, dim, "user_id", how, broadcast_rows=0, heavy_share=0.99)
+    beyond = skew.lookup_join(facts, dim, "user_id", how, broadcast_rows=0, salts=3)
+    plain = facts.join(dim, "user_id", how)
     assert skew.heavy_keys(facts, "user_id", 0.1) == ["hot"]
-    assert rows(beyond) == rows(small) == rows(none_heavy)
+    assert rows(beyond) == rows(small) == rows(plain)
+
+
+def test_a_chain_of_lookups_reads_the_facts_once(spark, lopsided, tmp_path):
+    lopsided.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    dim = spark.range(50)
+    chained = facts
+    for name in ("event_id", "t", "user_id"):
+        side = dim.select(F.col("id").cast(dict(facts.dtypes)[name]).alias(name), F.lit(1).alias(f"x_{name}"))
+        chained = skew.lookup_join(chained, side, name, "left", broadcast_rows=0)
+    plan = chained._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_facts_without_a_key_are_spread(spark):
+    facts = spark.range(3000).select("id", F.lit(None).cast("string").alias("k"))
+    dim = spark.createDataFrame([("a", 1)], "k string, x int")
+    joined = skew.lookup_join(facts, dim, "k", "left", broadcast_rows=0)
+    assert joined.count() == 3000 and joined.columns == ["k", "id", "x"]
+    salted = facts.withColumn("s", F.pmod(F.xxhash64("id", "k"), F.lit(skew.NULL_SALTS)))
+    assert salted.select("s").distinct().count() > 200
+
+
+def test_small_enough_reads_a_bounded_part(spark):
+    assert skew.small_enough(spark.range(10), 10) and not skew.small_enough(spark.range(11), 10)
+    assert not skew.small_enough(spark.range(10), 10, size=20)
 
 
 def test_expanding_join_ways_agree(lopsided):

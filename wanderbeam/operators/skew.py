@@ -25,6 +25,8 @@ MAX_GROUP_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 HEAVY_SHARE = 0.001
+NULL_SALTS = 256
+SALT = "__salt"
 
 
 @dataclass
@@ -226,9 +228,10 @@ def row_bytes(schema: T.StructType) -> Column:
 def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """True if ``df`` is measured to have at most ``rows`` rows and ``size`` bytes.
 
-    One aggregation with partial sums; no rows are moved to one task to be counted.
+    Reads ``rows`` + 1 rows at most: of a large side just enough to know that it is large.
     """
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")).first()
+    sizes = df.select(row_bytes(df.schema).alias("b")).limit(rows + 1)
+    found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
     return found["n"] <= rows and (found["b"] or 0) <= size
 
 
@@ -238,28 +241,24 @@ def lookup_join(
     on: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
-    heavy_share: float = HEAVY_SHARE,
+    salts: int = NULL_SALTS,
 ) -> DataFrame:
-    """Join ``facts`` to a dimension that has one row per ``on``.
+    """Join ``facts`` to a dimension that has one row per ``on``, in one pass over the facts.
 
-    A dimension measured to be small is broadcast. Otherwise keys holding more than
-    ``heavy_share`` of the facts, of which there can be at most ``1 / heavy_share``, meet a
-    broadcast of just their dimension rows, facts without a key are set aside, and the rest
-    is joined by a shuffle.
+    A dimension measured to be small is broadcast. Otherwise it is one shuffled join on (key, salt).
+    The salt is 0 for every key, so the join is split by adaptive execution where a
+    key holds many facts, which any of these join types allows on the side of the facts; facts
+    without a key, which match nothing, get one of ``salts`` salts from a hash of the row
+    and so never meet in one task.
     """
     if small_enough(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), on, how)
-    keyed = facts.filter(F.col(on).isNotNull())
-    heavy = heavy_keys(keyed, on, heavy_share)
-    is_heavy = F.col(on).isin(heavy)
-    rest = keyed.filter(~is_heavy) if heavy else keyed
-    parts = [rest.join(dim, on, how)]
-    if heavy:
-        parts.append(keyed.filter(is_heavy).join(F.broadcast(dim.filter(is_heavy)), on, how))
-    if how in ("left", "left_anti"):
-        parts.append(facts.filter(F.col(on).isNull()))
-    columns = parts[0].columns
-    return union_all(parts).select(*columns)
+    if how not in ("left", "left_outer", "left_anti"):
+        return facts.join(dim, on, how)
+    plain = [f"`{f.name}`" for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    salted = facts.withColumn(SALT, F.when(F.col(on).isNull(), spread).otherwise(0))
+    return salted.join(dim.withColumn(SALT, F.lit(0)), [on, SALT], how).drop(SALT)
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
