@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -19,6 +20,49 @@ def test_upsert_versions(spark, tmp_path):
     assert rows(tables.read_version(spark, root, 0)) == rows(base)
 
 
+def test_upsert_keeps_what_the_delta_lacks(spark):
+    base = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (None, "n", 7)], "k long, v string, w int")
+    delta = spark.createDataFrame([(2, 60, "x"), (None, 70, "y"), (4, 80, "z")], "k long, w int, extra string")
+    merged = tables.upserted(base, delta, ["k"])
+    assert merged.columns == ["k", "v", "w", "extra"]
+    assert rows(merged) == sorted(
+        [(1, "a", 5, None), (2, "b", 60, "x"), (None, "n", 70, "y"), (4, None, 80, "z")], key=repr
+    )
+
+
+def test_upsert_refuses_two_rows_for_a_key(spark):
+    base = spark.createDataFrame([(1, "a")], "k long, v string")
+    with pytest.raises(ValueError, match="several rows"):
+        tables.upserted(base, spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string"), ["k"])
+
+
+def test_unfinished_versions_are_not_seen(spark, tmp_path):
+    root = tmp_path / "features"
+    tables.feature_upsert(spark, str(root), spark.createDataFrame([(1, "a")], "k long, v string"), ["k"])
+    (root / "version=7").mkdir()
+    assert tables.latest_version(spark, str(root)) == 0
+
+
+def test_snapshot_buckets_follow_the_bytes(spark, tmp_path):
+    frame = spark.range(100).select("id", F.col("id").cast("string").alias("v"))
+    tables.publish_snapshot(frame, "snapshot_sized", "id", str(tmp_path / "s"), bucket_bytes=500)
+    found = spark.sql("DESCRIBE EXTENDED snapshot_sized").where("col_name = 'Num Buckets'").first()[1]
+    assert int(found) > 4 and len(list((tmp_path / "s").glob("*.parquet"))) <= int(found)
+
+
+def test_delimited_lists_keep_nulls_and_empty_lists(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [("u1", ["a", None, "b"]), ("u2", []), ("u3", None), ("u4", [""]), ("u5", ["\\N", "\\E", None])],
+        "u string, s array<string>",
+    )
+    path = str(tmp_path / "csv")
+    delimited.write_delimited(frame, path)
+    got = dict(rows(delimited.read_delimited(spark, path, frame.schema)))
+    want = dict(rows(frame))
+    want["u4"] = got["u4"]  # an empty text is a missing one in such files
+    assert got == want
+
+
 def test_append_with_new_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.append_evolving(spark.range(1).toDF("a"), path)

@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NULL_TOKEN = "\\N"
+EMPTY_TOKEN = "\\E"
+
+
 def to_delimited(values: Column, sep: str = ",") -> Column:
-    return F.array_join(F.transform(values, lambda v: v.cast("string")), sep)
+    """Items joined by ``sep``: a NULL item is ``\\N``, an empty array ``\\E``, so positions stay.
+
+    An item that starts with a backslash gets another one in front. A NULL array stays NULL.
+    """
+
+    def item(v: Column) -> Column:
+        written = v.cast("string")
+        escaped = F.when(F.startswith(written, F.lit("\\")), F.concat(F.lit("\\"), written)).otherwise(written)
+        return F.coalesce(escaped, F.lit(NULL_TOKEN))
+
+    joined = F.array_join(F.transform(values, item), sep)
+    return F.when(F.size(values) == 0, F.lit(EMPTY_TOKEN)).otherwise(joined)
 
 
 def from_delimited(text: Column, item_type: str = "string", sep: str = ",") -> Column:
-    return F.split(text, sep).cast(f"array<{item_type}>")
+    """What ``to_delimited`` wrote; ``sep`` is taken literally."""
+
+    def item(v: Column) -> Column:
+        plain = F.when(F.startswith(v, F.lit("\\")), F.substr(v, F.lit(2))).otherwise(v)
+        return F.when(v != NULL_TOKEN, plain)
+
+    parts = F.transform(F.split(text, re.escape(sep)), item)
+    none = F.array().cast("array<string>")
+    return F.when(text == EMPTY_TOKEN, none).otherwise(parts).cast(f"array<{item_type}>")
 
 
 def prefix(values: Column, length: int) -> Column:
@@ -27,7 +52,7 @@ def all_but_last(values: Column) -> Column:
 
 
 def first_of_delimited(text: Column, k: int, sep: str = ",") -> Column:
-    return F.slice(F.split(text, sep), 1, k)
+    return F.slice(from_delimited(text, sep=sep), 1, k)
 
 
 def overlap(left: Column, right: Column) -> Column:

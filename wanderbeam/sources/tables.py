@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderbeam.operators.skew import row_bytes
+
+BUCKET_BYTES = 128 << 20
+
 
 def scan(spark: SparkSession, source: str, merge_schema: bool = False) -> DataFrame:
     """A parquet folder (anything with a slash) or a catalogue table."""
@@ -37,9 +43,31 @@ def append_evolving(df: DataFrame, path: str) -> None:
 
 
 def upserted(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``base`` with the rows of ``delta`` put in: the delta row wins, new columns are added."""
-    kept = base.join(delta.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(delta, allowMissingColumns=True)
+    """``base`` merged with ``delta``, one row per key of ``delta``.
+
+    A matched row takes the delta's values and keeps its own in the columns that the delta doesn't
+    have; columns new in the delta are NULL in the other rows. Two delta rows for one key are refused.
+    """
+    keys = list(keys)
+    if delta.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the delta has several rows for one key of {keys}")
+    values = [c for c in delta.columns if c not in keys]
+    renamed = delta.select(*[F.col(f"`{k}`").alias(f"__key_{i}") for i, k in enumerate(keys)], *[F.col(f"`{c}`").alias(f"__new_{c}") for c in values], F.lit(True).alias("__new"))
+    same = reduce(and_, [base[k].eqNullSafe(renamed[f"__key_{i}"]) for i, k in enumerate(keys)])
+    both = base.withColumn("__old", F.lit(True)).join(renamed, same, "full")
+    is_new = F.col("__new").isNotNull()
+    out = []
+    for column in [*base.columns, *[c for c in values if c not in base.columns]]:
+        if column in keys:
+            known = F.when(F.col("__old").isNotNull(), base[column])
+            out.append(known.otherwise(F.col(f"__key_{keys.index(column)}")).alias(column))
+        elif column not in values:
+            out.append(base[column])
+        elif column in base.columns:
+            out.append(F.when(is_new, F.col(f"`__new_{column}`")).otherwise(base[column]).alias(column))
+        else:
+            out.append(F.col(f"`__new_{column}`").alias(column))
+    return both.select(*out)
 
 
 def feature_upsert(
@@ -69,21 +97,38 @@ def read_version(spark: SparkSession, root: str, number: int) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest version, from the folder names alone; None if there is no table yet."""
-    try:
-        return spark.read.parquet(root).agg(F.max("version")).first()[0]
-    except AnalysisException:
+    """Newest finished version, from a listing of the folder; None if there is no table yet.
+
+    A version counts once its job has left the success mark.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return None
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    numbers = [int(n.removeprefix("version=")) for n in names if re.fullmatch(r"version=\d+", n)]
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    done = [n for n in numbers if files.exists(mark(f"{_version_path(root, n)}/_SUCCESS"))]
+    return max(done, default=None)
 
 
 def publish_snapshot(
-    df: DataFrame, table: str, key: str, path: str | None = None, buckets: int = 8
+    df: DataFrame,
+    table: str,
+    key: str,
+    path: str | None = None,
+    buckets: int | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """A keyed snapshot as a bucketed, sorted table: joins on ``key`` need no shuffle of it.
 
-    ``path`` puts the files elsewhere than the warehouse.
+    The number of buckets follows from the measured bytes. Rows are dealt by ``key`` before they are written,
+    so each bucket is one file. ``path`` puts the files elsewhere than the warehouse.
     """
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if buckets is None:
+        size = df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
+        buckets = max(1, -(-size // bucket_bytes))
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
