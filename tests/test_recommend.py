@@ -163,7 +163,9 @@ def test_serve(spark, profile):
     assert bare["review"] == {"score": 5.0, "numReview": 100, "description": ""}
     known = answers[0]["recommended_items"][1].asDict(recursive=True)
     assert known["hotelNameTh"] == "NAME" and known["rating"] == 4.0
-    assert known["capsulePromotion"] == [] and known["11infotechPromotion"] == []
+    assert known["capsulePromotion"] == []
+    named = serving.serve(requests, lists, serving.bilingual_profile(profile), promotions={"deals": "none_here"})
+    assert named.first()["recommended_items"][0]["deals"] == []
     assert len(known["address"]) == 11
     capped = serving.serve(requests, lists, serving.bilingual_profile(profile), k=1)
     assert capped.agg(F.max(F.size("recommended_items"))).first()[0] == 1

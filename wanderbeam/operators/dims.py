@@ -53,7 +53,7 @@ def median_age_by_gender(users: DataFrame) -> DataFrame:
 def impute_age(users: DataFrame, medians: DataFrame) -> DataFrame:
     """Missing ages become the median of the user's gender; no match leaves NULL."""
     return (
-        users.join(medians, "gender", "left")
+        lookup_join(users, medians, "gender", "left")
         .withColumn("age", F.coalesce(F.col("age").cast("double"), "median_age"))
         .select(*users.columns)
     )
@@ -161,10 +161,10 @@ def vocabulary(df: DataFrame, column: str, small_rows: int = BROADCAST_ROWS) ->
         return values.select(
             column,
             (F.row_number().over(everything.orderBy(column)) - 1).cast("long").alias("index"),
-            F.count(F.lit(1)).over(everything).alias("size"),
+            F.count(F.lit(1)).over(everything).cast("long").alias("size"),
         )
     numbered = dense_ids(values, [column], "index", start=-1)
-    return numbered.withColumn("size", F.lit(numbered.count()))
+    return numbered.withColumn("size", F.lit(numbered.count()).cast("long"))
 
 
 def one_hot_index(

@@ -192,8 +192,8 @@ def user_split(
 
 def kway_split(df: DataFrame, order: Sequence[str], k: int, part: str = "part") -> DataFrame:
     """``k`` consecutive parts of equal size in ``order``; the last one takes the remainder."""
-    if k < 1:
-        raise ValueError("k must be at least 1")
+    if k <= 0:
+        raise ValueError(f"cannot cut into {k} parts")
     numbered = dense_ids(df, order, "__row")
     size = numbered.count() // k
     number = F.lit(k) if size == 0 else F.least(F.ceil(F.col("__row") / size), F.lit(k))

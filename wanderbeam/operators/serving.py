@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +61,15 @@ def _optional(profile: DataFrame, name: str, default: Column, kind: str) -> Colu
     return default
 
 
-def item_responses(profile: DataFrame) -> DataFrame:
-    """(hotel_code, item): the nested response of one item with defaults for what is missing."""
+# The response field of each optional list of promotions, and its profile column.
+PROMOTIONS = {"capsulePromotion": "capsule_promotion"}
+
+
+def item_responses(profile: DataFrame, promotions: Mapping[str, str] = PROMOTIONS) -> DataFrame:
+    """(hotel_code, item): the nested response of one item with defaults for what is missing.
+
+    The names of the response fields are fixed values. ``promotions`` names the fields with lists of promotions.
+    """
     none = F.array().cast("array<string>")
     empty = F.lit("")
     address = F.struct(
@@ -99,11 +106,8 @@ def item_responses(profile: DataFrame) -> DataFrame:
             address.alias("address"),
             F.coalesce(F.col("p.rating").cast("double"), F.lit(0.0)).alias("rating"),
             review.alias("review"),
-            _optional(profile, "11infotech_promotion", none, "array<string>").alias(
-                "11infotechPromotion"
-            ),
             *lines,
-            _optional(profile, "capsule_promotion", none, "array<string>").alias("capsulePromotion"),
+            *[_optional(profile, c, none, "array<string>").alias(f) for f, c in promotions.items()],
             _text("image_url").alias("image"),
         ).alias("item"),
     )
@@ -133,20 +137,27 @@ def playlists_for(requests: DataFrame, playlists: DataFrame) -> DataFrame:
 
 
 def serve(
-    requests: DataFrame, playlists: DataFrame, profile: DataFrame, k: int = 10
+    requests: DataFrame,
+    playlists: DataFrame,
+    profile: DataFrame,
+    k: int = 10,
+    promotions: Mapping[str, str] = PROMOTIONS,
 ) -> DataFrame:
     """(user_id, recommended_items): at most ``k`` nested items in list order.
 
-    Responses are put together once per distinct list owner (a user with a list, or the
+    Lists of users who are not asked for leave before anything is put together. Responses are put together once per distinct list owner (a user with a list, or the
     default), not once per request; the profile lookup then meets each list once and a burst of
     requests for one user only repeats the finished response.
     """
-    short = playlists.select("user_id", F.slice("sv_playlist", 1, k).alias("codes"))
+    default = requests.sparkSession.createDataFrame([(DEFAULT_USER,)], "user_id string")
+    asked = requests.select("user_id").union(default).distinct()
+    wanted = lookup_join(playlists, asked, "user_id", "left_semi")
+    short = wanted.select("user_id", F.slice("sv_playlist", 1, k).alias("codes"))
     entries = short.select("user_id", F.posexplode("codes").alias("pos", "code")).withColumn(
         "hotel_code", F.col("code").try_cast("bigint")
     )
-    answers = lookup_join(entries, item_responses(profile), "hotel_code", "left")
-    bare = item_without_profile(profile, F.col("code"))
+    answers = lookup_join(entries, item_responses(profile, promotions), "hotel_code", "left")
+    bare = item_without_profile(profile, F.col("code"), promotions)
     filled = answers.withColumn("item", F.coalesce("item", bare))
     lists = (
         filled.groupBy("user_id")
@@ -162,9 +173,11 @@ def serve(
     )
 
 
-def item_without_profile(profile: DataFrame, code: Column) -> Column:
+def item_without_profile(
+    profile: DataFrame, code: Column, promotions: Mapping[str, str] = PROMOTIONS
+) -> Column:
     """The response of an item the profile does not know: its code and the defaults."""
-    shape = item_responses(profile).schema["item"].dataType
+    shape = item_responses(profile, promotions).schema["item"].dataType
     defaults = {"rating": F.lit(0.0), "hotelId": code.cast("string")}
     defaults["review"] = F.struct(
         F.lit(5.0).alias("score"), F.lit(100).alias("numReview"), F.lit("").alias("description")

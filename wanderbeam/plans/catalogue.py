@@ -533,8 +533,7 @@ def kway_split(d: Domain) -> DataFrame:
 
 
 def _with_default(d: Domain) -> DataFrame:
-    top = recommend.trending(d.bookings(), d.items(), BOOKINGS_AS_OF, k=TOP_K)
-    return recommend.with_default_user(d.predictions(), top, TOP_K)
+    return recommend.with_default_user(d.predictions(), d.default_items(), TOP_K)
 
 
 def _displayed(d: Domain) -> DataFrame:
@@ -629,10 +628,32 @@ def bilingual_pivot(d: Domain) -> DataFrame:
 @query
 def serving_profile(d: Domain) -> DataFrame:
     return serving.serving_profile(
-        d.predictions(), d.items(), d.hotel_profile(), _displayed(d), TOP_K
+        _with_default(d), d.items(), d.hotel_profile(), _displayed(d), TOP_K
     ).withColumn("rating", big("rating"))
 
 
+@query
+def entries_without_profile(d: Domain) -> DataFrame:
+    """List entries that the serving profile doesn't know: none."""
+    known = serving.serving_profile(_with_default(d), d.items(), d.hotel_profile(), _displayed(d), TOP_K)
+    codes = known.select(F.col("hotel_code").cast("string").alias("code"))
+    entries = d.playlists().select(F.explode("sv_playlist").alias("code"))
+    found = lookup_join(entries, codes.withColumn("known", F.lit(1)), "code", "left")
+    return found.agg(
+        F.count(F.lit(1)).alias("n_entries"),
+        F.count(F.when(F.col("known").isNull(), 1)).alias("n_unknown"),
+    )
+
+
+@query
+def list_lengths(d: Domain) -> DataFrame:
+    lengths = d.playlists().select(
+        F.when(F.col("user_id") == "default", "default").otherwise("own").alias("owner"),
+        F.size("sv_playlist").cast("bigint").alias("n_items"),
+    )
+    return lengths.groupBy("owner", "n_items").agg(F.count(F.lit(1)).alias("n_lists"))
+
+
 def _requests(d: Domain) -> DataFrame:
     return d.table("customer").select(F.col("c_custkey").cast("string").alias("user_id"))
 
@@ -802,7 +823,7 @@ def training_events(d: Domain) -> DataFrame:
         d.event_runs(),
         d.booked_items(),
         d.event_map(),
-        d.existing_users(),
+        d.users(),
         d.items(),
     ).select(
         "user_id",
@@ -819,11 +840,17 @@ def training_events(d: Domain) -> DataFrame:
 
 @query
 def csv_roundtrip(d: Domain) -> DataFrame:
-    rows = sequences.sliding_windows(d.training(), ("hotel_id", "main_action"), LENGTH, STEP)
+    """Windows with unnamed items and an empty list, written as text and read back."""
+    named = F.when(F.col("style_name") != "unspecified", F.col("hotel_id")).alias("hotel_id")
+    events = d.training().select("user_id", named, "main_action", "event_timestamp", "event_id")
+    rows = sequences.sliding_windows(events, ("hotel_id", "main_action"), LENGTH, STEP)
+    rows = rows.withColumn("notes", F.array().cast("array<string>"))
     path = scratch_path(d.spark, "delimited")
     delimited.write_delimited(rows, path, 1000)
     read = delimited.read_delimited(d.spark, path, rows.schema)
-    return read.select("user_id", "win", text("hotel_id_sequence"), text("main_action_sequence"))
+    return read.select(
+        "user_id", "win", text("hotel_id_sequence"), text("main_action_sequence"), text("notes")
+    )
 
 
 @query

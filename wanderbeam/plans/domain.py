@@ -279,14 +279,14 @@ class Domain:
         )
 
     def training(self) -> DataFrame:
-        """Mapped events of the users known after the first load."""
+        """Mapped events of all users of the dimension."""
         return self._stored("training", self.build_training)
 
     def build_training(self) -> DataFrame:
         mapped = lookup_join(self.events(), self.event_map(), "event_name").filter(
             F.col("main_action").isNotNull()
         )
-        known = self.existing_users().select(
+        known = self.users().select(
             F.col("raw_user_id"), F.col("user_id").alias("dim_user_id")
         )
         owned = lookup_join(
@@ -357,6 +357,12 @@ class Domain:
             ("pred_action", "prob", "important_value"),
         )
 
+    def default_items(self) -> DataFrame:
+        """What a user without a list gets: the most booked items among those on display."""
+        shown = recommend.displayed_items(self.items(), self.hotel_profile())
+        offered = self.items().join(shown, "hotel_id", "left_semi")
+        return recommend.trending(self.bookings(), offered, BOOKINGS_AS_OF, k=TOP_K)
+
     def playlists(self) -> DataFrame:
         return self._stored("playlists", self.build_playlists)
 
@@ -377,6 +383,6 @@ class Domain:
             ("pred_action", "prob", "important_value"),
             targets=best,
         )
-        top = recommend.trending(self.bookings(), self.items(), BOOKINGS_AS_OF, k=TOP_K)
+        top = self.default_items()
         predictions = recommend.with_default_user(offered, top, TOP_K)
         return recommend.playlist(predictions, self.users(), self.items(), TOP_K, displayed)

@@ -8,9 +8,28 @@ from __future__ import annotations
 
 import re
 
-from wanderbeam.functions.actions import ACTION_CODES
-from wanderbeam.functions.dates import AGE_BINS
-from wanderbeam.operators.event_log import UPSTREAM_TAGS
+# Fixed values, spelled out here so that a mistake in the operators can't hide.
+ACTION_CODES = {"unfav": 0, "view": 1, "click": 2, "fav": 3, "share": 4, "purchase": 5}
+AGE_BINS = (
+    (0, "elementary", "group_1"),
+    (13, "junior_high", "group_2"),
+    (16, "high_school", "group_3"),
+    (19, "undergrad", "group_4"),
+    (23, "early_jobber", "group_5"),
+    (26, "establishment", "group_6"),
+    (30, "mid_career", "group_7"),
+    (45, "senior", "group_8"),
+    (60, "retirement", "group_9"),
+)
+UPSTREAM_TAGS = (
+    "search",
+    "location_bubble",
+    "search_recommend",
+    "favorite_list",
+    "carousel",
+    "banner",
+)
+
 
 
 def _bins(age: str, field: int) -> str:
@@ -123,7 +142,7 @@ VIEWS: dict[str, str] = {
       SELECT u.user_id, i.hotel_id, i.style_name, m.main_action, e.event_timestamp, e.event_id,
         CASE WHEN m.main_action = 'purchase' THEN 1 ELSE 0 END AS complete_flag, e.duration
       FROM v_events e JOIN v_event_map m ON e.event_name = m.event_name
-      JOIN existing_users u ON e.user_id = u.raw_user_id JOIN items i ON e.hotel_code = i.hotel_code
+      JOIN users u ON e.user_id = u.raw_user_id JOIN items i ON e.hotel_code = i.hotel_code
       WHERE m.main_action IS NOT NULL""",
     "app_latest": """
       SELECT user_id AS raw_user_id, hotel_code, main_action, max(event_timestamp) AS event_timestamp
@@ -167,9 +186,14 @@ VIEWS: dict[str, str] = {
         SELECT hotel_id, count(DISTINCT raw_user_id) AS n_users FROM v_bookings JOIN items USING (hotel_code)
         WHERE CAST(updated_at + INTERVAL 7 HOUR AS DATE) BETWEEN DATE '2001-07-24' AND DATE '2001-07-31'
         GROUP BY 1) QUALIFY rank <= 10""",
+    "trend_shown": """
+      SELECT hotel_id, row_number() OVER (ORDER BY n_users DESC, hotel_id) AS rank FROM (
+        SELECT hotel_id, count(DISTINCT raw_user_id) AS n_users FROM v_bookings JOIN items USING (hotel_code)
+        WHERE CAST(updated_at + INTERVAL 7 HOUR AS DATE) BETWEEN DATE '2001-07-24' AND DATE '2001-07-31'
+          AND hotel_id IN (SELECT hotel_id FROM shown_items) GROUP BY 1) QUALIFY rank <= 10""",
     "with_default": """
       SELECT 'default' AS user_id, hotel_id AS target_hotel_id, NULL AS gender,
-        CAST(11 - rank AS DOUBLE) AS important_value FROM trend
+        CAST(11 - rank AS DOUBLE) AS important_value FROM trend_shown
       UNION ALL SELECT user_id, target_hotel_id, gender, important_value FROM predictions""",
     "shown_items": """
       SELECT hotel_id FROM items JOIN v_hotel_profile p USING (hotel_code)
@@ -491,8 +515,16 @@ ORACLES: dict[str, str] = {
         SELECT hotel_code FROM items WHERE hotel_id IN (
           SELECT target_hotel_id FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY important_value DESC, target_hotel_id)
-              AS rank FROM predictions WHERE target_hotel_id IN (SELECT hotel_id FROM shown_items))
+              AS rank FROM with_default WHERE target_hotel_id IN (SELECT hotel_id FROM shown_items))
           WHERE rank <= 10))""",
+    "entries_without_profile": """
+      SELECT count(*) AS n_entries, count(*) FILTER (WHERE code NOT IN (
+          SELECT CAST(hotel_code AS VARCHAR) FROM items WHERE hotel_id IN (
+            SELECT target_hotel_id FROM ranked_shown WHERE rank <= 10))) AS n_unknown
+      FROM (SELECT unnest(sv_playlist) AS code FROM lists)""",
+    "list_lengths": """
+      SELECT CASE WHEN user_id = 'default' THEN 'default' ELSE 'own' END AS owner,
+        CAST(len(sv_playlist) AS BIGINT) AS n_items, count(*) AS n_lists FROM lists GROUP BY 1, 2""",
     "default_fallback": f"SELECT user_id, {_LIST}(sv_playlist, ',') AS sv_playlist FROM served_lists",
     "serve_requests": """
       SELECT r.user_id, r.pos, r.code AS hotel_id, coalesce(b.en_hotel_name, '') AS name_en,
@@ -553,17 +585,22 @@ ORACLES: dict[str, str] = {
           epoch_us(max(max_ts)) AS event_timestamp
         FROM runs r LEFT JOIN booked_items USING (booking_id) JOIN v_event_map USING (event_name)
         WHERE main_action IS NOT NULL GROUP BY 1, 2, 3, 4, 5) f
-      JOIN existing_users u ON f.raw_user_id = u.raw_user_id JOIN items i ON f.hotel_code = i.hotel_code""",
+      JOIN users u ON f.raw_user_id = u.raw_user_id JOIN items i ON f.hotel_code = i.hotel_code""",
     "csv_roundtrip": f"""
-      SELECT user_id, win, {_LIST}(h, ',') AS hotel_id_sequence, {_LIST}(a, ',') AS main_action_sequence
-      FROM windows""",
+      SELECT w.user_id, w.win, {_LIST}(h[s+1:s+6], ',') AS hotel_id_sequence,
+        {_LIST}(a[s+1:s+6], ',') AS main_action_sequence, '\\E' AS notes
+      FROM window_starts w JOIN (
+        SELECT user_id, list(CASE WHEN style_name <> 'unspecified' THEN hotel_id END
+            ORDER BY event_timestamp, event_id) AS h,
+          list(main_action ORDER BY event_timestamp, event_id) AS a
+        FROM training GROUP BY 1) l ON w.user_id = l.user_id""",
     "append_evolve": """
       SELECT u.raw_user_id, u.user_id, CASE WHEN e.raw_user_id IS NULL THEN u.gender END AS gender
       FROM users u LEFT JOIN existing_users e ON u.raw_user_id = e.raw_user_id""",
     "overwrite_schema": "SELECT hotel_id, location_name, style_name FROM items",
     "feature_upsert": """
       SELECT b.hotel_code, CAST(CASE WHEN s.hotel_id IS NULL THEN b.rating ELSE 9 END AS BIGINT) AS rating,
-        CASE WHEN s.hotel_id IS NULL THEN b.en_hotel_name END AS en_hotel_name,
+        b.en_hotel_name,
         CASE WHEN s.hotel_id IS NOT NULL THEN i.location_name END AS location_name
       FROM bilingual b JOIN items i ON b.hotel_code = i.hotel_code
       LEFT JOIN shown_items s ON i.hotel_id = s.hotel_id""",
@@ -610,4 +647,10 @@ def oracle(name: str) -> str:
         views.update(_collapsed(match.group(1)))
         sql = sql[match.end() :]
     ctes = ", ".join(f"{v} AS ({views[v]})" for v in _needed(sql, views))
-    return f"WITH {ctes} {sql}" if ctes else sql
+    return _with_nulls(f"WITH {ctes} {sql}" if ctes else sql)
+
+
+def _with_nulls(sql: str) -> str:
+    """Printed lists show their NULL items; array_to_string alone would drop them."""
+    shown = f"{_LIST}([coalesce(CAST(item AS VARCHAR), '\\N') FOR item IN "
+    return sql.replace(f"{_LIST}(", shown).replace(", ',')", "], ',')")
