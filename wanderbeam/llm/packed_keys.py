@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 BLOCK_KEYS = 1_000_000
 PACKED = "bucket int, settled boolean, body binary"
+ANSWERS = "bucket int, body binary"
 FOUND = "doc_id long, variant long, places binary"
 
 
@@ -63,19 +63,19 @@ def _runs_of_docs(keys: Keys) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(change))).astype("<i4")
 
 
-def pack(keys: Keys, wide: bool) -> bytes:
-    """Entries in document order as bytes; ``wide`` keeps 96 bits of the key, else 32."""
+def pack(keys: Keys, wide: bool | None) -> bytes:
+    """Entries in document order as bytes; ``wide`` keeps 96 bits of the key, else 32, None keeps no key."""
     starts, counts = _runs_of_docs(keys)
     head = np.array([len(starts), len(keys.hi)], "<i8").tobytes()
     parts = [head, keys.doc[starts].tobytes(), keys.variant[starts].tobytes(), counts.tobytes(), keys.place.astype("<i4").tobytes()]
     if wide:
         parts += [keys.hi.tobytes(), keys.lo.astype("<u4").tobytes()]
-    else:
+    elif wide is not None:
         parts.append(keys.hi.astype("<u4").tobytes())
     return b"".join(parts)
 
 
-def unpack(body: bytes, wide: bool) -> Keys:
+def unpack(body: bytes, wide: bool | None) -> Keys:
     docs, n = np.frombuffer(body, "<i8", 2).tolist()
     at = 16
 
@@ -87,7 +87,10 @@ def unpack(body: bytes, wide: bool) -> Keys:
 
     ids, variants, counts = read("<i8", docs), read("<i8", docs), read("<i4", docs)
     place = read("<i4", n)
-    hi = read("<u8", n) if wide else read("<u4", n).astype(np.uint64)
+    if wide is None:
+        hi = np.zeros(n, np.uint64)
+    else:
+        hi = read("<u8", n) if wide else read("<u4", n).astype(np.uint64)
     lo = read("<u4", n).astype(np.uint64) if wide else np.zeros(n, np.uint64)
     return Keys(hi, lo, np.repeat(ids, counts), np.repeat(variants, counts), place)
 
@@ -106,6 +109,16 @@ def places(keys: Keys) -> pd.DataFrame:
     )
 
 
+def by_document(keys: Keys, buckets: int) -> list[tuple[int, bytes]]:
+    """Entries in document order as one packed answer for each bucket of documents."""
+    mixed = (keys.doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ keys.variant.astype(np.uint64)
+    bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    keys, bucket = keys.take(order), bucket[order]
+    edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() + [len(bucket)]
+    return [(int(bucket[a]), pack(keys.take(np.arange(a, b)), None)) for a, b in zip(edge, edge[1:])]
+
+
 @dataclass
 class Gatherer:
     """Collects the keys of documents and turns them into packed rows.
@@ -147,9 +160,7 @@ class Gatherer:
         if len(found.hi):
             order = np.lexsort((found.place, found.variant, found.doc))
             body = found.take(order)
-            cut = np.flatnonzero(np.append(True, body.doc[1:] != body.doc[:-1]))
-            for k, piece in enumerate(np.split(np.arange(len(body.doc)), cut[256::256])):
-                out.append((int(body.doc[piece[0]] + k) % self.buckets, True, pack(body.take(piece), self.wide)))
+            out += [(bucket, True, part) for bucket, part in by_document(body, self.buckets)]
         yield pd.DataFrame(out, columns=["bucket", "settled", "body"])
 
     def _block(self, keys: Keys, sent: np.ndarray, mute: np.ndarray) -> list[tuple]:
@@ -170,10 +181,10 @@ class Gatherer:
 def found_elsewhere(
     docs: DataFrame, keys_of: Callable[[pd.DataFrame], Iterator[tuple]], buckets: int, wide: bool, later: bool
 ) -> DataFrame:
-    """doc_id, variant and the places (int32 bytes) whose keys other documents hold too.
+    """doc_id, variant and the places (int32 bytes) whose keys other documents hold too, a row per document.
 
-    ``keys_of`` turns a batch of ``docs`` into (doc_id, variant, hi, lo, place) per document. A
-    document may come back in several rows. With ``wide`` false a key is known by 32 bits plus its bucket, so a few
+    ``keys_of`` turns a batch of ``docs`` into (doc_id, variant, hi, lo, place) per document. Blocks
+    meet by bucket of keys, answers by bucket of documents. With ``wide`` false a key is known by 32 bits plus its bucket, so a few
     places may be found without a match: use it to look for candidates only.
     """
 
@@ -187,26 +198,26 @@ def found_elsewhere(
         yield from block.rows()
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        out = [places(unpack(b, wide)) for b in rows.loc[rows["settled"], "body"]]
-        bodies = [unpack(b, wide) for b in rows.loc[~rows["settled"], "body"]]
-        if bodies:
-            keys = Keys.joined(bodies).sorted()
+        out = [(int(b), part) for b, part in zip(rows["bucket"], rows["body"])] if rows["settled"].all() else []
+        if not out:
+            out = [(int(rows["bucket"].iloc[0]), b) for b in rows.loc[rows["settled"], "body"]]
+            keys = Keys.joined([unpack(b, wide) for b in rows.loc[~rows["settled"], "body"]]).sorted()
             _, low, high = runs(keys)
             hit = keys.doc > low if later else (low < high) & (keys.place >= 0)
             found = keys.take(np.flatnonzero(hit))
             if len(found.hi):
-                out.append(places(found.take(np.lexsort((found.place, found.variant, found.doc)))))
-        none = pd.DataFrame({"doc_id": np.empty(0, np.int64), "variant": np.empty(0, np.int64), "places": []})
-        return pd.concat(out) if out else none
+                out += by_document(found.take(np.lexsort((found.place, found.variant, found.doc))), buckets)
+        return pd.DataFrame(out, columns=["bucket", "body"])
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        found = Keys.joined([unpack(b, None) for b in rows["body"]])
+        return places(found.take(np.lexsort((found.place, found.variant, found.doc))))
 
-    return docs.mapInPandas(gather, PACKED).groupBy("bucket").applyInPandas(settle, FOUND)
+    answers = docs.mapInPandas(gather, PACKED).groupBy("bucket").applyInPandas(settle, ANSWERS)
+    return answers.groupBy("bucket").applyInPandas(answer, FOUND)
 
 
 def bucket_count(text_bytes: int, least: int, bucket_bytes: int = 16 << 20) -> int:
     """Buckets so that each answers for about ``bucket_bytes`` of text, whatever its size."""
     return max(least, -(-text_bytes // bucket_bytes), 1)
 
-
-def gathered(found: DataFrame) -> DataFrame:
-    """One row per document: ``places`` as an array of packed int32 pieces."""
-    return found.groupBy("doc_id", "variant").agg(F.collect_list("places").alias("places"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wanderbeam.llm.packed_keys import bucket_count, found_elsewhere, gathered
+from wanderbeam.llm.packed_keys import bucket_count, found_elsewhere
 from wanderbeam.llm.text import text_bytes
 from wanderbeam.session import materialise, shuffle_width
 
@@ -63,8 +63,8 @@ def window_keys(raw: bytes, anchors: np.ndarray, window: int = WINDOW) -> tuple[
     return both[:, 0].astype(np.uint64), both[:, 1].astype(np.uint64) & np.uint64(0xFFFFFFFF), at
 
 
-def places_of(pieces) -> np.ndarray:
-    return np.frombuffer(b"".join(pieces), "<i4").astype(np.int64)
+def places_of(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, "<i4").astype(np.int64)
 
 
 def covered(starts: np.ndarray, n: int, window: int = WINDOW) -> np.ndarray:
@@ -98,14 +98,18 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = bucket_count(total[0] or 0, shuffle_width(spark))
     # Ids are unique as a rule; where they are not, rows are told apart by their text.
     variant = F.xxhash64(text) if (total[1] or 0) > 1 else F.lit(0).cast("long")
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), variant.alias("variant"), text.alias("text"))
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    # Both joins below read this one frame by doc_id; as its columns are the same, so is its exchange,
+    # and the texts are shuffled once.
+    rows = docs.where("doc_id is not null").select("doc_id", variant.alias("variant"), text.alias("text"))
 
     def anchors(batch: pd.DataFrame) -> Iterator[tuple]:
         for doc, kind, body in zip(batch["doc_id"], batch["variant"], batch["text"]):
             hi, at = anchor_keys(text_bytes(body), window)
             yield doc, kind, hi, np.zeros(len(hi), np.uint64), at
 
-    shared = gathered(found_elsewhere(rows, anchors, buckets, wide=False, later=False))
+    shared = found_elsewhere(rows, anchors, buckets, wide=False, later=False)
     shared = materialise(shared, "shared-anchors")
 
     def windows(batch: pd.DataFrame) -> Iterator[tuple]:
@@ -113,7 +117,7 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield doc, kind, *window_keys(text_bytes(body), places_of(pieces), window)
 
     around = rows.join(shared, ["doc_id", "variant"])
-    repeated = gathered(found_elsewhere(around, windows, buckets, wide=True, later=True))
+    repeated = found_elsewhere(around, windows, buckets, wide=True, later=True)
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -123,12 +127,12 @@ def repeats_removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 gone = covered(places_of(pieces), len(parts), window) if pieces is not None else np.zeros(len(parts), bool)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).reshape(-1, 2)
                 kept = b" ".join([w for w, g in zip(parts, gone.tolist()) if not g]).decode() if len(edge) else b" ".join(parts).decode()
-                out.append((doc, len(parts), int(gone.sum()), edge.tolist(), kept))
+                out.append((None if doc != doc else doc, len(parts), int(gone.sum()), edge.tolist(), kept))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "removed_spans", "kept_text"])
 
     schema = "doc_id long, n_words long, n_removed long, removed_spans array<array<long>>, kept_text string"
     judged = rows.join(repeated, ["doc_id", "variant"], "left").select("doc_id", "text", "places")
     nameless = docs.where("doc_id is null").select(
-        F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit(None).cast("array<binary>").alias("places")
+        F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit(None).cast("binary").alias("places")
     )
     return judged.unionByName(nameless).mapInPandas(remove, schema)
