@@ -31,49 +31,77 @@ def shape(word: bytes) -> bytes:
     return _RUN.sub(code, word)
 
 
-class Features:
-    """Binary n-gram features of a text; holds a bounded memory of word shapes.
+_BITS = 20
+_MASK = (1 << _BITS) - 1
 
-    Word unigrams, word shape 1- to 3-grams, and the share of word 2-grams that are not
-    repeats, in tenths.
+
+class Reader:
+    """Splits texts into binary n-gram features; remembers a bounded number of words.
+
+    Features are word unigrams, word shape 1- to 3-grams, and the share of word 2-grams that are not
+    repeats, in tenths. ``value`` says what to make of a feature's name (by default the name itself) and is
+    asked once per word and shape n-gram, not once per occurrence.
     """
 
-    def __init__(self, memory: int = 200_000):
-        self.memory, self.ids, self.shapes, self.names = memory, {}, {}, []
+    def __init__(self, value=lambda name: name, memory: int = 200_000):
+        self.value, self.memory = value, memory
+        self.clear()
 
-    def of(self, text: str | None) -> set[bytes]:
+    def clear(self) -> None:
+        self.codes: dict[bytes, int] = {}
+        self.word_values: dict[bytes, object] = {}
+        self.shapes: dict[bytes, int] = {}
+        self.shape_names: list[bytes] = [b""]
+        self.gram_values: dict[int, object] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        for w in words:
+            s = shape(w)
+            if s not in self.shapes:
+                self.shapes[s] = len(self.shape_names)
+                self.shape_names.append(s)
+            self.codes[w] = len(self.codes) << _BITS | self.shapes[s]
+            self.word_values[w] = self.value(b"w:" + w.translate(LOWER_TABLE))
+
+    def _gram(self, code: int) -> object:
+        found = self.gram_values.get(code)
+        if found is None:
+            names, rest = [], code
+            while rest:
+                names.append(self.shape_names[rest & _MASK])
+                rest >>= _BITS
+            found = self.gram_values[code] = self.value(b"s:" + b" ".join(reversed(names)))
+        return found
+
+    def read(self, text: str | None) -> list:
+        """The values of the features of a text, a few of them more than once."""
         parts = text_bytes(text).split()
         if not parts:
-            return {b"empty"}
-        if len(self.ids) > self.memory:
-            self.ids, self.shapes, self.names = {}, {}, []
-        ids, shapes = self.ids, self.shapes
+            return [self.value(b"empty")]
+        if len(self.codes) > self.memory or len(self.shape_names) >= _MASK:
+            self.clear()
         distinct = set(parts)
-        for w in distinct - ids.keys():
-            s = shape(w)
-            ids[w] = len(ids), shapes.setdefault(s, len(shapes))
-            if len(self.names) < len(shapes):
-                self.names.append(s)
-        codes = np.array([ids[w] for w in parts], np.int64)
-        out = {b"w:" + w.translate(LOWER_TABLE) for w in distinct}
-        grams = codes[:, 1]
-        width = len(shapes) + 1
-        line = grams.copy()
-        for n in (1, 2, 3):
-            if n > 1:
-                if len(line) < 2:
-                    break
-                line = line[:-1] * width + grams[n - 1 :]
-            for code in np.unique(line).tolist():
-                names = []
-                for _ in range(n):
-                    code, k = divmod(code, width)
-                    names.append(self.names[k])
-                out.add(b"s:" + b" ".join(reversed(names)))
-        if len(parts) > 1:
-            pairs = codes[:-1, 0] * (len(ids) + 1) + codes[1:, 0]
-            out.add(b"fresh:%d" % (10 * len(np.unique(pairs)) // len(pairs)))
-        return out
+        self._learn([w for w in distinct if w not in self.codes])
+        n = len(parts)
+        codes = np.fromiter(map(self.codes.__getitem__, parts), np.int64, n)
+        shapes = codes & _MASK
+        if n > 2:
+            threes = np.unique(shapes[:-2] << 2 * _BITS | shapes[1:-1] << _BITS | shapes[2:])
+            twos = np.append(np.unique(threes >> _BITS), shapes[-2] << _BITS | shapes[-1])
+        else:
+            threes = np.empty(0, np.int64)
+            twos = shapes[:-1] << _BITS | shapes[1:]
+        grams = {*threes.tolist(), *twos.tolist(), *np.unique(shapes).tolist()}
+        values = [self.word_values[w] for w in distinct]
+        values += [self._gram(g) for g in grams]
+        if n > 1:
+            words = codes >> _BITS
+            pairs = np.unique(words[:-1] * (len(self.codes) + 1) + words[1:])
+            values.append(self.value(b"fresh:%d" % (10 * len(pairs) // (n - 1))))
+        return values
+
+    def of(self, text: str | None) -> set[bytes]:
+        return set(self.read(text))
 
 
 @dataclass
@@ -86,8 +114,14 @@ class Model:
     slope: float
     offset: float
 
-    def margin(self, features: set[bytes]) -> float:
-        return self.bias + float(self.coef[indices(features, self.vocab)].sum())
+    def reader(self) -> Reader:
+        """Gives a feature's index in ``coef``, -1 for features outside the vocabulary."""
+        return Reader(lambda name: self.vocab.get(name, -1))
+
+    def margin(self, reader: Reader, text: str | None) -> float:
+        found = set(reader.read(text))
+        found.discard(-1)
+        return self.bias + float(self.coef[np.fromiter(found, np.int64, len(found))].sum())
 
 
 def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, size: int, alpha: float = 1.0) -> np.ndarray:
@@ -145,8 +179,8 @@ def train(
         share = float(labels.mean()) if len(labels) else 0.5
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
         return Model({}, np.zeros(0), 0.0, 1.0, float(odds))
-    features = Features()
-    rows = [features.of(t) for t in texts]
+    reader = Reader()
+    rows = [reader.of(t) for t in texts]
     vocab = vocabulary(rows, min(min_rows, max(1, len(texts) // 10)), size)
     found = [indices(r, vocab) for r in rows]
     spare = np.random.default_rng(seed).random(len(rows)) < 0.2
@@ -175,8 +209,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        features = Features()
-        margins = np.array([model.margin(features.of(t)) for t in texts], float)
+        reader = model.reader()
+        margins = np.array([model.margin(reader, t) for t in texts], float)
         return pd.Series(sigmoid(model.slope * margins + model.offset))
 
     return docs.withColumn("score", score(F.col("text")))
