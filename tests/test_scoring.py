@@ -5,7 +5,7 @@ import random
 from conftest import rows
 from pyspark.sql import functions as F
 
-from wanderbeam.operators import scoring, tuning
+from wanderbeam.operators import bayes, scoring, tuning
 
 
 def history(spark, n=120):
@@ -67,3 +67,36 @@ def test_search_ranks_every_combination(spark):
     best = [r["accuracy"] for r in found.orderBy("rank").collect()]
     assert best == sorted(best, reverse=True)
     assert tuning.top_results(found).count() == 3
+
+
+def test_closed_form_model_learns_what_the_item_tells(spark):
+    spec = scoring.ModelSpec(length=4, include_user_id=False)
+    frame = history(spark).withColumn("win", F.lit(0))
+    model = bayes.fit(frame, spec)
+    predicted = bayes.predicted(frame, model, ["user_id", "win"])
+    found = bayes.quality(predicted).first()
+    assert found["n"] == 120 and found["accuracy"] > 0.9 and 0.9 < found["f1"] <= 1
+    scored = bayes.score(frame, model, ["user_id", "win"], "style_name_sequence")
+    assert scored.filter("abs(important_value - pred_action * prob) > 1e-12 or prob > 1").count() == 0
+
+
+def test_closed_form_counts_by_hand(spark):
+    data = [("u1", 0, ["a"], "a", 1), ("u2", 0, ["a"], "b", 1), ("u3", 0, ["b"], "b", 5)]
+    frame = spark.createDataFrame(
+        data, "user_id string, win int, sequence_hotel_ids array<string>, target_hotel_id string, target int"
+    )
+    spec = scoring.ModelSpec(length=2, include_user_features=False, include_hotel_features=False)
+    model = bayes.fit(frame, spec)
+    got = bayes.probabilities(frame.filter("user_id = 'u1'"), model, ["user_id", "win"]).first()["probabilities"]
+    n, one, five = {1: 2, 5: 1}, (2 + 1) / (2 + 2) * (1 + 1) / (2 + 2), (0 + 1) / (1 + 2) * (0 + 1) / (1 + 2)
+    raw = [(n.get(c, 0) + 1) / 9 * {1: one, 5: five}.get(c, 1 / 2 * 1 / 2) for c in range(6)]
+    assert all(abs(p - r / sum(raw)) < 1e-6 for p, r in zip(got, raw))
+
+
+def test_unseen_and_missing_values_say_nothing(spark):
+    spec = scoring.ModelSpec(length=4)
+    frame = history(spark).withColumn("win", F.lit(0))
+    model = bayes.fit(frame, spec)
+    odd = frame.limit(1).withColumn("target_hotel_id", F.lit("new")).withColumn("gender", F.lit(None).cast("string"))
+    assert bayes.score(odd, model, ["user_id", "win"], "style_name_sequence").count() == 1
+    assert bayes.quality(bayes.predicted(frame.limit(0), model, ["user_id", "win"]), ["label"]).count() == 0

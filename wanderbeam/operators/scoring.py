@@ -60,7 +60,7 @@ class ModelSpec:
     include_user_features: bool = True
     include_hotel_features: bool = True
     hidden_units: tuple[int, ...] = ()
-    width: int = 1024
+    width: int = 1 << 18
     max_iter: int = 20
     regularisation: float = 0.01
     seed: int = 42

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wanderbeam.operators import scoring
+from wanderbeam.operators import bayes, scoring
 from wanderbeam.operators.sequences import exact_split, history_target, training_sequences
 from wanderbeam.session import materialise
 
@@ -74,3 +74,53 @@ def param_search(
 
 def top_results(search: DataFrame, n: int = 3) -> DataFrame:
     return search.filter(F.col("rank") <= n)
+
+
+def closed_form_search(
+    events: DataFrame,
+    users: DataFrame,
+    data_specs: Iterable[DataSpec],
+    model_specs: Iterable[scoring.ModelSpec],
+    shuffle_key: Column | None = None,
+) -> DataFrame:
+    """``param_search`` with the closed-form classifier: one row per data spec and feature toggles.
+
+    Trained on the train part, judged on the eval part; the driver holds one row per combination.
+    """
+    results = []
+    model_specs = list(model_specs)
+    for data in data_specs:
+        windows = training_sequences(events, users, data.length, data.step, data.min_items, FIELDS)
+        split = exact_split(history_target(windows), shuffle_key=shuffle_key)
+        table = materialise(split, "tuning")
+        for model_spec in model_specs:
+            spec = scoring.ModelSpec(**{**model_spec.__dict__, "length": data.length})
+            model = bayes.fit(table.filter("split = 'train'"), spec)
+            judged = bayes.predicted(table.filter("split = 'eval'"), model, ["user_id", "win"])
+            found = bayes.quality(judged).first()
+            results.append(
+                (
+                    data.length,
+                    data.step,
+                    data.min_items,
+                    spec.include_user_features,
+                    spec.include_hotel_features,
+                    found["accuracy"] or 0.0,
+                    found["f1"] or 0.0,
+                )
+            )
+    schema = (
+        "seq_len int, step int, min_seen int, user_features boolean, hotel_features boolean,"
+        " accuracy double, f1 double"
+    )
+    best = Window.partitionBy(F.lit(0)).orderBy(
+        F.desc(F.round("accuracy", 9)),
+        F.desc(F.round("f1", 9)),
+        "seq_len",
+        "step",
+        "min_seen",
+        "user_features",
+        "hotel_features",
+    )
+    frame = events.sparkSession.createDataFrame(results, schema)
+    return frame.withColumn("rank", F.row_number().over(best))

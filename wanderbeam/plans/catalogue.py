@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wanderbeam.functions import actions, arrays, dates, json
 from wanderbeam.operators import (
+    bayes,
     behaviour,
     dims,
     evaluate,
@@ -37,7 +38,7 @@ from wanderbeam.plans.domain import (
     TOP_K,
     Domain,
 )
-from wanderbeam.session import scratch_path
+from wanderbeam.session import materialise, scratch_path
 from wanderbeam.sources import delimited, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -896,40 +897,47 @@ def publish_snapshot(d: Domain) -> DataFrame:
 
 
 def _model_spec() -> scoring.ModelSpec:
-    return scoring.ModelSpec(length=LENGTH, width=512, max_iter=10)
+    return scoring.ModelSpec(length=LENGTH)
+
+
+WINDOW_KEYS = ("user_id", "win")
 
 
 def _history(d: Domain) -> DataFrame:
-    return sequences.exact_split(sequences.history_target(_training_sequences(d)))
+    return sequences.exact_split(
+        sequences.history_target(_training_sequences(d)), shuffle_key=_hash_key()
+    )
 
 
 @query
 def ml_score(d: Domain) -> DataFrame:
-    spec = _model_spec()
-    model = scoring.fit_next_action(sequences.history_target(_training_sequences(d)), spec)
+    """Every candidate scored by the classifier trained on all windows."""
+    model = bayes.fit(sequences.history_target(_training_sequences(d)), _model_spec())
     styled = d.items().withColumnRenamed("style_name", "target_style")
     rows = recommend.candidates(d.eligible(), styled, d.trained_items(), LENGTH, ("target_style",))
     rows = rows.withColumnRenamed("hotel_id_sequence", "sequence_hotel_ids")
-    return scoring.score_candidates(rows, model, spec).select(
-        "user_id", "target_hotel_id", "pred_action", "prob", "important_value"
+    scored = bayes.score(rows, model, ("user_id", "target_hotel_id"))
+    return scored.select(
+        "user_id", "target_hotel_id", big("pred_action"), rounded("prob"), rounded("important_value")
     )
 
 
 @query
 def ml_metrics(d: Domain) -> DataFrame:
-    spec, rows = _model_spec(), _history(d)
-    model = scoring.fit_next_action(rows.filter("split = 'train'"), spec)
-    predicted = scoring.predict_classes(rows.filter("split <> 'train'"), model, spec)
-    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
-    return predicted.groupBy("split").agg(F.count(F.lit(1)).alias("n"), right.alias("accuracy"))
+    rows = materialise(_history(d), "history")
+    model = bayes.fit(rows.filter("split = 'train'"), _model_spec())
+    predicted = bayes.predicted(rows.filter("split <> 'train'"), model, WINDOW_KEYS)
+    return bayes.quality(predicted, ["split"]).select(
+        "split", "n", rounded("accuracy"), rounded("f1")
+    )
 
 
 @query
 def ml_class_distribution(d: Domain) -> DataFrame:
-    spec, rows = _model_spec(), _history(d)
-    model = scoring.fit_next_action(rows.filter("split = 'train'"), spec)
+    rows = materialise(_history(d), "history")
+    model = bayes.fit(rows.filter("split = 'train'"), _model_spec())
     return scoring.class_distribution(
-        scoring.predict_classes(rows.filter("split = 'test'"), model, spec)
+        bayes.predicted(rows.filter("split = 'test'"), model, WINDOW_KEYS)
     )
 
 
@@ -937,7 +945,18 @@ def ml_class_distribution(d: Domain) -> DataFrame:
 def param_search(d: Domain) -> DataFrame:
     data = [tuning.DataSpec(4, 2, 4), tuning.DataSpec(LENGTH, STEP, MIN_ITEMS)]
     models = [
-        scoring.ModelSpec(width=256, max_iter=5),
-        scoring.ModelSpec(width=256, max_iter=5, regularisation=0.1),
+        scoring.ModelSpec(),
+        scoring.ModelSpec(include_user_features=False),
+        scoring.ModelSpec(include_hotel_features=False),
     ]
-    return tuning.top_results(tuning.param_search(d.training(), d.users(), data, models))
+    found = tuning.closed_form_search(d.training(), d.users(), data, models, _hash_key())
+    return found.select(
+        big("seq_len"),
+        big("step"),
+        big("min_seen"),
+        "user_features",
+        "hotel_features",
+        rounded("accuracy"),
+        rounded("f1"),
+        big("rank"),
+    )

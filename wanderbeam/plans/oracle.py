@@ -304,6 +304,110 @@ VIEWS: dict[str, str] = {
 
 _LIST = "array_to_string"
 
+
+def _history(tag: str, length: int, step: int, min_items: int) -> dict[str, str]:
+    """Windows with their target, and their split, for one set of data parameters."""
+    order = "ORDER BY event_timestamp, event_id"
+    at = f"s+1:s+{length}"
+    bound = "CAST(floor(n * (1 - (0.15::DOUBLE + 0.15::DOUBLE)) - 1) AS BIGINT) + 1"
+    return {
+        f"keen_{tag}": f"""
+          SELECT user_id FROM training GROUP BY 1 HAVING count(DISTINCT hotel_id) >= {min_items}""",
+        f"event_lists_{tag}": f"""
+          SELECT user_id, list(hotel_id {order}) AS h, list({_code('main_action')} {order}) AS c,
+            list(style_name {order}) AS y, count(*) AS n FROM training GROUP BY 1 HAVING count(*) >= {length}""",
+        f"starts_{tag}": f"""
+          SELECT user_id, s, row_number() OVER (PARTITION BY user_id ORDER BY s, tail) - 1 AS win FROM (
+            SELECT user_id, unnest(range(0, n - {length - 1}, {step})) AS s, 0 AS tail FROM event_lists_{tag}
+            UNION ALL SELECT user_id, n - {length}, 1 FROM event_lists_{tag})""",
+        f"hist_{tag}": f"""
+          SELECT w.user_id, w.win, h[{at}] AS h, y[{at}] AS y, c[s+{length}] AS target, gender, age_group
+          FROM starts_{tag} w JOIN event_lists_{tag} USING (user_id) JOIN keen_{tag} USING (user_id)
+          LEFT JOIN users u ON w.user_id = u.user_id""",
+        f"parts_{tag}": f"""
+          SELECT * EXCLUDE (n, rn), CASE WHEN rn <= {bound} THEN 'train'
+              WHEN rn <= {bound} + CAST(floor(n * 0.15::DOUBLE) AS BIGINT) THEN 'test' ELSE 'eval' END AS split
+          FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY
+              ((CAST(replace(user_id, 'user_', '') AS BIGINT) * 1000 + win) * 2654435761 + 42) % 2147483648,
+              user_id, win) AS rn FROM hist_{tag})""",
+    }
+
+
+def _bayes(
+    tag: str, train: str, rows: str, keys: str, length: int, user: bool = True, hotel: bool = True
+) -> dict[str, str]:
+    """Smoothed counts of ``train`` and the class logarithms of ``rows`` (lists h and y, gender, age_group)."""
+    names = {"target_hotel_id": f"h[{length}]"} | {f"h{i}": f"h[{i}]" for i in range(1, length)}
+    if hotel:
+        names |= {"target_style": f"y[{length}]"} | {f"s{i}": f"y[{i}]" for i in range(1, length)}
+    if user:
+        names |= {"gender": "gender", "age_group": "age_group"}
+
+    def long(source: str, columns: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {columns}, '{n}' AS name, coalesce(CAST({e} AS VARCHAR), 'unspecified') AS value FROM {source}"
+            for n, e in names.items()
+        )
+
+    return {
+        f"seen_{tag}": long(train, "target"),
+        f"class_{tag}": f"""
+          SELECT k, n, sum(n) OVER () AS total FROM (SELECT k, (SELECT count(*) FROM {train} WHERE target = k) AS n
+            FROM range(6) r(k))""",
+        f"logs_{tag}": f"""
+          SELECT v.name, v.value, q.k, ln((coalesce(x.n, 0) + 1.0::DOUBLE) / (q.n + 1.0::DOUBLE * size)) AS lp
+          FROM (SELECT DISTINCT name, value FROM seen_{tag}) v
+          JOIN (SELECT name, count(DISTINCT value) AS size FROM seen_{tag} GROUP BY 1) z USING (name)
+          CROSS JOIN class_{tag} q
+          LEFT JOIN (SELECT name, value, target, count(*) AS n FROM seen_{tag} GROUP BY 1, 2, 3) x
+            ON x.name = v.name AND x.value = v.value AND x.target = q.k""",
+        f"asked_{tag}": long(rows, keys),
+        f"sums_{tag}": f"""
+          SELECT {keys}, q.k, round(sum(coalesce(lp, 0.0)) + ln((q.n + 1.0::DOUBLE) / (q.total + 6.0::DOUBLE)), 9) AS l
+          FROM asked_{tag} a CROSS JOIN class_{tag} q
+          LEFT JOIN logs_{tag} g ON g.name = a.name AND g.value = a.value AND g.k = q.k
+          GROUP BY {keys}, q.k, q.n, q.total""",
+        f"picked_{tag}": f"""
+          SELECT {keys}, k AS pred, e / whole AS prob FROM (
+            SELECT *, sum(e) OVER (PARTITION BY {keys}) AS whole, row_number() OVER (PARTITION BY {keys}
+                ORDER BY l DESC, k) AS rn
+            FROM (SELECT *, exp(l - max(l) OVER (PARTITION BY {keys})) AS e FROM sums_{tag})) WHERE rn = 1""",
+    }
+
+
+def _judged(tag: str, rows: str, by: str = "1") -> str:
+    """n, accuracy and weighted F1 of the picks for ``rows``, for each ``by``."""
+    return f"""
+      SELECT part, CAST(sum(labelled) AS BIGINT) AS n, sum(hit) / sum(labelled) AS accuracy,
+        sum(CASE WHEN labelled + guessed > 0 THEN labelled * 2.0::DOUBLE * hit / (labelled + guessed) ELSE 0 END)
+          / sum(labelled) AS f1
+      FROM (SELECT {by} AS part, k, count(*) FILTER (WHERE target = k) AS labelled,
+              count(*) FILTER (WHERE pred = k) AS guessed,
+              count(*) FILTER (WHERE target = k AND pred = k) AS hit
+            FROM {rows} r JOIN picked_{tag} USING (user_id, win), range(6) t(k) GROUP BY 1, 2)
+      GROUP BY 1"""
+
+
+_SEARCH = [
+    (tag, f"{tag}{m}", length, step, least, user, hotel)
+    for tag, length, step, least in (("b", 4, 2, 4), ("a", 6, 5, 5))
+    for m, (user, hotel) in enumerate(((True, True), (False, True), (True, False)))
+]
+for _tag, *_data in (("a", 6, 5, 5), ("b", 4, 2, 4)):
+    VIEWS.update(_history(_tag, *_data))
+    VIEWS[f"train_{_tag}"] = f"SELECT * FROM parts_{_tag} WHERE split = 'train'"
+    VIEWS[f"eval_{_tag}"] = f"SELECT * FROM parts_{_tag} WHERE split = 'eval'"
+for _tag, _trial, _length, _, _, _user, _hotel in _SEARCH:
+    VIEWS.update(_bayes(_trial, f"train_{_tag}", f"eval_{_tag}", "user_id, win", _length, _user, _hotel))
+VIEWS["held_parts"] = "SELECT * FROM parts_a WHERE split <> 'train'"
+VIEWS.update(_bayes("held", "train_a", "held_parts", "user_id, win", 6))
+VIEWS["offered"] = f"""
+      SELECT c.user_id, c.target_hotel_id, list_append(hotels, c.target_hotel_id) AS h,
+        [{", ".join(f"i{k}.style_name" for k in range(1, 7))}] AS y, c.gender, c.age_group
+      FROM candidate_rows c {" ".join(f"LEFT JOIN items i{k} ON i{k}.hotel_id = hotels[{k}]" for k in range(1, 6))}
+      LEFT JOIN items i6 ON i6.hotel_id = c.target_hotel_id"""
+VIEWS.update(_bayes("all", "hist_a", "offered", "user_id, target_hotel_id", 6))
+
 ORACLES: dict[str, str] = {
     "normalise_location": "SELECT hotel_code, location_name, style_name FROM v_items0",
     "booking_action": """
@@ -586,6 +690,27 @@ ORACLES: dict[str, str] = {
         FROM runs r LEFT JOIN booked_items USING (booking_id) JOIN v_event_map USING (event_name)
         WHERE main_action IS NOT NULL GROUP BY 1, 2, 3, 4, 5) f
       JOIN users u ON f.raw_user_id = u.raw_user_id JOIN items i ON f.hotel_code = i.hotel_code""",
+    "ml_score": """
+      SELECT user_id, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
+        round(pred * prob, 6) AS important_value FROM picked_all""",
+    "ml_metrics": f"""
+      SELECT part AS split, n, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1
+      FROM ({_judged('held', 'held_parts', 'split')})""",
+    "ml_class_distribution": f"""
+      SELECT {_name('pred')} AS main_action, count(*) AS n FROM picked_held
+      JOIN held_parts USING (user_id, win) WHERE split = 'test' GROUP BY 1""",
+    "param_search": """
+      SELECT *, row_number() OVER (ORDER BY round(accuracy, 9) DESC, round(f1, 9) DESC, seq_len, step,
+          min_seen, user_features, hotel_features) AS rank FROM (
+        SELECT seq_len, step, min_seen, user_features, hotel_features, round(accuracy, 6) AS accuracy,
+          round(f1, 6) AS f1 FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT {length}::BIGINT AS seq_len, {step}::BIGINT AS step, {least}::BIGINT AS min_seen,"
+        f" {user} AS user_features, {hotel} AS hotel_features, accuracy, f1"
+        f" FROM ({_judged(name, f'eval_{tag}')})"
+        for tag, name, length, step, least, user, hotel in _SEARCH
+    )
+    + "))",
     "csv_roundtrip": f"""
       SELECT w.user_id, w.win, {_LIST}(h[s+1:s+6], ',') AS hotel_id_sequence,
         {_LIST}(a[s+1:s+6], ',') AS main_action_sequence, '\\E' AS notes
