@@ -1,7 +1,7 @@
 """Seconds per query on one node. Prints one JSON line.
 
-The stored tables (bookings, events, dimensions, training events) are built first and reported
-as ``setup``, because the daily jobs store them too; every query then runs in full.
+The stored tables (bookings, events, dimensions, training events) are built first; their seconds
+count in the total and stand by table in ``setup``. Every query then runs in full.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session("bench", cpus)
     domain = Domain(spark, sf_dir)
-    start = time.perf_counter()
+    setup = {}
     for stored in (
         domain.bookings,
         domain.raw_events,
@@ -61,8 +61,9 @@ def main() -> None:
         domain.predictions,
         domain.playlists,
     ):
+        start = time.perf_counter()
         stored()
-    setup = time.perf_counter() - start
+        setup[stored.__name__] = round(time.perf_counter() - start, 3)
     seconds = {}
     for name in names:
         start = time.perf_counter()
@@ -72,11 +73,11 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "total_query_seconds",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(seconds.values()) + sum(setup.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-                "setup": round(setup, 3),
+                "setup": setup,
                 "cpus": int(cpus),
             }
         )
