@@ -114,7 +114,9 @@ def test_item_dim(spark):
         (20, "hotel_2", "unspecified", "unspecified"),
         (30, "hotel_3", "location_oldtown_bigcity", "art_deco"),
     ]
-    by_code = {r["hotel_code"]: r for r in built.collect()}
+    assert "style_onehot" not in built.columns
+    by_code = {r["hotel_code"]: r for r in dims.spelled_out(built).collect()}
+    assert by_code[30]["style_name_index"] == 0 and by_code[30]["style_name_size"] == 3
     assert by_code[30]["style_onehot"] == [1, 0, 0]
     assert by_code[20]["style_onehot"] == [0, 1, 0]
     assert by_code[10]["location_onehot"] == [1, 0, 0]
@@ -127,7 +129,11 @@ def test_wide_item_dim_keeps_both_null_labels(spark):
         (20, 1, 1, 0),
         (30, 0, 0, 0),
     ]
-    assert dims.feature_columns(wide, "location_", ("location_name", "location_onehot")) == [
+    with pytest.raises(ValueError, match="too many values"):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(dims, "MAX_WIDE", 2)
+            items(spark, wide=True)
+    assert dims.feature_columns(wide, "location_", ("location_name", *dims.SPARSE)) == [
         "location_metro",
         "location_oldtown_bigcity",
         "location_unspecified",

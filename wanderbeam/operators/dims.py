@@ -196,6 +196,10 @@ def widen_one_hot(df: DataFrame, column: str, values: list[str], prefix: str = "
     return df.withColumns(flags)
 
 
+MAX_WIDE = 10_000
+SPARSE = ("style_name_index", "style_name_size", "location_name_index", "location_name_size")
+
+
 def build_item_dim(
     profile: DataFrame,
     styles: DataFrame,
@@ -205,8 +209,9 @@ def build_item_dim(
 ) -> DataFrame:
     """Item dimension with ids in item-code order and one-hot style and location.
 
-    ``wide`` adds one column per style (``style_<value>``) and per location
-    (``location_<value>``); the vocabularies become column names then.
+    One-hot values are stored sparse, as ``<column>_index`` and ``<column>_size``; see ``spelled_out``.
+    ``wide`` adds one column per style (``style_<value>``) and per location (``location_<value>``);
+    the vocabularies become column names then, so they may have ``MAX_WIDE`` values at most.
     """
     items = dense_ids(
         normalised_items(profile, styles, location_overrides), ["hotel_code"], "int_hotel_id"
@@ -227,8 +232,10 @@ def build_item_dim(
         "style_name",
         "latitude",
         "longitude",
-        dense_one_hot("style_name").alias("style_onehot"),
-        dense_one_hot("location_name").alias("location_onehot"),
+        "style_name_index",
+        "style_name_size",
+        "location_name_index",
+        "location_name_size",
         F.lit(dates.as_date(run_date)).alias("run_date"),
     )
     if not wide:
@@ -237,8 +244,11 @@ def build_item_dim(
         ("style_name", styles_vocab, "style_"),
         ("location_name", locations_vocab, ""),
     ):
-        # Column names are a driver-side matter; a vocabulary this wide cannot be a table.
-        names = [r[0] for r in vocab.orderBy("index").select(column).collect()]
+        # Column names are a driver-side matter; a wider vocabulary cannot be a table.
+        found = vocab.select("index", column).limit(MAX_WIDE + 1).collect()
+        if len(found) > MAX_WIDE:
+            raise ValueError(f"{column} has too many values for one column each")
+        names = [r[1] for r in sorted(found)]
         if prefix == "":
             names = [n for n in names if n != text.UNSPECIFIED]
             built = built.withColumn(
@@ -248,6 +258,16 @@ def build_item_dim(
     return built
 
 
+def spelled_out(items: DataFrame) -> DataFrame:
+    """The stored sparse one-hots as 0/1 arrays ``style_onehot`` and ``location_onehot``."""
+    return items.withColumns(
+        {
+            "style_onehot": dense_one_hot("style_name"),
+            "location_onehot": dense_one_hot("location_name"),
+        }
+    )
+
+
 def feature_columns(df: DataFrame, contains: str, exclude: tuple[str, ...] = ()) -> list[str]:
     """Sorted names of the columns whose name holds ``contains``, without ``exclude``."""
     return sorted(c for c in df.columns if contains in c and c not in exclude)

@@ -152,7 +152,7 @@ def fill_defaults(d: Domain) -> DataFrame:
 
 @query
 def star_except(d: Domain) -> DataFrame:
-    kept = d.items().drop("style_onehot", "location_onehot", "run_date", "latitude", "longitude")
+    kept = d.items().drop(*dims.SPARSE, "run_date", "latitude", "longitude")
     return kept.withColumnRenamed("location_name", "location")
 
 
@@ -416,7 +416,7 @@ def user_dim(d: Domain) -> DataFrame:
 @query
 def item_dim(d: Domain) -> DataFrame:
     built = dims.build_item_dim(d.hotel_profile(), d.styles(), EVENTS_AS_OF, OVERRIDES)
-    return built.select(
+    return dims.spelled_out(built).select(
         "hotel_code",
         "int_hotel_id",
         "hotel_id",
@@ -450,7 +450,7 @@ def one_hot_style(d: Domain) -> DataFrame:
 @query
 def one_hot_wide(d: Domain) -> DataFrame:
     wide = dims.build_item_dim(d.hotel_profile(), d.styles(), EVENTS_AS_OF, OVERRIDES, wide=True)
-    outside = ("style_name", "location_name", "style_onehot", "location_onehot")
+    outside = ("style_name", "location_name", *dims.SPARSE)
     names = dims.feature_columns(wide, "style_", outside)
     names += dims.feature_columns(wide, "location_", outside)
     sums = wide.agg(*[F.sum(F.col(f"`{n}`")).cast("bigint").alias(n) for n in names])
@@ -533,6 +533,11 @@ def kway_split(d: Domain) -> DataFrame:
 # --- candidates, scores, playlists ----------------------------------------------------
 
 
+def _top_with_default(d: Domain, displayed_only: bool) -> DataFrame:
+    """Enough offers for any top list of at most TOP_K, and the default user's."""
+    return recommend.with_default_user(d.top_offers(displayed_only), d.default_items(), TOP_K)
+
+
 def _with_default(d: Domain) -> DataFrame:
     return recommend.with_default_user(d.predictions(), d.default_items(), TOP_K)
 
@@ -579,7 +584,7 @@ def rank_per_user(d: Domain) -> DataFrame:
 
 @query
 def topk_per_user(d: Domain) -> DataFrame:
-    ranked = recommend.rank_per_user(_with_default(d), 3)
+    ranked = recommend.rank_per_user(_top_with_default(d, False), 3)
     return ranked.select("user_id", "target_hotel_id", big("rank"))
 
 
@@ -590,7 +595,7 @@ def playlist(d: Domain) -> DataFrame:
 
 @query
 def playlist_all_items(d: Domain) -> DataFrame:
-    return recommend.playlist(_with_default(d), d.users(), d.items(), TOP_K).select(
+    return recommend.playlist(_top_with_default(d, False), d.users(), d.items(), TOP_K).select(
         "user_id", text("sv_playlist")
     )
 
@@ -629,14 +634,14 @@ def bilingual_pivot(d: Domain) -> DataFrame:
 @query
 def serving_profile(d: Domain) -> DataFrame:
     return serving.serving_profile(
-        _with_default(d), d.items(), d.hotel_profile(), _displayed(d), TOP_K
+        _top_with_default(d, True), d.items(), d.hotel_profile(), _displayed(d), TOP_K
     ).withColumn("rating", big("rating"))
 
 
 @query
 def entries_without_profile(d: Domain) -> DataFrame:
     """List entries that the serving profile doesn't know: none."""
-    known = serving.serving_profile(_with_default(d), d.items(), d.hotel_profile(), _displayed(d), TOP_K)
+    known = serving.serving_profile(_top_with_default(d, True), d.items(), d.hotel_profile(), _displayed(d), TOP_K)
     codes = known.select(F.col("hotel_code").cast("string").alias("code"))
     entries = d.playlists().select(F.explode("sv_playlist").alias("code"))
     found = lookup_join(entries, codes.withColumn("known", F.lit(1)), "code", "left")

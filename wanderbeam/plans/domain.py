@@ -366,16 +366,18 @@ class Domain:
     def playlists(self) -> DataFrame:
         return self._stored("playlists", self.build_playlists)
 
-    def build_playlists(self) -> DataFrame:
-        """Top items per user straight from the behaviour, plus the trending default.
+    def top_offers(self, displayed_only: bool) -> DataFrame:
+        """Candidates that can be in a top list, instead of users times items.
 
-        The empirical score depends on the item alone, so only the best displayed items of a
-        location are offered to its users.
+        The empirical score depends on the item alone, so only the best items of a location are
+        offered to its users.
         """
-        displayed = recommend.displayed_items(self.items(), self.hotel_profile())
         scored = recommend.trained_only(self.scored_items(), self.trained_items())
-        best = recommend.best_of_location(scored.join(displayed, "hotel_id", "left_semi"), TOP_K)
-        offered = recommend.candidates(
+        if displayed_only:
+            displayed = recommend.displayed_items(self.items(), self.hotel_profile())
+            scored = scored.join(displayed, "hotel_id", "left_semi")
+        best = recommend.best_of_location(scored, TOP_K)
+        return recommend.candidates(
             self.eligible(),
             self.items(),
             self.trained_items(),
@@ -383,6 +385,9 @@ class Domain:
             ("pred_action", "prob", "important_value"),
             targets=best,
         )
-        top = self.default_items()
-        predictions = recommend.with_default_user(offered, top, TOP_K)
+
+    def build_playlists(self) -> DataFrame:
+        """Top items per user straight from the behaviour, plus the trending default."""
+        displayed = recommend.displayed_items(self.items(), self.hotel_profile())
+        predictions = recommend.with_default_user(self.top_offers(True), self.default_items(), TOP_K)
         return recommend.playlist(predictions, self.users(), self.items(), TOP_K, displayed)
