@@ -19,7 +19,7 @@ from wanderbeam.llm import (
     toxicity,
     url_filter,
 )
-from wanderbeam.llm.sql import MIXING_SQL, QUALITY_RULES_SQL, SHARDING_SQL
+from wanderbeam.llm.sql import MIXING_SQL, QUALITY_RULES_SQL, SHARDING_SQL, SUBSTRING_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,4 +88,5 @@ ORACLES: dict[str, str] = {
     "op3_temperature_mixing": MIXING_SQL,
     "op5_byte_shards": SHARDING_SQL,
     "op7_quality_rules": QUALITY_RULES_SQL,
+    "op8_difference_cover": SUBSTRING_SQL,
 }

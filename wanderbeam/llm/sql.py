@@ -132,3 +132,24 @@ WITH RECURSIVE d AS (
 SELECT doc_id, source, tokens::BIGINT AS mix_tokens, block::INTEGER AS mix_block, key AS mix_key
 FROM run WHERE block < passes OR upto <= rest
 """
+
+SUBSTRING_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), g AS (
+  SELECT r, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13 AND doc_id IS NOT NULL)
+), f AS (
+  SELECT win, min(doc_id) AS first FROM g GROUP BY win
+), gone AS (
+  SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (win) WHERE first < doc_id)
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY p) AS body
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r
+), n AS (
+  SELECT r, count(*) AS n FROM gone GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
