@@ -198,7 +198,10 @@ class Domain:
         return self._stored("raw-events", self.build_raw_events)
 
     def build_raw_events(self) -> DataFrame:
-        """App events with a session (the day) and key-value parameters."""
+        """App events with a session (the day) and key-value parameters.
+
+        Some events come from a second session of the user at the same time, some from a second user.
+        """
         name, value = F.col("event_type"), F.col("value")
         item = F.get_json_object("props", "$.k")
 
@@ -228,14 +231,22 @@ class Domain:
             F.when(name == "click", param("carousel_id", F.lit("c1"))),
             F.when(name == "click", param("carousel_name", F.lit("Top picks"))),
         )
-        return self.table("events").select(
+        again = F.concat(
+            F.array(F.lit(0)),
+            F.when(F.col("event_id") % 11 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")),
+            F.when(F.col("event_id") % 13 == 0, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")),
+        )
+        events = self.table("events").withColumn("copy", F.explode(again))
+        user = F.col("user_id") + F.when(F.col("copy") == 2, 1).otherwise(0)
+        session = F.date_format("ts", "yyyyMMdd").cast("bigint") + F.when(F.col("copy") == 1, 1).otherwise(0)
+        return events.select(
             F.date_format("ts", "yyyyMMdd").alias("event_date"),
             F.col("ts").alias("event_timestamp"),
             name.alias("event_name"),
             F.when((name == "error") & (value < 2), " ")
-            .otherwise(F.col("user_id").cast("string"))
+            .otherwise(user.cast("string"))
             .alias("user_id"),
-            F.date_format("ts", "yyyyMMdd").cast("bigint").alias("ga_session_id"),
+            session.alias("ga_session_id"),
             F.struct(F.when(value > 45, "Other.App").otherwise("Shop.App").alias("id")).alias("app_info"),
             F.filter(params, lambda p: p.isNotNull()).alias("event_params"),
         )

@@ -264,8 +264,8 @@ VIEWS: dict[str, str] = {
       LEFT JOIN users u ON w.user_id = u.user_id""",
     "v_raw_events": """
       SELECT strftime(ts, '%Y%m%d') AS event_date, ts AS event_timestamp, event_type AS event_name,
-        CAST(user_id AS VARCHAR) AS user_id, CAST(user_id AS VARCHAR) || strftime(ts, '%Y%m%d') AS uid,
-        CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS ga_session_id,
+        CAST(user_id AS VARCHAR) AS user_id, CAST(user_id AS VARCHAR) || CAST(session AS VARCHAR) AS uid,
+        session AS ga_session_id,
         CASE WHEN event_type <> 'purchase' OR value >= 5 THEN props->>'$.k' END AS hotel_id,
         'Hotel ' || (props->>'$.k') AS hotel_name,
         CASE WHEN value >= 20 THEN 'OTA Flight' WHEN event_type = 'error' THEN 'Other'
@@ -274,7 +274,11 @@ VIEWS: dict[str, str] = {
         CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS booking_id,
         CASE WHEN event_type = 'click' THEN 'c1' END AS carousel_id,
         CASE WHEN event_type = 'click' THEN 'Top picks' END AS carousel_name
-      FROM events WHERE value <= 45 AND NOT (event_type = 'error' AND value < 2)""",
+      FROM (SELECT * REPLACE (user_id + CASE WHEN copy = 2 THEN 1 ELSE 0 END AS user_id),
+              CAST(strftime(ts, '%Y%m%d') AS BIGINT) + CASE WHEN copy = 1 THEN 1 ELSE 0 END AS session
+            FROM events, (VALUES (0), (1), (2)) c(copy)
+            WHERE copy = 0 OR (copy = 1 AND event_id % 11 = 0) OR (copy = 2 AND event_id % 13 = 0))
+      WHERE value <= 45 AND NOT (event_type = 'error' AND value < 2)""",
     "unified": """
       SELECT DISTINCT * FROM v_raw_events
       WHERE lower(content_group) IN ('ota hotel', 'ota', 'ota flight')""",
@@ -673,13 +677,15 @@ ORACLES: dict[str, str] = {
     "upstream_report": """
       SELECT event_date, hotel_id, first_touch_source, """
     + ", ".join(
-        f"count(*) FILTER (WHERE upstream_event_tag = '{t}') AS {t}_{m}"
+        f"CAST(coalesce(sum({m}) FILTER (WHERE upstream_event_tag = '{t}'), 0) AS BIGINT) AS {t}_{m}"
         for t in UPSTREAM_TAGS
         for m in ("impression", "reach")
     )
-    + """ FROM (SELECT DISTINCT event_date, event_timestamp, event_name, user_id, uid, hotel_id, hotel_name,
-          first_touch_source, upstream_event_tag FROM v_raw_events JOIN v_event_map USING (event_name)
-          WHERE upstream_event_tag <> 'N' AND hotel_id IS NOT NULL) GROUP BY 1, 2, 3""",
+    + """ FROM (SELECT event_date, event_timestamp, event_name, hotel_id, hotel_name, first_touch_source,
+            upstream_event_tag, count(DISTINCT uid) AS impression, count(DISTINCT user_id) AS reach
+          FROM v_raw_events JOIN v_event_map USING (event_name)
+          WHERE upstream_event_tag <> 'N' AND hotel_id IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7)
+        GROUP BY 1, 2, 3""",
     "training_events": """
       SELECT u.user_id, f.main_action, i.hotel_id, f.duration, f.complete_flag, f.event_timestamp FROM (
         SELECT uid, CAST(r.user_id AS BIGINT) AS raw_user_id, main_action,
