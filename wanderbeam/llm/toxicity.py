@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,10 +45,11 @@ def features(distinct: set[bytes]) -> set[bytes]:
     return out
 
 
-def telling(rows: list[set[bytes]], labels: np.ndarray, min_rows: int, least_z: float, size: int) -> dict[bytes, int]:
+def telling(rows: Iterable[set[bytes]], labels: np.ndarray, min_rows: int, least_z: float, size: int) -> dict[bytes, int]:
     """Features whose shares in the two classes differ by ``least_z`` standard errors or more.
 
-    Without this choice the many words that stand in a few rows each add up in long texts.
+    Without this choice the many words that stand in a few rows each add up in long texts. The rows are
+    looked at one by one and only counts are kept.
     """
     counts = [Counter(), Counter()]
     for row, y in zip(rows, labels.tolist()):
@@ -119,18 +121,20 @@ def train(
         share = float(labels.mean()) if len(labels) else 0.5
         return Model({}, np.zeros(0), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     swaps = swap_table(groups)
-    words = [tokens(t) for t in texts]
-    rows = [features(set(w)) for w in words]
-    vocab = telling(rows, labels, min(min_rows, max(1, len(rows) // 10)), least_z, size)
+    rows = (features(set(tokens(t))) for t in texts)
+    vocab = telling(rows, labels, min(min_rows, max(1, len(texts) // 10)), least_z, size)
     vocab |= {t: len(vocab) + k for k, t in enumerate(sorted(swaps.keys() - vocab.keys()))}
-    found = [indices(r, vocab) for r in rows]
+    found: list[np.ndarray] = []
     pairs: list[list[tuple[np.ndarray, np.ndarray]]] = []
-    for w, r in zip(words, rows):
-        other = [features(x) for x in counterfactuals(w, swaps)]
-        pairs.append([(indices(r - o, vocab), indices(o - r, vocab)) for o in other])
+    for text in texts:
+        words = tokens(text)
+        row = features(set(words))
+        found.append(indices(row, vocab))
+        other = [features(x) for x in counterfactuals(words, swaps)]
+        pairs.append([(indices(row - o, vocab), indices(o - row, vocab)) for o in other])
     rng = np.random.default_rng(seed)
-    spare = rng.random(len(rows)) < 0.2
-    if len(rows) < 50 or len(set(labels[spare].tolist())) < 2 or len(set(labels[~spare].tolist())) < 2:
+    spare = rng.random(len(texts)) < 0.2
+    if len(texts) < 50 or len(set(labels[spare].tolist())) < 2 or len(set(labels[~spare].tolist())) < 2:
         spare[:] = False
     coef, heat = np.zeros(len(vocab)), np.full(len(vocab), 1e-2)
     bias, bias_heat = 0.0, 1e-2
