@@ -57,6 +57,19 @@ def initial(shape: Shape, seed: int = 7) -> Params:
     }
 
 
+def with_frequencies(p: Params, shape: Shape, word_counts: np.ndarray, ending_counts: np.ndarray) -> Params:
+    """Output biases set to the smoothed log shares of the classes and of the words in their class."""
+    table = np.zeros(shape.words)
+    table[: len(word_counts)] = word_counts
+    table = table.reshape(shape.groups, shape.width) + 0.1
+    classes = np.concatenate([table.sum(axis=1), np.asarray(ending_counts, float) + 0.1])
+    biases = {
+        "class_bias": np.log(classes / classes.sum()).astype(np.float32),
+        "word_bias": np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32),
+    }
+    return p | biases
+
+
 @dataclass
 class Lanes:
     """Documents laid end to end in parallel lanes; -1 pads the ends."""

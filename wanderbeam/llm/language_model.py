@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -39,10 +40,9 @@ class Spec:
     modulus: int = 10
 
 
-def tokens(text: str | None) -> list[str]:
-    """Words with A-Z lower-cased, then the end token."""
-    parts = text_bytes(text, lower=True).split()
-    return [*b"\n".join(parts).decode().split("\n"), END] if parts else [END]
+def words(text: str | None) -> list[bytes]:
+    """Words with A-Z lower-cased, as UTF-8."""
+    return text_bytes(text, lower=True).split()
 
 
 def token_counts(docs: DataFrame, hold: int = 300_000) -> DataFrame:
@@ -52,13 +52,14 @@ def token_counts(docs: DataFrame, hold: int = 300_000) -> DataFrame:
         seen: Counter = Counter()
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"token": list(seen.keys()), "c": np.fromiter(seen.values(), np.int64, len(seen))})
+            out = pd.DataFrame({"token": [w.decode() for w in seen], "c": np.fromiter(seen.values(), np.int64, len(seen))})
             seen.clear()
             return out
 
         for batch in batches:
             for text in batch["text"]:
-                seen.update(tokens(text))
+                seen.update(words(text))
+                seen[b""] += 1
                 if len(seen) > hold:
                     yield flush()
         if seen:
@@ -82,34 +83,58 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
 
 @dataclass
 class Lexicon:
-    """What the tasks know: counts of the dictionary, ids of the model's words, and the endings."""
+    """What the tasks know: the dictionary, the model's words (its first ones) and the endings."""
 
-    counts: dict[str, int]
-    ids: dict[str, int]
+    places: dict[bytes, int]
+    # By place in the dictionary: log10 of (count + ADD), and input id of the model.
+    logs: np.ndarray
+    ids: np.ndarray
     endings: dict[str, int]
     total: int
     distinct: int
     # Per ending class: log10 of (its tokens + ADD * (its distinct tokens + 1)).
     class_logs: np.ndarray
+    # Tokens of each of the model's words and of each ending class.
+    word_counts: np.ndarray
+    ending_counts: np.ndarray
     shape: gru.Shape
 
+    @property
+    def end_known(self) -> int:
+        """1 if any text was learnt from: every text has an end."""
+        return int(self.total > 0)
+
+    @property
+    def end(self) -> int:
+        return int(self.ids[self.places[b""]])
+
     def ending(self, token: str) -> int:
         """Class of a token that is not one of the model's words; the last class is for the rest."""
         return self.endings.get(token[-ENDING:], self.shape.endings - 1)
 
-    def encode(self, words: list[str]) -> np.ndarray:
-        get, words_end, shift = self.ids.get, self.endings.get, self.shape.words
-        rest = self.shape.endings - 1
-        return np.array([i if (i := get(w)) is not None else shift + words_end(w[-ENDING:], rest) for w in words], np.int32)
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Places of the words and the end (-1: not in the dictionary), their ids, and the words without a place."""
+        parts = words(text)
+        n = len(parts)
+        at = np.empty(n + 1, np.int64)
+        at[:n] = np.fromiter(map(self.places.get, parts, repeat(-1)), np.int64, n)
+        at[n] = self.places[b""]
+        ids = self.ids[at]
+        missing = np.flatnonzero(at < 0)
+        rare = [parts[k].decode() for k in missing.tolist()]
+        if rare:
+            ids[missing] = self.shape.words + np.fromiter(map(self.ending, rare), np.int32, len(rare))
+        return at, ids, rare
 
 
 def lexicon(counts: DataFrame, spec: Spec) -> Lexicon:
     """Built from counts of the whole corpus; only bounded parts of them reach the driver."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    known = {r[0]: r[1] for r in frequent(counts, spec.dictionary).collect()}
+    sent = frequent(counts, spec.dictionary).union(counts.where(F.col("token") == END))
+    known = {r[0]: r[1] for r in sent.collect()}
     order = sorted((w for w in known if w != END), key=lambda w: (-known[w], w))
-    words = [END, *order[: spec.shape.words - 1]]
-    chosen = counts.sparkSession.createDataFrame([(w,) for w in words], "token string")
+    model_words = [END, *order[: spec.shape.words - 1]]
+    chosen = counts.sparkSession.createDataFrame([(w,) for w in model_words], "token string")
     other = counts.join(F.broadcast(chosen), "token", "left_anti")
     tail = F.substring("token", -ENDING, ENDING)
     by_ending = other.groupBy(tail.alias("ending")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"))
@@ -118,88 +143,105 @@ def lexicon(counts: DataFrame, spec: Spec) -> Lexicon:
     whole = by_ending.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     sizes = [(r[1], r[2]) for r in first] + [(0, 0)] * (spec.shape.endings - 1 - len(first))
     sizes.append((whole[0] - sum(a for a, _ in sizes), whole[1] - sum(b for _, b in sizes)))
-    logs = np.array([math.log10(c + ADD * (v + 1)) for c, v in sizes])
-    return Lexicon(known, {w: i for i, w in enumerate(words)}, {r[0]: k for k, r in enumerate(first)}, total, distinct, logs, spec.shape)
+    class_logs = np.array([math.log10(c + ADD * (v + 1)) for c, v in sizes])
+    # The model's words first; without any training text the end alone.
+    listed = [*model_words, *order[spec.shape.words - 1 :]]
+    endings = {r[0]: k for k, r in enumerate(first)}
+    other_ids = [endings.get(w[-ENDING:], spec.shape.endings - 1) for w in listed[len(model_words) :]]
+    ids = np.array([*range(len(model_words)), *[spec.shape.words + k for k in other_ids], -1], np.int32)
+    logs = np.log10(np.array([known.get(w, 0) for w in listed], float) + ADD)
+    places = {w.encode(): k for k, w in enumerate(listed)}
+    word_counts = np.array([known.get(w, 0) for w in model_words], float)
+    ending_counts = np.array([c for c, _ in sizes], float)
+    return Lexicon(places, logs, ids, endings, total, distinct, class_logs, word_counts, ending_counts, spec.shape)
+
+
+READ = (
+    "n_tokens long, n_known long, known_log double, outside_log double,"
+    " rare array<struct<token:string,n:int>>, ids binary"
+)
+
+
+def read_texts(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """Columns of ``docs`` but the text, plus what the dictionary says about it and the model's input ids.
+
+    ``known_log`` and ``outside_log`` are sums over the dictionary's words: log10 of their smoothed counts, and
+    of their shares of their ending's class where the model knows no more. Rare words are listed for a join.
+    """
+
+    @F.pandas_udf(READ)
+    def read(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            at, ids, rare = lex.read(text)
+            placed = at[at >= 0]
+            logs = lex.logs[placed]
+            inside = logs[lex.ids[placed] >= lex.shape.words].sum()
+            by_ending = lex.class_logs[ids[ids >= lex.shape.words] - lex.shape.words].sum()
+            known = len(placed) - 1 + lex.end_known
+            listed = list(Counter(rare).items())
+            out.append((len(at), known, float(logs.sum()), float(inside - by_ending), listed, ids.astype("<i2").tobytes()))
+        return pd.DataFrame(out, columns=["n_tokens", "n_known", "known_log", "outside_log", "rare", "ids"])
+
+    return docs.withColumn("__s", read(F.col("text"))).select(*[c for c in docs.columns if c != "text"], "__s.*")
+
 
+def _ids(bodies: pd.Series) -> list[np.ndarray]:
+    return [np.frombuffer(b, "<i2").astype(np.int32) for b in bodies]
 
-def train(docs: DataFrame, lex: Lexicon, spec: Spec, seed: int = 7) -> gru.Params:
+
+def train(texts: DataFrame, lex: Lexicon, spec: Spec, seed: int = 7) -> gru.Params:
     """Parameters after ``spec.rounds`` rounds: every partition trains on its documents, then all average.
 
-    A partition's result weighs as many as its tokens. Averages are formed block by block,
-    first among 64 shares of the partitions and then among the shares, so no task holds more than a block of each.
+    ``texts`` has columns ``ids`` and ``turn``, the round that uses the document. A partition's result weighs
+    as many as its tokens. Training starts from the frequencies of classes and words. Averages are formed block by block, first among 64 shares of the partitions
+    and then among the shares, so no task holds more than a block of each.
     """
-    params = gru.initial(spec.shape, seed)
-    turn = F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(spec.rounds))
-    schema = "share int, block int, weight double, body binary"
-
-    def mean(rows: pd.DataFrame) -> pd.DataFrame:
-        weight = rows["weight"].to_numpy()
-        bodies = [np.frombuffer(b, "<f8") for b in rows["body"]]
-        body = sum(w * b for w, b in zip(weight, bodies)) / weight.sum()
-        return pd.DataFrame({"share": [0], "block": [int(rows["block"].iloc[0])], "weight": [weight.sum()], "body": [body.tobytes()]})
-
-    for turn_now in range(spec.rounds):
-        rate = spec.rate / (1 + turn_now)
-
-        some = docs.where(turn == turn_now).select("text").mapInPandas(_learner(params, lex, spec, rate), schema)
-        shares = some.groupBy("share", "block").applyInPandas(mean, schema)
-        blocks = shares.groupBy("block").applyInPandas(mean, schema).collect()
+    params = gru.with_frequencies(gru.initial(spec.shape, seed), spec.shape, lex.word_counts, lex.ending_counts)
+    for turn in range(spec.rounds):
+        learner = _learner(params, lex, spec, spec.rate / (1 + turn))
+        some = texts.where(F.col("turn") == turn).select("ids").mapInPandas(learner, LEARNT)
+        shares = some.groupBy("share", "block").applyInPandas(_mean, LEARNT)
+        blocks = shares.groupBy("block").applyInPandas(_mean, LEARNT).collect()
         if blocks:
             values = np.concatenate([np.frombuffer(r["body"], "<f8") for r in sorted(blocks, key=lambda r: r["block"])])
             params = gru.unflat(values, params)
     return params
 
 
+LEARNT = "share int, block int, weight double, body binary"
+
+
 def _learner(params: gru.Params, lex: Lexicon, spec: Spec, rate: float):
+    end = lex.end
+
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trainer = gru.Trainer(params, spec.shape, rate, every=spec.every)
-        share = 0
         for batch in batches:
-            docs = [lex.encode(tokens(t)) for t in batch["text"]]
-            share = share or 1 + sum(map(len, docs)) % 64
-            trainer.learn(docs, lex.ids[END])
+            trainer.learn(_ids(batch["ids"]), end)
         if trainer.tokens:
+            share = trainer.tokens % 64
             rows = [(share, k, float(trainer.tokens), b.astype("<f8").tobytes()) for k, b in gru.blocks(gru.flat(trainer.p))]
             yield pd.DataFrame(rows, columns=["share", "block", "weight", "body"])
 
     return learn
 
 
-PARTS = "n_tokens long, n_known long, known_log double, model_log double, rare array<struct<token:string,n:int>>"
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    weight = rows["weight"].to_numpy()
+    body = sum(w * np.frombuffer(b, "<f8") for w, b in zip(weight, rows["body"])) / weight.sum()
+    return pd.DataFrame({"share": [0], "block": [int(rows["block"].iloc[0])], "weight": [weight.sum()], "body": [body.tobytes()]})
 
 
-def partial_scores(docs: DataFrame, lex: Lexicon, params: gru.Params) -> DataFrame:
-    """Columns of ``docs`` plus what can be said without the counts of rare words, which are listed."""
-    shape, count_of = lex.shape, lex.counts
-    logs = {w: math.log10(c + ADD) for w, c in count_of.items()}
+def likelihood(ids: Column, lex: Lexicon, params: gru.Params) -> Column:
+    """log10 of the recurrent model's probability of a whole document."""
+    shape, end = lex.shape, lex.end
 
-    @F.pandas_udf(PARTS)
-    def score(texts: pd.Series) -> pd.DataFrame:
-        out, encoded = [], []
-        for text in texts:
-            words = tokens(text)
-            ids = lex.encode(words)
-            encoded.append(ids)
-            tally = Counter(words)
-            known = known_log = inside = 0
-            rare = []
-            for w, n in tally.items():
-                log = logs.get(w)
-                if log is None:
-                    rare.append((w, n))
-                else:
-                    known += n
-                    known_log += n * log
-                    if w not in lex.ids:
-                        inside += n * log
-            other = ids[ids >= shape.words] - shape.words
-            out.append((len(words), known, known_log, inside - float(lex.class_logs[other].sum()), rare))
-        natural = gru.log_likelihoods(params, shape, encoded, lex.ids[END])
-        frame = pd.DataFrame(out, columns=["n_tokens", "n_known", "known_log", "model_log", "rare"])
-        frame["model_log"] += natural / math.log(10)
-        return frame
-
-    return docs.withColumn("__s", score(F.col("text")))
+    @F.pandas_udf("double")
+    def of(bodies: pd.Series) -> pd.Series:
+        return pd.Series(gru.log_likelihoods(params, shape, _ids(bodies), end) / math.log(10))
+
+    return of(ids)
 
 
 def document_scores(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
@@ -216,10 +258,11 @@ def document_scores(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     learnable = docs.where(~held_out).select("text")
     counts = materialise(token_counts(learnable), "token-counts")
     lex = lexicon(counts, spec)
-    params = train(learnable, lex, spec)
-    scored = partial_scores(docs.select("doc_id", "text"), lex, params)
-    scored = scored.select("doc_id", held_out.alias("held_out"), "__s.*").withColumn("row", F.monotonically_increasing_id())
-    stored = materialise(scored, "partial-scores")
+    turn = F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(spec.rounds)).alias("turn")
+    texts = read_texts(docs.select("doc_id", held_out.alias("held_out"), turn, "text"), lex)
+    # Read below by every round, the scores and the rare words; the row numbers are stored with it.
+    stored = materialise(texts.withColumn("row", F.monotonically_increasing_id()), "read-texts")
+    params = train(stored.where("not held_out"), lex, spec)
     rare = stored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     found = rare.join(counts, "token", "left")
     c = F.coalesce(F.col("c"), F.lit(0))
@@ -230,12 +273,13 @@ def document_scores(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     zero = F.lit(0.0)
     norm = math.log10(lex.total + ADD * (lex.distinct + 1))
     rare_log = F.coalesce(F.col("rare_log"), zero)
-    return stored.drop("rare").join(sums, "row", "left").select(
+    scored = stored.withColumn("model_log", likelihood(F.col("ids"), lex, params)).drop("rare", "ids")
+    return scored.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce(F.col("rare_known"), F.lit(0))).cast("long").alias("n_known"),
         F.lit(lex.total).cast("long").alias("train_tokens"),
         (F.col("known_log") + rare_log - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (F.col("model_log") + rare_log).alias("score"),
+        (F.col("model_log") + F.col("outside_log") + rare_log).alias("score"),
     )
