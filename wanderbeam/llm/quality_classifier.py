@@ -179,12 +179,11 @@ def train(
         share = float(labels.mean()) if len(labels) else 0.5
         odds = np.log((share + 1e-3) / (1 - share + 1e-3))
         return Model({}, np.zeros(0), 0.0, 1.0, float(odds))
-    reader = Reader()
-    rows = [reader.of(t) for t in texts]
-    vocab = vocabulary(rows, min(min_rows, max(1, len(texts) // 10)), size)
-    found = [indices(r, vocab) for r in rows]
-    spare = np.random.default_rng(seed).random(len(rows)) < 0.2
-    if len(rows) < 50 or len(set(labels[spare].tolist())) < 2 or len(set(labels[~spare].tolist())) < 2:
+    reader = Reader(memory=50_000)
+    vocab = vocabulary((reader.of(t) for t in texts), min(min_rows, max(1, len(texts) // 10)), size)
+    found = [indices(reader.of(t), vocab) for t in texts]
+    spare = np.random.default_rng(seed).random(len(texts)) < 0.2
+    if len(texts) < 50 or len(set(labels[spare].tolist())) < 2 or len(set(labels[~spare].tolist())) < 2:
         spare[:] = False
     fit = [x for x, s in zip(found, spare) if not s]
     y = labels[~spare]
