@@ -13,11 +13,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as driver
 import compare
 
+from wanderbeam.plans.catalogue import QUERIES
+from wanderbeam.plans.oracle import ORACLES
 from wanderbeam.operators import behaviour, evaluate, event_log, ids, recommend, sequences, serving
 from wanderbeam.plans.domain import Domain
 
 SF_DIR = "/root/testdata/sf0.001"
-NO_SQL = {"ml_score", "ml_metrics", "ml_class_distribution", "param_search"}
 
 
 @pytest.fixture(scope="module")
@@ -25,13 +26,14 @@ def con():
     return compare.database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - NO_SQL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     assert compare.difference(spark, con, name, SF_DIR) is None
 
 
-def test_all_other_queries_have_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == NO_SQL
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(QUERIES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
