@@ -281,6 +281,15 @@ def test_trees_learn_from_labelled_urls(spark):
     assert none.collect() == []
 
 
+def test_capped_urls_keep_the_shares_of_all_labels(spark):
+    rng = random.Random(6)
+    rows = [(f"http://{''.join(rng.choice('abcdefgh') for _ in range(8))}.net/{i}", int(i % 5 == 0)) for i in range(400)]
+    urls = spark.createDataFrame(rows, "url string, label int")
+    model = url_filter.fit_urls(urls, url_filter.Bound(per_class=40, trees=2, depth=1))
+    assert abs(model.overall - 0.2) < 1e-9
+    assert abs(sum(r.block_score for r in model.scored(urls).collect()) / len(rows) - 0.2) < 0.15
+
+
 def test_pipeline_stages_hand_on_documents(spark, tmp_path):
     import corpus_pipeline
 

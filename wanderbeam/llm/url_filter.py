@@ -150,23 +150,29 @@ def _vectors(df: DataFrame) -> DataFrame:
 def fit_urls(labelled: DataFrame, bound: Bound = Bound()) -> UrlModel:
     """Trees from rows with ``url`` and ``label`` (1: block), a bounded sample of each label.
 
-    NULL urls and other labels are left out. With one label only its share is every score.
+    A sampled row weighs as many as the distinct labelled URLs of its label that it stands for, so the shares of the labels
+    are those of all labelled URLs, whatever their number. NULL urls and other labels are left out. With one label only its
+    share is every score.
     """
     usable = labelled.where(F.col("url").isNotNull() & F.col("label").isin(0, 1)).select("url", F.col("label").cast("int").alias("label")).distinct()
-    order = F.xxhash64("url", F.lit(bound.seed))
-    parts = [usable.where(F.col("label") == c).orderBy(order, "url").limit(bound.per_class) for c in (0, 1)]
-    sample = materialise(lexical(parts[0].union(parts[1])), "url-sample")
-    counts = dict(sample.groupBy("label").count().collect())
+    usable = materialise(usable, "url-labelled")
+    counts = dict(usable.groupBy("label").count().collect())
     total = sum(counts.values())
     overall = counts.get(1, 0) / total if total else 0.0
     if len(counts) < 2:
         return UrlModel(None, None, overall)
-    suffixes = sample.select(F.explode(F.array_distinct(F.array("suffix1", "suffix2"))).alias("suffix"), "label")
-    rate = (F.sum("label") + F.lit(bound.prior * overall)) / (F.count(F.lit(1)) + F.lit(bound.prior))
+    order = F.xxhash64("url", F.lit(bound.seed))
+    parts = [
+        usable.where(F.col("label") == c).orderBy(order, "url").limit(bound.per_class).withColumn("weight", F.lit(n / min(n, bound.per_class)))
+        for c, n in sorted(counts.items())
+    ]
+    sample = materialise(lexical(parts[0].union(parts[1])), "url-sample")
+    suffixes = sample.select(F.explode(F.array_distinct(F.array("suffix1", "suffix2"))).alias("suffix"), "label", "weight")
+    rate = (F.sum(F.col("label") * F.col("weight")) + F.lit(bound.prior * overall)) / (F.sum("weight") + F.lit(bound.prior))
     model = UrlModel(None, materialise(suffixes.groupBy("suffix").agg(rate.alias("rate")), "url-suffixes"), overall)
-    ready = materialise(_vectors(model.with_rates(sample)).select("__features", "label").coalesce(4), "url-vectors")
+    ready = materialise(_vectors(model.with_rates(sample)).select("__features", "label", "weight").coalesce(4), "url-vectors")
     trees = GBTClassifier(
-        featuresCol="__features", labelCol="label", maxIter=bound.trees, maxDepth=bound.depth, stepSize=0.3, seed=bound.seed
+        featuresCol="__features", labelCol="label", weightCol="weight", maxIter=bound.trees, maxDepth=bound.depth, stepSize=0.3, seed=bound.seed
     )
     model.trees = trees.fit(ready)
     return model
