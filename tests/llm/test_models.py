@@ -290,6 +290,14 @@ def test_capped_urls_keep_the_shares_of_all_labels(spark):
     assert abs(sum(r.block_score for r in model.scored(urls).collect()) / len(rows) - 0.2) < 0.15
 
 
+def test_suffix_rates_cover_all_labelled_urls(spark):
+    rows = [(f"http://d{i % 50}.net/{i}", int(i % 50 < 10)) for i in range(300)]
+    model = url_filter.fit_urls(spark.createDataFrame(rows, "url string, label int"), url_filter.Bound(per_class=5, trees=1, depth=1))
+    rates = {r.suffix: r.rate for r in model.rates.collect()}
+    assert len(rates) == 51
+    assert all(abs(rates[f"d{k}.net"] - (6 * (k < 10) + 20 * 0.2) / 26) < 1e-9 for k in range(50))
+
+
 def test_pipeline_stages_hand_on_documents(spark, tmp_path):
     import corpus_pipeline
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wanderbeam.llm.text import let, lower_ascii
+from wanderbeam.operators.skew import lookup_join
 from wanderbeam.session import materialise
 
 ALLOW, BLOCK = "allow", "block"
@@ -121,17 +122,17 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
 
 @dataclass
 class UrlModel:
-    """Trees, the block rates of host suffixes seen in training, and the overall rate."""
+    """Trees, the block rates of the host suffixes of all labelled URLs, and the overall rate."""
 
     trees: GBTClassificationModel | None
     rates: DataFrame | None
     overall: float
 
     def with_rates(self, df: DataFrame) -> DataFrame:
-        """Adds the suffix statistics; there are at most two suffixes for each training URL, so they are broadcast."""
+        """Adds the suffix statistics; they are broadcast only if they are measured to be small."""
         for name in ("suffix1", "suffix2"):
             side = self.rates.select(F.col("suffix").alias(name), F.col("rate").alias(f"{name}_rate"))
-            df = df.join(F.broadcast(side), name, "left").fillna(self.overall, [f"{name}_rate"])
+            df = lookup_join(df, side, name, "left").fillna(self.overall, [f"{name}_rate"])
         return df
 
     def scored(self, df: DataFrame, url: str = "url") -> DataFrame:
@@ -151,7 +152,7 @@ def fit_urls(labelled: DataFrame, bound: Bound = Bound()) -> UrlModel:
     """Trees from rows with ``url`` and ``label`` (1: block), a bounded sample of each label.
 
     A sampled row weighs as many as the distinct labelled URLs of its label that it stands for, so the shares of the labels
-    are those of all labelled URLs, whatever their number. NULL urls and other labels are left out. With one label only its
+    are those of all labelled URLs, whatever their number. Suffixes are counted over all of them. NULL urls and other labels are left out. With one label only its
     share is every score.
     """
     usable = labelled.where(F.col("url").isNotNull() & F.col("label").isin(0, 1)).select("url", F.col("label").cast("int").alias("label")).distinct()
@@ -167,8 +168,8 @@ def fit_urls(labelled: DataFrame, bound: Bound = Bound()) -> UrlModel:
         for c, n in sorted(counts.items())
     ]
     sample = materialise(lexical(parts[0].union(parts[1])), "url-sample")
-    suffixes = sample.select(F.explode(F.array_distinct(F.array("suffix1", "suffix2"))).alias("suffix"), "label", "weight")
-    rate = (F.sum(F.col("label") * F.col("weight")) + F.lit(bound.prior * overall)) / (F.sum("weight") + F.lit(bound.prior))
+    suffixes = lexical(usable).select(F.explode(F.array_distinct(F.array("suffix1", "suffix2"))).alias("suffix"), "label")
+    rate = (F.sum("label") + F.lit(bound.prior * overall)) / (F.count(F.lit(1)) + F.lit(bound.prior))
     model = UrlModel(None, materialise(suffixes.groupBy("suffix").agg(rate.alias("rate")), "url-suffixes"), overall)
     ready = materialise(_vectors(model.with_rates(sample)).select("__features", "label", "weight").coalesce(4), "url-vectors")
     trees = GBTClassifier(
