@@ -236,6 +236,14 @@ def test_training_beats_the_class_frequencies():
     assert gru.log_likelihoods(trainer.p, shape, docs, 0).sum() / tokens > -0.6
 
 
+def test_every_token_is_learnt_from():
+    spec = language_model.Spec()
+    docs = [np.full(n, 3, np.int32) for n in (1, 24, 100, 333)]
+    trainer = gru.Trainer(gru.initial(spec.shape), spec.shape, spec.rate, every=spec.every)
+    trainer.learn(docs, 0)
+    assert trainer.tokens == sum(map(len, docs))
+
+
 def brute_url(url):
     if url is None or "://" not in url:
         return "", ""

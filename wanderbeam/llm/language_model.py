@@ -28,14 +28,14 @@ class Spec:
     """``dictionary``: most words (with counts) that are sent to the tasks; the others are joined.
 
     ``rounds``: passes of local training with averaging in between; each learnable document is used
-    in one of them. ``every``: of so many windows of a document one is learnt from, while the
-    state runs through all. ``modulus``: documents whose crc32(doc_id) is 0 modulo this are not learnt from.
+    in one of them. ``every``: of so many windows one is learnt from, while the state runs through all; 1 learns
+    from each token once. ``modulus``: documents whose crc32(doc_id) is 0 modulo this are not learnt from.
     """
 
     shape: gru.Shape = gru.Shape()
     dictionary: int = 131_072
     rounds: int = 3
-    every: int = 4
+    every: int = 1
     rate: float = 0.1
     modulus: int = 10
 
