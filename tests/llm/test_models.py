@@ -110,6 +110,14 @@ def test_swaps_reduce_the_weight_of_neutral_mentions():
     assert false(bound) <= false(free) and bound.score("you zorgish") > 0.5
 
 
+def test_every_term_of_a_line_is_swapped_in():
+    for line in toxicity.IDENTITY_TERMS:
+        names = {x.encode() for x in line.split()}
+        for term in names:
+            got = toxicity.counterfactuals([b"the", term], toxicity.swap_table((line,)))
+            assert sorted(got, key=sorted) == sorted(({b"the", x} for x in names - {term}), key=sorted)
+
+
 def test_dual_coordinate_descent_reaches_the_optimum():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 2, (60, 12))

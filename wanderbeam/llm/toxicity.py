@@ -75,10 +75,10 @@ def swap_table(groups: tuple[str, ...] = IDENTITY_TERMS) -> dict[bytes, list[byt
     return out
 
 
-def counterfactuals(words: list[bytes], swaps: dict[bytes, list[bytes]], most: int = 4) -> list[set[bytes]]:
-    """Distinct words of the text with one identity term replaced, at most ``most`` versions a term."""
+def counterfactuals(words: list[bytes], swaps: dict[bytes, list[bytes]]) -> list[set[bytes]]:
+    """Distinct words of the text with one identity term replaced by each other term of its line."""
     distinct = set(words)
-    return [distinct - {term} | {other} for term in sorted(distinct & swaps.keys()) for other in swaps[term][:most]]
+    return [distinct - {term} | {other} for term in sorted(distinct & swaps.keys()) for other in swaps[term]]
 
 
 @dataclass
