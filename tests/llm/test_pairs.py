@@ -194,6 +194,26 @@ def test_packed_blocks_round_trip():
             assert (back.lo == keys.lo).all()
 
 
+def test_settled_runs_tell_the_smallest_and_the_largest_document():
+    block = packed_keys.Gatherer(1, True, False)
+    for doc in (7, 9, 3, 5):
+        block.add(doc, doc, np.full(2, 11, np.uint64), np.full(2, 12, np.uint64), np.arange(2))
+    block.add(4, 4, np.full(1, 99, np.uint64), np.full(1, 12, np.uint64), np.arange(1))
+    (rows,) = block.rows()
+    told = packed_keys.Keys.joined([packed_keys.unpack(b, True) for b in rows.loc[~rows["settled"], "body"]])
+    assert sorted(zip(told.doc.tolist(), told.place.tolist())) == [(3, -1), (4, 0), (9, -1)]
+
+
+def test_one_id_with_two_texts_in_different_blocks(make, monkeypatch):
+    rng = random.Random(3)
+    passage = sentence(rng, 40)
+    rows = [(5, passage + " " + sentence(rng, 20)), (3, passage + " " + sentence(rng, 21))]
+    rows += [(5, sentence(rng, 19) + " " + passage)]
+    monkeypatch.setattr(packed_keys, "BLOCK_KEYS", 40)
+    got = substring_dedup.repeats_removed(make(rows).coalesce(1)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_removed(rows)
+
+
 BENCH = "item_id long, text string"
 
 

@@ -151,10 +151,12 @@ class Gatherer:
         else:
             settled = low < high
             sent = ~settled
-            tell = np.zeros(len(settled), bool)
-            tell[starts] = True
-            tell &= settled  # one entry tells other blocks of the key; place -1: no answer wanted
-            sent |= tell
+            # An entry of the smallest and one of the largest document tell other blocks of the key, so that a block
+            # with one of the two ids meets the other; place -1: no answer wanted.
+            run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(settled))))
+            for edge in (low, high):
+                at = np.flatnonzero(settled & (keys.doc == edge))
+                sent[at[np.unique(run[at], return_index=True)[1]]] = True
         out = self._block(keys, sent, (not self.later) & settled)
         found = keys.take(np.flatnonzero(settled))
         if len(found.hi):
