@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderbeam.llm import (
+    conversation_trie,
     decontamination,
+    filter_audit,
     language_model,
     mixing,
     quality_classifier,
@@ -18,8 +20,9 @@ from wanderbeam.llm import (
     substring_dedup,
     toxicity,
     url_filter,
+    vector_tree,
 )
-from wanderbeam.llm.sql import MIXING_SQL, QUALITY_RULES_SQL, SHARDING_SQL, SUBSTRING_SQL
+from wanderbeam.llm.sql import FILTER_AUDIT_SQL, MIXING_SQL, PREFIX_TRIE_SQL, QUALITY_RULES_SQL, SHARDING_SQL, SUBSTRING_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_difference_cover,
         op9_simhash_windows,
         op10_nbsvm_quality,
+        op11_filter_audit,
+        op12_prefix_trie,
+        op13_kmeans_tree,
     )
 }
 
@@ -89,4 +107,6 @@ ORACLES: dict[str, str] = {
     "op5_byte_shards": SHARDING_SQL,
     "op7_quality_rules": QUALITY_RULES_SQL,
     "op8_difference_cover": SUBSTRING_SQL,
+    "op11_filter_audit": FILTER_AUDIT_SQL,
+    "op12_prefix_trie": PREFIX_TRIE_SQL,
 }

@@ -57,18 +57,25 @@ FROM f
 # CRC-32 byte by byte over the hexadecimal digits of the UTF-8 text; the table of 256 entries
 # comes from the polynomial.
 _CRC_STEP = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
-SHARDING_SQL = f"""
-WITH RECURSIVE steps AS (
+_CRC_TABLE = f"""steps AS (
   SELECT i::BIGINT AS i, i::BIGINT AS x, 0 AS k FROM range(256) t(i)
   UNION ALL SELECT i, {_CRC_STEP}, k + 1 FROM steps WHERE k < 8
 ), crc AS (SELECT list(x ORDER BY i) AS tab FROM steps WHERE k = 8
-), d AS (
+)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
+             lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+SHARDING_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
   SELECT doc_id, coalesce(text, '') AS body FROM documents
 ), s AS (
   SELECT doc_id, octet_length(encode(body)) + 1 AS size, md5(body) AS k,
-         xor(list_reduce(list_prepend(4294967295::BIGINT,
-               list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda h: ('0x' || h)::BIGINT)),
-             lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) AS crc
+         {_crc32('body')} AS crc
   FROM d, crc
 ), p AS (
   SELECT *, sum(size) OVER (ORDER BY k, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS start,
@@ -153,3 +160,87 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed,
        sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
 """
+
+FILTER_AUDIT_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body, {_WORDS} AS w FROM documents
+), l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {{
+    'A': len(w) < 100,
+    'B': 100 * len(list_distinct(w)) < 80 * len(w),
+    'C': 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 10 * length(body),
+    'D': regexp_matches(body, '[#$%&*|]'),
+    'E': coalesce(min(d.doc_id) OVER (PARTITION BY body) < d.doc_id, false)}} AS fails
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), o AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS earlier
+  FROM o, range(1, 6) t(step)
+), g AS (
+  SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL
+), r AS (
+  SELECT part, filter_order, step, own, g.n, good, toxic, fails[own] AS hit,
+    len(list_filter(string_split(earlier, ''), lambda e: e <> '' AND fails[e])) > 0 AS before,
+    len(list_filter(map_values(fails), lambda v: v)) AS many
+  FROM g, s
+), t AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN NOT before AND NOT hit THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT before AND hit THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN before AND hit THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN hit AND many = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT before AND hit AND good THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT before AND hit AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM t
+"""
+
+PREFIX_TRIE_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, t AS (
+  SELECT conv_id AS c, length(coalesce(text, '')) AS chars, dig,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, dig) AS p
+  FROM (SELECT *, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS dig
+        FROM conversations WHERE conv_id IS NOT NULL)
+), cv AS (
+  SELECT c, c - c % 100 AS b, {_crc32('c::VARCHAR')} % 6 AS h FROM (SELECT DISTINCT c FROM t), crc
+), r AS (
+  SELECT cv.c, t.p AS d, t.chars, t.dig FROM cv JOIN t ON t.c = cv.b AND t.p <= cv.h
+  UNION ALL
+  SELECT cv.c, t.p - cv.h + (SELECT count(*) FROM t u WHERE u.c = cv.b AND u.p <= cv.h), t.chars, t.dig
+  FROM cv JOIN t ON t.c = cv.c AND t.p > cv.h
+), p AS (
+  SELECT c, d, chars, string_agg(dig, ',') OVER (PARTITION BY c ORDER BY d) AS path,
+    d = max(d) OVER (PARTITION BY c) AS last FROM r
+  UNION ALL SELECT c, 0, 0, '', c NOT IN (SELECT c FROM r) FROM cv
+), n AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends
+  FROM p GROUP BY path, d
+), a AS (
+  SELECT n.*, up.path AS over, up.d AS over_d FROM n JOIN p up ON up.c = n.conv_id AND up.d <= n.d
+), kids AS (
+  SELECT over AS path, over_d AS d, count(*) AS n_children FROM a WHERE over_d = a.d - 1 GROUP BY ALL
+), total AS (
+  SELECT a.over AS path, a.over_d AS d, sum(a.saved) AS saved, count(*) FILTER (kids.path IS NULL) AS leaves
+  FROM a LEFT JOIN kids ON kids.path = a.path AND kids.d = a.d GROUP BY ALL
+), above AS (
+  SELECT a.path, a.d, m.conv_id FROM a JOIN n m ON m.path = a.over AND m.d = a.over_d WHERE a.over_d = a.d - 1
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, above.conv_id::BIGINT AS parent_conv_id,
+       n.n_convs::BIGINT AS n_convs, coalesce(kids.n_children, 0)::BIGINT AS n_children,
+       total.leaves::BIGINT AS n_leaves, total.saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM n JOIN total ON total.path = n.path AND total.d = n.d
+LEFT JOIN kids ON kids.path = n.path AND kids.d = n.d
+LEFT JOIN above ON above.path = n.path AND above.d = n.d
+"""
