@@ -206,6 +206,34 @@ def test_windows_and_lanes_do_not_change_a_likelihood():
         assert np.allclose(gru.log_likelihoods(params, shape, docs, 0, steps, count), whole, atol=1e-3)
 
 
+def test_lanes_take_the_memory_of_their_tokens():
+    docs = [np.zeros(300_000, np.int32), *[np.zeros(n % 7 + 1, np.int32) for n in range(255)]]
+    way = gru.lanes(docs, 0, 256)
+    tokens = sum(map(len, docs))
+    assert sum(x.nbytes for x in (way.source, way.target, way.doc, way.fresh)) <= 13 * tokens
+    window = way.window(0, 32)
+    assert window.target.shape == (32, 256) and way.window(299_990, 32).target.shape == (10, 1)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, make):
+    rng = random.Random(12)
+    rows = [(i, sentence(rng, rng.randrange(1, 60), 50)) for i in range(120)]
+    spec = language_model.Spec(shape=SMALL.shape, learner_tokens=500, learner_texts=16)
+    found = []
+    for parts in (1, 5):
+        docs = make(rows).repartition(parts, "text")
+        found.append({r.doc_id: r.score for r in language_model.document_scores(docs, spec).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(found[0][d] - found[1][d]) < 1e-3 * abs(found[0][d]) for d in found[0])
+
+
+def test_a_text_of_many_words_is_scored_whole(spark, make):
+    long = " ".join(f"w{k % 40}" for k in range(100_000))
+    got = {r.doc_id: r for r in language_model.document_scores(make([(0, long), (1, long), (2, "w1 w2"), (3, None)]), SMALL).collect()}
+    assert got[0].n_tokens == 100_001 and got[3].n_tokens == 1
+    assert got[0].score == pytest.approx(got[1].score, rel=1e-6) and got[0].score < got[2].score < 0
+
+
 def test_gradients_match_differences():
     shape = gru.Shape(groups=2, width=3, endings=2, hidden=4)
     params = {k: v.astype(np.float64) for k, v in gru.initial(shape, 1).items()}

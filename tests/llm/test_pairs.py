@@ -91,6 +91,29 @@ def test_near_pairs_find_every_link(spark):
             assert len(found) == 1
 
 
+@pytest.mark.parametrize("limit", [8192, 100])
+def test_a_group_of_thousands_keeps_all_its_links(spark, limit):
+    rng = random.Random(21)
+    base = rng.getrandbits(64)
+    prints = set()
+    while len(prints) < 3000:
+        prints.add(base ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(6))}))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    links = simhash.near_pairs(spark.createDataFrame(signed, "fp long"), 2, 4, limit)
+    roots = {r.node: r.root for r in components(links).collect()}
+    groups = {}
+    for p, root in brute_components({p: [p] for p in prints}, 2).items():
+        groups.setdefault(root, set()).add(p)
+    for members in groups.values():
+        assert len({roots.get(p - (1 << 64) if p >> 63 else p, p) for p in members}) == 1
+
+
+def test_many_rows_of_one_fingerprint_take_no_common_task(spark, make):
+    rows = [(i, "the same text") for i in range(400)] + [(1000 + i, f"text number {i} and {i * i} of its own") for i in range(50)]
+    got = {r.doc_id: r.component_id for r in simhash.document_components(make(rows)).collect()}
+    assert len(got) == 450 and all(got[i] == 0 for i in range(400))
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

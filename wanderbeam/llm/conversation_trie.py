@@ -101,59 +101,82 @@ def trie_nodes(paths: DataFrame, turns: DataFrame) -> DataFrame:
     return inner.withColumn("depth", F.col("depth").cast("long")).unionByName(root)
 
 
-def _heads(key: str, turn: int) -> Column:
-    """A coin for every node, tossed anew in each round."""
-    return F.xxhash64(F.col(key), F.lit(turn)) % 2 == 0
+def _plus(column: str, more: str) -> Column:
+    return (F.col(column) + F.coalesce(F.col(more), F.lit(0))).alias(column)
 
 
-def subtree_totals(tree: DataFrame, rounds: int = 200) -> DataFrame:
+def _followed(links: DataFrame, label: str) -> DataFrame:
+    """``links`` (key, child, leaves, saved) with every child replaced by the end of its way, and the sums along it.
+
+    Each round joins the links with themselves and so doubles the length of the ways, until no child is a key.
+    """
+    while True:
+        after = links.select(F.col("key").alias("child"), F.col("child").alias("next"), F.col("leaves").alias("l"), F.col("saved").alias("s"))
+        found = links.join(after, "child", "left")
+        moved = found.select("key", F.coalesce("next", "child").alias("child"), _plus("leaves", "l"), _plus("saved", "s"), F.col("next").isNotNull().alias("moved"))
+        moved = materialise(moved, label)
+        links = moved.drop("moved")
+        if not moved.where("moved").limit(1).count():
+            return links
+
+
+def _compressed(standing: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The tree without its unary chains, and the links from their nodes to what stands below (None without chains).
+
+    A chain node is an inner node, not the root, with one child. All of them go at once: the node below the chain moves
+    up to the node above it.
+    """
+    # Counted by parent, so that a parent with many children sends a row per task.
+    only = standing.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("child"))
+    chain = standing.where("kids = 1 AND parent IS NOT NULL").join(only.where("n = 1").select("key", "child"), "key")
+    chain = materialise(chain.select("key", "parent", "child", "leaves", "saved"), "trie-chain")
+    if not chain.limit(1).count():
+        return standing, None
+    links = _followed(chain.drop("parent"), "trie-links")
+    tops = chain.select("key", "parent").join(chain.select(F.col("child").alias("key")), "key", "left_anti")
+    lifted = tops.join(links, "key").select(F.col("child").alias("key"), F.col("parent").alias("up"))
+    left = standing.join(links.select("key"), "key", "left_anti").join(lifted, "key", "left")
+    return left.select("key", F.coalesce("up", "parent").alias("parent"), "kids", "leaves", "saved"), links
+
+
+def subtree_totals(tree: DataFrame, rounds: int = 64) -> DataFrame:
     """key, leaves and saved, summed over the subtree of every node, for a tree of (key, parent, kids, weight).
 
-    Rounds alternate two steps on the nodes still standing. Rake: every leaf, its totals now known, adds them to its
-    parent and goes. Compress: a node that is an only child, has one child, and whose parent shows heads where it shows tails
-    is merged into the parent; its child remembers it. A bush loses its leaves and a chain a
-    quarter of its nodes in a round, so the rounds grow with the logarithm of the nodes, not with the depth. The
-    merged nodes come back in the opposite order: a node's total is what it held plus its child's total.
-    Each round is written to the shared folder.
+    Rounds alternate two steps on the nodes still standing. Compress: every chain of nodes with one child is taken out, its
+    nodes linked to the node below it. Rake: every leaf, its totals now known, adds them to its
+    parent and goes. After a compress every inner node has two children or more, so a round takes at
+    least half of the leaves: the rounds grow with the logarithm of the nodes, not with the depth. At the end the
+    links are followed across the rounds, and a chain node's total is what lay on its way plus the total at its
+    end. Each step is written to the shared folder.
     """
-    nobody = F.lit(None).cast("struct<key:string,leaves:long,saved:long>")
-    standing = tree.select("key", "parent", "kids", F.when(F.col("kids") == 0, 1).otherwise(0).cast("long").alias("leaves"), F.col("weight").alias("saved"))
-    standing = materialise(standing.withColumn("merged", nobody), "trie-round-0")
-    known, merges = [], []
-    for turn in range(1, rounds + 1):
-        leaves = standing.where("kids = 0").select("key", "leaves", "saved")
-        known.append(leaves)
+    own = F.when(F.col("kids") == 0, 1).otherwise(0).cast("long").alias("leaves")
+    standing = tree.select("key", "parent", "kids", own, F.col("weight").alias("saved"))
+    known, linked = [], []
+    for _ in range(rounds):
+        standing, links = _compressed(standing)
+        if links is not None:
+            linked.append(links)
+            standing = materialise(standing, "trie-compressed")
+        known.append(standing.where("kids = 0").select("key", "leaves", "saved"))
         fallen = standing.where("kids = 0 AND parent IS NOT NULL").groupBy(F.col("parent").alias("key"))
         fallen = fallen.agg(F.sum("leaves").alias("l"), F.sum("saved").alias("s"), F.count(F.lit(1)).alias("n"))
         left = standing.where("kids > 0").join(fallen, "key", "left")
-        plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-        raked = left.select("key", "parent", (F.col("kids") - F.coalesce("n", F.lit(0))).alias("kids"), plus("leaves", "l"), plus("saved", "s"))
-        raked = materialise(raked, f"trie-rake-{turn}")
-        # Keys of parents with one child: counted by parent, so that a parent with many children sends few rows.
-        only = raked.where("parent IS NOT NULL").groupBy(F.col("parent").alias("above")).agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("key"))
-        only = materialise(only.where("n = 1").select("above", "key"), f"trie-only-{turn}")
-        tails = raked.where((F.col("kids") == 1) & ~_heads("key", turn)).select("key", "leaves", "saved")
-        child = only.select(F.col("above").alias("key"), F.col("key").alias("child"))
-        gone = tails.join(only.where(_heads("above", turn)), "key").join(child, "key")
-        gone = materialise(gone, f"trie-gone-{turn}")
-        below = gone.select(F.col("child").alias("key"), F.col("above").alias("up"), F.struct("key", "leaves", "saved").alias("merged"))
-        into = gone.select(F.col("above").alias("key"), F.col("leaves").alias("l"), F.col("saved").alias("s"))
-        kept = raked.join(gone.select("key"), "key", "left_anti").join(into, "key", "left").join(below, "key", "left")
-        kept = kept.select("key", F.coalesce("up", "parent").alias("parent"), "kids", plus("leaves", "l"), plus("saved", "s"), "merged")
-        standing = materialise(kept, f"trie-round-{turn}")
-        state = standing.agg(F.count(F.lit(1)).alias("n"), F.count("merged").alias("merged")).first()
-        if state["merged"]:
-            merges.append(standing.where("merged IS NOT NULL").select("merged.*", F.col("key").alias("child")))
-        if state["n"] < 2:
+        left = left.select("key", "parent", (F.col("kids") - F.coalesce("n", F.lit(0))).alias("kids"), _plus("leaves", "l"), _plus("saved", "s"))
+        standing = materialise(left, "trie-raked")
+        count = standing.count()
+        if count < 2:
+            # The root alone, without children now, or an empty tree.
             known.append(standing.select("key", "leaves", "saved"))
             break
     else:
         raise RuntimeError("the tree did not contract")
-    for merged in reversed(merges):
-        totals = reduce(DataFrame.unionByName, known).select(F.col("key").alias("child"), F.col("leaves").alias("l"), F.col("saved").alias("s"))
-        back = merged.join(totals, "child").select("key", (F.col("leaves") + F.col("l")).alias("leaves"), (F.col("saved") + F.col("s")).alias("saved"))
-        known.append(materialise(back, "trie-back"))
-    return reduce(DataFrame.unionByName, known)
+    totals = reduce(DataFrame.unionByName, known)
+    if linked:
+        ways = _followed(reduce(DataFrame.unionByName, linked), "trie-ways")
+        ends = totals.select(F.col("key").alias("child"), F.col("leaves").alias("l"), F.col("saved").alias("s"))
+        back = ways.join(ends, "child").select("key", (F.col("leaves") + F.col("l")).alias("leaves"), (F.col("saved") + F.col("s")).alias("saved"))
+        totals = totals.unionByName(materialise(back, "trie-back"))
+    return totals
 
 
 def end_digests(ends: DataFrame) -> DataFrame:

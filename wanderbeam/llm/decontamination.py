@@ -19,6 +19,8 @@ BLOCKS = 8
 # Within 23 bits at least one of eight 8-bit blocks differs in two bits or fewer.
 RADIUS = 23
 ITEMS_PER_PASS = 20_000
+# Windows times items that are looked up at once: bounds the memory of a long text that repeats a template.
+LOOKUP_CELLS = 1 << 24
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 MATCHES = "doc_id long, item_id long, start_word int, window_words int, hamming int, similarity double"
 
@@ -70,11 +72,24 @@ def fingerprints(sums: np.ndarray, start: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
-def weighted_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weight: dict[int, int]) -> float:
-    """Weighted Jaccard similarity of two multisets of hashes, given as (distinct, counts)."""
-    left, right = dict(zip(a[0].tolist(), a[1].tolist())), dict(zip(b[0].tolist(), b[1].tolist()))
-    both = sum(weight[h] * min(left[h], right[h]) for h in left.keys() & right.keys())
-    whole = sum(weight[h] * n for h, n in left.items()) + sum(weight[h] * n for h, n in right.items()) - both
+@dataclass
+class Weighted:
+    """A multiset of shingles: how often each stands in it, what one weighs, and the weight of all."""
+
+    counts: dict[int, int]
+    weight: dict[int, int]
+    total: int
+
+
+def weighted(hashes: np.ndarray, weights: np.ndarray) -> Weighted:
+    found, n = np.unique(hashes, return_counts=True)
+    return Weighted(dict(zip(found.tolist(), n.tolist())), dict(zip(hashes.tolist(), weights.tolist())), int(weights.sum()))
+
+
+def weighted_similarity(a: Weighted, b: Weighted) -> float:
+    """Weighted Jaccard similarity: the cost is that of the smaller multiset, whatever else is known."""
+    both = sum(a.weight[h] * min(a.counts[h], b.counts[h]) for h in a.counts.keys() & b.counts.keys())
+    whole = a.total + b.total - both
     return both / whole if whole else 0.0
 
 
@@ -85,7 +100,7 @@ class SizeIndex:
     size: int
     ids: np.ndarray
     prints: np.ndarray
-    sets: list[tuple[np.ndarray, np.ndarray]]
+    sets: list[Weighted]
     lightest: int  # smallest total weight of an item
     near: np.ndarray  # [block, value, item]: the item's block is within RADIUS // BLOCKS bits of the value
 
@@ -98,7 +113,8 @@ class Index:
     # Sorted hashes of all item shingles by shingle size, and a table of their low bits.
     known: dict[int, np.ndarray]
     table: dict[int, np.ndarray]
-    weight: dict[int, int]
+    # By shingle size: where the owners of each known hash start, and the owners as (number of the size, item in it).
+    owners: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 _TABLE_BITS = 20
@@ -113,32 +129,65 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
         if n:
             by_size.setdefault(n, []).append((item, shingles(raw, min(SHINGLE, n))))
     values = np.arange(256, dtype=np.uint8)
-    sizes, known, weight = [], {}, {}
+    sizes, known = [], {}
     for n, entries in sorted(by_size.items()):
         k = min(SHINGLE, n)
         prints = np.array([int(fingerprints(bit_sums(s), np.array([0]), n - k + 1)[0]) for _, s in entries], np.uint64)
         blocks = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
         near = np.stack([np.bitwise_count(values[:, None] ^ blocks[None, :, b]) <= RADIUS // BLOCKS for b in range(BLOCKS)])
-        sizes.append(SizeIndex(n, np.array([i for i, _ in entries], np.int64), prints, [np.unique(s.hashes, return_counts=True) for _, s in entries], min(int(s.weights.sum()) for _, s in entries), near))
+        sizes.append(SizeIndex(n, np.array([i for i, _ in entries], np.int64), prints, [weighted(s.hashes, s.weights) for _, s in entries], min(int(s.weights.sum()) for _, s in entries), near))
         for _, s in entries:
             known.setdefault(k, []).append(s.hashes)
-            weight |= dict(zip(s.hashes.tolist(), s.weights.tolist()))
     merged = {k: np.unique(np.concatenate(v)) for k, v in known.items()}
+    owners = {k: _owners(k, hashes, sizes) for k, hashes in merged.items()}
     table = {}
     for k, hashes in merged.items():
         table[k] = np.zeros(1 << _TABLE_BITS, bool)
         table[k][(hashes & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)] = True
-    return Index(sizes, merged, table, weight)
+    return Index(sizes, merged, table, owners)
+
 
+def _owners(k: int, hashes: np.ndarray, sizes: list[SizeIndex]) -> tuple[np.ndarray, np.ndarray]:
+    pairs = []
+    for number, size in enumerate(sizes):
+        if min(SHINGLE, size.size) == k:
+            for item, held in enumerate(size.sets):
+                at = np.searchsorted(hashes, np.fromiter(held.counts, np.uint64, len(held.counts)))
+                pairs.append(np.column_stack([at, np.full(len(at), number), np.full(len(at), item)]))
+    rows = np.concatenate(pairs)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    return np.searchsorted(rows[:, 0], np.arange(len(hashes) + 1)), rows[:, 1:]
 
-def _known(hashes: np.ndarray, index: Index, k: int) -> np.ndarray:
+
+def _known(hashes: np.ndarray, index: Index, k: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Which shingles are an item's, and by number of the size the items that have one of them."""
     flags = index.table[k][(hashes & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)]
     at = np.flatnonzero(flags)
     if len(at):
         place = np.searchsorted(index.known[k], hashes[at])
         place[place == len(index.known[k])] = 0
         flags[at] = index.known[k][place] == hashes[at]
-    return flags
+        place = np.unique(place[flags[at]])
+    held: dict[int, np.ndarray] = {}
+    if flags.any():
+        starts, owners = index.owners[k]
+        mine = np.concatenate([owners[starts[p] : starts[p + 1]] for p in place.tolist()])
+        for number in np.unique(mine[:, 0]).tolist():
+            held[number] = np.unique(mine[mine[:, 0] == number, 1])
+    return flags, held
+
+
+def _close(prints: np.ndarray, size: SizeIndex, items: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(window, item, distance) within RADIUS bits, window by window, from the block tables of ``items``."""
+    blocks = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
+    hit = np.zeros((len(prints), len(items)), bool)
+    for b in range(BLOCKS):
+        hit |= size.near[b][:, items][blocks[:, b]]
+    window, found = np.nonzero(hit)
+    item_at = items[found]
+    distances = np.bitwise_count(prints[window] ^ size.prints[item_at]).astype(np.int64)
+    close = distances <= RADIUS
+    return zip(window[close].tolist(), item_at[close].tolist(), distances[close].tolist())
 
 
 def matches(raw: bytes, index: Index) -> list[tuple[int, int, int, int, float]]:
@@ -147,23 +196,28 @@ def matches(raw: bytes, index: Index) -> list[tuple[int, int, int, int, float]]:
     Windows have the item's number of words, or all words of a shorter text. Benchmark shingles
     in a window bound its similarity to any item, so windows in which they weigh less than the wanted
     share of the window, or of the lightest item, can't match and get no fingerprint. The others are looked up in the block
-    tables: every item within RADIUS bits has a block within two bits. What is found is
-    checked by its true distance and then by exact weighted-shingle similarity.
+    tables of the items that have a shingle in the text: every one within RADIUS bits has a block within two bits. What is found is
+    checked by its true distance and then by exact weighted-shingle similarity. So the cost of a text does not
+    grow with the items that it shares nothing with.
     """
     best: dict[int, tuple] = {}
     made: dict[int, tuple] = {}
+    pieces: dict[int, Weighted] = {}
+    shared: dict[int, np.ndarray] = {}
     for k in index.known:
         s = shingles(raw, k)
-        flags = _known(s.hashes, index, k)
+        flags, held = _known(s.hashes, index, k)
         if flags.any():
+            shared |= held
             inside = np.concatenate([[0], np.cumsum(np.where(flags, s.weights, 0))])
             whole = np.concatenate([[0], np.cumsum(s.weights)])
             made[k] = (s, inside, whole, [])
     if not made:
         return []
-    for size in index.sizes:
+    for number, size in enumerate(index.sizes):
         k = min(SHINGLE, size.size)
-        if k not in made:
+        # An item without a shingle in the text has no similarity to any window.
+        if number not in shared:
             continue
         s, inside, whole, sums = made[k]
         if inside[-1] < SIMILARITY * size.lightest:
@@ -177,23 +231,20 @@ def matches(raw: bytes, index: Index) -> list[tuple[int, int, int, int, float]]:
             continue
         if not sums:
             sums.append(bit_sums(s))
-        prints = fingerprints(sums[0], start, count)
-        blocks = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
-        hit = np.zeros((len(start), len(size.ids)), bool)
-        for b in range(BLOCKS):
-            hit |= size.near[b][blocks[:, b]]
-        window, item_at = np.nonzero(hit)
-        distances = np.bitwise_count(prints[window] ^ size.prints[item_at]).astype(np.int64)
-        close = distances <= RADIUS
-        for w, i, distance in zip(window[close].tolist(), item_at[close].tolist(), distances[close].tolist()):
-            a = int(start[w])
-            piece = s.hashes[a : a + count]
-            weight = index.weight | dict(zip(piece.tolist(), s.weights[a : a + count].tolist()))
-            similarity = weighted_similarity(np.unique(piece, return_counts=True), size.sets[i], weight)
-            if similarity >= SIMILARITY:
-                item = int(size.ids[i])
-                found = (-similarity, a, count + k - 1, distance)
-                best[item] = min(best.get(item, found), found)
+        chunk = max(1, LOOKUP_CELLS // len(shared[number]))
+        for at in range(0, len(start), chunk):
+            some = start[at : at + chunk]
+            for w, i, distance in _close(fingerprints(sums[0], some, count), size, shared[number]):
+                a = int(some[w])
+                if a not in pieces:
+                    pieces.clear()
+                    pieces[a] = weighted(s.hashes[a : a + count], s.weights[a : a + count])
+                similarity = weighted_similarity(pieces[a], size.sets[i])
+                if similarity >= SIMILARITY:
+                    item = int(size.ids[i])
+                    found = (-similarity, a, count + k - 1, distance)
+                    best[item] = min(best.get(item, found), found)
+        pieces.clear()
     return [(item, a, n, d, -s) for item, (s, a, n, d) in sorted(best.items())]
 
 

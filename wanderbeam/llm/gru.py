@@ -71,19 +71,41 @@ def with_frequencies(p: Params, shape: Shape, word_counts: np.ndarray, ending_co
 
 
 @dataclass
-class Lanes:
-    """Documents laid end to end in parallel lanes; -1 pads the ends."""
+class Window:
+    """Some steps of the lanes that still have tokens; -1 stands where a lane has ended."""
 
     source: np.ndarray  # [step, lane] input id
     target: np.ndarray  # [step, lane] id to predict
     doc: np.ndarray  # [step, lane] document number
     fresh: np.ndarray  # [step, lane] true at the first token of a document
-    sizes: np.ndarray  # tokens of each lane, longest lane first
+
+
+@dataclass
+class Lanes:
+    """Documents laid end to end in parallel lanes, longest lane first, one lane after the other in memory.
+
+    The tables are as long as the documents together, however unequal the lanes are.
+    """
+
+    source: np.ndarray
+    target: np.ndarray
+    doc: np.ndarray
+    fresh: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
 
     def live(self, step: int) -> int:
         """How many lanes, always the first ones, have tokens from this step on."""
         return int(np.searchsorted(-self.sizes, -step))
 
+    def window(self, step: int, steps: int) -> Window:
+        count = self.live(step)
+        place = np.arange(step, min(step + steps, int(self.sizes[0])))[:, None]
+        there = place < self.sizes[:count]
+        at = np.where(there, self.starts[:count] + place, 0)
+        cut = [np.where(there, values[at], -1) for values in (self.source, self.target, self.doc)]
+        return Window(*cut, there & self.fresh[at])
+
 
 def lanes(docs: list[np.ndarray], end: int, most: int) -> Lanes:
     """Each document's ids, which finish with ``end``, to the shortest lane, longest documents first."""
@@ -96,23 +118,17 @@ def lanes(docs: list[np.ndarray], end: int, most: int) -> Lanes:
         heapq.heappush(heap, (size + len(docs[i]), k))
     size_of = {k: size for size, k in heap}
     order = sorted(range(count), key=lambda k: -size_of[k])
-    steps = size_of[order[0]]
-    out = Lanes(
-        *[np.full((steps, count), -1, np.int32) for _ in range(3)],
-        np.zeros((steps, count), bool),
-        np.array([size_of[k] for k in order], np.int64),
-    )
-    for k, mine in enumerate(held[j] for j in order):
-        at = 0
-        for i in mine:
-            n = len(docs[i])
-            out.target[at : at + n, k] = docs[i]
-            out.source[at, k] = end
-            out.source[at + 1 : at + n, k] = docs[i][:-1]
-            out.doc[at : at + n, k] = i
-            out.fresh[at, k] = True
-            at += n
-    return out
+    laid = [i for k in order for i in held[k]]
+    lengths = np.array([len(docs[i]) for i in laid], np.int64)
+    target = np.concatenate([docs[i] for i in laid]).astype(np.int32)
+    first = np.cumsum(lengths) - lengths
+    source = np.empty_like(target)
+    source[1:] = target[:-1]
+    source[first] = end
+    fresh = np.zeros(len(target), bool)
+    fresh[first] = True
+    sizes = np.array([size_of[k] for k in order], np.int64)
+    return Lanes(source, target, np.repeat(np.array(laid, np.int32), lengths), fresh, np.cumsum(sizes) - sizes, sizes)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -243,12 +259,12 @@ class Trainer:
         if not docs:
             return
         way = lanes(docs, end, self.count)
-        state = np.zeros((way.source.shape[1], self.shape.hidden), np.float32)
-        for k, a in enumerate(range(0, len(way.source), self.steps)):
-            cut = slice(a, a + self.steps), slice(0, way.live(a))
-            state = state[: cut[1].stop]
-            target, fresh = way.target[cut], way.fresh[cut]
-            source = np.maximum(way.source[cut], 0)
+        state = np.zeros((len(way.sizes), self.shape.hidden), np.float32)
+        for k, a in enumerate(range(0, int(way.sizes[0]), self.steps)):
+            window = way.window(a, self.steps)
+            target, fresh = window.target, window.fresh
+            state = state[: target.shape[1]]
+            source = np.maximum(window.source, 0)
             if k % self.every:
                 _, state = _forward(self.p, source, fresh, state, None)
                 continue
@@ -271,21 +287,21 @@ class Trainer:
             self.tokens += len(valid)
 
 
-def log_likelihoods(p: Params, shape: Shape, docs: list[np.ndarray], end: int, steps: int = 32, count: int = 256) -> np.ndarray:
+def log_likelihoods(p: Params, shape: Shape, docs: list[np.ndarray], end: int, steps: int = 32, count: int = 1024) -> np.ndarray:
     """Natural log-probability of each whole document; the state runs on from window to window."""
     if not docs:
         return np.zeros(0)
     way = lanes(docs, end, count)
-    state = np.zeros((way.source.shape[1], shape.hidden), np.float32)
+    state = np.zeros((len(way.sizes), shape.hidden), np.float32)
     total = np.zeros(len(docs))
-    for a in range(0, len(way.source), steps):
-        cut = slice(a, a + steps), slice(0, way.live(a))
-        state = state[: cut[1].stop]
-        target = way.target[cut].ravel()
-        hidden, state = _forward(p, np.maximum(way.source[cut], 0), way.fresh[cut], state, None)
+    for a in range(0, int(way.sizes[0]), steps):
+        window = way.window(a, steps)
+        state = state[: window.target.shape[1]]
+        target = window.target.ravel()
+        hidden, state = _forward(p, np.maximum(window.source, 0), window.fresh, state, None)
         valid = np.flatnonzero(target >= 0)
         logs, _ = _outputs(p, shape, hidden.reshape(-1, shape.hidden)[valid], target[valid], None)
-        total += np.bincount(way.doc[cut].ravel()[valid], weights=logs, minlength=len(docs))
+        np.add.at(total, window.doc.ravel()[valid], logs)
     return total
 
 

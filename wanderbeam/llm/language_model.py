@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -28,12 +28,14 @@ class Spec:
     """``dictionary``: most words (with counts) that are sent to the tasks; the others are joined.
 
     ``rounds``: passes of local training with averaging in between; each learnable document is used
-    in one of them. ``every``: of so many windows one is learnt from, while the state runs through all; 1 learns
+    in one of them. ``learner_tokens``: a learner for so many tokens of the corpus; it reads ``learner_texts`` documents at a time. ``every``: of so many windows one is learnt from, while the state runs through all; 1 learns
     from each token once. ``modulus``: documents whose crc32(doc_id) is 0 modulo this are not learnt from.
     """
 
     shape: gru.Shape = gru.Shape()
     dictionary: int = 131_072
+    learner_tokens: int = 2_000_000
+    learner_texts: int = 2_048
     rounds: int = 3
     every: int = 1
     rate: float = 0.1
@@ -186,21 +188,25 @@ def read_texts(docs: DataFrame, lex: Lexicon) -> DataFrame:
     return docs.withColumn("__s", read(F.col("text"))).select(*[c for c in docs.columns if c != "text"], "__s.*")
 
 
-def _ids(bodies: pd.Series) -> list[np.ndarray]:
+def _ids(bodies: Iterable[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(b, "<i2").astype(np.int32) for b in bodies]
 
 
 def train(texts: DataFrame, lex: Lexicon, spec: Spec, seed: int = 7) -> gru.Params:
-    """Parameters after ``spec.rounds`` rounds: every partition trains on its documents, then all average.
+    """Parameters after ``spec.rounds`` rounds: every learner trains on its documents, then all average.
 
-    ``texts`` has columns ``ids`` and ``turn``, the round that uses the document. A partition's result weighs
-    as many as its tokens. Training starts from the frequencies of classes and words. Averages are formed block by block, first among 64 shares of the partitions
-    and then among the shares, so no task holds more than a block of each.
+    ``texts`` has columns ``ids``, ``turn``, the round that uses the document, and ``mark``, a hash of it. The number of learners grows
+    with the tokens of the corpus; documents are dealt to them, and read by them, by their mark, so neither
+    files nor partitions change the result. A learner's result weighs as many as its tokens. Training starts from the frequencies of classes and
+    words. Averages are formed block by block in two levels, so a task holds the root of the number of learners of a block.
     """
     params = gru.with_frequencies(gru.initial(spec.shape, seed), spec.shape, lex.word_counts, lex.ending_counts)
+    learners = max(1, -(-lex.total // spec.learner_tokens))
+    dealt = texts.withColumn("learner", F.pmod("mark", F.lit(learners)).cast("int"))
     for turn in range(spec.rounds):
-        learner = _learner(params, lex, spec, spec.rate / (1 + turn))
-        some = texts.where(F.col("turn") == turn).select("ids").mapInPandas(learner, LEARNT)
+        learner = _learner(params, lex, spec, spec.rate / (1 + turn), math.isqrt(learners))
+        mine = dealt.where(F.col("turn") == turn).select("learner", "mark", "ids")
+        some = mine.repartition(learners, "learner").sortWithinPartitions("learner", "mark", "ids").mapInPandas(learner, LEARNT)
         shares = some.groupBy("share", "block").applyInPandas(_mean, LEARNT)
         blocks = shares.groupBy("block").applyInPandas(_mean, LEARNT).collect()
         if blocks:
@@ -212,17 +218,30 @@ def train(texts: DataFrame, lex: Lexicon, spec: Spec, seed: int = 7) -> gru.Para
 LEARNT = "share int, block int, weight double, body binary"
 
 
-def _learner(params: gru.Params, lex: Lexicon, spec: Spec, rate: float):
+def _learner(params: gru.Params, lex: Lexicon, spec: Spec, rate: float, shares: int):
     end = lex.end
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trainer = gru.Trainer(params, spec.shape, rate, every=spec.every)
+        number, trainer, held = None, None, []
+
+        def result() -> pd.DataFrame:
+            trainer.learn(_ids(held), end)
+            body = gru.blocks(gru.flat(trainer.p))
+            rows = [(number % shares, k, float(trainer.tokens), b.astype("<f8").tobytes()) for k, b in body]
+            return pd.DataFrame(rows, columns=["share", "block", "weight", "body"])
+
         for batch in batches:
-            trainer.learn(_ids(batch["ids"]), end)
-        if trainer.tokens:
-            share = trainer.tokens % 64
-            rows = [(share, k, float(trainer.tokens), b.astype("<f8").tobytes()) for k, b in gru.blocks(gru.flat(trainer.p))]
-            yield pd.DataFrame(rows, columns=["share", "block", "weight", "body"])
+            for mine, ids in zip(batch["learner"], batch["ids"]):
+                if mine != number:
+                    if trainer is not None:
+                        yield result()
+                    number, trainer, held = mine, gru.Trainer(params, spec.shape, rate, every=spec.every), []
+                held.append(ids)
+                if len(held) == spec.learner_texts:
+                    trainer.learn(_ids(held), end)
+                    held = []
+        if trainer is not None:
+            yield result()
 
     return learn
 
@@ -252,14 +271,16 @@ def document_scores(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     the class of their ending, in which one unknown word has a place. Counts of words outside the
     dictionary are joined by word, once for each document and distinct word. NULL texts are
     empty: one end token. Repeated rows are scored each; an empty table gives no rows; with
-    nothing to learn from, all words are unknown.
+    nothing to learn from, all words are unknown. Very long texts run through one lane window by window; memory follows
+    their tokens. Extra columns are ignored. How the documents lie in files and partitions changes nothing but the order of sums.
     """
     held_out = id_remainder("doc_id", spec.modulus) == 0
     learnable = docs.where(~held_out).select("text")
     counts = materialise(token_counts(learnable), "token-counts")
     lex = lexicon(counts, spec)
     turn = F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(spec.rounds)).alias("turn")
-    texts = read_texts(docs.select("doc_id", held_out.alias("held_out"), turn, "text"), lex)
+    mark = F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("mark")
+    texts = read_texts(docs.select("doc_id", held_out.alias("held_out"), turn, mark, "text"), lex)
     # Read below by every round, the scores and the rare words; the row numbers are stored with it.
     stored = materialise(texts.withColumn("row", F.monotonically_increasing_id()), "read-texts")
     params = train(stored.where("not held_out"), lex, spec)

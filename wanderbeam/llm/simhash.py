@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wanderbeam.llm.components import components
+from wanderbeam.llm.heavy import back_to_rows
 from wanderbeam.llm.text import text_bytes
 from wanderbeam.session import materialise
 
@@ -80,15 +81,14 @@ def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def near_pairs(fingerprints: DataFrame, radius: int, blocks: int, pair_limit: int = 256) -> DataFrame:
+def near_pairs(fingerprints: DataFrame, radius: int, blocks: int, pair_limit: int = 8192) -> DataFrame:
     """``a`` < ``b``: enough links between distinct fingerprints to connect all within ``radius``.
 
     ``fingerprints`` has one column ``fp`` of distinct longs. Two within ``radius`` bits agree in at least
     ``blocks - radius`` blocks, so they share the key of one choice of blocks. Groups of up to
-    ``pair_limit`` fingerprints with one key are joined with themselves and verified; of two, the
-    least and the greatest are the pair. In a larger group the same links come in linear
-    time: each fingerprint is filed under itself with any ``radius`` of its free bits cleared, and
-    whatever meets there (at most 2^radius) differs in those bits only. No group is cut.
+    ``pair_limit`` fingerprints with one key are joined with themselves and verified, which holds no more than the group and
+    compares at most ``pair_limit`` longs for each of its rows; of two, the least and the greatest are the pair. Larger groups
+    are linked in linear time by ``_cleared_links``. No group is cut. The links of each way are written before the next.
     """
     masks = block_masks(blocks, blocks - radius)
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)]))
@@ -100,38 +100,56 @@ def near_pairs(fingerprints: DataFrame, radius: int, blocks: int, pair_limit: in
         return F.bit_count(a.bitwiseXOR(b)) <= radius
 
     pairs = groups.where("n = 2").where(near(F.col("a"), F.col("b"))).select("a", "b")
-    some = keyed.join(groups.where(f"n between 3 and {int(pair_limit)}").select("c", "key"), ["c", "key"])
+    members = materialise(keyed.join(groups.where("n > 2").select("c", "key", "n"), ["c", "key"]), "block-members")
+    some = members.where(F.col("n") <= pair_limit).select("c", "key", "fp")
     left, right = some.withColumnRenamed("fp", "a"), some.withColumnRenamed("fp", "b")
-    pairs = pairs.union(left.join(right, ["c", "key"]).where((F.col("a") < F.col("b")) & near(F.col("a"), F.col("b"))).select("a", "b"))
-    large = groups.where(f"n > {int(pair_limit)}").select("c", "key")
+    joined = left.join(right, ["c", "key"]).where((F.col("a") < F.col("b")) & near(F.col("a"), F.col("b"))).select("a", "b")
+    pairs = pairs.union(materialise(joined.distinct(), "block-pairs"))
+    large = members.where(F.col("n") > pair_limit).select("c", "fp")
     if large.limit(1).count():
-        pairs = pairs.union(_cleared_links(keyed.join(large, ["c", "key"]), masks, radius))
+        pairs = pairs.union(materialise(_cleared_links(large, masks, radius), "cleared-links"))
     return pairs.distinct()
 
 
 def _cleared_links(members: DataFrame, masks: list[int], radius: int) -> DataFrame:
-    """Links inside large groups: stars around equal fingerprints with ``radius`` free bits cleared."""
-    holes = F.lit(None)
+    """Links inside large groups: each fingerprint is filed under itself with any ``radius`` of its free bits cleared.
+
+    What meets there differs in the cleared bits only, so at most 2^radius fingerprints, one for each pattern
+    of those bits: a fixed set of columns holds them. Members are dealt by fingerprint before they are filed.
+    """
+    choices = F.lit(None)
     for i, mask in enumerate(masks):
-        free = [b for b in range(BITS) if not mask >> b & 1]
-        cleared = [_signed(((1 << BITS) - 1) ^ sum(1 << b for b in chosen)) for chosen in combinations(free, radius)]
-        holes = F.when(F.col("c") == i, F.array(*[F.lit(x) for x in cleared])).otherwise(holes)
-    filed = members.select("fp", F.explode(holes).alias("hole")).select("fp", "hole", F.col("fp").bitwiseAND(F.col("hole")).alias("rest"))
-    met = filed.groupBy("hole", "rest").agg(F.collect_set("fp").alias("met"), F.min("fp").alias("a")).where(F.size("met") > 1)
-    return met.select("a", F.explode("met").alias("b")).where("a <> b")
+        free = [1 << b for b in range(BITS) if not mask >> b & 1]
+        bits = [F.array(*[F.lit(_signed(b)) for b in chosen]) for chosen in combinations(free, radius)]
+        choices = F.when(F.col("c") == i, F.array(*bits)).otherwise(choices)
+    dealt = members.repartition("c", "fp").select("fp", F.explode(choices).alias("bits"))
+    hole = F.lit(0).cast("long")
+    pattern = F.lit(0)
+    for j in range(radius):
+        hole = hole.bitwiseOR(F.col("bits")[j])
+        pattern = pattern + F.when(F.col("fp").bitwiseAND(F.col("bits")[j]) != 0, 1 << j).otherwise(0)
+    filed = dealt.select("fp", hole.alias("hole"), pattern.alias("pattern"))
+    rest = F.col("fp").bitwiseAND(F.bitwise_not(F.col("hole"))).alias("rest")
+    held = [F.max(F.when(F.col("pattern") == p, F.col("fp"))).alias(f"p{p}") for p in range(1 << radius)]
+    met = filed.groupBy("hole", rest).agg(F.count(F.lit(1)).alias("n"), *held).where("n > 1")
+    met = met.select(F.least(*[f"p{p}" for p in range(1 << radius)]).alias("a"), F.explode(F.array(*[f"p{p}" for p in range(1 << radius)])).alias("b"))
+    return met.where("a <> b").distinct()
 
 
 def near_classes(rows: DataFrame, order: str, radius: int, blocks: int) -> DataFrame:
-    """``fp`` and ``first``: the smallest ``order`` value in the component of each fingerprint.
+    """``fp``, ``n`` (its rows) and ``first``: the smallest ``order`` value in the component of each fingerprint.
 
     ``rows`` has columns ``fp`` and ``order``; rows with one fingerprint collapse before anything is joined.
     """
-    classes = materialise(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-classes")
+    classes = materialise(rows.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-classes")
     linked = components(near_pairs(classes.select("fp"), radius, blocks))
     linked = materialise(linked.withColumnRenamed("node", "fp"), "simhash-linked")
-    least = linked.join(classes, "fp").groupBy("root").agg(F.min("first").alias("least"))
-    moved = linked.join(least, "root").select("fp", "least")
-    return classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("first"))
+    firsts = materialise(linked.join(classes, "fp").select("fp", "root", "first"), "simhash-firsts")
+    # A component of many fingerprints is one large class: its least value goes back to them like any other.
+    least = materialise(firsts.groupBy("root").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-least")
+    moved = back_to_rows(firsts.select("fp", "root"), least, "root", "least", firsts.count())
+    moved = moved.select("fp", "least")
+    return classes.join(moved, "fp", "left").select("fp", "n", F.coalesce("least", "first").alias("first"))
 
 
 def document_components(docs: DataFrame, size: int = 3, radius: int = 2, blocks: int = 4) -> DataFrame:
@@ -139,12 +157,12 @@ def document_components(docs: DataFrame, size: int = 3, radius: int = 2, blocks:
 
     NULL and blank texts have fingerprint zero and are linked like any other. Rows without an
     id get the component of their fingerprint, and NULL where it holds no id at all. Repeated rows
-    stay repeated; an empty table gives no rows.
+    stay repeated; an empty table gives no rows. Very long texts are hashed whole, one text at a time. Extra columns are ignored.
     """
     rows = docs.select("doc_id", fingerprint_column(F.col("text"), size).alias("fp"))
     rows = materialise(rows, "simhash")
-    classes = near_classes(rows, "doc_id", radius, blocks)
-    return rows.join(classes, "fp").select(
+    classes = materialise(near_classes(rows, "doc_id", radius, blocks), "simhash-components")
+    return back_to_rows(rows, classes, "fp", "first", rows.count()).select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("first").alias("component_id"),
