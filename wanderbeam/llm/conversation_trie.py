@@ -120,23 +120,37 @@ def _followed(links: DataFrame, label: str) -> DataFrame:
             return links
 
 
+# A standing node: what its subtree has lost so far is in leaves and saved; what was taken out between it and its parent
+# is in via_leaves and via_saved and goes up with it.
+NODE = ("key", "parent", "kids", "leaves", "saved", "via_leaves", "via_saved")
+
+
 def _compressed(standing: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The tree without its unary chains, and the links from their nodes to what stands below (None without chains).
 
     A chain node is an inner node, not the root, with one child. All of them go at once: the node below the chain moves
-    up to the node above it.
+    up to the node above it and takes along what the chain held.
     """
     # Counted by parent, so that a parent with many children sends a row per task.
-    only = standing.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("child"))
-    chain = standing.where("kids = 1 AND parent IS NOT NULL").join(only.where("n = 1").select("key", "child"), "key")
-    chain = materialise(chain.select("key", "parent", "child", "leaves", "saved"), "trie-chain")
+    only = standing.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("key").alias("child"), F.sum("via_leaves").alias("l"), F.sum("via_saved").alias("s")
+    )
+    chain = standing.where("kids = 1 AND parent IS NOT NULL").join(only.where("n = 1").drop("n"), "key")
+    chain = chain.select("key", "parent", "child", _plus("leaves", "l"), _plus("saved", "s"), "via_leaves", "via_saved")
+    chain = materialise(chain, "trie-chain")
     if not chain.limit(1).count():
         return standing, None
-    links = _followed(chain.drop("parent"), "trie-links")
-    tops = chain.select("key", "parent").join(chain.select(F.col("child").alias("key")), "key", "left_anti")
-    lifted = tops.join(links, "key").select(F.col("child").alias("key"), F.col("parent").alias("up"))
+    links = _followed(chain.select("key", "child", "leaves", "saved"), "trie-links")
+    tops = chain.select("key", "parent", "via_leaves", "via_saved").join(chain.select(F.col("child").alias("key")), "key", "left_anti")
+    lifted = tops.join(links, "key").select(
+        F.col("child").alias("key"),
+        F.col("parent").alias("up"),
+        (F.col("via_leaves") + F.col("leaves")).alias("up_leaves"),
+        (F.col("via_saved") + F.col("saved")).alias("up_saved"),
+    )
     left = standing.join(links.select("key"), "key", "left_anti").join(lifted, "key", "left")
-    return left.select("key", F.coalesce("up", "parent").alias("parent"), "kids", "leaves", "saved"), links
+    moved = [F.coalesce(up, old).alias(old) for up, old in (("up", "parent"), ("up_leaves", "via_leaves"), ("up_saved", "via_saved"))]
+    return left.select("key", "kids", "leaves", "saved", *moved).select(*NODE), links
 
 
 def subtree_totals(tree: DataFrame, rounds: int = 64) -> DataFrame:
@@ -149,8 +163,8 @@ def subtree_totals(tree: DataFrame, rounds: int = 64) -> DataFrame:
     links are followed across the rounds, and a chain node's total is what lay on its way plus the total at its
     end. Each step is written to the shared folder.
     """
-    own = F.when(F.col("kids") == 0, 1).otherwise(0).cast("long").alias("leaves")
-    standing = tree.select("key", "parent", "kids", own, F.col("weight").alias("saved"))
+    own, none = F.when(F.col("kids") == 0, 1).otherwise(0).cast("long").alias("leaves"), F.lit(0).cast("long")
+    standing = tree.select("key", "parent", "kids", own, F.col("weight").alias("saved"), none.alias("via_leaves"), none.alias("via_saved"))
     known, linked = [], []
     for _ in range(rounds):
         standing, links = _compressed(standing)
@@ -159,12 +173,15 @@ def subtree_totals(tree: DataFrame, rounds: int = 64) -> DataFrame:
             standing = materialise(standing, "trie-compressed")
         known.append(standing.where("kids = 0").select("key", "leaves", "saved"))
         fallen = standing.where("kids = 0 AND parent IS NOT NULL").groupBy(F.col("parent").alias("key"))
-        fallen = fallen.agg(F.sum("leaves").alias("l"), F.sum("saved").alias("s"), F.count(F.lit(1)).alias("n"))
+        fallen = fallen.agg(
+            F.sum(F.col("leaves") + F.col("via_leaves")).alias("l"),
+            F.sum(F.col("saved") + F.col("via_saved")).alias("s"),
+            F.count(F.lit(1)).alias("n"),
+        )
         left = standing.where("kids > 0").join(fallen, "key", "left")
-        left = left.select("key", "parent", (F.col("kids") - F.coalesce("n", F.lit(0))).alias("kids"), _plus("leaves", "l"), _plus("saved", "s"))
+        left = left.select("key", "parent", (F.col("kids") - F.coalesce("n", F.lit(0))).alias("kids"), _plus("leaves", "l"), _plus("saved", "s"), "via_leaves", "via_saved")
         standing = materialise(left, "trie-raked")
-        count = standing.count()
-        if count < 2:
+        if standing.count() < 2:
             # The root alone, without children now, or an empty tree.
             known.append(standing.select("key", "leaves", "saved"))
             break
