@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderbeam.operators.skew import (
@@ -15,6 +15,8 @@ from wanderbeam.operators.skew import (
     number_runs,
     with_neighbour,
 )
+from wanderbeam.session import materialise
+from wanderbeam.sources.tables import partition_values
 
 # Parameters of the unified event table.
 EVENT_PARAMS = (
@@ -116,11 +118,30 @@ def unified_events(
     content: Sequence[str] = EVENT_CONTENT,
 ) -> DataFrame:
     """Known events newer than ``after`` (all if None) in the wanted content groups."""
+    return in_content(known_events(raw, app_id, event_names, after), content)
+
+
+def known_events(
+    raw: DataFrame, app_id: str, event_names: DataFrame, after: dt.datetime | None = None
+) -> DataFrame:
+    """One row per event key of the known events, whatever its content group."""
     wanted = app_events(raw, app_id)
     if after is not None:
         wanted = wanted.filter(F.col("event_timestamp") > F.lit(after))
     named = lookup_join(wanted, event_names.select("event_name").distinct(), "event_name", "left_semi")
-    return flatten_params(named, EVENT_PARAMS).filter(F.lower("content_group").isin(*content))
+    return flatten_params(named, EVENT_PARAMS)
+
+
+def merged_events(flat: DataFrame) -> DataFrame:
+    """Rows of one event key as one row: its largest value of every parameter.
+
+    Merging what was merged before changes nothing, so parts and copies of an event may be merged in any order.
+    """
+    return flat.groupBy(*EVENT_KEY).agg(*[F.max(p).alias(p) for p in EVENT_PARAMS])
+
+
+def in_content(events: DataFrame, content: Sequence[str] = EVENT_CONTENT) -> DataFrame:
+    return events.filter(F.lower("content_group").isin(*content))
 
 
 def high_water_mark(table: DataFrame, column: str):
@@ -128,39 +149,41 @@ def high_water_mark(table: DataFrame, column: str):
     return table.agg(F.max(column)).first()[0]
 
 
-def event_runs(
-    events: DataFrame,
-    after: dt.datetime | None = None,
-    content: Sequence[str] = SESSION_CONTENT,
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Consecutive equal events of a ``uid`` as one row with its durations in seconds.
+# What settles the order of events, and of spans, of one time.
+TIE = [
+    "event_name",
+    "hotel_id",
+    "booking_id",
+    "hotel_destination_id",
+    "banner_id",
+    "carousel_id",
+    "recommendlocation_id",
+    "first_touch_source",
+]
+SPAN_KEY = ("uid", "user_id", "ga_session_id", "run", *RUN_ATTRIBUTES)
 
-    ``duration`` is the time inside the run, ``shift_duration`` the time until the next row
-    of the uid (0 for the last), ``total_duration`` their sum. Run numbers count per uid, so
-    no global ordering is needed; equal times are settled by event name, item and booking.
-    """
-    rows = events.filter(F.lower("content_group").isin(*content))
-    if after is not None:
-        rows = rows.filter(F.col("event_timestamp") > F.lit(after))
-    rows = rows.select("uid", "user_id", "ga_session_id", "event_timestamp", *RUN_ATTRIBUTES)
-    tie = ["event_name", "hotel_id", "booking_id", "hotel_destination_id", "banner_id"]
-    tie += ["carousel_id", "recommendlocation_id", "first_touch_source"]
-    limit = group_limit(rows, ["uid"], max_rows)
-    runs = number_runs(rows, ["uid"], ["event_timestamp", *tie], "event_name", "run", limit)
-    spans = runs.groupBy("uid", "user_id", "ga_session_id", "run", *RUN_ATTRIBUTES).agg(
+
+def _session_events(events: DataFrame, content: Sequence[str]) -> DataFrame:
+    rows = in_content(events, content)
+    return rows.select("uid", "user_id", "ga_session_id", "event_timestamp", *RUN_ATTRIBUTES)
+
+
+def _run_spans(rows: DataFrame, limit: int | None) -> DataFrame:
+    """First and last time of equal events in each run of a ``uid``."""
+    runs = number_runs(rows, ["uid"], ["event_timestamp", *TIE], "event_name", "run", limit)
+    return runs.groupBy(*SPAN_KEY).agg(
         F.min("event_timestamp").alias("min_event_timestamp"),
         F.max("event_timestamp").alias("max_event_timestamp"),
     )
-    linked = with_neighbour(
-        spans,
-        ["uid"],
-        ["max_event_timestamp", "run", *tie],
-        "max_event_timestamp",
-        "next_event_timestamp",
-        1,
-        limit,
-    )
+
+
+def _linked(spans: DataFrame, limit: int | None) -> DataFrame:
+    """Spans with the time of the next span of their uid (NULL for the last)."""
+    order = ["max_event_timestamp", "run", *TIE]
+    return with_neighbour(spans, ["uid"], order, "max_event_timestamp", "next_event_timestamp", 1, limit)
+
+
+def _durations(linked: DataFrame) -> DataFrame:
     inside = F.timestamp_diff("SECOND", F.col("min_event_timestamp"), F.col("max_event_timestamp"))
     shift = F.coalesce(
         F.timestamp_diff("SECOND", F.col("max_event_timestamp"), F.col("next_event_timestamp")),
@@ -185,6 +208,81 @@ def event_runs(
     )
 
 
+def event_runs(
+    events: DataFrame,
+    after: dt.datetime | None = None,
+    content: Sequence[str] = SESSION_CONTENT,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Consecutive equal events of a ``uid`` as one row with its durations in seconds.
+
+    ``duration`` is the time inside the run, ``shift_duration`` the time until the next row
+    of the uid (0 for the last), ``total_duration`` their sum. Run numbers count per uid, so
+    no global ordering is needed; equal times are settled by event name, item and booking.
+    """
+    rows = _session_events(events, content)
+    if after is not None:
+        rows = rows.filter(F.col("event_timestamp") > F.lit(after))
+    limit = group_limit(rows, ["uid"], max_rows)
+    return _durations(_linked(_run_spans(rows, limit), limit))
+
+
+class RunStore:
+    """Event runs that grow load by load, so that no load reads the history again.
+
+    ``closed/load=n`` holds the rows that load n made final. ``open/load=n`` holds, for every uid, the spans of
+    its last two runs: the last run may go on, and until it has ended the time of the next span may still change for
+    the run before it. A uid without an event for ``idle`` (its session is over) is closed as it stands.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, idle: str = "2 days", max_rows: int = MAX_GROUP_ROWS) -> None:
+        self.spark, self.root, self.idle, self.max_rows = spark, root, idle, max_rows
+
+    def loads(self) -> int:
+        """Number of finished loads; a load is finished when its open spans are written."""
+        return len(partition_values(self.spark, f"{self.root}/open", "load"))
+
+    def _spans(self, load: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/open/load={load}")
+
+    def add(self, events: DataFrame, content: Sequence[str] = SESSION_CONTENT) -> None:
+        """Continue the runs with events that are not older than the loaded ones of their uid."""
+        rows, load = _session_events(events, content), self.loads()
+        spans = _run_spans(rows, group_limit(rows, ["uid"], self.max_rows))
+        if load:
+            held = self._spans(load - 1).drop("next_event_timestamp")
+            last = held.groupBy("uid").agg(F.max_by("event_name", "run").alias("name"), F.max("run").alias("upto"))
+            first = spans.filter("run = 1").groupBy("uid").agg(F.max("event_name").alias("first"))
+            goes_on = F.when(F.col("first") == F.col("name"), 1).otherwise(0)
+            shift = first.join(last, "uid").select("uid", (F.col("upto") - goes_on).alias("shift"))
+            spans = lookup_join(spans, shift, "uid", "left")
+            spans = spans.withColumn("run", F.col("run") + F.coalesce("shift", F.lit(0))).drop("shift")
+            spans = held.unionByName(spans).groupBy(*SPAN_KEY).agg(
+                F.min("min_event_timestamp").alias("min_event_timestamp"),
+                F.max("max_event_timestamp").alias("max_event_timestamp"),
+            )
+        spans = materialise(spans, "run-spans")
+        limit = group_limit(spans, ["uid"], self.max_rows)
+        over = F.max("max_event_timestamp") - F.expr(f"INTERVAL {self.idle}")
+        over = spans.agg(F.unix_micros(over.cast("timestamp")).alias("over")).first()["over"]
+        ends = spans.groupBy("uid").agg(F.max("run").alias("upto"), F.max("max_event_timestamp").alias("seen"))
+        marked = lookup_join(_linked(spans, limit), ends, "uid", "left")
+        final = F.col("run") < F.col("upto") - 1
+        if over is not None:
+            final = final | (F.unix_micros(F.col("seen").cast("timestamp")) < over)
+        marked = materialise(marked.withColumn("final", final).drop("upto", "seen"), "run-marks")
+        marked.filter("final").drop("final").write.mode("overwrite").parquet(f"{self.root}/closed/load={load}")
+        kept = marked.filter("NOT final").select(*SPAN_KEY, "min_event_timestamp", "max_event_timestamp", "next_event_timestamp")
+        # Written last: a load that failed before is simply done again.
+        kept.write.mode("errorifexists").parquet(f"{self.root}/open/load={load}")
+
+    def read(self) -> DataFrame:
+        """The runs as ``event_runs`` over all loaded events gives them."""
+        load = self.loads() - 1
+        closed = self.spark.read.parquet(*[f"{self.root}/closed/load={n}" for n in range(load + 1)])
+        return _durations(closed.unionByName(self._spans(load)))
+
+
 def upstream_report(
     raw: DataFrame, app_id: str, event_map: DataFrame, tags: Sequence[str] = UPSTREAM_TAGS
 ) -> DataFrame:
