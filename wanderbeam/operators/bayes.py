@@ -32,11 +32,9 @@ class BayesModel:
     logs: DataFrame
 
 
-def _features(rows: DataFrame, spec: ModelSpec, keys: Sequence[str]) -> DataFrame:
+def _features(rows: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """One row per feature: the keys, ``name`` and ``value``."""
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value")) for n in spec.feature_names()]
-    )
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value")) for n in names])
     return rows.select(*keys, F.explode(pairs).alias("f")).select(*keys, "f.name", "f.value")
 
 
@@ -52,7 +50,7 @@ def fit(history: DataFrame, spec: ModelSpec, smoothing: float = SMOOTHING) -> Ba
     per_class = [counts.get(c, 0) for c in range(N_CLASSES)]
     priors = [math.log((n + smoothing) / (total + smoothing * N_CLASSES)) for n in per_class]
     seen = (
-        _features(rows, spec, ["target"])
+        _features(rows, spec.feature_names(), ["target"])
         .groupBy("name", "value")
         .agg(*[F.count_if(F.col("target") == c).alias(f"n{c}") for c in range(N_CLASSES)])
     )
@@ -73,25 +71,69 @@ def _key(name: str, value: str) -> Column:
     return F.concat_ws("=", name, value)
 
 
-def probabilities(rows: DataFrame, model: BayesModel, keys: Sequence[str], styles: str = "style_name_sequence") -> DataFrame:
-    """``keys`` of every row with ``probabilities``, one per class.
+ITEM_FEATURES = ("target_hotel_id", "target_style")
+
 
-    ``keys`` must be unique. A value that training never held says nothing; a missing one is ``unspecified``.
+def log_parts(rows: DataFrame, model: BayesModel, keys: Sequence[str], names: Sequence[str], out: str = "logs") -> DataFrame:
+    """``keys`` of every row with the class logarithms of the features ``names``, summed up in ``out``.
+
+    ``keys`` must be unique. A value that training never held says nothing.
     """
-    wide = positional_features(rows, model.spec, styles)
-    parts = _features(wide, model.spec, keys).select(*keys, _key("name", "value").alias("key"))
+    parts = _features(rows, names, keys).select(*keys, _key("name", "value").alias("key"))
     found = lookup_join(parts, model.logs, "key", "left")
     sums = found.groupBy(*keys).agg(
         *[F.sum(F.coalesce(F.col("logs")[c], F.lit(0.0))).alias(f"l{c}") for c in range(N_CLASSES)]
     )
-    logs = F.array(*[F.round(F.col(f"l{c}") + F.lit(p), DECIMALS) for c, p in enumerate(model.priors)])
-    powers = F.transform("__logs", lambda x: F.exp(x - F.array_max("__logs")))
-    whole = F.aggregate("__powers", F.lit(0.0), lambda a, b: a + b)
-    return (
-        sums.withColumn("__logs", logs)
-        .withColumn("__powers", powers)
-        .select(*keys, F.transform("__powers", lambda x: x / whole).alias("probabilities"))
-    )
+    return sums.select(*keys, F.array(*[f"l{c}" for c in range(N_CLASSES)]).alias(out))
+
+
+def user_logs(users: DataFrame, model: BayesModel, styles: str = "style_sequence") -> DataFrame:
+    """(user_id, user_logs): the part of the score that the history and the attributes of a user give.
+
+    The prior is in it, so that ``user_logs`` plus ``item_logs`` is the whole score.
+    """
+    names = [n for n in model.spec.feature_names() if n not in ITEM_FEATURES]
+    blank = users.withColumns({n: F.lit(None).cast("string") for n in ITEM_FEATURES})
+    parts = log_parts(positional_features(blank, model.spec, styles), model, ["user_id"], names, "user_logs")
+    priors = F.array(*[F.lit(p) for p in model.priors])
+    return parts.withColumn("user_logs", F.zip_with("user_logs", priors, lambda a, b: a + b))
+
+
+def item_logs(items: DataFrame, model: BayesModel) -> DataFrame:
+    """``items`` with ``item_logs``: the part of the score that an item gives, whoever it is offered to."""
+    names = [n for n in ITEM_FEATURES if n in model.spec.feature_names()]
+    named = items.withColumns({"target_hotel_id": F.col("hotel_id"), "target_style": F.coalesce("style_name", F.lit("unspecified"))})
+    parts = log_parts(named, model, ["hotel_id"], names, "item_logs")
+    return items.join(parts, "hotel_id")
+
+
+def class_probabilities(logs: Column) -> Column:
+    """Probabilities from class logarithms, which are compared to ``DECIMALS`` places."""
+    near = F.transform(logs, lambda x: F.round(x, DECIMALS))
+    powers = F.transform(F.array(near), lambda v: F.transform(v, lambda x: F.exp(x - F.array_max(v))))[0]
+    whole = F.transform(F.array(powers), lambda p: F.transform(p, lambda x: x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b)))
+    return whole[0]
+
+
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with pred_action, prob and important_value in place of their user_logs and item_logs.
+
+    A pair costs one addition of two short arrays; no feature is looked up for it.
+    """
+    both = F.zip_with("user_logs", "item_logs", lambda a, b: a + b)
+    return with_importance(pairs, class_probabilities(both)).drop("user_logs", "item_logs")
+
+
+def probabilities(rows: DataFrame, model: BayesModel, keys: Sequence[str], styles: str = "style_name_sequence") -> DataFrame:
+    """``keys`` of every row with ``probabilities``, one per class, looked up feature by feature.
+
+    ``keys`` must be unique. A missing value is ``unspecified``. For users times items see ``score_pairs``.
+    """
+    wide = positional_features(rows, model.spec, styles)
+    parts = log_parts(wide, model, keys, model.spec.feature_names())
+    priors = F.array(*[F.lit(p) for p in model.priors])
+    whole = class_probabilities(F.zip_with("logs", priors, lambda a, b: a + b))
+    return parts.select(*keys, whole.alias("probabilities"))
 
 
 def score(rows: DataFrame, model: BayesModel, keys: Sequence[str], styles: str = "style_sequence") -> DataFrame:

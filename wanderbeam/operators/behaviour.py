@@ -79,11 +79,23 @@ def recent_behaviour(
         raise ValueError("keep must be 'first' or 'last'")
     trained = items.join(trained_items, "hotel_id", "left_semi")
     coded = encoded_events(union_events(bookings, events, event_map), trained)
-    order = ["event_timestamp", "hotel_id", "main_action"]
-    ranked = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
+    return behaviour_sequences(_first_places(coded, length, keep), users)
+
+
+ORDER = ("event_timestamp", "hotel_id", "main_action")
+
+
+def _first_places(events: DataFrame, length: int, keep: str = "last") -> DataFrame:
+    """The ``length`` latest or earliest events of every user; the map side already cuts to as many."""
+    ranked = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in ORDER]
     window = Window.partitionBy("raw_user_id").orderBy(*ranked)
-    kept = coded.withColumn("place", F.row_number().over(window)).filter(F.col("place") <= length)
-    entry = F.struct(*order, "style_name")
+    placed = events.withColumn("place", F.row_number().over(window))
+    return placed.filter(F.col("place") <= length).drop("place")
+
+
+def behaviour_sequences(kept: DataFrame, users: DataFrame) -> DataFrame:
+    """Aligned sequences, in time order, of a bounded number of events per user."""
+    entry = F.struct(*ORDER, "style_name")
     sequences = kept.groupBy("raw_user_id").agg(F.sort_array(F.collect_list(entry)).alias("s"))
     return sequences.join(
         users.select("raw_user_id", "user_id", "age_group", "gender"), "raw_user_id"
@@ -97,6 +109,36 @@ def recent_behaviour(
     )
 
 
+def recent_state(
+    state: DataFrame | None,
+    bookings: DataFrame,
+    events: DataFrame,
+    event_map: DataFrame,
+    items: DataFrame,
+    length: int = 6,
+) -> DataFrame:
+    """The latest events of every user after some more bookings and app events: at most ``length`` rows per user.
+
+    ``state`` is what the load before left (None at the start), so a load reads its own rows and the bounded
+    state, never the history. ``booked`` and ``app`` say which source an event comes from: of an (item, action) only the
+    latest app event counts, bookings all do. An event that left the ``length`` latest can't come back, since only newer
+    ones push it out; so loads in any order of time, in any number, end with the state of one load of everything.
+    (The earliest events have no such state: a newer app event moves its pair back and would let an event in that was dropped.)
+    """
+    booked = encoded_events(booking_events(bookings), items)
+    app = encoded_events(latest_app_events(events, event_map), items)
+    columns = ["raw_user_id", "main_action", "hotel_id", "style_name"]
+    if state is not None:
+        booked = booked.unionByName(state.filter("booked").select(*booked.columns))
+        app = app.unionByName(state.filter("app").select(*app.columns))
+    latest = app.groupBy(*columns).agg(F.max("event_timestamp").alias("event_timestamp"))
+    both = booked.withColumns({"booked": F.lit(True), "app": F.lit(False)}).unionByName(
+        latest.withColumns({"booked": F.lit(False), "app": F.lit(True)})
+    )
+    merged = both.groupBy(*columns, "event_timestamp").agg(F.max("booked").alias("booked"), F.max("app").alias("app"))
+    return _first_places(merged, length)
+
+
 def flag_eligible(behaviour: DataFrame, trained_users: DataFrame, length: int = 6) -> DataFrame:
     """``is_eligible``: the user was trained on and has at least ``length`` events."""
     trained = trained_users.select("user_id").distinct().withColumn("__trained", F.lit(True))

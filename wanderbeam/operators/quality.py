@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def profile_metrics(columns: Sequence[str], ranges: Sequence[str] = ()) -> dict[str, Column]:
+    """Row count, NULLs per column (``<column>_nulls``), and least and greatest value of the ``ranges``."""
+    metrics = {"n_rows": F.count(F.lit(1))}
+    metrics |= {f"{c}_nulls": F.count_if(F.col(c).isNull()) for c in columns}
+    for c in ranges:
+        metrics |= {f"first_{c}": F.min(c), f"last_{c}": F.max(c)}
+    return metrics
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Row count and NULLs per column (``<column>_nulls``)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns or df.columns],
-    )
+    return df.agg(*[c.alias(n) for n, c in profile_metrics(columns or df.columns).items()])
 
 
 def time_range(df: DataFrame, column: str) -> DataFrame:

@@ -92,6 +92,11 @@ def trending(
         .alias("hotel_code"),
     )
     counted = booked.groupBy("hotel_code").agg(F.count_distinct("booker").alias("n_users"))
+    return most_booked(counted, items, k)
+
+
+def most_booked(counted: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` known items of highest ``n_users``, ranked; equal counts by item id."""
     found = counted.join(items.select("hotel_code", "hotel_id"), "hotel_code")
     top = found.select("hotel_id", "n_users").orderBy(F.desc("n_users"), "hotel_id").limit(k)
     # At most k rows from here on.

@@ -6,6 +6,7 @@ microseconds, derived doubles rounded.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,12 @@ from wanderbeam.functions import actions, arrays, dates, json
 from wanderbeam.operators import (
     bayes,
     behaviour,
+    context_tree,
+    day_counts,
     dims,
     evaluate,
     event_log,
+    pruned,
     quality,
     recommend,
     scoring,
@@ -25,7 +29,7 @@ from wanderbeam.operators import (
     serving,
     tuning,
 )
-from wanderbeam.operators.skew import expanding_join, lookup_join
+from wanderbeam.operators.skew import expanding_join, lookup_join, union_all
 from wanderbeam.plans.domain import (
     APP_ID,
     BOOKINGS_AS_OF,
@@ -39,8 +43,10 @@ from wanderbeam.plans.domain import (
     Domain,
 )
 from wanderbeam.session import materialise, scratch_path
-from wanderbeam.sources import delimited, tables
+from wanderbeam.sources import delimited, exports, tables
+from wanderbeam.streaming import incremental
 
+WINDOW_KEYS = ("user_id", "win")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -287,6 +293,29 @@ def recent_behaviour(d: Domain) -> DataFrame:
     )
 
 
+@query
+def daily_behaviour(d: Domain) -> DataFrame:
+    """The recent behaviour after five loads, each of which reads its own rows and the state of the one before."""
+    trained = d.items().join(d.trained_items(), "hotel_id", "left_semi")
+    bookings, events = d.bookings(), d.events()
+    booked, seen = F.col("updated_at"), F.col("event_timestamp")
+    loads = [
+        (bookings.filter(booked < F.lit("1996-01-01")), events.limit(0)),
+        (bookings.filter(booked >= F.lit("1996-01-01")), events.limit(0)),
+        (bookings.limit(0), events.filter(seen < F.lit("2024-01-10"))),
+        (bookings.limit(0), events.filter((seen >= F.lit("2024-01-10")) & (seen < F.lit("2024-01-20")))),
+        (bookings.limit(0), events.filter(seen >= F.lit("2024-01-20"))),
+    ]
+    state = None
+    for some_bookings, some_events in loads:
+        state = materialise(
+            behaviour.recent_state(state, some_bookings, some_events, d.event_map(), trained, LENGTH), "recent-state"
+        )
+    return behaviour.behaviour_sequences(state, d.users()).select(
+        "user_id", text("hotel_id_sequence"), text("main_action_sequence"), "age_group", "gender"
+    )
+
+
 @query
 def earliest_behaviour(d: Domain) -> DataFrame:
     return d.build_behaviour("first").select(
@@ -571,6 +600,54 @@ def trending(d: Domain) -> DataFrame:
     return top.select("hotel_id", "n_users", big("rank"))
 
 
+def _booker_days(d: Domain) -> str:
+    """A store of the bookers of every item by day, filled in two loads."""
+    path = scratch_path(d.spark, "booker-days")
+    numbers = d.users().select(F.col("raw_user_id").cast("string").alias("booker"), "int_user_id")
+
+    def bookings_between(after: dt.date | None, upto: dt.date) -> DataFrame:
+        first = dt.date(1992, 1, 1) if after is None else after + dt.timedelta(days=1)
+        found = d.bookings().filter(dates.local_days(F.col("updated_at"), first, upto)).select(
+            F.to_date(dates.local_time(F.col("updated_at"))).alias(day_counts.DAY),
+            json.path_long(F.col("request"), "hotelId").alias("hotel_code"),
+            json.parse(F.col("customer_info"), json.CUSTOMER_SCHEMA)["customerId"].alias("booker"),
+        )
+        return lookup_join(found, numbers, "booker")
+
+    last = dt.date.fromisoformat(BOOKINGS_AS_OF) - dt.timedelta(days=1)
+    for upto in (last - dt.timedelta(days=4), last):
+        after = last - dt.timedelta(days=30)
+        day_counts.add_days(d.spark, path, lambda a, b: bookings_between(a or after, b), ["hotel_code"], "int_user_id", upto)
+    return path
+
+
+@query
+def trending_by_days(d: Domain) -> DataFrame:
+    """The trending items from stored days: no booking is read for it again."""
+    first, last = dates.trailing_days(BOOKINGS_AS_OF, 8)
+    counted = day_counts.distinct_over(d.spark, _booker_days(d), first, last, ["hotel_code"], "n_users")
+    return recommend.most_booked(counted, d.items(), TOP_K).select("hotel_id", "n_users", big("rank"))
+
+
+@query
+def weekly_reach(d: Domain) -> DataFrame:
+    """Distinct users of every action in the seven days that end with each day, from stored days."""
+    path = scratch_path(d.spark, "action-days")
+    numbers = d.users().select(F.col("raw_user_id").alias("user_id"), "int_user_id")
+
+    def events_between(after: dt.date | None, upto: dt.date) -> DataFrame:
+        found = d.events().filter(F.col("event_timestamp") < F.lit(upto + dt.timedelta(days=1)))
+        if after is not None:
+            found = found.filter(F.col("event_timestamp") >= F.lit(after + dt.timedelta(days=1)))
+        dated = found.select(F.to_date("event_timestamp").alias(day_counts.DAY), "event_name", "user_id")
+        return lookup_join(dated, numbers, "user_id")
+
+    for upto in (dt.date(2024, 1, 12), dt.date(2024, 1, 31)):
+        day_counts.add_days(d.spark, path, events_between, ["event_name"], "int_user_id", upto)
+    found = day_counts.trailing_distinct(d.spark, path, 7, ["event_name"], "reach")
+    return found.select(day("until"), "event_name", "reach")
+
+
 @query
 def union_missing_cols(d: Domain) -> DataFrame:
     return _with_default(d).select("user_id", "target_hotel_id", "gender", rounded("important_value"))
@@ -795,6 +872,66 @@ def incremental_events(d: Domain) -> DataFrame:
     )
 
 
+def _deliveries(d: Domain) -> list[DataFrame]:
+    """The raw events as they arrive in three files: parts of an event come in two of them, some events twice.
+
+    Ten days of events come with the first half of their parameters, the rest one delivery later; the third
+    delivery also holds both halves of its own days, copies, and a few rows that are two weeks late.
+    """
+    raw = d.raw_events()
+    arrived = F.dayofmonth(F.to_date("event_timestamp"))
+    number = F.when(arrived <= 10, 0).when(arrived <= 20, 1).otherwise(2)
+    numbered = raw.withColumn("delivery", number)
+
+    def half(rows: DataFrame, which: int) -> DataFrame:
+        return rows.withColumn("event_params", F.filter("event_params", lambda p, i: i % 2 == which)).drop("delivery")
+
+    out = []
+    for k in range(3):
+        frames = [half(numbered.filter(F.col("delivery") == k), 0)]
+        if k:
+            frames.append(half(numbered.filter(F.col("delivery") == k - 1), 1))
+        if k == 2:
+            own = numbered.filter("delivery = 2")
+            stale = numbered.filter((F.to_date("event_timestamp") <= F.lit("2024-01-02").cast("date")) & (F.col("event_name") == "click"))
+            frames += [half(own, 1), own.filter("event_name = 'view'").drop("delivery"), stale.drop("delivery")]
+        out.append(union_all(frames))
+    return out
+
+
+def _streamed(d: Domain) -> incremental.EventStore:
+    """The event table loaded from three deliveries, by a stream that is stopped and started again after each."""
+    source, target, state = (scratch_path(d.spark, name) for name in ("deliveries", "event-store", "stream-state"))
+    for delivery in _deliveries(d):
+        delivery.write.mode("append").parquet(source)
+        store = incremental.load_new_events(
+            d.spark, source, target, state, d.raw_events().schema, APP_ID, d.event_map(), lateness="12 days"
+        )
+    return store
+
+
+@query
+def stream_events(d: Domain) -> DataFrame:
+    return incremental.loaded_events(_streamed(d)).select(
+        micros("event_timestamp"),
+        "event_name",
+        "uid",
+        "content_group",
+        "first_touch_source",
+        "hotel_id",
+        "booking_id",
+        "carousel_id",
+    )
+
+
+@query
+def late_events(d: Domain) -> DataFrame:
+    """What the stream put aside because its events were closed."""
+    return incremental.late_rows(_streamed(d)).groupBy("event_date", "event_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("uid").alias("n_sessions")
+    )
+
+
 @query
 def event_runs(d: Domain) -> DataFrame:
     return event_log.event_runs(d.unified_events()).select(
@@ -811,6 +948,34 @@ def event_runs(d: Domain) -> DataFrame:
     )
 
 
+@query
+def daily_event_runs(d: Domain) -> DataFrame:
+    """The event runs after five loads that end in the middle of a day."""
+    store = event_log.RunStore(d.spark, scratch_path(d.spark, "run-store"))
+    time = F.col("event_timestamp").cast("timestamp")
+    cuts = ["2024-01-06 12:00:00", "2024-01-12 12:00:00", "2024-01-18 12:00:00", "2024-01-24 12:00:00"]
+    bounds = [None, *cuts, None]
+    for first, last in zip(bounds, bounds[1:]):
+        rows = d.unified_events()
+        if first is not None:
+            rows = rows.filter(time >= F.lit(first).cast("timestamp"))
+        if last is not None:
+            rows = rows.filter(time < F.lit(last).cast("timestamp"))
+        store.add(rows)
+    return store.read().select(
+        "uid",
+        "event_name",
+        "duration",
+        "shift_duration",
+        "total_duration",
+        "hotel_id",
+        "booking_id",
+        "carousel_id",
+        micros("min_event_timestamp"),
+        micros("max_event_timestamp"),
+    )
+
+
 @query
 def upstream_report(d: Domain) -> DataFrame:
     report = event_log.upstream_report(d.raw_events(), APP_ID, d.event_map())
@@ -859,6 +1024,32 @@ def csv_roundtrip(d: Domain) -> DataFrame:
     )
 
 
+@query
+def resumed_export(d: Domain) -> DataFrame:
+    """The windows of ``csv_roundtrip``, exported in chunks by a run that was broken off and one that went on."""
+    named = F.when(F.col("style_name") != "unspecified", F.col("hotel_id")).alias("hotel_id")
+    events = d.training().select("user_id", named, "main_action", "event_timestamp", "event_id")
+    rows = sequences.sliding_windows(events, ("hotel_id", "main_action"), LENGTH, STEP)
+    rows = materialise(rows.withColumn("notes", F.array().cast("array<string>")), "windows")
+    path = scratch_path(d.spark, "export")
+    exports.export_chunks(rows, path, WINDOW_KEYS, chunks=12, waves=3, stop_after=2)
+    exports.export_chunks(rows, path, WINDOW_KEYS, chunks=12, waves=3)
+    read = exports.read_export(d.spark, path, rows.schema, chunks=12)
+    return read.select(
+        "user_id", "win", text("hotel_id_sequence"), text("main_action_sequence"), text("notes")
+    )
+
+
+@query
+def observed_profile(d: Domain) -> DataFrame:
+    """The profile of the user dimension, taken while a copy of it was written."""
+    metrics = quality.profile_metrics(["gender", "age", "age_group", "register_date"], ["register_date"])
+    rules = {"users": F.count(F.lit(1)) > 0, "ids": F.count_if(F.col("int_user_id").isNull()) == 0}
+    seen = tables.load_observed(d.users(), scratch_path(d.spark, "observed-users"), metrics, rules)
+    frame = d.spark.createDataFrame([tuple(seen.values())], list(seen))
+    return frame.withColumns({c: F.col(c).cast("string") for c in ("first_register_date", "last_register_date")})
+
+
 @query
 def append_evolve(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "append")
@@ -905,28 +1096,83 @@ def _model_spec() -> scoring.ModelSpec:
     return scoring.ModelSpec(length=LENGTH)
 
 
-WINDOW_KEYS = ("user_id", "win")
-
-
 def _history(d: Domain) -> DataFrame:
     return sequences.exact_split(
         sequences.history_target(_training_sequences(d)), shuffle_key=_hash_key()
     )
 
 
+def _scored_parts(d: Domain) -> tuple[DataFrame, DataFrame]:
+    """Eligible users and items with their parts of the score of the classifier trained on all windows."""
+    model = bayes.fit(sequences.history_target(_training_sequences(d)), _model_spec())
+    history = d.eligible().withColumn("sequence_hotel_ids", arrays.prefix(F.col("hotel_id_sequence"), LENGTH - 1))
+    history = history.withColumn("style_sequence", arrays.prefix(F.col("style_sequence"), LENGTH - 1))
+    logs = materialise(bayes.user_logs(history, model), "user-logs")
+    users = d.eligible().select("user_id", "hotel_id_sequence").join(logs, "user_id")
+    return users, materialise(bayes.item_logs(d.items().select("hotel_id", "location_name", "style_name"), model), "item-logs")
+
+
 @query
 def ml_score(d: Domain) -> DataFrame:
     """Every candidate scored by the classifier trained on all windows."""
-    model = bayes.fit(sequences.history_target(_training_sequences(d)), _model_spec())
+    users, items = _scored_parts(d)
+    pairs = recommend.candidates(users, items, d.trained_items(), LENGTH, ("item_logs",))
+    scored = bayes.score_pairs(pairs.select("user_id", "target_hotel_id", "user_logs", "item_logs"))
+    return scored.select(
+        "user_id", "target_hotel_id", big("pred_action"), rounded("prob"), rounded("important_value")
+    )
+
+
+@query
+def ml_topk(d: Domain) -> DataFrame:
+    """The ten candidates of highest importance per user, found without scoring all of them."""
+    users, items = _scored_parts(d)
+    trained = recommend.trained_only(items, d.trained_items())
+    anchors = trained.select(F.col("hotel_id").alias("anchor"), "location_name")
+    anchored = users.withColumn("anchor", arrays.last_item(F.col("hotel_id_sequence")))
+    best = pruned.top_items(lookup_join(anchored, anchors, "anchor"), trained, TOP_K)
+    return best.select(
+        "user_id", big("rank"), "target_hotel_id", big("pred_action"), rounded("prob"), rounded("important_value")
+    )
+
+
+def _ordered(rows: DataFrame, actions_column: str = "main_action_sequence") -> DataFrame:
+    return rows.withColumn("symbols", context_tree.context("target_style", actions_column))
+
+
+@query
+def ml_score_ordered(d: Domain) -> DataFrame:
+    """Every candidate scored by the context tree: style of the item, then the latest actions backwards."""
+    windows = _ordered(sequences.history_target(_training_sequences(d)))
+    counts = materialise(context_tree.class_counts(windows, []), "context-counts")
     styled = d.items().withColumnRenamed("style_name", "target_style")
     rows = recommend.candidates(d.eligible(), styled, d.trained_items(), LENGTH, ("target_style",))
-    rows = rows.withColumnRenamed("hotel_id_sequence", "sequence_hotel_ids")
-    scored = bayes.score(rows, model, ("user_id", "target_hotel_id"))
+    scored = context_tree.score(_ordered(rows).select("user_id", "target_hotel_id", "symbols"), counts)
     return scored.select(
         "user_id", "target_hotel_id", big("pred_action"), rounded("prob"), rounded("important_value")
     )
 
 
+@query
+def ml_metrics_ordered(d: Domain) -> DataFrame:
+    rows = materialise(_ordered(_history(d)).select(*WINDOW_KEYS, "symbols", "target", "split"), "history")
+    counts = materialise(context_tree.class_counts(rows.filter("split = 'train'"), []), "context-counts")
+    judged = context_tree.score(rows.filter("split <> 'train'"), counts)
+    judged = judged.select("split", F.col("target").alias("label"), F.col("pred_action").alias("prediction"))
+    return bayes.quality(judged, ["split"]).select("split", "n", rounded("accuracy"), rounded("f1"))
+
+
+@query
+def halving_search(d: Domain) -> DataFrame:
+    """Twenty-seven candidates over three rounds of three times the users each."""
+    number = F.replace("user_id", F.lit("user_"), F.lit("")).cast("bigint")
+    user_hash = F.pmod(number * 2654435761 + 42, F.lit(2147483648))
+    found = tuning.halving_search(d.training(), tuning.drawn_candidates(), user_hash)
+    return found.select(
+        big("round"), big("cand"), big("seq_len"), big("step"), big("min_seen"), "with_style", "n", rounded("accuracy"), big("rank"), "survived"
+    )
+
+
 @query
 def ml_metrics(d: Domain) -> DataFrame:
     rows = materialise(_history(d), "history")

@@ -301,6 +301,9 @@ VIEWS: dict[str, str] = {
       FROM (SELECT *, lead(max_ts) OVER (PARTITION BY uid ORDER BY max_ts, run, event_name,
               hotel_id NULLS FIRST, booking_id NULLS FIRST, carousel_id NULLS FIRST,
               first_touch_source NULLS FIRST) AS next_ts FROM run_spans)""",
+    "dated_users": """
+      SELECT CAST(event_timestamp AS DATE) AS d, event_name, int_user_id
+      FROM v_events e JOIN users u ON e.user_id = u.raw_user_id""",
     "booked_items": """
       SELECT CAST(l_orderkey AS VARCHAR) AS booking_id, CAST(min(l_partkey) AS VARCHAR) AS booking_hotel_id
       FROM lineitem GROUP BY l_orderkey""",
@@ -412,6 +415,76 @@ VIEWS["offered"] = f"""
       LEFT JOIN items i6 ON i6.hotel_id = c.target_hotel_id"""
 VIEWS.update(_bayes("all", "hist_a", "offered", "user_id, target_hotel_id", 6))
 
+
+
+def _tree(tag: str, seen: str, asked: str, keys: str = "") -> dict[str, str]:
+    """Class shares of the symbol lists ``asked`` by a tree of contexts counted over ``seen`` (symbols, target, n)."""
+    by, own = (f"{keys}, ", f"a.{keys}, ") if keys else ("", "")
+    same = f"a.{keys} = q.{keys} AND " if keys else ""
+    counts = ", ".join(f"coalesce(sum(n) FILTER (WHERE target = {c}), 0)::DOUBLE" for c in range(6))
+    return {
+        f"nodes_{tag}": f"""
+          SELECT {by}node, [{counts}] AS counts FROM (
+            SELECT {by}target, n, symbols[1:d] AS node FROM (SELECT *, unnest(range(0, len(symbols) + 1)) AS d FROM {seen}))
+          GROUP BY {by}node""",
+        f"way_{tag}": f"""
+          SELECT {own}a.symbols, list(coalesce(counts, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[]) ORDER BY d) AS way
+          FROM (SELECT *, unnest(range(0, len(symbols) + 1)) AS d FROM (SELECT DISTINCT {by}symbols FROM {asked})) a
+          LEFT JOIN nodes_{tag} q ON {same}q.node = a.symbols[1:a.d] GROUP BY {own}a.symbols""",
+        f"shares_{tag}": f"""
+          SELECT {by}symbols, list_position(p, list_max(p)) - 1 AS pred, list_max(p) AS prob FROM (
+            SELECT {by}symbols, list_reduce(
+              list_prepend([1.0::DOUBLE / 6, 1.0::DOUBLE / 6, 1.0::DOUBLE / 6, 1.0::DOUBLE / 6, 1.0::DOUBLE / 6, 1.0::DOUBLE / 6], way),
+              lambda p, n: CASE WHEN list_sum(n) = 0 THEN p ELSE list_transform(list_zip(p, n), lambda z:
+                (z[2] + len(list_filter(n, lambda x: x > 0))::DOUBLE * z[1])
+                  / (list_sum(n) + len(list_filter(n, lambda x: x > 0))::DOUBLE)) END) AS p FROM way_{tag})""",
+    }
+
+
+_SYMBOLS = """list_prepend(coalesce({style}, 'unspecified'),
+    list_transform(list_reverse({past}), lambda x: coalesce(CAST(x AS VARCHAR), 'unspecified')))"""
+VIEWS["order_rows"] = f"""
+      SELECT w.user_id, w.win, split, {_SYMBOLS.format(style='e.y[s+6]', past='e.c[s+1:s+5]')} AS symbols, e.c[s+6] AS target, 1 AS n
+      FROM starts_a w JOIN event_lists_a e ON e.user_id = w.user_id JOIN parts_a p ON p.user_id = w.user_id AND p.win = w.win"""
+VIEWS["order_train"] = "SELECT * FROM order_rows WHERE split = 'train'"
+VIEWS["order_held"] = "SELECT * FROM order_rows WHERE split <> 'train'"
+VIEWS.update(_tree("held_order", "order_train", "order_held"))
+VIEWS["order_offered"] = f"""
+      SELECT user_id, target_hotel_id, {_SYMBOLS.format(style='style_name', past='acts')} AS symbols
+      FROM candidate_rows JOIN items ON hotel_id = target_hotel_id"""
+VIEWS.update(_tree("all_order", "order_rows", "order_offered"))
+
+# Twenty-seven of the 210 combinations, every eleventh, counted round.
+_SPACE = [(a, b, c, t) for a in range(4, 11) for b in (1, 2, 5) for c in range(4, 9) for t in ("true", "false")]
+_DRAWN = [(i, *_SPACE[i * 11 % 210]) for i in range(27)]
+VIEWS["search_cands"] = "SELECT * FROM (VALUES " + ", ".join(str(c).replace("'", "") for c in _DRAWN) + ") t(cand, seq_len, step, min_seen, with_style)"
+VIEWS["search_places"] = f"""
+      SELECT user_id, style_name, {_code('main_action')} AS target, row_number() OVER u - 1 AS place,
+        count(*) OVER (PARTITION BY user_id) AS n_events,
+        list_reverse(coalesce(list({_code('main_action')}) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id
+          ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING), [])) AS past,
+        (CAST(replace(user_id, 'user_', '') AS BIGINT) * 2654435761 + 42) % 2147483648 AS mark
+      FROM training WINDOW u AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)"""
+VIEWS["search_seen"] = "SELECT user_id, count(DISTINCT hotel_id) AS n_items FROM training GROUP BY 1"
+VIEWS["search_examples"] = """
+      SELECT cand, mark % 9 AS part, (mark // 9) % 5 = 0 AS held, target, 1 AS n,
+        list_concat(CASE WHEN with_style THEN [coalesce(style_name, 'unspecified')] ELSE []::VARCHAR[] END,
+          list_transform(past[1:seq_len-1], lambda x: CAST(x AS VARCHAR))) AS symbols
+      FROM search_places JOIN search_seen USING (user_id) JOIN search_cands ON n_items >= min_seen
+        AND place >= seq_len - 1 AND ((place - seq_len + 1) % step = 0 OR place = n_events - 1)"""
+VIEWS["alive_1"] = "SELECT cand FROM search_cands"
+for _round, (_parts, _keep) in enumerate(((1, 9), (3, 3), (9, 1)), 1):
+    VIEWS[f"sample_{_round}"] = f"SELECT e.* FROM search_examples e JOIN alive_{_round} USING (cand) WHERE part < {_parts}"
+    VIEWS[f"fitted_{_round}"] = f"SELECT * FROM sample_{_round} WHERE NOT held"
+    VIEWS[f"probe_{_round}"] = f"SELECT * FROM sample_{_round} WHERE held"
+    VIEWS.update(_tree(f"round_{_round}", f"fitted_{_round}", f"probe_{_round}", "cand"))
+    VIEWS[f"ranking_{_round}"] = f"""
+      SELECT {_round} AS round, *, row_number() OVER (ORDER BY accuracy DESC, cand) AS rank FROM (
+        SELECT cand, count(pred) AS n, coalesce(count(*) FILTER (WHERE pred = target) / nullif(count(pred), 0), 0.0) AS accuracy
+        FROM alive_{_round} LEFT JOIN (SELECT p.cand, p.target, s.pred FROM probe_{_round} p
+          JOIN shares_round_{_round} s ON s.cand = p.cand AND s.symbols = p.symbols) USING (cand) GROUP BY cand)"""
+    VIEWS[f"alive_{_round + 1}"] = f"SELECT cand FROM ranking_{_round} WHERE rank <= {_keep}"
+
 ORACLES: dict[str, str] = {
     "normalise_location": "SELECT hotel_code, location_name, style_name FROM v_items0",
     "booking_action": """
@@ -485,6 +558,9 @@ ORACLES: dict[str, str] = {
     "recent_behaviour": f"""
       SELECT user_id, {_LIST}(hotels, ',') AS hotel_id_sequence, {_LIST}(acts, ',') AS main_action_sequence,
         age_group, gender FROM behaviour""",
+    "daily_behaviour": f"""
+      SELECT user_id, {_LIST}(hotels, ',') AS hotel_id_sequence, {_LIST}(acts, ',') AS main_action_sequence,
+        age_group, gender FROM behaviour""",
     "earliest_behaviour": f"""
       SELECT user_id, {_LIST}(list(hotel_id ORDER BY rn), ',') AS hotel_id_sequence,
         {_LIST}(list(main_action ORDER BY rn), ',') AS main_action_sequence,
@@ -596,6 +672,11 @@ ORACLES: dict[str, str] = {
       SELECT user_id, target_hotel_id, CAST(pred_action AS BIGINT) AS pred_action,
         round(prob, 6) AS prob, round(important_value, 6) AS important_value FROM predictions""",
     "trending": "SELECT hotel_id, n_users, rank FROM trend",
+    "trending_by_days": "SELECT hotel_id, n_users, rank FROM trend",
+    "weekly_reach": """
+      SELECT CAST(until AS VARCHAR) AS until, event_name, count(DISTINCT int_user_id) AS reach
+      FROM (SELECT CAST(unnest(range(min(d), max(d) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS until FROM dated_users)
+      JOIN dated_users ON d BETWEEN until - 6 AND until GROUP BY 1, 2""",
     "union_missing_cols": """
       SELECT user_id, target_hotel_id, gender, round(important_value, 6) AS important_value FROM with_default""",
     "rank_per_user": """
@@ -674,6 +755,15 @@ ORACLES: dict[str, str] = {
     "event_runs": """
       SELECT uid, event_name, duration, shift_duration, total_duration, hotel_id, booking_id, carousel_id,
         epoch_us(min_ts) AS min_event_timestamp, epoch_us(max_ts) AS max_event_timestamp FROM runs""",
+    "daily_event_runs": """
+      SELECT uid, event_name, duration, shift_duration, total_duration, hotel_id, booking_id, carousel_id,
+        epoch_us(min_ts) AS min_event_timestamp, epoch_us(max_ts) AS max_event_timestamp FROM runs""",
+    "stream_events": """
+      SELECT epoch_us(event_timestamp) AS event_timestamp, event_name, uid, content_group,
+        first_touch_source, hotel_id, booking_id, carousel_id FROM unified""",
+    "late_events": """
+      SELECT event_date, event_name, count(*) AS n, count(DISTINCT uid) AS n_sessions FROM v_raw_events
+      WHERE event_name = 'click' AND CAST(event_timestamp AS DATE) <= DATE '2024-01-02' GROUP BY 1, 2""",
     "upstream_report": """
       SELECT event_date, hotel_id, first_touch_source, """
     + ", ".join(
@@ -699,6 +789,27 @@ ORACLES: dict[str, str] = {
     "ml_score": """
       SELECT user_id, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
         round(pred * prob, 6) AS important_value FROM picked_all""",
+    "ml_topk": """
+      SELECT user_id, rank, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
+        round(pred * prob, 6) AS important_value
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(pred * prob, 9) DESC, target_hotel_id) AS rank
+            FROM picked_all) WHERE rank <= 10""",
+    "ml_score_ordered": """
+      SELECT user_id, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
+        round(pred * prob, 6) AS important_value FROM order_offered o JOIN shares_all_order s ON s.symbols = o.symbols""",
+    "ml_metrics_ordered": """
+      SELECT split, CAST(sum(labelled) AS BIGINT) AS n, round(sum(hit) / sum(labelled), 6) AS accuracy,
+        round(sum(CASE WHEN labelled + guessed > 0 THEN labelled * 2.0::DOUBLE * hit / (labelled + guessed) ELSE 0 END)
+          / sum(labelled), 6) AS f1
+      FROM (SELECT split, k, count(*) FILTER (WHERE target = k) AS labelled, count(*) FILTER (WHERE pred = k) AS guessed,
+              count(*) FILTER (WHERE target = k AND pred = k) AS hit
+            FROM order_held h JOIN shares_held_order s ON s.symbols = h.symbols, range(6) t(k) GROUP BY 1, 2)
+      GROUP BY 1""",
+    "halving_search": """
+      SELECT round::BIGINT AS round, cand::BIGINT AS cand, seq_len::BIGINT AS seq_len, step::BIGINT AS step,
+        min_seen::BIGINT AS min_seen, with_style, n::BIGINT AS n, round(accuracy, 6) AS accuracy, rank, survived
+      FROM (SELECT *, rank <= 9 AS survived FROM ranking_1 UNION ALL SELECT *, rank <= 3 FROM ranking_2
+            UNION ALL SELECT *, rank <= 1 FROM ranking_3) JOIN search_cands USING (cand)""",
     "ml_metrics": f"""
       SELECT part AS split, n, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1
       FROM ({_judged('held', 'held_parts', 'split')})""",
@@ -717,6 +828,12 @@ ORACLES: dict[str, str] = {
         for tag, name, length, step, least, user, hotel in _SEARCH
     )
     + "))",
+    "observed_profile": """
+      SELECT count(*) AS n_rows, count(*) FILTER (WHERE gender IS NULL) AS gender_nulls,
+        count(*) FILTER (WHERE age IS NULL) AS age_nulls, count(*) FILTER (WHERE age_group IS NULL) AS age_group_nulls,
+        count(*) FILTER (WHERE register_date IS NULL) AS register_date_nulls,
+        CAST(min(register_date) AS VARCHAR) AS first_register_date, CAST(max(register_date) AS VARCHAR) AS last_register_date
+      FROM users""",
     "csv_roundtrip": f"""
       SELECT w.user_id, w.win, {_LIST}(h[s+1:s+6], ',') AS hotel_id_sequence,
         {_LIST}(a[s+1:s+6], ',') AS main_action_sequence, '\\E' AS notes
@@ -740,6 +857,9 @@ ORACLES: dict[str, str] = {
 }
 
 
+ORACLES["resumed_export"] = ORACLES["csv_roundtrip"]
+
+
 def _collapsed(source: str) -> dict[str, str]:
     return {
         "marked": f"""

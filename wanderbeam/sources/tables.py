@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wanderbeam.operators.skew import row_bytes
 
 BUCKET_BYTES = 128 << 20
+# Feature tables: partition columns, and hidden names beside them, which no reader lists.
+BUCKETS, BUCKET = "buckets", "bucket"
+PENDING, LOCK = "_pending", "_lock"
+FEATURE_BUCKETS = 64
 
 
 def scan(spark: SparkSession, source: str, merge_schema: bool = False) -> DataFrame:
@@ -70,46 +75,79 @@ def upserted(base: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFram
     return both.select(*out)
 
 
-def feature_upsert(
-    spark: SparkSession, root: str, delta: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """Merge ``delta`` into the newest version under ``root``; create the table if missing.
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in its own terms."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
-    A version is a folder of its own, so no job overwrites what it reads, and files of a job
-    that failed stay invisible.
-    """
-    current = latest_version(spark, root)
-    if current is None:
-        number, merged = 0, delta
-    else:
-        number = current + 1
-        merged = upserted(read_version(spark, root, current), delta, keys)
-    merged.write.mode("overwrite").parquet(_version_path(root, number))
-    return read_version(spark, root, number)
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with the bucket of its key; a NULL in a key is a value like any other."""
+    number = F.pmod(F.xxhash64(*[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\\N")) for k in keys]), F.lit(buckets))
+    return df.withColumns({BUCKETS: F.lit(buckets), BUCKET: number.cast("int")})
 
 
-def _version_path(root: str, number: int) -> str:
-    return f"{root}/version={number}"
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition column of a table, from a listing of its folder; none if there is no table."""
+    files, folder = _files(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
 
 
-def read_version(spark: SparkSession, root: str, number: int) -> DataFrame:
-    return spark.read.parquet(_version_path(root, number))
+def bucket_count(spark: SparkSession, root: str) -> int | None:
+    """Buckets of a feature table, from the name of its folder; None if there is no table yet."""
+    found = partition_values(spark, root, BUCKETS)
+    return int(found[0]) if found else None
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest finished version, from a listing of the folder; None if there is no table yet.
+def _replace_buckets(spark: SparkSession, root: str) -> None:
+    """Put the buckets that lie ready in the pending folder in the place of those of the table."""
+    ready = spark.read.parquet(f"{root}/{PENDING}")
+    dealt = ready.repartition(BUCKET)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKETS, BUCKET).parquet(root)
+    files, folder = _files(spark, f"{root}/{PENDING}")
+    files.delete(folder, True)
+
+
+def read_features(spark: SparkSession, root: str) -> DataFrame:
+    """The whole feature table; columns that a bucket doesn't have are NULL in its rows."""
+    return spark.read.option("mergeSchema", True).parquet(root).drop(BUCKETS, BUCKET)
+
+
+def feature_upsert(
+    spark: SparkSession, root: str, delta: DataFrame, keys: Sequence[str], buckets: int = FEATURE_BUCKETS
+) -> DataFrame:
+    """Merge ``delta`` into the table at ``root``; create the table, with ``buckets`` buckets, if missing.
 
-    A version counts once its job has left the success mark.
+    The table lies in buckets by a hash of its key. Only the buckets that hold a key of the delta are read, merged and written, so
+    a merge costs what it touches. The merged buckets are first written whole to a pending folder and then
+    replace the old ones; a merge that was broken off in between is finished by the next one before it
+    starts. One merge runs at a time: a second one finds the lock and is refused.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return None
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    numbers = [int(n.removeprefix("version=")) for n in names if re.fullmatch(r"version=\d+", n)]
-    mark = spark._jvm.org.apache.hadoop.fs.Path
-    done = [n for n in numbers if files.exists(mark(f"{_version_path(root, n)}/_SUCCESS"))]
-    return max(done, default=None)
+    keys = list(keys)
+    files, lock = _files(spark, f"{root}/{LOCK}")
+    if not files.createNewFile(lock):
+        raise RuntimeError(f"another merge holds {root}/{LOCK}")
+    try:
+        finished, pending = _files(spark, f"{root}/{PENDING}/_SUCCESS")
+        if finished.exists(pending):
+            _replace_buckets(spark, root)
+        known = bucket_count(spark, root)
+        dealt = _bucketed(delta, keys, known or buckets)
+        if known is None:
+            merged = upserted(dealt.limit(0), dealt, keys)
+        else:
+            # At most as many numbers as the table has buckets.
+            touched = [row[0] for row in dealt.select(BUCKET).distinct().collect()]
+            base = spark.read.option("mergeSchema", True).parquet(root).filter(F.col(BUCKET).isin(touched))
+            merged = upserted(base, dealt, keys)
+        merged.write.mode("overwrite").parquet(f"{root}/{PENDING}")
+        _replace_buckets(spark, root)
+    finally:
+        files.delete(lock, False)
+    return read_features(spark, root)
 
 
 def publish_snapshot(
@@ -133,3 +171,39 @@ def publish_snapshot(
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+class RefusedLoad(ValueError):
+    """A load that broke a rule; ``profile`` says what was seen and ``staged`` where the rows are."""
+
+    def __init__(self, broken: Sequence[str], profile: Mapping[str, object], staged: str) -> None:
+        super().__init__(f"refused: {', '.join(broken)}")
+        self.broken, self.profile, self.staged = list(broken), dict(profile), staged
+
+
+def load_observed(
+    df: DataFrame,
+    path: str,
+    metrics: Mapping[str, Column],
+    rules: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
+    """Write ``df`` to the new table ``path`` and give the ``metrics``, which are taken while it is written.
+
+    Metrics and rules are aggregates that ride along in the writing pass, so the rows are neither read again nor
+    computed twice. A rule is a boolean aggregate; where one is not true, nothing appears at ``path``: the rows stay in a folder
+    beside it for inspection and the load is refused.
+    """
+    rules = dict(rules or {})
+    spark = df.sparkSession
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    df.observe(seen, *[c.alias(n) for n, c in metrics.items()], *[c.alias(f"rule {n}") for n, c in rules.items()]).write.parquet(staged)
+    found = seen.get
+    profile = {n: found[n] for n in metrics}
+    broken = [n for n in rules if found[f"rule {n}"] is not True]
+    if broken:
+        raise RefusedLoad(broken, profile, staged)
+    files, source = _files(spark, staged)
+    if not files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(path)):
+        raise FileExistsError(path)
+    return profile
