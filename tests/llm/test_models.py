@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import ODD, lower_ascii, sentence, split_words
-from wanderbeam.llm import gru, language_model, quality_classifier, toxicity, url_filter
+from wanderbeam.llm import gru, labelled, language_model, quality_classifier, toxicity, url_filter
 from wanderbeam.llm.labelled import Bound, labelled_sample, platt, sigmoid
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -357,3 +357,33 @@ def test_pipeline_stages_hand_on_documents(spark, tmp_path):
         sizes.append(docs.count())
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] and sizes[4] == sizes[5]
     assert set(docs.columns) >= {"doc_id", "shard", "slot"}
+
+
+def test_pipeline_stages_keep_clashing_columns_and_take_empty_tables(spark, make):
+    import corpus_pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(i, sentence(random.Random(i), 60, 4000), f"src{i % 3}") for i in range(12)] + [(50, None, None), (50, None, None), (51, "", "src0")]
+    docs = make(rows)
+    for name in ("score", "mix_tokens", "mix_block", "mix_key", "node", "rank", "__label", "shingles", "keys"):
+        docs = docs.withColumn(name, F.concat(F.lit("x"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        assert all(r["score"] == r["mix_tokens"] == f"x{r.doc_id}" for r in out.collect()), name
+        assert stage(spark, docs.limit(0), sf_dir).collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
+
+
+def test_the_labelled_sample_is_the_same_however_ids_repeat(spark, make):
+    rows = [(i, f"text {i} " * 20) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    bound = labelled.Bound(per_class=8, max_bytes=900)
+    found = []
+    for repeat in (1, 30):
+        docs = make(rows + [(0, "a smaller text")] * repeat).repartition(3)
+        found.append(labelled.labelled_sample(docs, labels, "quality", F.lit(True), bound))
+    assert found[0].texts == found[1].texts
+    for c in (0, 1):
+        texts = [t for t, y in zip(found[0].texts, found[0].labels) if y == c]
+        assert 0 < len(texts) < 8 and sum(map(len, texts)) <= 900

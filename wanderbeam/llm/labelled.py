@@ -7,18 +7,20 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderbeam.llm.text import id_remainder
+from wanderbeam.session import materialise
 
 
 @dataclass(frozen=True)
 class Bound:
-    """Limits of the training sample: rows of each class, and characters of a sampled text."""
+    """Limits of the training sample: rows and UTF-8 bytes of each class, and characters of a sampled text."""
 
     per_class: int = 3000
     max_chars: int = 200_000
+    max_bytes: int = 64 << 20
     seed: int = 7
 
 
@@ -34,7 +36,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """Up to ``bound.per_class`` texts of each class, by the order of a hash of the id.
 
     ``learn`` says which label rows may be learnt from. Rows whose label is neither 0 nor 1, whose id is
-    NULL or whose text is longer than the bound are left out of the sample. At most that many ids are broadcast.
+    NULL or whose text is longer than the bound are left out of the sample. Of several texts with one id the smallest
+    is taken. Texts are taken as long as they fit in ``bound.max_bytes``, in the same order, so that what reaches the driver is bounded. At most
+    ``per_class`` ids of each class are broadcast.
     """
     usable = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     usable = usable.select("doc_id", F.col(label).cast("int").alias("__label")).distinct()
@@ -44,8 +48,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     ids = chosen[0].union(chosen[1])
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", text.alias("text")).where(F.length("text") <= bound.max_chars)
-    # Ids may repeat in documents; the sample stays bounded all the same.
-    rows = found.join(F.broadcast(ids), "doc_id").select("text", "__label", "doc_id").limit(4 * bound.per_class).collect()
+    asked = found.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "__label").agg(F.min("text").alias("text"))
+    asked = materialise(asked, "labelled-sample")
+    upto = F.sum("size").over(Window.partitionBy("__label").orderBy(order, "doc_id"))
+    sizes = asked.select("doc_id", "__label", F.octet_length("text").cast("long").alias("size"))
+    fits = sizes.withColumn("upto", upto).where(F.col("upto") <= bound.max_bytes).select("doc_id", "__label")
+    rows = asked.join(F.broadcast(fits), ["doc_id", "__label"]).select("text", "__label", "doc_id").collect()
     rows.sort(key=lambda r: (r[2], r[1], r[0]))
     y = np.array([r[1] for r in rows], np.int64)
     seen = Counter(y.tolist())

@@ -130,8 +130,11 @@ def mix(
     text: str = "text",
     source: str = "source",
     partitions: int | None = None,
+    names: tuple[str, str, str] = ("mix_tokens", "mix_block", "mix_key"),
 ) -> DataFrame:
-    """The mixed corpus: the rows of ``docs`` plus ``mix_tokens``, ``mix_block`` and ``mix_key``.
+    """The mixed corpus: the rows of ``docs`` plus the columns ``names``: tokens, block and key.
+
+    Columns of ``docs`` that have one of these names are left out.
 
     Every source is used ``passes`` times in whole, each block in a permutation of its own
     (order by ``mix_block``, ``mix_key``), then the last block takes its permutation as long as
@@ -141,9 +144,10 @@ def mix(
     Rows of one source with the same id stand or fall together in the last block. NULL sources
     are one source, NULL ids one id, NULL texts empty. An empty table gives no rows.
     """
-    counted = docs.withColumn("mix_tokens", document_tokens(F.col(f"`{text}`")))
+    kept = [c for c in docs.columns if c not in names]
+    counted = docs.select(*[F.col(f"`{c}`") for c in kept], document_tokens(F.col(f"`{text}`")).alias("__mix_tokens"))
     narrow = materialise(
-        counted.select(F.col(f"`{source}`").alias("source"), F.col(f"`{doc_id}`").alias("doc_id"), "mix_tokens"),
+        counted.select(F.col(f"`{source}`").alias("source"), F.col(f"`{doc_id}`").alias("doc_id"), F.col("__mix_tokens").alias("mix_tokens")),
         "mix-rows",
     )
     sources = materialise(source_tokens(narrow, "source", F.col("mix_tokens")), "mix-sources")
@@ -172,7 +176,8 @@ def mix(
     ends = offered.alias("p").join(cuts.withColumnRenamed("__source", "__cut"), F.expr("p.__source <=> __cut"), "left")
     ends = materialise(ends.select("__source", F.col("passes").alias("__passes"), F.col("cut").alias("__end")), "mix-ends")
     used = with_plan(counted, F.col(f"`{source}`"), ends)
-    block = F.explode(F.sequence(F.lit(0), F.col("__passes"))).alias("mix_block")
-    rows = used.select("*", block).withColumn("mix_key", permutation_key(doc_id, spec.seed, F.col("mix_block")))
-    taken = (F.col("mix_block") < F.col("__passes")) | F.coalesce(F.col("mix_key") <= F.col("__end"), F.lit(False))
-    return rows.where(taken).select(*[F.col(f"`{c}`") for c in docs.columns], "mix_tokens", "mix_block", "mix_key")
+    block = F.explode(F.sequence(F.lit(0), F.col("__passes"))).alias("__mix_block")
+    rows = used.select("*", block).withColumn("__mix_key", permutation_key(doc_id, spec.seed, F.col("__mix_block")))
+    taken = (F.col("__mix_block") < F.col("__passes")) | F.coalesce(F.col("__mix_key") <= F.col("__end"), F.lit(False))
+    added = [F.col(c).alias(n) for c, n in zip(("__mix_tokens", "__mix_block", "__mix_key"), names)]
+    return rows.where(taken).select(*[F.col(f"`{c}`") for c in kept], *added)

@@ -203,8 +203,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn, label: str = "quality
     return train(sample.texts, sample.labels, sample.weights)
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` with ``score``: only the text is looked at, NULL as an empty one."""
+def scores(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """The rows of ``docs`` with their score in ``out``: only the text is looked at, NULL as an empty one."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
@@ -212,7 +212,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         margins = np.array([model.margin(reader, t) for t in texts], float)
         return pd.Series(sigmoid(model.slope * margins + model.offset))
 
-    return docs.withColumn("score", score(F.col("text")))
+    return docs.withColumn(out, score(F.col("text")))
 
 
 def learnable(modulus: int = 5, remainder: int = 0):
@@ -232,6 +232,10 @@ def document_quality(docs: DataFrame, labels: DataFrame, bound: Bound = Bound())
 
 
 def accepted(docs: DataFrame, labels: DataFrame, bound: Bound = Bound(), threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with a score of at least ``threshold``, with the columns of ``docs``."""
+    """The documents with a score of at least ``threshold``, with the columns of ``docs``, whatever their names.
+
+    NULL and blank texts are scored like any other; repeated rows are judged each; no documents give no rows, and without
+    labels every score is 0.5. Very long texts are read whole, one at a time.
+    """
     model = fit_quality(docs, labels, learnable(), bound=bound)
-    return scores(docs, model).where(F.col("score") >= threshold).drop("score")
+    return scores(docs, model, "__quality_score").where(F.col("__quality_score") >= threshold).drop("__quality_score")
