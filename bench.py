@@ -13,7 +13,7 @@ import time
 
 from wanderbeam.plans.catalogue import QUERIES
 from wanderbeam.plans.domain import Domain
-from wanderbeam.session import local_session
+from wanderbeam.session import drop_scratch, local_session
 
 HEADLINE = [
     "user_dim",
@@ -49,7 +49,8 @@ def main() -> None:
     domain = Domain(spark, sf_dir)
     setup = {}
     for stored in (
-        domain.bookings,
+        domain.booking_documents,
+        domain.event_documents,
         domain.raw_events,
         domain.unified_events,
         domain.existing_users,
@@ -59,6 +60,7 @@ def main() -> None:
         domain.training,
         domain.behaviour,
         domain.predictions,
+        domain.offers,
         domain.playlists,
     ):
         start = time.perf_counter()
@@ -69,6 +71,7 @@ def main() -> None:
         start = time.perf_counter()
         consume(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
+    drop_scratch(spark)
     print(
         json.dumps(
             {

@@ -8,13 +8,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from wanderbeam.session import local_session  # noqa: E402
+from wanderbeam.session import drop_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", 8, spark__sql__shuffle__partitions="3")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

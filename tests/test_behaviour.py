@@ -91,7 +91,7 @@ def users(spark):
 
 
 def test_training_sequences(spark):
-    built = sequences.training_sequences(training(spark), users(spark), 6, 5, 3)
+    built = sequences.training_sequences(training(spark), users(spark), 6, 5, 3, order=("event_timestamp", "event_id"))
     got = rows(built, "user_id", "win", "hotel_id_sequence", "main_action_sequence", "gender")
     # u2 saw one item only; u1 has ties settled by event id; u3's missing item keeps its place.
     assert got[:2] == [
@@ -103,7 +103,7 @@ def test_training_sequences(spark):
 
 
 def test_history_and_target(spark):
-    windows = sequences.training_sequences(training(spark), users(spark), 6, 5, 3)
+    windows = sequences.training_sequences(training(spark), users(spark), 6, 5, 3, order=("event_timestamp", "event_id"))
     one = sequences.history_target(windows).filter("user_id = 'u1' AND win = 0").first()
     assert one["sequence_hotel_ids"] == ["h0", "h1", "h2", "h0", "h1"]
     assert (one["target_hotel_id"], one["target"]) == ("h2", 1)

@@ -64,10 +64,10 @@ def test_no_task_sees_all_rows(domain):
     for df in (
         sequences.sliding_windows(events, ("hotel_id",)),
         sequences.training_sequences(events, domain.users()),
-        ids.dense_ids(events.select("event_id"), ["event_id"], "id").select("id"),
-        behaviour.union_events(domain.bookings(), domain.events(), domain.event_map()),
+        ids.dense_ids(domain.events().select("event_id"), ["event_id"], "id").select("id"),
+        behaviour.union_events(domain.bookings(), domain.app_events(), domain.event_map()),
         evaluate.holdout(
-            domain.events(), domain.event_map(), domain.users(), domain.items(), "2024-01-10"
+            domain.run_events(), domain.event_map(), domain.users(), domain.items(), "2024-01-10"
         ),
     ):
         text = plan(df)
@@ -97,6 +97,6 @@ def test_event_runs_and_holdout_sort_once_per_key(domain):
     runs = plan(event_log.event_runs(domain.unified_events()))
     assert runs.count("Exchange hashpartitioning(uid") == 1
     held = evaluate.holdout(
-        domain.events(), domain.event_map(), domain.users(), domain.items(), "2024-01-10"
+        domain.run_events(), domain.event_map(), domain.users(), domain.items(), "2024-01-10"
     )
     assert plan(held).count("Exchange hashpartitioning(user_id") == 1

@@ -151,3 +151,21 @@ def test_dense_ids_match_a_global_row_number(spark, lopsided):
 
 def test_dense_ids_of_nothing(spark, lopsided):
     assert ids.dense_ids(lopsided.filter("false"), ["t", "event_id"], "id").count() == 0
+
+
+def test_null_keys_are_cut_like_any_other(spark):
+    data = [(None if i % 4 else "k", i // 2, i, "abc"[i % 3]) for i in range(60)]
+    frame = spark.createDataFrame(data, "user_id string, t int, event_id long, v string")
+    for build in (
+        lambda limit: skew.number_rows(frame, ["user_id"], ORDER, "p", "n", limit),
+        lambda limit: skew.number_runs(frame, ["user_id"], ORDER, "v", "run", limit),
+        lambda limit: skew.with_neighbour(frame, ["user_id"], ORDER, "v", "o", 1, limit),
+    ):
+        assert rows(build(10)) == rows(build(None))
+    assert skew.split_heavy_groups(frame, ["user_id"], ORDER, 20).heavy.filter("user_id IS NULL").count() == 45
+
+
+def test_windows_settle_ties_alike_below_and_above_the_limit(spark):
+    frame = spark.createDataFrame([("u", i // 5, "edcba"[i % 5]) for i in range(40)], "user_id string, t int, v string")
+    build = lambda limit: sequences.sliding_windows(frame, ["v"], 4, 2, ["t"], max_rows=limit)
+    assert rows(build(10)) == rows(build(None))

@@ -5,8 +5,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from wanderbeam import session
+from wanderbeam.functions import json
 from wanderbeam.operators import quality
-from wanderbeam.sources import delimited, exports, tables
+from wanderbeam.sources import delimited, documents, exports, tables
 
 
 def bucket_files(root):
@@ -227,3 +228,31 @@ def test_a_load_that_breaks_a_rule_is_refused(spark, tmp_path):
         tables.load_observed(frame, str(path), {"n": F.count(F.lit(1))}, {"no nulls": F.count_if(F.col("v").isNull()) == 0, "rows": F.count(F.lit(1)) > 0})
     assert not path.exists() and refused.value.broken == ["no nulls"] and refused.value.profile == {"n": 2}
     assert spark.read.parquet(refused.value.staged).count() == 2
+
+
+def test_documents_are_parsed_once_and_broken_ones_set_apart(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, '{"a": {"b": [7]}}', "[]"), (2, '{"a": ', "{}"), (3, None, None), (4, '{"a": 1}', "x{"), (5, "", "}")],
+        "k long, d string, e string",
+    )
+    path = str(tmp_path / "documents")
+    documents.parsed(frame, ["d", "e"]).write.partitionBy("broken").parquet(path)
+    table = spark.read.parquet(path)
+    whole = documents.whole(table)
+    assert rows(whole.select("k", json.field(whole, "d", "a.b[0]", "bigint"))) == [(1, 7), (3, None)]
+    assert rows(documents.quarantined(table, ["d", "e"]), "k", "reason", "d", "e") == [
+        (2, "d", '{"a": ', "{}"), (4, "e", '{"a": 1}', "x{"), (5, "d,e", "", "}"),
+    ]
+    assert rows(frame.filter("k = 1").select(json.field(frame, "d", "a.b[0]", "bigint"))) == [(7,)]
+
+
+def test_scratch_tables_are_dropped_by_their_owner(spark, monkeypatch):
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    monkeypatch.setattr(session, "_DROPS", {})
+    first = session.materialise(spark.range(3), "mine").inputFiles()[0]
+    second = session.materialise(spark.range(3), "mine").inputFiles()[0]
+    age = session.scratch_age(spark)
+    assert session.drop_scratch(spark) == 2 and session.scratch_age(spark) == age + 1
+    for path in (first, second):
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        assert not found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)

@@ -1,9 +1,10 @@
-"""Typed access to the JSON columns of a booking."""
+"""Typed access to JSON documents: texts, or VARIANT columns that were parsed at load."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The documents' schemas.
 REQUEST_SCHEMA = (
@@ -27,6 +28,18 @@ def path_text(document: Column, path: str) -> Column:
 def path_long(document: Column, path: str) -> Column:
     return path_text(document, path).try_cast("bigint")
 
+
+def field(df: DataFrame, column: str, path: str, kind: str = "string") -> Column:
+    """A value inside the document in ``column`` of ``df``, NULL if it is absent or not of the kind.
+
+    A VARIANT is read in place; a text is parsed for this one value.
+    """
+    if isinstance(df.schema[column].dataType, T.VariantType):
+        return F.try_variant_get(F.col(column), f"$.{path}", kind)
+    found = path_text(F.col(column), path)
+    return found if kind == "string" else found.try_cast(kind)
+
+
 # Schema of the booking-details document.
 _POLICY = (
     "ARRAY<STRUCT<cancellationChargeDescription:STRING, cancellationDaysDescription:STRING,"

@@ -12,8 +12,8 @@ from wanderbeam.operators.skew import lookup_join
 def booking_events(bookings: DataFrame) -> DataFrame:
     """(user, item, action, local time) of the bookings."""
     return bookings.select(
-        json.path_long(F.col("customer_info"), "customerId").alias("raw_user_id"),
-        json.path_long(F.col("request"), "hotelId").alias("hotel_code"),
+        json.field(bookings, "customer_info", "customerId", "bigint").alias("raw_user_id"),
+        json.field(bookings, "request", "hotelId", "bigint").alias("hotel_code"),
         actions.booking_action(F.col("status")).alias("main_action"),
         dates.local_time(F.col("updated_at")).alias("event_timestamp"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ def segment_users(predictions: DataFrame) -> DataFrame:
     return counts.withColumn("segment", F.when(hits > 0, "promising").otherwise("ordinary"))
 
 
+# Total up to equal rows.
+ORDER = ("event_timestamp", "hotel_id", "main_action")
+
+
 def held_out_events(
     events: DataFrame,
     event_map: DataFrame,
@@ -61,27 +66,28 @@ def held_out_events(
         "hotel_id",
         F.col("encoded_main_action").alias("main_action"),
         "event_timestamp",
-        "event_id",
     )
 
 
-def skip_first(events: DataFrame, n_skip: int = 6, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def skip_first(
+    events: DataFrame, n_skip: int = 6, max_rows: int | None = MAX_GROUP_ROWS, order: Sequence[str] = ORDER
+) -> DataFrame:
     """Every user's events without the first ``n_skip``."""
-    numbered = number_rows(
-        events, ["user_id"], ["event_timestamp", "event_id"], "place", max_rows=max_rows
-    )
+    numbered = number_rows(events, ["user_id"], list(order), "place", max_rows=max_rows)
     return numbered.filter(F.col("place") > n_skip)
 
 
-def collapse_repeats(events: DataFrame, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def collapse_repeats(
+    events: DataFrame, max_rows: int | None = MAX_GROUP_ROWS, order: Sequence[str] = ORDER
+) -> DataFrame:
     """Runs of the same item as one row: first item, largest action code.
 
     (user_id, gender, age_group, run, hotel_id, main_action); users without gender or age
     group are left out. The long form stays whole however long a user's history is.
     """
-    order = ["event_timestamp", "event_id"]
+    order = list(order)
     grouped = events.filter(F.col("gender").isNotNull() & F.col("age_group").isNotNull()).select(
-        "user_id", "gender", "age_group", "hotel_id", "main_action", *order
+        "user_id", "gender", "age_group", *dict.fromkeys([*order, "hotel_id", "main_action"])
     )
     runs = number_runs(grouped, ["user_id"], order, "hotel_id", "run", max_rows)
     return runs.groupBy("user_id", "gender", "age_group", "run").agg(

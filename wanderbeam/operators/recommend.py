@@ -86,10 +86,8 @@ def trending(
     """
     first, last = dates.trailing_days(as_of, days)
     booked = bookings.filter(dates.local_days(F.col("updated_at"), first, last)).select(
-        json.parse(F.col("customer_info"), json.CUSTOMER_SCHEMA)["customerId"].alias("booker"),
-        json.parse(F.col("request"), json.REQUEST_SCHEMA)["hotelId"]
-        .try_cast("bigint")
-        .alias("hotel_code"),
+        json.field(bookings, "customer_info", "customerId").alias("booker"),
+        json.field(bookings, "request", "hotelId", "bigint").alias("hotel_code"),
     )
     counted = booked.groupBy("hotel_code").agg(F.count_distinct("booker").alias("n_users"))
     return most_booked(counted, items, k)

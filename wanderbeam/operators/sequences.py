@@ -18,7 +18,8 @@ from wanderbeam.operators.skew import (
 )
 
 SEQUENCE_FIELDS = ("hotel_id", "main_action", "complete_flag", "duration")
-ORDER = ("event_timestamp", "event_id")
+# Total up to equal rows; events with more columns to tell apart pass a longer order.
+ORDER = ("event_timestamp", "hotel_id", "main_action")
 
 
 def seen_items(events: DataFrame) -> DataFrame:
@@ -58,8 +59,9 @@ def _window_parts(
     max_rows: int | None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Windows of the users with few events and of the others (None if there are none)."""
-    rows = events.select("user_id", *order, *fields).filter(F.col("user_id").isNotNull())
-    groups = split_heavy_groups(rows, ["user_id"], order, max_rows)
+    rows = events.select(*dict.fromkeys(["user_id", *order, *fields])).filter(F.col("user_id").isNotNull())
+    # Both ways settle equal places by the fields, so a user's windows don't depend on how many events they have.
+    groups = split_heavy_groups(rows, ["user_id"], list(dict.fromkeys([*order, *fields])), max_rows)
     light = _windows_from_lists(groups.light, fields, length, step, order)
     if groups.heavy is None:
         return light, None
@@ -69,7 +71,7 @@ def _window_parts(
 def _windows_from_lists(
     events: DataFrame, fields: Sequence[str], length: int, step: int, order: Sequence[str]
 ) -> DataFrame:
-    entry = F.struct(*order, *fields)
+    entry = F.struct(*dict.fromkeys([*order, *fields]))
     lists = events.groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("s"))
     windows = lists.select(
         "user_id", F.posexplode(arrays.count_windows(F.col("s"), length, step)).alias("win", "w")
@@ -98,7 +100,7 @@ def _windows_from_positions(
     )
     tail = F.when(at >= last_start, F.array(regular + 1)).otherwise(F.array().cast("array<bigint>"))
     member = placed.withColumn("win", F.explode(F.concat(inside, tail)))
-    entry = F.struct(*order, *fields)
+    entry = F.struct(*dict.fromkeys([*order, *fields]))
     return (
         member.groupBy("user_id", "win")
         .agg(F.sort_array(F.collect_list(entry)).alias("w"))

@@ -38,13 +38,14 @@ def bilingual_profile(profile: DataFrame, languages: Sequence[str] = LANGUAGES)
 
 
 def serving_profile(
-    predictions: DataFrame, items: DataFrame, profile: DataFrame, displayed: DataFrame, k: int = 10
+    predictions: DataFrame, items: DataFrame, profile: DataFrame, displayed: DataFrame | None = None, k: int = 10
 ) -> DataFrame:
     """Profiles of the displayed items that are in anybody's top ``k``.
 
-    The ranked rows are reduced to distinct items before the profile is looked up.
+    The ranked rows are reduced to distinct items before the profile is looked up. Without ``displayed`` the
+    predictions are taken to be of displayed items only.
     """
-    top = rank_per_user(only_displayed(predictions, displayed), k)
+    top = rank_per_user(predictions if displayed is None else only_displayed(predictions, displayed), k)
     wanted = top.select(F.col("target_hotel_id").alias("hotel_id")).distinct()
     codes = items.join(wanted, "hotel_id", "left_semi").select("hotel_code")
     return bilingual_profile(profile.join(codes, "hotel_code", "left_semi"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,16 +61,23 @@ def split_heavy_groups(
     heavy_keys = materialise(sizes.select(*keys), "heavy-keys")
     if found["keys"] <= BROADCAST_ROWS:
         heavy_keys = F.broadcast(heavy_keys)
-    light = df.join(heavy_keys, keys, "left_anti")
+    light = _same_keys(df, heavy_keys, keys, "left_anti")
     segments = -(-found["rows"] // max_rows) + 1
     heavy = (
-        df.join(heavy_keys, keys, "left_semi")
+        _same_keys(df, heavy_keys, keys, "left_semi")
         .repartitionByRange(int(segments), *keys, *order)
         .withColumn(SEGMENT, F.spark_partition_id())
     )
     return Grouped(light, materialise(heavy, "segments"), keys, order)
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, where NULL is a key like any other."""
+    named = right.withColumnsRenamed({k: f"__right_{i}" for i, k in enumerate(keys)})
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"__right_{i}")) for i, k in enumerate(keys)])
+    return left.join(named, same, how).drop(*[f"__right_{i}" for i in range(len(keys))])
+
+
 def _large_groups(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return sizes.filter(F.col("n") > max_rows)
@@ -93,7 +101,7 @@ def _carried(heavy: DataFrame, keys: list[str], totals: list[Column], carried: d
     """
     per_segment = heavy.groupBy(*keys, SEGMENT).agg(*totals)
     state = per_segment.select(*keys, SEGMENT, *[c.alias(n) for n, c in carried.items()])
-    return heavy.join(state, [*keys, SEGMENT])
+    return _same_keys(heavy, state, [*keys, SEGMENT])
 
 
 def number_rows(
@@ -179,7 +187,7 @@ def number_runs(
             F.coalesce(F.sum("__starts").over(earlier), F.lit(0)) - F.sum("__joined").over(upto)
         ).alias("__before"),
     )
-    rows = heavy.join(state, [*keys, SEGMENT]).withColumn(
+    rows = _same_keys(heavy, state, [*keys, SEGMENT]).withColumn(
         run,
         F.sum("__start").over(local.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__before"),
     )
@@ -206,7 +214,7 @@ def with_neighbour(
     shifted = placed.select(
         *groups.keys, (F.col("__place") - offset).alias("__place"), F.col(value).alias(out)
     )
-    rows = placed.join(shifted, [*groups.keys, "__place"], "left").drop("__place")
+    rows = _same_keys(placed, shifted, [*groups.keys, "__place"], "left").drop("__place")
     return light.unionByName(rows)
 
 

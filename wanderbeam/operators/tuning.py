@@ -85,6 +85,7 @@ def closed_form_search(
     data_specs: Iterable[DataSpec],
     model_specs: Iterable[scoring.ModelSpec],
     shuffle_key: Column | None = None,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """``param_search`` with the closed-form classifier: one row per data spec and feature toggles.
 
@@ -93,7 +94,7 @@ def closed_form_search(
     results = []
     model_specs = list(model_specs)
     for data in data_specs:
-        windows = training_sequences(events, users, data.length, data.step, data.min_items, FIELDS)
+        windows = training_sequences(events, users, data.length, data.step, data.min_items, FIELDS, order)
         split = exact_split(history_target(windows), shuffle_key=shuffle_key)
         table = materialise(split, "tuning")
         for model_spec in model_specs:
@@ -162,7 +163,8 @@ def action_contexts(
     ``most`` events before, the latest first. A user with more than ``max_rows`` events is cut into
     segments, and each of those events is sent to the ones after it.
     """
-    rows = events.filter(F.col("user_id").isNotNull()).select("user_id", *order, "style_name", F.col("main_action").alias("target"))
+    rows = events.filter(F.col("user_id").isNotNull()).withColumn("target", F.col("main_action"))
+    rows = rows.select(*dict.fromkeys(["user_id", *order, "style_name", "target"]))
     groups = split_heavy_groups(rows, ["user_id"], order, max_rows)
     by_user = Window.partitionBy("user_id").orderBy(*order)
     place = F.row_number().over(by_user) - 1

@@ -32,6 +32,7 @@ from wanderbeam.operators import (
 from wanderbeam.operators.skew import expanding_join, lookup_join, union_all
 from wanderbeam.plans.domain import (
     APP_ID,
+    BOOKING_DOCUMENTS,
     BOOKINGS_AS_OF,
     EVENTS_AS_OF,
     HOLDOUT_AFTER,
@@ -40,10 +41,11 @@ from wanderbeam.plans.domain import (
     OVERRIDES,
     STEP,
     TOP_K,
+    TRAINING_ORDER,
     Domain,
 )
 from wanderbeam.session import materialise, scratch_path
-from wanderbeam.sources import delimited, exports, tables
+from wanderbeam.sources import delimited, documents, exports, tables
 from wanderbeam.streaming import incremental
 
 WINDOW_KEYS = ("user_id", "win")
@@ -88,7 +90,9 @@ def normalise_location(d: Domain) -> DataFrame:
 
 @query
 def booking_action(d: Domain) -> DataFrame:
-    parsed = d.bookings().select(
+    """Bookings by action; the documents are texts here and parsed by their schemas."""
+    texts = d.build_bookings()
+    parsed = texts.select(
         actions.booking_action(F.col("status")).alias("main_action"),
         json.parse(F.col("customer_info"), json.CUSTOMER_SCHEMA).alias("c"),
         json.parse(F.col("request"), json.REQUEST_SCHEMA).alias("r"),
@@ -103,9 +107,10 @@ def booking_action(d: Domain) -> DataFrame:
 
 @query
 def json_path_extract(d: Domain) -> DataFrame:
-    taken = d.bookings().select(
-        json.path_long(F.col("request"), "hotelId").alias("hotel_code"),
-        json.path_long(F.col("customer_info"), "customerId").alias("raw_user_id"),
+    bookings = d.bookings()
+    taken = bookings.select(
+        json.field(bookings, "request", "hotelId", "bigint").alias("hotel_code"),
+        json.field(bookings, "customer_info", "customerId", "bigint").alias("raw_user_id"),
     )
     return taken.groupBy("hotel_code").agg(
         F.count(F.lit(1)).alias("n_bookings"), F.count_distinct("raw_user_id").alias("n_users")
@@ -114,17 +119,39 @@ def json_path_extract(d: Domain) -> DataFrame:
 
 @query
 def booking_details(d: Domain) -> DataFrame:
-    parsed = d.bookings().select(json.parse(F.col("details"), json.DETAILS_SCHEMA).alias("b"))
-    room = F.col("b.roomDetails.roomCategories")[0]
-    policy = F.col("b.roomDetails.cancellationPolicy.en")[0]
-    return parsed.groupBy(
-        room["roomType"].alias("room_type"), policy["cancellationStatus"].alias("status")
-    ).agg(
+    bookings, room, policy = d.bookings(), "roomDetails.roomCategories[0]", "roomDetails.cancellationPolicy.en[0]"
+
+    def detail(path: str, kind: str = "string") -> Column:
+        return json.field(bookings, "details", path, kind)
+
+    taken = bookings.select(
+        detail(f"{room}.roomType").alias("room_type"),
+        detail(f"{policy}.cancellationStatus").alias("status"),
+        detail(f"{room}.noOfRooms", "bigint").alias("rooms"),
+        detail(f"{policy}.days", "bigint").alias("days"),
+        detail("roomDetails.totalPrice", "double").alias("price"),
+        detail("discount", "double").alias("discount"),
+    )
+    return taken.groupBy("room_type", "status").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(room["noOfRooms"]).cast("bigint").alias("n_rooms"),
-        F.max(policy["days"]).cast("bigint").alias("max_days"),
-        F.max("b.roomDetails.totalPrice").alias("max_price"),
-        F.max("b.discount").alias("max_discount"),
+        F.sum("rooms").alias("n_rooms"),
+        F.max("days").alias("max_days"),
+        F.max("price").alias("max_price"),
+        F.max("discount").alias("max_discount"),
+    )
+
+
+@query
+def quarantined_documents(d: Domain) -> DataFrame:
+    """Rows of the two loads whose documents are not JSON, by reason."""
+    bookings = documents.quarantined(d.booking_documents(), BOOKING_DOCUMENTS).select(
+        F.lit("bookings").alias("load"), "reason", F.octet_length("details").alias("size")
+    )
+    events = documents.quarantined(d.event_documents(), ["props"]).select(
+        F.lit("events").alias("load"), "reason", F.octet_length("props").alias("size")
+    )
+    return bookings.unionByName(events).groupBy("load", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").cast("bigint").alias("longest")
     )
 
 
@@ -261,14 +288,14 @@ def new_users_anti(d: Domain) -> DataFrame:
 
 @query
 def latest_action_per_pair(d: Domain) -> DataFrame:
-    return behaviour.latest_app_events(d.events(), d.event_map()).select(
+    return behaviour.latest_app_events(d.app_events(), d.event_map()).select(
         "raw_user_id", "hotel_code", "main_action", micros("event_timestamp")
     )
 
 
 @query
 def union_events(d: Domain) -> DataFrame:
-    both = behaviour.union_events(d.bookings(), d.events(), d.event_map())
+    both = behaviour.union_events(d.bookings(), d.app_events(), d.event_map())
     return both.groupBy("raw_user_id", "main_action").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("hotel_code").alias("n_items"),
@@ -278,7 +305,7 @@ def union_events(d: Domain) -> DataFrame:
 
 @query
 def repeat_visits(d: Domain) -> DataFrame:
-    both = behaviour.repeat_visits(behaviour.union_events(d.bookings(), d.events(), d.event_map()))
+    both = behaviour.repeat_visits(behaviour.union_events(d.bookings(), d.app_events(), d.event_map()))
     return both.groupBy("raw_user_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("prev_hotel_code").alias("n_repeats"),
@@ -297,7 +324,7 @@ def recent_behaviour(d: Domain) -> DataFrame:
 def daily_behaviour(d: Domain) -> DataFrame:
     """The recent behaviour after five loads, each of which reads its own rows and the state of the one before."""
     trained = d.items().join(d.trained_items(), "hotel_id", "left_semi")
-    bookings, events = d.bookings(), d.events()
+    bookings, events = d.bookings(), d.app_events()
     booked, seen = F.col("updated_at"), F.col("event_timestamp")
     loads = [
         (bookings.filter(booked < F.lit("1996-01-01")), events.limit(0)),
@@ -359,7 +386,7 @@ def time_range(d: Domain) -> DataFrame:
 @query
 def distinct_users(d: Domain) -> DataFrame:
     return d.training().agg(
-        F.count_distinct("user_id").alias("n_users"), F.max("event_id").alias("max_event_id")
+        F.count_distinct("user_id").alias("n_users"), F.count_distinct("hotel_id").alias("n_items")
     )
 
 
@@ -497,7 +524,7 @@ def seen_min_distinct(d: Domain) -> DataFrame:
 
 @query
 def sliding_windows(d: Domain) -> DataFrame:
-    return sequences.sliding_windows(d.training(), ("hotel_id", "main_action"), LENGTH, STEP).select(
+    return sequences.sliding_windows(d.training(), ("hotel_id", "main_action"), LENGTH, STEP, TRAINING_ORDER).select(
         "user_id", "win", text("hotel_id_sequence"), text("main_action_sequence")
     )
 
@@ -505,7 +532,7 @@ def sliding_windows(d: Domain) -> DataFrame:
 def _training_sequences(d: Domain) -> DataFrame:
     fields = (*sequences.SEQUENCE_FIELDS, "style_name")
     return sequences.training_sequences(
-        d.training(), d.users(), LENGTH, STEP, MIN_ITEMS, fields
+        d.training(), d.users(), LENGTH, STEP, MIN_ITEMS, fields, TRAINING_ORDER
     )
 
 
@@ -562,9 +589,9 @@ def kway_split(d: Domain) -> DataFrame:
 # --- candidates, scores, playlists ----------------------------------------------------
 
 
-def _top_with_default(d: Domain, displayed_only: bool) -> DataFrame:
-    """Enough offers for any top list of at most TOP_K, and the default user's."""
-    return recommend.with_default_user(d.top_offers(displayed_only), d.default_items(), TOP_K)
+def _top_with_default(d: Domain) -> DataFrame:
+    """Enough offers of all items for any top list of at most TOP_K, and the default user's."""
+    return recommend.with_default_user(d.top_offers(False), d.default_items(), TOP_K)
 
 
 def _with_default(d: Domain) -> DataFrame:
@@ -609,8 +636,8 @@ def _booker_days(d: Domain) -> str:
         first = dt.date(1992, 1, 1) if after is None else after + dt.timedelta(days=1)
         found = d.bookings().filter(dates.local_days(F.col("updated_at"), first, upto)).select(
             F.to_date(dates.local_time(F.col("updated_at"))).alias(day_counts.DAY),
-            json.path_long(F.col("request"), "hotelId").alias("hotel_code"),
-            json.parse(F.col("customer_info"), json.CUSTOMER_SCHEMA)["customerId"].alias("booker"),
+            json.field(d.bookings(), "request", "hotelId", "bigint").alias("hotel_code"),
+            json.field(d.bookings(), "customer_info", "customerId").alias("booker"),
         )
         return lookup_join(found, numbers, "booker")
 
@@ -661,7 +688,7 @@ def rank_per_user(d: Domain) -> DataFrame:
 
 @query
 def topk_per_user(d: Domain) -> DataFrame:
-    ranked = recommend.rank_per_user(_top_with_default(d, False), 3)
+    ranked = recommend.rank_per_user(_top_with_default(d), 3)
     return ranked.select("user_id", "target_hotel_id", big("rank"))
 
 
@@ -672,7 +699,7 @@ def playlist(d: Domain) -> DataFrame:
 
 @query
 def playlist_all_items(d: Domain) -> DataFrame:
-    return recommend.playlist(_top_with_default(d, False), d.users(), d.items(), TOP_K).select(
+    return recommend.playlist(_top_with_default(d), d.users(), d.items(), TOP_K).select(
         "user_id", text("sv_playlist")
     )
 
@@ -710,15 +737,13 @@ def bilingual_pivot(d: Domain) -> DataFrame:
 
 @query
 def serving_profile(d: Domain) -> DataFrame:
-    return serving.serving_profile(
-        _top_with_default(d, True), d.items(), d.hotel_profile(), _displayed(d), TOP_K
-    ).withColumn("rating", big("rating"))
+    return serving.serving_profile(d.offers(), d.items(), d.hotel_profile(), k=TOP_K).withColumn("rating", big("rating"))
 
 
 @query
 def entries_without_profile(d: Domain) -> DataFrame:
     """List entries that the serving profile doesn't know: none."""
-    known = serving.serving_profile(_top_with_default(d, True), d.items(), d.hotel_profile(), _displayed(d), TOP_K)
+    known = serving.serving_profile(d.offers(), d.items(), d.hotel_profile(), k=TOP_K)
     codes = known.select(F.col("hotel_code").cast("string").alias("code"))
     entries = d.playlists().select(F.explode("sv_playlist").alias("code"))
     found = lookup_join(entries, codes.withColumn("known", F.lit(1)), "code", "left")
@@ -783,12 +808,12 @@ def user_segments(d: Domain) -> DataFrame:
 
 
 def _held_out(d: Domain) -> DataFrame:
-    return evaluate.held_out_events(d.events(), d.event_map(), d.users(), d.items(), HOLDOUT_AFTER)
+    return evaluate.held_out_events(d.run_events(), d.event_map(), d.users(), d.items(), HOLDOUT_AFTER)
 
 
 @query
 def skip_first_n(d: Domain) -> DataFrame:
-    return evaluate.skip_first(_held_out(d)).select("user_id", "event_id", "hotel_id", "place")
+    return evaluate.skip_first(_held_out(d)).select("user_id", micros("event_timestamp"), "hotel_id", "place")
 
 
 @query
@@ -799,7 +824,7 @@ def collapse_repeats(d: Domain) -> DataFrame:
 
 
 def _holdout(d: Domain) -> DataFrame:
-    return evaluate.holdout(d.events(), d.event_map(), d.users(), d.items(), HOLDOUT_AFTER)
+    return evaluate.holdout(d.run_events(), d.event_map(), d.users(), d.items(), HOLDOUT_AFTER)
 
 
 @query
@@ -1012,9 +1037,9 @@ def training_events(d: Domain) -> DataFrame:
 @query
 def csv_roundtrip(d: Domain) -> DataFrame:
     """Windows with unnamed items and an empty list, written as text and read back."""
-    named = F.when(F.col("style_name") != "unspecified", F.col("hotel_id")).alias("hotel_id")
-    events = d.training().select("user_id", named, "main_action", "event_timestamp", "event_id")
-    rows = sequences.sliding_windows(events, ("hotel_id", "main_action"), LENGTH, STEP)
+    events = d.training().withColumn("named", F.when(F.col("style_name") != "unspecified", F.col("hotel_id")))
+    rows = sequences.sliding_windows(events, ("named", "main_action"), LENGTH, STEP, TRAINING_ORDER)
+    rows = rows.withColumnRenamed("named_sequence", "hotel_id_sequence")
     rows = rows.withColumn("notes", F.array().cast("array<string>"))
     path = scratch_path(d.spark, "delimited")
     delimited.write_delimited(rows, path, 1000)
@@ -1027,9 +1052,9 @@ def csv_roundtrip(d: Domain) -> DataFrame:
 @query
 def resumed_export(d: Domain) -> DataFrame:
     """The windows of ``csv_roundtrip``, exported in chunks by a run that was broken off and one that went on."""
-    named = F.when(F.col("style_name") != "unspecified", F.col("hotel_id")).alias("hotel_id")
-    events = d.training().select("user_id", named, "main_action", "event_timestamp", "event_id")
-    rows = sequences.sliding_windows(events, ("hotel_id", "main_action"), LENGTH, STEP)
+    events = d.training().withColumn("named", F.when(F.col("style_name") != "unspecified", F.col("hotel_id")))
+    rows = sequences.sliding_windows(events, ("named", "main_action"), LENGTH, STEP, TRAINING_ORDER)
+    rows = rows.withColumnRenamed("named_sequence", "hotel_id_sequence")
     rows = materialise(rows.withColumn("notes", F.array().cast("array<string>")), "windows")
     path = scratch_path(d.spark, "export")
     exports.export_chunks(rows, path, WINDOW_KEYS, chunks=12, waves=3, stop_after=2)
@@ -1167,7 +1192,7 @@ def halving_search(d: Domain) -> DataFrame:
     """Twenty-seven candidates over three rounds of three times the users each."""
     number = F.replace("user_id", F.lit("user_"), F.lit("")).cast("bigint")
     user_hash = F.pmod(number * 2654435761 + 42, F.lit(2147483648))
-    found = tuning.halving_search(d.training(), tuning.drawn_candidates(), user_hash)
+    found = tuning.halving_search(d.training(), tuning.drawn_candidates(), user_hash, order=TRAINING_ORDER)
     return found.select(
         big("round"), big("cand"), big("seq_len"), big("step"), big("min_seen"), "with_style", "n", rounded("accuracy"), big("rank"), "survived"
     )
@@ -1200,7 +1225,7 @@ def param_search(d: Domain) -> DataFrame:
         scoring.ModelSpec(include_user_features=False),
         scoring.ModelSpec(include_hotel_features=False),
     ]
-    found = tuning.closed_form_search(d.training(), d.users(), data, models, _hash_key())
+    found = tuning.closed_form_search(d.training(), d.users(), data, models, _hash_key(), TRAINING_ORDER)
     return found.select(
         big("seq_len"),
         big("step"),

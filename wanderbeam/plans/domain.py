@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wanderbeam.functions import actions
+from wanderbeam.functions import actions, json
 from wanderbeam.operators import behaviour, dims, event_log, recommend, scoring
 from wanderbeam.operators.skew import lookup_join
-from wanderbeam.session import scratch_path, shuffle_width
+from wanderbeam.session import scratch_age, scratch_path, shuffle_width
+from wanderbeam.sources import documents
 
 APP_ID = "shop.app"
+BOOKING_DOCUMENTS = ("customer_info", "request", "details")
 EVENTS_AS_OF = "2024-01-31"
 EXISTING_AS_OF = "2024-01-01"
 BOOKINGS_AS_OF = "2001-08-01"
@@ -27,6 +29,8 @@ EXISTING_BEFORE = "1996-01-01"
 HOLDOUT_AFTER = "2024-01-10"
 OVERRIDES = {"location_oldtown_porttown": "location_historic_porttown"}
 LENGTH, STEP, MIN_ITEMS, TOP_K = 6, 5, 5, 10
+# Order of a user's training events: total up to equal rows.
+TRAINING_ORDER = ("event_timestamp", "hotel_id", "action_code", "complete_flag", "duration")
 
 # Event name, action, class code, upstream tag.
 EVENT_MAP = [
@@ -36,8 +40,8 @@ EVENT_MAP = [
     ("purchase", "purchase", 5, "banner"),
     ("error", None, None, "N"),
 ]
-# (application, folder, table) -> where it was written and with which columns.
-_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+# (application, age of its scratch, folder, table) -> where it was written and with which columns.
+_STORED: dict[tuple[str, int, str, str], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,10 +59,11 @@ class Domain:
     # --- views ---
 
     def events(self) -> DataFrame:
-        return self.table("events").select(
+        events = documents.whole(self.event_documents())
+        return events.select(
             "event_id",
             "user_id",
-            F.get_json_object("props", "$.k").try_cast("bigint").alias("hotel_code"),
+            json.field(events, "props", "k", "bigint").alias("hotel_code"),
             F.col("event_type").alias("event_name"),
             F.col("ts").alias("event_timestamp"),
             F.col("value").alias("duration"),
@@ -75,14 +80,28 @@ class Domain:
         lines = self.table("lineitem")
         return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
 
+    def event_documents(self) -> DataFrame:
+        """The events as they were loaded: the document parsed, some rows with a text that breaks off."""
+        events = self.table("events")
+        cut = events.filter(F.col("event_id") % 89 == 0).withColumn("props", F.substring("props", 1, 3))
+        return self._stored("event-documents", lambda: documents.parsed(events.unionByName(cut), ["props"]), documents.BROKEN)
+
     def bookings(self) -> DataFrame:
-        """The booking table: JSON documents, laid out by time so that day filters prune."""
-        return self._stored(
-            "bookings",
-            lambda: self.build_bookings().repartitionByRange(
-                shuffle_width(self.spark), "updated_at", "booking_id"
-            ),
-        )
+        """The booking table: documents parsed once, laid out by time so that day filters prune."""
+        return documents.whole(self.booking_documents())
+
+    def booking_documents(self) -> DataFrame:
+        """The bookings as they were loaded, some rows with documents that are none."""
+
+        def build() -> DataFrame:
+            rows = self.build_bookings()
+            odd = F.col("booking_id") % 97 == 0
+            request = F.when(F.col("booking_id") % 2 == 0, "none").otherwise(F.col("request"))
+            cut = rows.filter(odd).withColumns({"details": F.substring("details", 1, 20), "request": request})
+            laid = rows.unionByName(cut).repartitionByRange(shuffle_width(self.spark), "updated_at", "booking_id")
+            return documents.parsed(laid, BOOKING_DOCUMENTS)
+
+        return self._stored("booking-documents", build, documents.BROKEN)
 
     def build_bookings(self) -> DataFrame:
         details = F.struct(
@@ -203,7 +222,8 @@ class Domain:
         Some events come from a second session of the user at the same time, some from a second user.
         """
         name, value = F.col("event_type"), F.col("value")
-        item = F.get_json_object("props", "$.k")
+        loaded = documents.whole(self.event_documents())
+        item = json.field(loaded, "props", "k")
 
         def param(key: str, text: Column | None = None, number: Column | None = None) -> Column:
             return F.struct(
@@ -236,7 +256,7 @@ class Domain:
             F.when(F.col("event_id") % 11 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")),
             F.when(F.col("event_id") % 13 == 0, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")),
         )
-        events = self.table("events").withColumn("copy", F.explode(again))
+        events = loaded.withColumn("copy", F.explode(again))
         user = F.col("user_id") + F.when(F.col("copy") == 2, 1).otherwise(0)
         session = F.date_format("ts", "yyyyMMdd").cast("bigint") + F.when(F.col("copy") == 1, 1).otherwise(0)
         return events.select(
@@ -253,11 +273,11 @@ class Domain:
 
     # --- stored tables ---
 
-    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+    def _stored(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, scratch_age(self.spark), self.sf_dir, name)
         if key not in _STORED:
             built, path = build(), scratch_path(self.spark, name)
-            built.write.parquet(path)
+            (built.write.partitionBy(partition) if partition else built.write).parquet(path)
             _STORED[key] = (path, built.schema)
         path, schema = _STORED[key]
         return self.spark.read.schema(schema).parquet(path)
@@ -290,31 +310,29 @@ class Domain:
         )
 
     def training(self) -> DataFrame:
-        """Mapped events of all users of the dimension."""
+        """The training table: runs of mapped events of known users and items, with class codes."""
         return self._stored("training", self.build_training)
 
     def build_training(self) -> DataFrame:
-        mapped = lookup_join(self.events(), self.event_map(), "event_name").filter(
-            F.col("main_action").isNotNull()
-        )
-        known = self.users().select(
-            F.col("raw_user_id"), F.col("user_id").alias("dim_user_id")
-        )
-        owned = lookup_join(
-            mapped.withColumnRenamed("user_id", "raw_user_id"), known, "raw_user_id"
-        )
-        located = lookup_join(
-            owned, self.items().select("hotel_code", "hotel_id", "style_name"), "hotel_code"
-        )
-        return located.select(
-            F.col("dim_user_id").alias("user_id"),
-            "hotel_id",
-            "style_name",
-            "main_action",
+        rows = event_log.training_events(self.event_runs(), self.booked_items(), self.event_map(), self.users(), self.items())
+        return rows.withColumn("action_code", actions.encode(F.col("main_action")))
+
+    def app_events(self) -> DataFrame:
+        """The unified events as behaviour: one row per event key, ids as numbers."""
+        return self.unified_events().select(
+            F.col("user_id").try_cast("bigint").alias("user_id"),
+            F.col("hotel_id").try_cast("bigint").alias("hotel_code"),
+            "event_name",
             "event_timestamp",
-            "event_id",
-            (F.col("main_action") == actions.ACTION_NAMES[-1]).cast("int").alias("complete_flag"),
-            "duration",
+        )
+
+    def run_events(self) -> DataFrame:
+        """The event runs as events, each at its last time."""
+        return self.event_runs().select(
+            F.col("user_id").try_cast("bigint").alias("user_id"),
+            F.col("hotel_id").try_cast("bigint").alias("hotel_code"),
+            "event_name",
+            F.col("max_event_timestamp").alias("event_timestamp"),
         )
 
     def unified_events(self) -> DataFrame:
@@ -340,7 +358,7 @@ class Domain:
     def build_behaviour(self, keep: str = "last") -> DataFrame:
         return behaviour.recent_behaviour(
             self.bookings(),
-            self.events(),
+            self.app_events(),
             self.event_map(),
             self.users(),
             self.items(),
@@ -397,8 +415,14 @@ class Domain:
             targets=best,
         )
 
+    def offers(self) -> DataFrame:
+        """The best displayed items of every user, and of the default user: what is served is made from these."""
+        return self._stored("offers", self.build_offers)
+
+    def build_offers(self) -> DataFrame:
+        offered = recommend.with_default_user(self.top_offers(True), self.default_items(), TOP_K)
+        return recommend.rank_per_user(offered.select("user_id", "target_hotel_id", "important_value"), TOP_K).drop("rank")
+
     def build_playlists(self) -> DataFrame:
         """Top items per user straight from the behaviour, plus the trending default."""
-        displayed = recommend.displayed_items(self.items(), self.hotel_profile())
-        predictions = recommend.with_default_user(self.top_offers(True), self.default_items(), TOP_K)
-        return recommend.playlist(predictions, self.users(), self.items(), TOP_K, displayed)
+        return recommend.playlist(self.offers(), self.users(), self.items(), TOP_K)

@@ -138,15 +138,26 @@ VIEWS: dict[str, str] = {
                 + (SELECT max(int_user_id) FROM existing_users) AS int_user_id,
               coalesce(CAST(date_sub('year', birth_date, DATE '2024-01-31') AS DOUBLE), median_age) AS age
             FROM fresh_users f LEFT JOIN medians m ON f.gender = m.gender)""",
-    "training": """
-      SELECT u.user_id, i.hotel_id, i.style_name, m.main_action, e.event_timestamp, e.event_id,
-        CASE WHEN m.main_action = 'purchase' THEN 1 ELSE 0 END AS complete_flag, e.duration
-      FROM v_events e JOIN v_event_map m ON e.event_name = m.event_name
-      JOIN users u ON e.user_id = u.raw_user_id JOIN items i ON e.hotel_code = i.hotel_code
-      WHERE m.main_action IS NOT NULL""",
+    "chain_events": """
+      SELECT CAST(user_id AS BIGINT) AS user_id, CAST(hotel_id AS BIGINT) AS hotel_code, event_name, event_timestamp
+      FROM unified""",
+    "chain_runs": """
+      SELECT CAST(user_id AS BIGINT) AS user_id, CAST(hotel_id AS BIGINT) AS hotel_code, event_name,
+        max_ts AS event_timestamp FROM runs""",
+    "spent": """
+      SELECT uid, CAST(r.user_id AS BIGINT) AS raw_user_id, main_action,
+        CAST(coalesce(hotel_id, booking_hotel_id) AS BIGINT) AS hotel_code,
+        CAST(CASE WHEN booking_hotel_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS complete_flag,
+        round(CAST(sum(total_duration) AS DOUBLE) / 60, 2) AS duration, max(max_ts) AS event_timestamp
+      FROM runs r LEFT JOIN booked_items USING (booking_id) JOIN v_event_map USING (event_name)
+      WHERE main_action IS NOT NULL GROUP BY 1, 2, 3, 4, 5""",
+    "training": f"""
+      SELECT u.user_id, i.hotel_id, i.style_name, f.main_action, f.event_timestamp, f.complete_flag, f.duration,
+        {_code('f.main_action')} AS action_code
+      FROM spent f JOIN users u ON f.raw_user_id = u.raw_user_id JOIN items i ON f.hotel_code = i.hotel_code""",
     "app_latest": """
       SELECT user_id AS raw_user_id, hotel_code, main_action, max(event_timestamp) AS event_timestamp
-      FROM v_events JOIN v_event_map USING (event_name)
+      FROM chain_events JOIN v_event_map USING (event_name)
       WHERE main_action IS NOT NULL AND hotel_code IS NOT NULL GROUP BY 1, 2, 3""",
     "all_events": """
       SELECT raw_user_id, hotel_code, main_action, updated_at + INTERVAL 7 HOUR AS event_timestamp
@@ -234,23 +245,23 @@ VIEWS: dict[str, str] = {
     + " FROM v_hotel_profile GROUP BY 1, 2, 3, 4, 5, 6",
     "held_out": """
       SELECT u.user_id, u.gender, u.age_group, i.hotel_id, m.encoded_main_action AS main_action,
-        e.event_timestamp, e.event_id
-      FROM v_events e JOIN users u ON e.user_id = u.raw_user_id
+        e.event_timestamp
+      FROM chain_runs e JOIN users u ON e.user_id = u.raw_user_id
       JOIN v_event_map m ON e.event_name = m.event_name LEFT JOIN items i ON e.hotel_code = i.hotel_code
       WHERE CAST(e.event_timestamp AS DATE) > DATE '2024-01-10' AND e.hotel_code IS NOT NULL
         AND m.encoded_main_action IS NOT NULL""",
     "skipped": """
-      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id)
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action)
         AS place FROM held_out) WHERE place > 6""",
     "seen": """
       SELECT user_id, count(DISTINCT hotel_id) AS n_items FROM training GROUP BY 1
       HAVING count(DISTINCT hotel_id) >= 5""",
     "training_lists": f"""
-      SELECT user_id, list(hotel_id ORDER BY event_timestamp, event_id) AS h,
-        list(main_action ORDER BY event_timestamp, event_id) AS a,
-        list({_code('main_action')} ORDER BY event_timestamp, event_id) AS c,
-        list(complete_flag ORDER BY event_timestamp, event_id) AS f,
-        list(duration ORDER BY event_timestamp, event_id) AS d, count(*) AS n
+      SELECT user_id, list(hotel_id ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS h,
+        list(main_action ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS a,
+        list({_code('main_action')} ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS c,
+        list(complete_flag ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS f,
+        list(duration ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS d, count(*) AS n
       FROM training GROUP BY 1 HAVING count(*) >= 6""",
     "window_starts": """
       SELECT user_id, s, row_number() OVER (PARTITION BY user_id ORDER BY s, tail) - 1 AS win FROM (
@@ -314,7 +325,7 @@ _LIST = "array_to_string"
 
 def _history(tag: str, length: int, step: int, min_items: int) -> dict[str, str]:
     """Windows with their target, and their split, for one set of data parameters."""
-    order = "ORDER BY event_timestamp, event_id"
+    order = "ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration"
     at = f"s+1:s+{length}"
     bound = "CAST(floor(n * (1 - (0.15::DOUBLE + 0.15::DOUBLE)) - 1) AS BIGINT) + 1"
     return {
@@ -461,10 +472,10 @@ VIEWS["search_cands"] = "SELECT * FROM (VALUES " + ", ".join(str(c).replace("'",
 VIEWS["search_places"] = f"""
       SELECT user_id, style_name, {_code('main_action')} AS target, row_number() OVER u - 1 AS place,
         count(*) OVER (PARTITION BY user_id) AS n_events,
-        list_reverse(coalesce(list({_code('main_action')}) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id
+        list_reverse(coalesce(list({_code('main_action')}) OVER (PARTITION BY user_id ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration
           ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING), [])) AS past,
         (CAST(replace(user_id, 'user_', '') AS BIGINT) * 2654435761 + 42) % 2147483648 AS mark
-      FROM training WINDOW u AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)"""
+      FROM training WINDOW u AS (PARTITION BY user_id ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration)"""
 VIEWS["search_seen"] = "SELECT user_id, count(DISTINCT hotel_id) AS n_items FROM training GROUP BY 1"
 VIEWS["search_examples"] = """
       SELECT cand, mark % 9 AS part, (mark // 9) % 5 = 0 AS held, target, 1 AS n,
@@ -498,6 +509,10 @@ ORACLES: dict[str, str] = {
         CAST(sum(CAST(floor(l_quantity) AS BIGINT)) AS BIGINT) AS n_rooms,
         CAST(max(l_linenumber) AS BIGINT) AS max_days, max(l_extendedprice) AS max_price,
         max(l_discount) AS max_discount FROM v_bookings GROUP BY 1, 2""",
+    "quarantined_documents": """
+      SELECT 'bookings' AS load, CASE WHEN booking_id % 2 = 0 THEN 'request,details' ELSE 'details' END AS reason,
+        count(*) AS n, 20::BIGINT AS longest FROM v_bookings WHERE booking_id % 97 = 0 GROUP BY 1, 2
+      UNION ALL SELECT 'events', 'props', count(*), 3::BIGINT FROM events WHERE event_id % 89 = 0""",
     "encode_actions": f"""
       SELECT coalesce(CAST({_code('event_name')} AS VARCHAR), event_name) AS passed_through,
         CAST(coalesce({_code('main_action')}, -1) AS BIGINT) AS code, count(*) AS n
@@ -580,7 +595,7 @@ ORACLES: dict[str, str] = {
     "time_range": """
       SELECT epoch_us(min(event_timestamp)) AS first, epoch_us(max(event_timestamp)) AS last FROM training""",
     "distinct_users": """
-      SELECT count(DISTINCT user_id) AS n_users, max(event_id) AS max_event_id FROM training""",
+      SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT hotel_id) AS n_items FROM training""",
     "null_profile": """
       SELECT count(*) AS n_rows, count(*) FILTER (WHERE gender IS NULL) AS gender_nulls,
         count(*) FILTER (WHERE age IS NULL) AS age_nulls,
@@ -731,7 +746,7 @@ ORACLES: dict[str, str] = {
     "user_segments": """
       SELECT user_id, CASE WHEN count(*) FILTER (WHERE pred_action IN (2, 3, 5)) > 0
         THEN 'promising' ELSE 'ordinary' END AS segment FROM predictions GROUP BY 1""",
-    "skip_first_n": "SELECT user_id, event_id, hotel_id, place FROM skipped",
+    "skip_first_n": "SELECT user_id, epoch_us(event_timestamp) AS event_timestamp, hotel_id, place FROM skipped",
     "collapse_repeats": "__COLLAPSE(held_out)__SELECT user_id, run, hotel_id, main_action FROM collapsed",
     "holdout": """__COLLAPSE(skipped)__SELECT user_id, gender, age_group, run, hotel_id, main_action
       FROM collapsed""",
@@ -777,15 +792,8 @@ ORACLES: dict[str, str] = {
           WHERE upstream_event_tag <> 'N' AND hotel_id IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7)
         GROUP BY 1, 2, 3""",
     "training_events": """
-      SELECT u.user_id, f.main_action, i.hotel_id, f.duration, f.complete_flag, f.event_timestamp FROM (
-        SELECT uid, CAST(r.user_id AS BIGINT) AS raw_user_id, main_action,
-          CAST(coalesce(hotel_id, booking_hotel_id) AS BIGINT) AS hotel_code,
-          CAST(CASE WHEN booking_hotel_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS complete_flag,
-          round(CAST(sum(total_duration) AS DOUBLE) / 60, 2) AS duration,
-          epoch_us(max(max_ts)) AS event_timestamp
-        FROM runs r LEFT JOIN booked_items USING (booking_id) JOIN v_event_map USING (event_name)
-        WHERE main_action IS NOT NULL GROUP BY 1, 2, 3, 4, 5) f
-      JOIN users u ON f.raw_user_id = u.raw_user_id JOIN items i ON f.hotel_code = i.hotel_code""",
+      SELECT user_id, main_action, hotel_id, duration, complete_flag, epoch_us(event_timestamp) AS event_timestamp
+      FROM training""",
     "ml_score": """
       SELECT user_id, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
         round(pred * prob, 6) AS important_value FROM picked_all""",
@@ -839,8 +847,8 @@ ORACLES: dict[str, str] = {
         {_LIST}(a[s+1:s+6], ',') AS main_action_sequence, '\\E' AS notes
       FROM window_starts w JOIN (
         SELECT user_id, list(CASE WHEN style_name <> 'unspecified' THEN hotel_id END
-            ORDER BY event_timestamp, event_id) AS h,
-          list(main_action ORDER BY event_timestamp, event_id) AS a
+            ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS h,
+          list(main_action ORDER BY event_timestamp, hotel_id, action_code, complete_flag, duration) AS a
         FROM training GROUP BY 1) l ON w.user_id = l.user_id""",
     "append_evolve": """
       SELECT u.raw_user_id, u.user_id, CASE WHEN e.raw_user_id IS NULL THEN u.gender END AS gender
@@ -864,12 +872,12 @@ def _collapsed(source: str) -> dict[str, str]:
     return {
         "marked": f"""
           SELECT *, CASE WHEN hotel_id = lag(hotel_id) OVER (PARTITION BY user_id
-              ORDER BY event_timestamp, event_id) THEN 0 ELSE 1 END AS starts
+              ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action) THEN 0 ELSE 1 END AS starts
           FROM {source} WHERE gender IS NOT NULL AND age_group IS NOT NULL""",
         "collapsed": """
           SELECT user_id, gender, age_group, run, arg_min(hotel_id, event_timestamp) AS hotel_id,
             CAST(max(main_action) AS BIGINT) AS main_action
-          FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id
+          FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM marked)
           GROUP BY 1, 2, 3, 4""",
     }

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+# Application -> what it has written, and how often that was dropped.
+_WRITTEN: dict[str, list[str]] = {}
+_DROPS: dict[str, int] = {}
 
 
 def local_session(name: str = "wanderbeam", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -48,7 +51,29 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_age(spark: SparkSession) -> int:
+    """How often this application has dropped its scratch tables; what was stored before is gone."""
+    return _DROPS.get(spark.sparkContext.applicationId, 0)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove all intermediate tables this application has written; gives their number.
+
+    The job that owns the session calls it when its results are written: frames that were handed out
+    before read these tables and can't be used any more.
+    """
+    name = spark.sparkContext.applicationId
+    paths = _WRITTEN.pop(name, [])
+    for path in paths:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+    _DROPS[name] = _DROPS.get(name, 0) + 1
+    return len(paths)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
