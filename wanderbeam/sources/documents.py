@@ -27,9 +27,9 @@ def parsed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def whole(table: DataFrame) -> DataFrame:
     """The rows whose documents are all JSON or missing."""
-    return table.filter(~F.col(BROKEN)).drop(BROKEN, REASON, ORIGINAL)
+    return table.filter(~F.col(BROKEN).cast("boolean")).drop(BROKEN, REASON, ORIGINAL)
 
 
 def quarantined(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The other rows, with their reason and the texts as they came."""
-    return table.filter(BROKEN).drop(BROKEN, *columns).select("*", f"{ORIGINAL}.*").drop(ORIGINAL)
+    return table.filter(F.col(BROKEN).cast("boolean")).drop(BROKEN, *columns).select("*", f"{ORIGINAL}.*").drop(ORIGINAL)
