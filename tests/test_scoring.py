@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -100,3 +101,9 @@ def test_unseen_and_missing_values_say_nothing(spark):
     odd = frame.limit(1).withColumn("target_hotel_id", F.lit("new")).withColumn("gender", F.lit(None).cast("string"))
     assert bayes.score(odd, model, ["user_id", "win"], "style_name_sequence").count() == 1
     assert bayes.quality(bayes.predicted(frame.limit(0), model, ["user_id", "win"]), ["label"]).count() == 0
+
+
+def test_a_perceptron_that_the_driver_can_not_hold_is_refused(spark):
+    spec = scoring.ModelSpec(hidden_units=(32,))
+    with pytest.raises(ValueError, match="smaller width"):
+        scoring.fit_next_action(history(spark), spec)

@@ -136,6 +136,18 @@ def probabilities(rows: DataFrame, model: BayesModel, keys: Sequence[str], style
     return parts.select(*keys, whole.alias("probabilities"))
 
 
+def unseen_values(rows: DataFrame, model: BayesModel, styles: str = "style_name_sequence") -> DataFrame:
+    """name, n and n_unseen: of every feature its values in ``rows``, and those that training never held.
+
+    Such values say nothing to the model. Where they are many the vocabulary is out of date.
+    """
+    wide = positional_features(rows, model.spec, styles)
+    asked = _features(wide, model.spec.feature_names(), []).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = model.logs.select("key", F.lit(True).alias("known"))
+    found = lookup_join(asked.select("name", "n", _key("name", "value").alias("key")), known, "key", "left")
+    return found.groupBy("name").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("n_unseen"))
+
+
 def score(rows: DataFrame, model: BayesModel, keys: Sequence[str], styles: str = "style_sequence") -> DataFrame:
     """``keys``, pred_action, prob and important_value of every row."""
     scored = with_importance(probabilities(rows, model, keys, styles), F.col("probabilities"))

@@ -78,7 +78,9 @@ def recent_behaviour(
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     trained = items.join(trained_items, "hotel_id", "left_semi")
-    coded = encoded_events(union_events(bookings, events, event_map), trained)
+    # Events of other items leave before copies are looked for.
+    booked = encoded_events(booking_events(bookings), trained)
+    coded = booked.unionByName(encoded_events(latest_app_events(events, event_map), trained)).distinct()
     return behaviour_sequences(_first_places(coded, length, keep), users)
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from wanderbeam.functions import actions, arrays
 
 N_CLASSES = len(actions.ACTION_CODES)
+# Weights of a perceptron's first layer, which the driver holds whole.
+MOST_WEIGHTS = 1 << 22
 
 
 def with_importance(df: DataFrame, probabilities: Column) -> DataFrame:
@@ -90,6 +92,8 @@ def positional_features(df: DataFrame, spec: ModelSpec, styles: str = "style_nam
 def fit_next_action(history: DataFrame, spec: ModelSpec) -> PipelineModel:
     """Fit on ``history_target`` rows: label ``target`` (class code), features by position."""
     names = spec.feature_names()
+    if spec.hidden_units and spec.width * spec.hidden_units[0] > MOST_WEIGHTS:
+        raise ValueError(f"a first layer of {spec.width} x {spec.hidden_units[0]} weights is more than {MOST_WEIGHTS}; take a smaller width")
     hasher = FeatureHasher(
         inputCols=names, outputCol="features", numFeatures=spec.width, categoricalCols=names
     )

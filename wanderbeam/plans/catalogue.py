@@ -1208,6 +1208,14 @@ def ml_metrics(d: Domain) -> DataFrame:
     )
 
 
+@query
+def ml_unseen_values(d: Domain) -> DataFrame:
+    """Held-out values of every feature, and how many of them the training part never held."""
+    rows = materialise(_history(d), "history")
+    model = bayes.fit(rows.filter("split = 'train'"), _model_spec())
+    return bayes.unseen_values(rows.filter("split <> 'train'"), model)
+
+
 @query
 def ml_class_distribution(d: Domain) -> DataFrame:
     rows = materialise(_history(d), "history")

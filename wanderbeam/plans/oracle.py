@@ -797,6 +797,9 @@ ORACLES: dict[str, str] = {
     "ml_score": """
       SELECT user_id, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
         round(pred * prob, 6) AS important_value FROM picked_all""",
+    "ml_unseen_values": """
+      SELECT name, count(*) AS n, count(*) FILTER (WHERE known IS NULL) AS n_unseen
+      FROM asked_held LEFT JOIN (SELECT DISTINCT name, value, 1 AS known FROM seen_held) USING (name, value) GROUP BY 1""",
     "ml_topk": """
       SELECT user_id, rank, target_hotel_id, CAST(pred AS BIGINT) AS pred_action, round(prob, 6) AS prob,
         round(pred * prob, 6) AS important_value
