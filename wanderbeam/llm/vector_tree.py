@@ -153,13 +153,16 @@ def nearest_in(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vect
         edge = np.partition(rough, k - 1, axis=1)[:, k - 1]
     else:
         edge = np.full(len(queries), np.inf)
-    parts = []
+    asked, found, scores = [], [], []
     for i in range(len(queries)):
         near = np.flatnonzero((rough[i] <= edge[i] + slack[i]) & ~same[i])
         score = np.sqrt(((vectors[near] - queries[i]) ** 2).sum(axis=1))
         best = np.lexsort((ids[near], score))[:k]
-        parts.append(pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[near][best], "score": score[best]}))
-    return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        asked.append(np.repeat(query_ids[i], len(best)))
+        found.append(ids[near][best])
+        scores.append(score[best])
+    whole = [np.concatenate(x) if x else np.empty(0) for x in (asked, found, scores)]
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), whole)))
 
 
 def best_matches(found: DataFrame, k: int) -> DataFrame:
