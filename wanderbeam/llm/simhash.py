@@ -117,17 +117,19 @@ def _cleared_links(members: DataFrame, masks: list[int], radius: int) -> DataFra
     What meets there differs in the cleared bits only, so at most 2^radius fingerprints, one for each pattern
     of those bits: a fixed set of columns holds them. Members are dealt by fingerprint before they are filed.
     """
-    choices = F.lit(None)
+    chosen = []
     for i, mask in enumerate(masks):
-        free = [1 << b for b in range(BITS) if not mask >> b & 1]
-        bits = [F.array(*[F.lit(_signed(b)) for b in chosen]) for chosen in combinations(free, radius)]
-        choices = F.when(F.col("c") == i, F.array(*bits)).otherwise(choices)
-    dealt = members.repartition("c", "fp").select("fp", F.explode(choices).alias("bits"))
+        free = [_signed(1 << b) for b in range(BITS) if not mask >> b & 1]
+        chosen += [(i, *bits) for bits in combinations(free, radius)]
+    names = [f"bit{j}" for j in range(radius)]
+    # As many rows as there are choices of bits, whatever the fingerprints.
+    holes = members.sparkSession.createDataFrame(chosen, "c int, " + ", ".join(f"{n} long" for n in names))
+    dealt = members.repartition("c", "fp").join(F.broadcast(holes), "c")
     hole = F.lit(0).cast("long")
     pattern = F.lit(0)
-    for j in range(radius):
-        hole = hole.bitwiseOR(F.col("bits")[j])
-        pattern = pattern + F.when(F.col("fp").bitwiseAND(F.col("bits")[j]) != 0, 1 << j).otherwise(0)
+    for j, name in enumerate(names):
+        hole = hole.bitwiseOR(F.col(name))
+        pattern = pattern + F.when(F.col("fp").bitwiseAND(F.col(name)) != 0, 1 << j).otherwise(0)
     filed = dealt.select("fp", hole.alias("hole"), pattern.alias("pattern"))
     rest = F.col("fp").bitwiseAND(F.bitwise_not(F.col("hole"))).alias("rest")
     held = [F.max(F.when(F.col("pattern") == p, F.col("fp"))).alias(f"p{p}") for p in range(1 << radius)]
