@@ -873,14 +873,17 @@ ORACLES["resumed_export"] = ORACLES["csv_roundtrip"]
 
 def _collapsed(source: str) -> dict[str, str]:
     return {
-        "marked": f"""
-          SELECT *, CASE WHEN hotel_id = lag(hotel_id) OVER (PARTITION BY user_id
-              ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action) THEN 0 ELSE 1 END AS starts
+        # Equal rows keep one order in both windows below.
+        "placed": f"""
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action) AS pos
           FROM {source} WHERE gender IS NOT NULL AND age_group IS NOT NULL""",
+        "marked": """
+          SELECT *, CASE WHEN hotel_id = lag(hotel_id) OVER (PARTITION BY user_id ORDER BY pos) THEN 0 ELSE 1 END AS starts
+          FROM placed""",
         "collapsed": """
-          SELECT user_id, gender, age_group, run, arg_min(hotel_id, event_timestamp) AS hotel_id,
+          SELECT user_id, gender, age_group, run, arg_min(hotel_id, pos) AS hotel_id,
             CAST(max(main_action) AS BIGINT) AS main_action
-          FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp, hotel_id NULLS FIRST, main_action
+          FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY pos
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM marked)
           GROUP BY 1, 2, 3, 4""",
     }
