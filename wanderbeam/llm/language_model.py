@@ -34,7 +34,7 @@ class Spec:
 
     shape: gru.Shape = gru.Shape()
     dictionary: int = 131_072
-    learner_tokens: int = 2_000_000
+    learner_tokens: int = 8_000_000
     learner_texts: int = 2_048
     rounds: int = 3
     every: int = 1
