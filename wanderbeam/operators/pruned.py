@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from wanderbeam.operators.bayes import class_probabilities
 from wanderbeam.operators.scoring import N_CLASSES, with_importance
 from wanderbeam.operators.skew import MAX_GROUP_ROWS, expanding_join, lookup_join, number_rows
-from wanderbeam.session import materialise
+from wanderbeam.session import materialise, shuffle_width
 
 BLOCK = 32
 # Scores are rounded before they are compared; a bound must not fall short by that.
@@ -63,7 +63,11 @@ def block_bound(logs: str = "user_logs", gaps: str = "gaps") -> Column:
 
 
 def _opened(pairs: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` items of every (user, block), scored inside the row of the pair."""
+    """The best ``k`` items of every (user, block), scored inside the row of the pair.
+
+    A pair is a short row and much work, so the pairs are dealt to all tasks, however few bytes they are.
+    """
+    pairs = pairs.repartition(shuffle_width(pairs.sparkSession), "user_id", "block_id")
     found = lookup_join(pairs, blocks.select("block_id", "entries"), "block_id")
     items = found.select("user_id", "user_logs", F.explode("entries").alias("e"))
     both = F.zip_with("user_logs", "e.item_logs", lambda a, b: a + b)
@@ -76,16 +80,22 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def best_alike(items: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest item ids of those that score the same for every user: equal values go by item id."""
+    alike = Window.partitionBy("location_name", "item_logs").orderBy("hotel_id")
+    return items.withColumn("__place", F.row_number().over(alike)).filter(F.col("__place") <= k).drop("__place")
+
+
 def top_items(users: DataFrame, items: DataFrame, k: int = 10, size: int = BLOCK, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """user_id, rank, target_hotel_id, pred_action, prob and important_value of every user's best ``k`` items.
 
     ``users`` has user_id (unique), location_name and user_logs, ``items`` location_name, hotel_id and item_logs.
-    First every user opens the blocks of highest bound that hold ``k`` items; the last of their best
+    Of items that are alike to the score only ``k`` take part. First every user opens the blocks of highest bound that hold ``k`` items; the last of their best
     ``k`` is a value that further items have to reach. Then only the blocks whose bound reaches it are
     opened. What is shuffled is users times blocks, and the items of the opened blocks. The result is that of
     scoring all pairs; equal values go by item id.
     """
-    blocks = materialise(item_blocks(items, size, max_rows), "item-blocks")
+    blocks = materialise(item_blocks(best_alike(items, k), size, max_rows), "item-blocks")
     facts = users.select("user_id", "location_name", "user_logs")
     met = expanding_join(facts, blocks.select("location_name", "block_id", "n", "gaps"), "location_name", "user_id")
     bounded = met.select("user_id", "user_logs", "block_id", "n", block_bound().alias("bound"))
