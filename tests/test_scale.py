@@ -149,3 +149,34 @@ def test_predictions_are_stored_as_users_and_items(spark):
     parts = domain.prediction_parts()
     assert "target_hotel_id" not in parts.owners.columns and "user_id" not in parts.members.columns
     assert rows(parts.pairs(), "user_id", "target_hotel_id") == rows(domain.build_predictions(), "user_id", "target_hotel_id")
+
+
+def test_a_small_file_of_events_is_dealt_to_all_tasks(spark, tmp_path):
+    events = spark.range(300).selectExpr(
+        "id AS event_id",
+        "timestamp_seconds(1704067200 + id) AS ts",
+        "id % 7 AS user_id",
+        "element_at(array('view', 'click', 'purchase', NULL), cast(id % 4 + 1 AS int)) AS event_type",
+        "if(id % 5 = 0, NULL, cast(id % 50 AS double)) AS value",
+        "if(id % 3 = 0, NULL, '{\"k\": 4}') AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    domain = Domain(spark, str(tmp_path))
+    loaded = documents.whole(domain.event_documents())
+    assert loaded.count() == 300 + sum(i % 89 == 0 and i % 3 == 0 for i in range(300))
+    assert sum("broken=false" in f for f in loaded.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = {(r[0], tuple(r[1])) for r in domain.raw_events().select("event_name", "event_params.key").collect()}
+    always = ("hotel_name", "content_group", "first_touch_source")
+    assert keys == {
+        ("view", ("hotel_id", *always)),
+        ("click", ("hotel_id", *always, "carousel_id", "carousel_name")),
+        ("purchase", ("hotel_id", *always, "booking_id")),
+        ("purchase", (*always, "booking_id")),
+        (None, always),
+        (None, ("hotel_id", *always)),
+    }
+
+
+def test_booked_items_are_stored_before_they_are_measured(spark):
+    domain = Domain(spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in plan(domain.booked_items()) and "Aggregate" not in plan(domain.booked_items())
