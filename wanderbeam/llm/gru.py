@@ -134,42 +134,61 @@ def lanes(docs: list[np.ndarray], end: int, most: int) -> Lanes:
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """In place; an overflow of the exponential is a true zero."""
     np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
+    np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
 def _tanh(x: np.ndarray) -> np.ndarray:
-    """In place, by the exponential, which numpy vectorises on more machines than tanh."""
-    x *= 2
-    _sigmoid(x)
-    x *= 2
+    """In place like ``_sigmoid``, by the exponential, which numpy vectorises on more machines than tanh."""
+    x *= -2
+    np.exp(x, out=x)
+    x += 1
+    np.divide(2, x, out=x)
     x -= 1
     return x
 
 
+def _turned(values: np.ndarray) -> np.ndarray:
+    """[step, lane, feature] as [step, feature, lane], or back, as one piece of memory."""
+    return np.ascontiguousarray(values.transpose(0, 2, 1))
+
+
 def _forward(p: Params, source: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: list | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden states of a window and the state to carry on; ``keep`` collects what the way back needs."""
-    steps, h = len(source), state.shape[1]
-    given = p["input"][source] + p["bias"]
-    out = np.empty((steps, *state.shape), np.float32)
-    for t in range(steps):
-        if fresh[t].any():
-            state = np.where(fresh[t][:, None], np.float32(0), state)
-        past = state @ p["state"]
-        gates = _sigmoid(past[:, : 2 * h] + given[t, :, : 2 * h])
-        z, r = gates[:, :h], gates[:, h:]
-        n = r * past[:, 2 * h :]
-        n += given[t, :, 2 * h :]
-        _tanh(n)
-        new = state - n
-        new *= z
-        new += n
-        if keep is not None:
-            keep.append((state, z, r, n, past[:, 2 * h :]))
-        out[t] = state = new
-    return out, state
+    """Hidden states of a window and the state to carry on; ``keep`` collects what the way back needs.
+
+    Inside, features are rows and lanes are columns, so each gate is one piece of memory.
+    """
+    (steps, count), h = source.shape, state.shape[1]
+    table = np.ascontiguousarray((p["input"] + p["bias"]).T)
+    weights = np.ascontiguousarray(p["state"].T)
+    state = np.ascontiguousarray(state.T)
+    out = np.empty((steps, h, count), np.float32)
+    starts = fresh.any(axis=1)
+    given, past, n = (np.empty((size, count), table.dtype) for size in (3 * h, 3 * h, h))
+    if keep is not None:
+        keep += [np.empty((steps, size, count), table.dtype) for size in (h, 2 * h, h, h)]
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            if starts[t]:
+                state = np.where(fresh[t], np.float32(0), state)
+            np.matmul(weights, state, out=past)
+            # All ids are in the table; "clip" writes to the array without a copy.
+            np.take(table, source[t], axis=1, out=given, mode="clip")
+            gates = given[: 2 * h]
+            gates += past[: 2 * h]
+            _sigmoid(gates)
+            z, r = gates[:h], gates[h:]
+            np.multiply(r, past[2 * h :], out=n)
+            n += given[2 * h :]
+            _tanh(n)
+            if keep is not None:
+                keep[0][t], keep[1][t], keep[2][t], keep[3][t] = state, gates, n, past[2 * h :]
+            new = state - n
+            new *= z
+            new += n
+            out[t] = state = new
+    return _turned(out), state.T
 
 
 def _softmax(x: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
@@ -178,7 +197,8 @@ def _softmax(x: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np
     own = x[rows, at]
     with np.errstate(over="ignore"):
         powers = np.exp(x)
-    sums = powers.sum(axis=1)
+    # A product is the fastest sum of short rows.
+    sums = powers @ np.ones(x.shape[1], x.dtype)
     if not np.isfinite(sums).all():
         top = x.max(axis=1, keepdims=True)
         powers = np.exp(x - top)
@@ -193,8 +213,10 @@ def _softmax(x: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np
 def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, grads: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log-probability of each target (class, and word for words), and the gradient on ``hidden``."""
     is_word = target < shape.words
-    group = np.where(is_word, target // shape.width, target - shape.words + shape.groups)
-    total, slope = _softmax(hidden @ p["class"] + p["class_bias"], group, grads is not None)
+    group = np.where(is_word, target // shape.width, target - shape.words + shape.groups).astype(np.int16)
+    x = hidden @ p["class"]
+    x += p["class_bias"]
+    total, slope = _softmax(x, group, grads is not None)
     back = None
     if grads is not None:
         grads["class"] = hidden.T @ slope
@@ -204,45 +226,61 @@ def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, gr
     at = np.flatnonzero(is_word)
     at = at[np.argsort(group[at], kind="stable")]
     edges = np.searchsorted(group[at], np.arange(shape.groups + 1))
-    for g in range(shape.groups):
-        mine = at[edges[g] : edges[g + 1]]
-        if not len(mine):
-            continue
-        some = hidden[mine]
-        inner = target[mine] % shape.width
-        logs, slope = _softmax(some @ p["word"][g] + p["word_bias"][g], inner, grads is not None)
-        total[mine] += logs
-        if grads is not None:
-            grads["word"][g] = some.T @ slope
-            grads["word_bias"][g] = slope.sum(axis=0)
-            back[mine] += slope @ p["word"][g].T
+    # Words lie by group: only the products are taken group by group, all else at once.
+    parts = [(g, slice(edges[g], edges[g + 1])) for g in range(shape.groups) if edges[g] < edges[g + 1]]
+    some = hidden[at]
+    x = np.empty((len(at), shape.width), np.result_type(some, p["word"]))
+    for g, mine in parts:
+        np.matmul(some[mine], p["word"][g], out=x[mine])
+        x[mine] += p["word_bias"][g]
+    logs, slope = _softmax(x, target[at] % shape.width, grads is not None)
+    total[at] += logs
+    if grads is not None:
+        inner = np.empty_like(some, x.dtype)
+        for g, mine in parts:
+            grads["word"][g] = some[mine].T @ slope[mine]
+            grads["word_bias"][g] = slope[mine].sum(axis=0)
+            np.matmul(slope[mine], p["word"][g].T, out=inner[mine])
+        back[at] += inner
     return total, back
 
 
 def _through_time(p: Params, keep: list, back: np.ndarray, source: np.ndarray, fresh: np.ndarray, grads: Params) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the recurrent part; (distinct input ids, their gradient rows) come back."""
     steps, count, h = back.shape
-    given = np.empty((steps, count, 3 * h), np.float32)
-    grads["state"] = np.zeros_like(p["state"])
-    carry = np.zeros((count, h), np.float32)
+    states, gates, n, past = keep
+    z, r = gates[:, :h], gates[:, h:]
+    # What doesn't depend on the later steps is worked out for the whole window at once.
+    rest = 1 - z
+    from_n = rest * (1 - n * n)
+    from_z = (states - n) * z * rest
+    from_r = past * r * (1 - r)
+    given = np.empty((3 * h, steps, count), np.float32)
+    # The same, but with the part of the reset gate: what goes to the state before.
+    inner = np.empty((3 * h, steps, count), np.float32)
+    carry = np.zeros((h, count), np.float32)
+    back = _turned(back)
+    starts = fresh.any(axis=1)
     for t in range(steps - 1, -1, -1):
-        state, z, r, n, past = keep[t]
         d = back[t] + carry
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (state - n) * z * (1 - z)
-        dr = dn * past * r * (1 - r)
-        given[t, :, :h], given[t, :, h : 2 * h], given[t, :, 2 * h :] = dz, dr, dn
-        inner = given[t].copy()
-        inner[:, 2 * h :] = dn * r
-        grads["state"] += state.T @ inner
-        carry = d * z + inner @ p["state"].T
-        carry[fresh[t]] = 0
-    flat = given.reshape(-1, 3 * h)
+        dn = d * from_n[t]
+        np.multiply(dn, r[t], out=inner[2 * h :, t])
+        np.multiply(d, from_z[t], out=inner[:h, t])
+        np.multiply(dn, from_r[t], out=inner[h : 2 * h, t])
+        given[2 * h :, t] = dn
+        carry = p["state"] @ inner[:, t]
+        d *= z[t]
+        carry += d
+        if starts[t]:
+            carry = np.where(fresh[t], np.float32(0), carry)
+    given[: 2 * h] = inner[: 2 * h]
+    grads["state"] = states.transpose(1, 0, 2).reshape(h, -1) @ inner.reshape(3 * h, -1).T
+    flat = np.ascontiguousarray(given.reshape(3 * h, -1).T)
     grads["bias"] = flat.sum(axis=0)
     ids = source.ravel()
-    order = np.argsort(ids, kind="stable")
-    starts = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
-    return ids[order][starts], np.add.reduceat(flat[order], starts, axis=0)
+    order = np.argsort(ids.astype(np.int16), kind="stable") if len(p["input"]) < 1 << 15 else np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+    return ids[order][first], np.add.reduceat(flat[order], first, axis=0)
 
 
 class Trainer:

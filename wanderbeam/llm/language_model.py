@@ -10,6 +10,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,7 +126,8 @@ class Lexicon:
         missing = np.flatnonzero(at < 0)
         rare = [parts[k].decode() for k in missing.tolist()]
         if rare:
-            ids[missing] = self.shape.words + np.fromiter(map(self.ending, rare), np.int32, len(rare))
+            known, last = self.endings.get, self.shape.endings - 1
+            ids[missing] = self.shape.words + np.fromiter([known(w[-ENDING:], last) for w in rare], np.int32, len(rare))
         return at, ids, rare
 
 
@@ -171,19 +173,34 @@ def read_texts(docs: DataFrame, lex: Lexicon) -> DataFrame:
     of their shares of their ending's class where the model knows no more. Rare words are listed for a join.
     """
 
-    @F.pandas_udf(READ)
-    def read(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
+    @F.arrow_udf(READ)
+    def read(texts: pa.Array) -> pa.Array:
+        rows, bodies, tokens, times, edges = [], [], [], [], [0]
+        for text in texts.to_pylist():
             at, ids, rare = lex.read(text)
             placed = at[at >= 0]
             logs = lex.logs[placed]
             inside = logs[lex.ids[placed] >= lex.shape.words].sum()
             by_ending = lex.class_logs[ids[ids >= lex.shape.words] - lex.shape.words].sum()
             known = len(placed) - 1 + lex.end_known
-            listed = list(Counter(rare).items())
-            out.append((len(at), known, float(logs.sum()), float(inside - by_ending), listed, ids.astype("<i2").tobytes()))
-        return pd.DataFrame(out, columns=["n_tokens", "n_known", "known_log", "outside_log", "rare", "ids"])
+            listed = Counter(rare)
+            tokens += listed.keys()
+            times += listed.values()
+            edges.append(len(tokens))
+            rows.append((len(at), known, float(logs.sum()), float(inside - by_ending)))
+            bodies.append(ids.astype("<i2").tobytes())
+        # The lists of rare words are one array of all texts, not objects of Python.
+        pairs = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(times, pa.int32())], ["token", "n"])
+        n_tokens, n_known, known_log, outside_log = zip(*rows) if rows else ((),) * 4
+        columns = [
+            pa.array(n_tokens, pa.int64()),
+            pa.array(n_known, pa.int64()),
+            pa.array(known_log, pa.float64()),
+            pa.array(outside_log, pa.float64()),
+            pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pairs),
+            pa.array(bodies, pa.binary()),
+        ]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "n_known", "known_log", "outside_log", "rare", "ids"])
 
     return docs.withColumn("__s", read(F.col("text"))).select(*[c for c in docs.columns if c != "text"], "__s.*")
 
