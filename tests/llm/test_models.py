@@ -9,12 +9,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD, lower_ascii, sentence, split_words
 from wanderbeam.llm import gru, labelled, language_model, quality_classifier, toxicity, url_filter
 from wanderbeam.llm.labelled import Bound, labelled_sample, platt, sigmoid
+from wanderbeam.llm.text import text_bytes
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -285,6 +287,53 @@ def test_rare_words_are_listed_by_text(spark, make):
     assert lists[3]["yy"] == 1
 
 
+def test_texts_are_read_together():
+    """One look-up for the words of many texts gives each text what it has alone."""
+    rng = random.Random(3)
+    texts = [None, "", " ", "\t Ab\x0b\x0cZZ ab zz ", "\x85 \x1c \xa0 \u00c4b", *[sentence(rng, rng.randrange(0, 30), 40) for _ in range(60)]]
+    brute = [text_bytes(x, lower=True).split() for x in texts]
+    vocabulary = ["", *sorted({w.decode() for words in brute for w in words[::3]})]
+    inputs = SMALL.shape.words
+    ids = np.array([*(k if k < inputs else inputs + k % 6 for k in range(len(vocabulary))), -1], np.int32)
+    logs, class_logs = np.arange(len(vocabulary)) / 7 - 2, np.arange(6) / 3 - 1
+    lex = language_model.Lexicon(pa.array(vocabulary), logs, ids, {"zz": 0, "ab": 1, "Äb": 2}, 9, 9, class_logs, None, None, SMALL.shape)
+    place = {w.encode(): k for k, w in enumerate(vocabulary)}
+    runs = list(language_model.pieces(pa.array(texts), 200))
+    assert len(runs) > 3 and sum(map(len, runs)) == len(texts) and pa.concat_arrays(runs).to_pylist() == texts
+    for parts in ([pa.array(texts)], runs):
+        got = pa.concat_arrays([lex.read(some) for some in parts]).to_pylist()
+        for words, row in zip(brute, got, strict=True):
+            at = [*[place.get(w) for w in words], 0]
+            codes = [lex.ending(w.decode()) + inputs if k is None else int(ids[k]) for w, k in zip([*words, b""], at)]
+            assert np.frombuffer(row["ids"], "<i2").tolist() == codes
+            assert row["n_tokens"] == len(at) and row["n_known"] == sum(k is not None for k in at)
+            assert row["known_log"] == pytest.approx(sum(logs[k] for k in at if k is not None))
+            outside = sum(logs[k] for k, c in zip(at, codes) if k is not None and c >= inputs) - sum(class_logs[c - inputs] for c in codes if c >= inputs)
+            assert row["outside_log"] == pytest.approx(outside, abs=1e-9)
+            rare = Counter(w.decode() for w, k in zip(words, at) if k is None)
+            assert Counter({x["token"]: x["n"] for x in row["rare"]}) == rare and len(row["rare"]) == len(rare)
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(make):
+    rows = [(k, f" a b{k % 7} A c{k}") for k in range(60)] + [(60, None), (61, "")]
+    want = Counter(w for _, x in rows for w in [*(x or "").lower().split(), ""])
+    for hold in (1, 30, 300_000):
+        counted = language_model.token_counts(make(rows).select("text"), hold).collect()
+        assert {r.token: r.c for r in counted} == want and len(counted) == len(want)
+
+
+@pytest.mark.parametrize("shift", [-200, 0, 200])
+def test_outputs_far_from_zero_are_probabilities(shift):
+    shape = SMALL.shape
+    p = gru.initial(shape, 2)
+    target = np.arange(shape.inputs)
+    hidden = np.random.default_rng(1).uniform(-1, 1, (len(target), shape.hidden)).astype(np.float32)
+    want, back = gru._outputs(p, shape, hidden, target, {})
+    moved = p | {name: p[name] + np.float32(shift) for name in ("class_bias", "word_bias")}
+    got, slope = gru._outputs(moved, shape, hidden, target, {})
+    assert np.allclose(got, want, atol=1e-3) and np.allclose(slope, back, atol=1e-3)
+
+
 def test_training_beats_the_class_frequencies():
     shape = SMALL.shape
     rng = np.random.default_rng(7)

@@ -131,24 +131,6 @@ def lanes(docs: list[np.ndarray], end: int, most: int) -> Lanes:
     return Lanes(source, target, np.repeat(np.array(laid, np.int32), lengths), fresh, np.cumsum(sizes) - sizes, sizes)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place; an overflow of the exponential is a true zero."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
-def _tanh(x: np.ndarray) -> np.ndarray:
-    """In place like ``_sigmoid``, by the exponential, which numpy vectorises on more machines than tanh."""
-    x *= -2
-    np.exp(x, out=x)
-    x += 1
-    np.divide(2, x, out=x)
-    x -= 1
-    return x
-
-
 def _turned(values: np.ndarray) -> np.ndarray:
     """[step, lane, feature] as [step, feature, lane], or back, as one piece of memory."""
     return np.ascontiguousarray(values.transpose(0, 2, 1))
@@ -157,57 +139,75 @@ def _turned(values: np.ndarray) -> np.ndarray:
 def _forward(p: Params, source: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: list | None) -> tuple[np.ndarray, np.ndarray]:
     """Hidden states of a window and the state to carry on; ``keep`` collects what the way back needs.
 
-    Inside, features are rows and lanes are columns, so each gate is one piece of memory.
+    Inside, features are rows and lanes are columns, so each gate is one piece of memory. The factors of the
+    exponentials, -1 for the sigmoids and -2 for the hyperbolic tangent, are in the table and the weights: they change no rounding.
     """
     (steps, count), h = source.shape, state.shape[1]
-    table = np.ascontiguousarray((p["input"] + p["bias"]).T)
-    weights = np.ascontiguousarray(p["state"].T)
+    table = p["input"] + p["bias"]
+    one, two, half = (table.dtype.type(x) for x in (1, 2, -0.5))
+    factors = np.repeat(np.array([-1, -2], table.dtype), (2 * h, h))
+    weights = np.ascontiguousarray((p["state"] * factors).T)
+    # All ids are in the table; "clip" needs no check of them.
+    given = _turned(np.take(table * factors, source.ravel(), axis=0, mode="clip").reshape(steps, count, 3 * h))
     state = np.ascontiguousarray(state.T)
     out = np.empty((steps, h, count), np.float32)
-    starts = fresh.any(axis=1)
-    given, past, n = (np.empty((size, count), table.dtype) for size in (3 * h, 3 * h, h))
-    if keep is not None:
+    starts = fresh.any(axis=1).tolist()
+    past = np.empty((3 * h, count), table.dtype)
+    from_gates, from_state = past[: 2 * h], past[2 * h :]
+    if keep is None:
+        gates, n = np.empty((2 * h, count), table.dtype), np.empty((h, count), table.dtype)
+    else:
         keep += [np.empty((steps, size, count), table.dtype) for size in (h, 2 * h, h, h)]
+    # An overflow of an exponential is a true zero of the gate.
     with np.errstate(over="ignore"):
         for t in range(steps):
             if starts[t]:
                 state = np.where(fresh[t], np.float32(0), state)
             np.matmul(weights, state, out=past)
-            # All ids are in the table; "clip" writes to the array without a copy.
-            np.take(table, source[t], axis=1, out=given, mode="clip")
-            gates = given[: 2 * h]
-            gates += past[: 2 * h]
-            _sigmoid(gates)
-            z, r = gates[:h], gates[h:]
-            np.multiply(r, past[2 * h :], out=n)
-            n += given[2 * h :]
-            _tanh(n)
             if keep is not None:
-                keep[0][t], keep[1][t], keep[2][t], keep[3][t] = state, gates, n, past[2 * h :]
-            new = state - n
-            new *= z
-            new += n
-            out[t] = state = new
+                gates, n = keep[1][t], keep[2][t]
+                keep[0][t] = state
+                np.multiply(from_state, half, out=keep[3][t])
+            np.add(given[t, : 2 * h], from_gates, out=gates)
+            np.exp(gates, out=gates)
+            np.add(gates, one, out=gates)
+            np.reciprocal(gates, out=gates)
+            np.multiply(gates[h:], from_state, out=n)
+            np.add(n, given[t, 2 * h :], out=n)
+            # numpy vectorises the exponential on more machines than tanh.
+            np.exp(n, out=n)
+            np.add(n, one, out=n)
+            np.divide(two, n, out=n)
+            np.subtract(n, one, out=n)
+            new = out[t]
+            np.subtract(state, n, out=new)
+            np.multiply(new, gates[:h], out=new)
+            np.add(new, n, out=new)
+            state = new
     return _turned(out), state.T
 
 
-def _softmax(x: np.ndarray, at: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log-probability of column ``at`` of each row, and the softmax less one there if asked for."""
-    rows = np.arange(len(at))
-    own = x[rows, at]
-    with np.errstate(over="ignore"):
-        powers = np.exp(x)
+def _softmax(x: np.ndarray, at: np.ndarray, slope: bool, most: float) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log-probability of column ``at`` of each row, and the softmax less one there if asked for.
+
+    ``x``, whose values are at most ``most`` from zero, is overwritten.
+    """
+    at = at + np.arange(0, x.size, x.shape[1])
+    if most > 80:
+        x -= x.max(axis=1, keepdims=True)
+    own = x.ravel()[at]
+    np.exp(x, out=x)
     # A product is the fastest sum of short rows.
-    sums = powers @ np.ones(x.shape[1], x.dtype)
-    if not np.isfinite(sums).all():
-        top = x.max(axis=1, keepdims=True)
-        powers = np.exp(x - top)
-        sums = powers.sum(axis=1)
-        own = own - top[:, 0]
+    sums = x @ np.ones(x.shape[1], x.dtype)
     if slope:
-        powers /= sums[:, None]
-        powers[rows, at] -= 1
-    return own - np.log(sums), powers if slope else None
+        x /= sums[:, None]
+        x.ravel()[at] -= 1
+    return own - np.log(sums), x if slope else None
+
+
+def _most(weights: np.ndarray, bias: np.ndarray) -> float:
+    """A bound of the outputs: no part of a hidden state is beyond one."""
+    return float((np.abs(weights).sum(axis=-2) + np.abs(bias)).max())
 
 
 def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, grads: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -216,7 +216,7 @@ def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, gr
     group = np.where(is_word, target // shape.width, target - shape.words + shape.groups).astype(np.int16)
     x = hidden @ p["class"]
     x += p["class_bias"]
-    total, slope = _softmax(x, group, grads is not None)
+    total, slope = _softmax(x, group, grads is not None, _most(p["class"], p["class_bias"]))
     back = None
     if grads is not None:
         grads["class"] = hidden.T @ slope
@@ -225,7 +225,7 @@ def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, gr
         grads["word"], grads["word_bias"] = np.zeros_like(p["word"]), np.zeros_like(p["word_bias"])
     at = np.flatnonzero(is_word)
     at = at[np.argsort(group[at], kind="stable")]
-    edges = np.searchsorted(group[at], np.arange(shape.groups + 1))
+    edges = np.searchsorted(group[at], np.arange(shape.groups + 1)).tolist()
     # Words lie by group: only the products are taken group by group, all else at once.
     parts = [(g, slice(edges[g], edges[g + 1])) for g in range(shape.groups) if edges[g] < edges[g + 1]]
     some = hidden[at]
@@ -233,7 +233,7 @@ def _outputs(p: Params, shape: Shape, hidden: np.ndarray, target: np.ndarray, gr
     for g, mine in parts:
         np.matmul(some[mine], p["word"][g], out=x[mine])
         x[mine] += p["word_bias"][g]
-    logs, slope = _softmax(x, target[at] % shape.width, grads is not None)
+    logs, slope = _softmax(x, target[at] % shape.width, grads is not None, _most(p["word"], p["word_bias"]))
     total[at] += logs
     if grads is not None:
         inner = np.empty_like(some, x.dtype)
@@ -252,35 +252,42 @@ def _through_time(p: Params, keep: list, back: np.ndarray, source: np.ndarray, f
     z, r = gates[:, :h], gates[:, h:]
     # What doesn't depend on the later steps is worked out for the whole window at once.
     rest = 1 - z
-    from_n = rest * (1 - n * n)
-    from_z = (states - n) * z * rest
-    from_r = past * r * (1 - r)
-    given = np.empty((3 * h, steps, count), np.float32)
-    # The same, but with the part of the reset gate: what goes to the state before.
-    inner = np.empty((3 * h, steps, count), np.float32)
+    from_n = n * n
+    np.subtract(1, from_n, out=from_n)
+    from_n *= rest
+    from_z = states - n
+    from_z *= z
+    from_z *= rest
+    from_r = past * r
+    from_r *= np.subtract(1, r, out=rest)
+    # By step: the gradients of the new state's, the update and the reset gate's sums, and that of the new
+    # state's with the part of the reset gate. The first three go to the input, the last three to the state before.
+    sums = np.empty((steps, 4 * h, count), np.float32)
     carry = np.zeros((h, count), np.float32)
+    d = np.empty((h, count), np.float32)
     back = _turned(back)
-    starts = fresh.any(axis=1)
+    starts = fresh.any(axis=1).tolist()
     for t in range(steps - 1, -1, -1):
-        d = back[t] + carry
-        dn = d * from_n[t]
-        np.multiply(dn, r[t], out=inner[2 * h :, t])
-        np.multiply(d, from_z[t], out=inner[:h, t])
-        np.multiply(dn, from_r[t], out=inner[h : 2 * h, t])
-        given[2 * h :, t] = dn
-        carry = p["state"] @ inner[:, t]
-        d *= z[t]
+        to_n, to_z, to_r, inner = sums[t].reshape(4, h, count)
+        np.add(back[t], carry, out=d, casting="same_kind")
+        np.multiply(d, from_n[t], out=to_n, casting="same_kind")
+        np.multiply(to_n, r[t], out=inner, casting="same_kind")
+        np.multiply(d, from_z[t], out=to_z, casting="same_kind")
+        np.multiply(to_n, from_r[t], out=to_r, casting="same_kind")
+        carry = p["state"] @ sums[t, h:]
+        np.multiply(d, z[t], out=d, casting="same_kind")
         carry += d
         if starts[t]:
             carry = np.where(fresh[t], np.float32(0), carry)
-    given[: 2 * h] = inner[: 2 * h]
-    grads["state"] = states.transpose(1, 0, 2).reshape(h, -1) @ inner.reshape(3 * h, -1).T
-    flat = np.ascontiguousarray(given.reshape(3 * h, -1).T)
-    grads["bias"] = flat.sum(axis=0)
+    grads["state"] = states.transpose(1, 0, 2).reshape(h, -1) @ sums[:, h:].transpose(1, 0, 2).reshape(3 * h, -1).T
+    flat = _turned(sums[:, : 3 * h]).reshape(-1, 3 * h)
+    # The parameters' order is update, reset, new state.
+    gate = np.concatenate([np.arange(h, 3 * h), np.arange(h)])
+    grads["bias"] = flat.sum(axis=0)[gate]
     ids = source.ravel()
     order = np.argsort(ids.astype(np.int16), kind="stable") if len(p["input"]) < 1 << 15 else np.argsort(ids, kind="stable")
     first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
-    return ids[order][first], np.add.reduceat(flat[order], first, axis=0)
+    return ids[order][first], np.add.reduceat(flat[order], first, axis=0)[:, gate]
 
 
 class Trainer:
@@ -320,8 +327,9 @@ class Trainer:
                 self.heat[name] += grad * grad
                 self.p[name] -= self.rate * grad / np.sqrt(self.heat[name])
             rows *= share
-            self.heat["input"][ids] += rows * rows
-            self.p["input"][ids] -= self.rate * rows / np.sqrt(self.heat["input"][ids])
+            heat = self.heat["input"][ids] + rows * rows
+            self.heat["input"][ids] = heat
+            self.p["input"][ids] -= self.rate * rows / np.sqrt(heat)
             self.tokens += len(valid)
 
 
@@ -339,7 +347,7 @@ def log_likelihoods(p: Params, shape: Shape, docs: list[np.ndarray], end: int, s
         hidden, state = _forward(p, np.maximum(window.source, 0), window.fresh, state, None)
         valid = np.flatnonzero(target >= 0)
         logs, _ = _outputs(p, shape, hidden.reshape(-1, shape.hidden)[valid], target[valid], None)
-        np.add.at(total, window.doc.ravel()[valid], logs)
+        total += np.bincount(window.doc.ravel()[valid], logs, len(docs))
     return total
 
 

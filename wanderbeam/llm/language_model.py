@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wanderbeam.llm import gru
-from wanderbeam.llm.text import id_remainder, text_bytes
+from wanderbeam.llm.text import id_remainder
 from wanderbeam.session import materialise
 
 # The end token; no word is empty.
@@ -43,32 +43,53 @@ class Spec:
     modulus: int = 10
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words with A-Z lower-cased, as UTF-8."""
-    return text_bytes(text, lower=True).split()
+def pieces(texts: pa.Array, most: int = 1 << 24) -> Iterator[pa.Array]:
+    """``texts`` in runs of at most so many bytes, or of one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, most + (ends[a - 1] if a else 0), side="right")))
+        yield texts.slice(a, b - a)
+        a = b
+
+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts with A-Z lower-cased, and how many each text has; NULL is empty."""
+    # Arrow's ASCII white space is the six characters that separate words.
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    flat, edges = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    edges -= edges[0]
+    # White space at the ends of a text leaves empty words there.
+    filled = pc.greater(pc.binary_length(flat), 0)
+    if not pc.all(filled).as_py():
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        flat, edges = flat.filter(filled), before[edges]
+    return flat, np.diff(edges)
 
 
 def token_counts(docs: DataFrame, hold: int = 300_000) -> DataFrame:
     """``token`` and ``c`` over all rows of ``docs``; tasks count before they send anything."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-
-        def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"token": [w.decode() for w in seen], "c": np.fromiter(seen.values(), np.int64, len(seen))})
-            seen.clear()
-            return out
+    def merged(held: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")])
+        return sums.select(["token", "c_sum"]).rename_columns(["token", "c"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            for text in batch["text"]:
-                seen.update(words(text))
-                seen[b""] += 1
-                if len(seen) > hold:
-                    yield flush()
-        if seen:
-            yield flush()
-
-    counted = docs.select("text").mapInPandas(count, "token string, c long")
+            for texts in pieces(batch.column(0), 1 << 25):
+                token, c = words(texts)[0].value_counts().flatten()
+                ends = pa.table({"token": [END], "c": pa.array([len(texts)], pa.int64())})
+                held += [pa.table({"token": token, "c": c}), ends]
+                if sum(map(len, held)) > hold:
+                    # What repeats is kept to be counted on.
+                    held = [merged(held)] if len(held) > 2 else [pa.concat_tables(held)]
+                    if 2 * len(held[0]) > hold:
+                        yield from held.pop().combine_chunks().to_batches()
+        if held:
+            yield from merged(held).to_batches()
+
+    counted = docs.select("text").mapInArrow(count, "token string, c long")
     return counted.groupBy("token").agg(F.sum("c").alias("c"))
 
 
@@ -88,8 +109,8 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
 class Lexicon:
     """What the tasks know: the dictionary, the model's words (its first ones) and the endings."""
 
-    places: dict[bytes, int]
-    # By place in the dictionary: log10 of (count + ADD), and input id of the model.
+    vocabulary: pa.Array
+    # By place in the dictionary, the end first: log10 of (count + ADD), and input id of the model.
     logs: np.ndarray
     ids: np.ndarray
     endings: dict[str, int]
@@ -109,26 +130,56 @@ class Lexicon:
 
     @property
     def end(self) -> int:
-        return int(self.ids[self.places[b""]])
+        return int(self.ids[0])
+
+    @cached_property
+    def places(self) -> dict[bytes, int]:
+        return {w.encode(): k for k, w in enumerate(self.vocabulary.to_pylist())}
 
     def ending(self, token: str) -> int:
         """Class of a token that is not one of the model's words; the last class is for the rest."""
         return self.endings.get(token[-ENDING:], self.shape.endings - 1)
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Places of the words and the end (-1: not in the dictionary), their ids, and the words without a place."""
-        parts = words(text)
-        n = len(parts)
-        at = np.empty(n + 1, np.int64)
-        at[:n] = np.fromiter(map(self.places.get, parts, repeat(-1)), np.int64, n)
-        at[n] = self.places[b""]
-        ids = self.ids[at]
+    def read(self, texts: pa.Array) -> pa.Array:
+        """The columns of ``READ`` for some texts, all words looked up at once."""
+        tokens, sizes = words(texts)
+        number, words_of = len(texts), self.shape.words
+        at = pc.index_in(tokens, value_set=self.vocabulary).fill_null(-1).to_numpy()
+        own = np.repeat(np.arange(number), sizes)
         missing = np.flatnonzero(at < 0)
-        rare = [parts[k].decode() for k in missing.tolist()]
-        if rare:
-            known, last = self.endings.get, self.shape.endings - 1
-            ids[missing] = self.shape.words + np.fromiter([known(w[-ENDING:], last) for w in rare], np.int32, len(rare))
-        return at, ids, rare
+        rare = tokens.take(pa.array(missing)).dictionary_encode()
+        tails = pc.utf8_slice_codeunits(rare.dictionary, -ENDING)
+        classes = pc.index_in(tails, value_set=pa.array(list(self.endings), pa.string())).fill_null(self.shape.endings - 1).to_numpy()
+        kinds = rare.indices.to_numpy()
+        # Place -1, the last one, is that of words outside the dictionary.
+        inside = self.ids[:-1] >= words_of
+        shares = np.append(np.where(inside, self.logs - self.class_logs[np.where(inside, self.ids[:-1] - words_of, 0)], 0.0), 0.0)
+        outside = shares[at]
+        outside[missing] = -self.class_logs[classes[kinds]]
+        ids = self.ids[at]
+        ids[missing] = words_of + classes[kinds]
+        # Each text's ids are followed by the end.
+        ends = np.cumsum(sizes + 1)
+        body = np.empty(len(ids) + number, "<i2")
+        is_word = np.ones(len(body), bool)
+        is_word[ends - 1] = False
+        body[is_word] = ids
+        body[ends - 1] = self.end
+        # Rare words are listed once for each text.
+        span = max(1, len(rare.dictionary))
+        listed, times = np.unique(own[missing] * span + kinds, return_counts=True)
+        pairs = pa.StructArray.from_arrays([rare.dictionary.take(pa.array(listed % span)), pa.array(times.astype(np.int32))], ["token", "n"])
+        edges = np.searchsorted(listed, np.arange(number + 1) * span).astype(np.int32)
+        offsets = pa.py_buffer(np.append(0, 2 * ends).astype(np.int32))
+        columns = [
+            pa.array(sizes + 1, pa.int64()),
+            pa.array(np.bincount(own[at >= 0], minlength=number) + self.end_known, pa.int64()),
+            pa.array(np.bincount(own, np.append(self.logs, 0.0)[at], number) + self.logs[0], pa.float64()),
+            pa.array(np.bincount(own, outside, number), pa.float64()),
+            pa.ListArray.from_arrays(pa.array(edges), pairs),
+            pa.Array.from_buffers(pa.binary(), number, [None, offsets, pa.py_buffer(body)]),
+        ]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "n_known", "known_log", "outside_log", "rare", "ids"])
 
 
 def lexicon(counts: DataFrame, spec: Spec) -> Lexicon:
@@ -154,10 +205,10 @@ def lexicon(counts: DataFrame, spec: Spec) -> Lexicon:
     other_ids = [endings.get(w[-ENDING:], spec.shape.endings - 1) for w in listed[len(model_words) :]]
     ids = np.array([*range(len(model_words)), *[spec.shape.words + k for k in other_ids], -1], np.int32)
     logs = np.log10(np.array([known.get(w, 0) for w in listed], float) + ADD)
-    places = {w.encode(): k for k, w in enumerate(listed)}
+    vocabulary = pa.array(listed, pa.string())
     word_counts = np.array([known.get(w, 0) for w in model_words], float)
     ending_counts = np.array([c for c, _ in sizes], float)
-    return Lexicon(places, logs, ids, endings, total, distinct, class_logs, word_counts, ending_counts, spec.shape)
+    return Lexicon(vocabulary, logs, ids, endings, total, distinct, class_logs, word_counts, ending_counts, spec.shape)
 
 
 READ = (
@@ -175,32 +226,8 @@ def read_texts(docs: DataFrame, lex: Lexicon) -> DataFrame:
 
     @F.arrow_udf(READ)
     def read(texts: pa.Array) -> pa.Array:
-        rows, bodies, tokens, times, edges = [], [], [], [], [0]
-        for text in texts.to_pylist():
-            at, ids, rare = lex.read(text)
-            placed = at[at >= 0]
-            logs = lex.logs[placed]
-            inside = logs[lex.ids[placed] >= lex.shape.words].sum()
-            by_ending = lex.class_logs[ids[ids >= lex.shape.words] - lex.shape.words].sum()
-            known = len(placed) - 1 + lex.end_known
-            listed = Counter(rare)
-            tokens += listed.keys()
-            times += listed.values()
-            edges.append(len(tokens))
-            rows.append((len(at), known, float(logs.sum()), float(inside - by_ending)))
-            bodies.append(ids.astype("<i2").tobytes())
-        # The lists of rare words are one array of all texts, not objects of Python.
-        pairs = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(times, pa.int32())], ["token", "n"])
-        n_tokens, n_known, known_log, outside_log = zip(*rows) if rows else ((),) * 4
-        columns = [
-            pa.array(n_tokens, pa.int64()),
-            pa.array(n_known, pa.int64()),
-            pa.array(known_log, pa.float64()),
-            pa.array(outside_log, pa.float64()),
-            pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pairs),
-            pa.array(bodies, pa.binary()),
-        ]
-        return pa.StructArray.from_arrays(columns, ["n_tokens", "n_known", "known_log", "outside_log", "rare", "ids"])
+        # An empty batch has its columns too.
+        return pa.concat_arrays([lex.read(some) for some in pieces(texts)] or [lex.read(texts)])
 
     return docs.withColumn("__s", read(F.col("text"))).select(*[c for c in docs.columns if c != "text"], "__s.*")
 
