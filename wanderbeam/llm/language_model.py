@@ -43,7 +43,7 @@ class Spec:
     modulus: int = 10
 
 
-def pieces(texts: pa.Array, most: int = 1 << 24) -> Iterator[pa.Array]:
+def pieces(texts: pa.Array, most: int = 1 << 23) -> Iterator[pa.Array]:
     """``texts`` in runs of at most so many bytes, or of one longer text."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     a = 0
@@ -54,20 +54,17 @@ def pieces(texts: pa.Array, most: int = 1 << 24) -> Iterator[pa.Array]:
 
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Words of all texts with A-Z lower-cased, and how many each text has; NULL is empty."""
+    """Words of all texts with A-Z lower-cased, and where each text's begin and end; NULL is empty.
+
+    White space at the ends of a text leaves empty words there, which are to be passed over.
+    """
     # Arrow's ASCII white space is the six characters that separate words.
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
     flat, edges = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-    edges -= edges[0]
-    # White space at the ends of a text leaves empty words there.
-    filled = pc.greater(pc.binary_length(flat), 0)
-    if not pc.all(filled).as_py():
-        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
-        flat, edges = flat.filter(filled), before[edges]
-    return flat, np.diff(edges)
+    return flat, edges - edges[0]
 
 
-def token_counts(docs: DataFrame, hold: int = 300_000) -> DataFrame:
+def token_counts(docs: DataFrame, hold: int = 600_000) -> DataFrame:
     """``token`` and ``c`` over all rows of ``docs``; tasks count before they send anything."""
 
     def merged(held: list[pa.Table]) -> pa.Table:
@@ -77,13 +74,13 @@ def token_counts(docs: DataFrame, hold: int = 300_000) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
-            for texts in pieces(batch.column(0), 1 << 25):
-                token, c = words(texts)[0].value_counts().flatten()
+            for texts in pieces(batch.column(0), 1 << 24):
+                seen = pa.table(words(texts)[0].value_counts().flatten(), ["token", "c"])
                 ends = pa.table({"token": [END], "c": pa.array([len(texts)], pa.int64())})
-                held += [pa.table({"token": token, "c": c}), ends]
+                held += [seen.filter(pc.not_equal(seen["token"], END)), ends]
                 if sum(map(len, held)) > hold:
                     # What repeats is kept to be counted on.
-                    held = [merged(held)] if len(held) > 2 else [pa.concat_tables(held)]
+                    held = [merged(held)]
                     if 2 * len(held[0]) > hold:
                         yield from held.pop().combine_chunks().to_batches()
         if held:
@@ -142,12 +139,17 @@ class Lexicon:
 
     def read(self, texts: pa.Array) -> pa.Array:
         """The columns of ``READ`` for some texts, all words looked up at once."""
-        tokens, sizes = words(texts)
+        tokens, edges = words(texts)
         number, words_of = len(texts), self.shape.words
         at = pc.index_in(tokens, value_set=self.vocabulary).fill_null(-1).to_numpy()
+        rare = tokens.take(pa.array(np.flatnonzero(at < 0))).dictionary_encode()
+        # Empty words have the end's place, the first one.
+        filled = at != 0
+        sizes = np.diff(np.append(0, np.cumsum(filled))[edges])
+        at = at[filled]
+        del tokens, filled
         own = np.repeat(np.arange(number), sizes)
         missing = np.flatnonzero(at < 0)
-        rare = tokens.take(pa.array(missing)).dictionary_encode()
         tails = pc.utf8_slice_codeunits(rare.dictionary, -ENDING)
         classes = pc.index_in(tails, value_set=pa.array(list(self.endings), pa.string())).fill_null(self.shape.endings - 1).to_numpy()
         kinds = rare.indices.to_numpy()
