@@ -10,10 +10,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wanderbeam.functions.numbers import nearest
 from wanderbeam.operators.scoring import N_CLASSES, ModelSpec, positional_features, with_importance
 from wanderbeam.operators.skew import lookup_join
 from wanderbeam.session import materialise
@@ -118,10 +121,25 @@ def class_probabilities(logs: Column) -> Column:
 def score_pairs(pairs: DataFrame) -> DataFrame:
     """``pairs`` with pred_action, prob and important_value in place of their user_logs and item_logs.
 
-    A pair costs one addition of two short arrays; no feature is looked up for it.
+    A pair costs one addition of two short arrays; no feature is looked up for it. The steps are those of ``class_probabilities``
+    and ``with_importance`` with a column for each class: functions over arrays are interpreted, plain columns are compiled.
     """
-    both = F.zip_with("user_logs", "item_logs", lambda a, b: a + b)
-    return with_importance(pairs, class_probabilities(both)).drop("user_logs", "item_logs")
+    classes = range(N_CLASSES)
+
+    def each(name: str) -> list[Column]:
+        return [F.col(f"__{name}{c}") for c in classes]
+
+    # Every step is a projection of its own, so that nothing is worked out twice.
+    rows = pairs.withColumns({f"__sum{c}": F.get("user_logs", F.lit(c)) + F.get("item_logs", F.lit(c)) for c in classes})
+    rows = rows.withColumns({f"__log{c}": nearest(x, DECIMALS) for c, x in enumerate(each("sum"))})
+    rows = rows.withColumn("__most", F.greatest(*each("log")))
+    rows = rows.withColumns({f"__exp{c}": F.exp(x - F.col("__most")) for c, x in enumerate(each("log"))})
+    rows = rows.withColumns({"__whole": reduce(add, each("exp")), "__top": F.greatest(*each("exp"))})
+    first = F.coalesce(*[F.when(x == F.col("__top"), F.lit(c)) for c, x in enumerate(each("exp"))])
+    rows = rows.withColumns({"pred_action": F.when(F.col("__whole").isNotNull(), first), "prob": F.col("__top") / F.col("__whole")})
+    rows = rows.withColumn("important_value", F.col("pred_action") * F.col("prob"))
+    added = ["pred_action", "prob", "important_value"]
+    return rows.select(*[c for c in pairs.columns if c not in ("user_logs", "item_logs", *added)], *added)
 
 
 def probabilities(rows: DataFrame, model: BayesModel, keys: Sequence[str], styles: str = "style_name_sequence") -> DataFrame:
