@@ -89,3 +89,7 @@ def test_blocked_pairs_are_the_pairs(spark, block, monkeypatch):
 )
 def test_what_depends_on_one_side_is_not_worked_out_for_pairs(spark, name, work):
     assert work not in above_the_pairs(name, spark)
+
+
+def test_no_context_is_looked_up_for_a_pair(spark):
+    assert "concat_ws" not in plan(QUERIES["ml_score_ordered"](spark, SF_DIR))
