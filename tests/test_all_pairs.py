@@ -85,7 +85,7 @@ def test_blocked_pairs_are_the_pairs(spark, block, monkeypatch):
 
 @pytest.mark.parametrize(
     ("name", "work"),
-    [("candidates", "array_join"), ("score_empirical", "round("), ("ml_score", "lambda")],
+    [("candidates", "array_join"), ("score_empirical", "round("), ("union_missing_cols", "round("), ("ml_score", "lambda")],
 )
 def test_what_depends_on_one_side_is_not_worked_out_for_pairs(spark, name, work):
     assert work not in above_the_pairs(name, spark)
