@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import random
 
 import pytest
@@ -68,6 +70,15 @@ def test_many_pairs_of_a_small_table_are_spread_over_tasks(offered):
     assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 1
 
 
+@pytest.mark.parametrize("ranked", [False, True])
+def test_written_pairs_pack(offered, ranked, tmp_path):
+    path = str(tmp_path / "written")
+    found = recommend.rank_per_user(offered).select("user_id", "target_hotel_id", "rank") if ranked else offered.pairs()
+    found.coalesce(1).write.parquet(path)
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{path}/*.parquet"))
+    assert size < 1.05 * 1600 * 901
+
+
 @pytest.mark.parametrize("block", [3, 1024])
 def test_blocked_pairs_are_the_pairs(spark, block, monkeypatch):
     monkeypatch.setattr(skew, "PAIR_BLOCK", block)
